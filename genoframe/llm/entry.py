@@ -4,23 +4,41 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoframe.llm import simhash
+from genoframe.llm import bpe, sharding, simhash, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(_table(spark, sf_dir, "documents"), [1.0] * 24)
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archived(spark, _table(spark, sf_dir, "pages"))
+    return found.where("gap_start is null").select("page_id", "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), "refers_to")
+
+
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_table(spark, sf_dir, "pages"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-_QUERIES = (op9_simhash,)
-_SQL: dict[str, str] = {}
+_QUERIES = (op1_rendezvous, op4_bpe, op8_warc, op9_simhash, op10_urls)
+_SQL = {"op10_urls": urls.judge_sql()}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoframe.llm import bpe, sharding, simhash, urls, warc
+from genoframe.llm import bpe, fingerprints, quality, sharding, simhash, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,14 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(_table(spark, sf_dir, "documents"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.archived(spark, _table(spark, sf_dir, "pages"))
     return found.where("gap_start is null").select("page_id", "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), "refers_to")
@@ -37,7 +45,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-_QUERIES = (op1_rendezvous, op4_bpe, op8_warc, op9_simhash, op10_urls)
+_QUERIES = (op1_rendezvous, op4_bpe, op5_fingerprints, op7_quality, op8_warc, op9_simhash, op10_urls)
 _SQL = {"op10_urls": urls.judge_sql()}
 
 

@@ -8,7 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoframe.llm import bpe, fingerprints, quality, sharding, simhash, urls, warc
+from genoframe.llm import ann, bpe, fingerprints, mixing, quality, sharding, simhash, tokencounts, urls, warc
+
+
+#: Target parts of the mix: src0, the largest source, is held at a fifth; sources that are not named share the rest.
+MIX = {"src0": 20, **{f"src{i}": 4 for i in range(1, 20)}}
+MIX_REST = 4
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +24,14 @@ def op1_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(_table(spark, sf_dir, "documents"), [1.0] * 24)
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -27,6 +40,11 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mixed(docs, MIX, MIX_REST)
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -45,7 +63,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-_QUERIES = (op1_rendezvous, op4_bpe, op5_fingerprints, op7_quality, op8_warc, op9_simhash, op10_urls)
+_QUERIES = (op1_rendezvous, op2_token_counts, op3_neighbours, op4_bpe, op5_fingerprints, op6_mixing, op7_quality, op8_warc, op9_simhash, op10_urls)
 _SQL = {"op10_urls": urls.judge_sql()}
 
 

@@ -200,19 +200,21 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     return Model(np.frombuffer(found["weights"], np.float32), found["slope"], found["shift"])
 
 
-def scored(docs: DataFrame, model: Model, text_col: str = "text", as_col: str = "score") -> DataFrame:
-    """docs with the model's score (0 to 1) of each whole text; null is empty. All columns stay."""
+def scored(docs: DataFrame, model: Model, text_col: str = "text", least: float | None = None) -> DataFrame:
+    """doc (each row of docs as a struct) with the model's score (0 to 1) of its whole text; null is empty.
+
+    least: leave out rows that score less.
+    """
 
     def run(batches):
         of = Indicators()
         for batch in batches:
-            at = batch.schema.get_field_index("_text")
-            scores = [model.score(of.of(t)) for t in batch.column(at).to_pylist()]
-            columns = [c for k, c in enumerate(batch.columns) if k != at]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(scores, pa.float64())], names=[*(n for n in batch.schema.names if n != "_text"), as_col])
+            scores = np.array([model.score(of.of(t)) for t in batch.column(1).to_pylist()], np.float64)
+            out = pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["doc", "score"])
+            yield out if least is None else out.filter(pa.array(scores >= least))
 
-    kept = [f for f in docs.schema.fields if f.name != as_col]
-    return docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(text_col).alias("_text")).mapInArrow(run, StructType([*kept, StructField(as_col, DoubleType())]))
+    rows = docs.select(F.struct("*").alias("doc"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, StructType([rows.schema["doc"], StructField("score", DoubleType())]))
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -222,5 +224,10 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     texts get a score too. Without labels all scores are one half. Repeated rows stay; an empty table returns none.
     """
     model = train(docs, labels, id_col=id_col, text_col=text_col)
-    found = scored(docs.select(id_col, text_col), model, text_col)
+    found = scored(docs.select(F.col(id_col), F.col(text_col)), model, text_col).select(F.col(f"doc.{id_col}"), "score")
     return found.select(id_col, held_out(F.col(id_col)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def kept(docs: DataFrame, labels: DataFrame, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, that a model of the labels scores at `least` or more."""
+    return scored(docs, train(docs, labels, id_col=id_col, text_col=text_col), text_col, least).select("doc.*")

@@ -43,7 +43,8 @@ def gapless(df: DataFrame, group: str, order: list[Column], name: str, spread: C
 
     A group may hold any share of all rows: its rows are first dealt over `cells` cells by `spread`,
     numbered within their cell, and shifted by the rows of the group's earlier cells. Only the cells'
-    counts (at most groups x cells rows) are gathered. Rows of a cell are numbered by `order`.
+    counts are gathered and broadcast: at most groups x cells rows, so the groups' number must be bounded
+    (shards, classes). Rows of a cell are numbered by `order`.
     """
     dealt = df.withColumn("_cell", F.pmod(spread, F.lit(cells)).cast("int"))
     counts = dealt.groupBy(group, "_cell").agg(F.count("*").alias("_n"))
@@ -51,7 +52,7 @@ def gapless(df: DataFrame, group: str, order: list[Column], name: str, spread: C
     starts = counts.select(F.col(group).alias("_g"), F.col("_cell").alias("_c"), "_n").select("_g", "_c", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     numbered = dealt.withColumn("_i", F.row_number().over(Window.partitionBy(group, "_cell").orderBy(*order)) - 1)
     return (
-        numbered.join(starts, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_cell") == F.col("_c")), "left")
+        numbered.join(F.broadcast(starts), F.col(group).eqNullSafe(F.col("_g")) & (F.col("_cell") == F.col("_c")), "left")
         .withColumn(name, F.col("_i") + F.col("_start"))
         .drop("_cell", "_g", "_c", "_i", "_start")
     )

@@ -205,3 +205,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = named.withColumn("h", F.xxhash64("root")).join(least, (F.col("root") == F.col("lr")) & (F.col("h") == F.col("lh"))).select("node", "first")
     classes = distinct.join(named, F.col("fp") == F.col("node"), "left").select(F.col("fp").alias("cf"), F.xxhash64("fp").alias("ch"), F.coalesce("first", "least").alias("component_id"))
     return own.withColumn("h", F.xxhash64("fp")).join(classes, (F.col("fp") == F.col("cf")) & (F.col("h") == F.col("ch")), "left").select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, radius: int = 3) -> DataFrame:
+    """One row of docs, with all its columns, of each class of near_duplicates(): that with the smallest id.
+
+    An id names a document: of rows with the same id one stays. Rows without an id cannot be told apart and all stay.
+    """
+    found = near_duplicates(docs.where(F.col(id_col).isNotNull()), id_col, text_col, words, radius)
+    chosen = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("chosen")).distinct()
+    rows = docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("id"))
+    one = rows.where("id is not null").join(chosen, F.col("id") == F.col("chosen"), "left_semi").dropDuplicates(["id"])
+    return one.unionByName(rows.where("id is null")).select("doc.*")

@@ -1,10 +1,36 @@
-"""Training corpus from documents, stage by stage."""
+"""Training corpus from documents: quality, near-duplicates, mixing, tokens; each stage takes all that the one before kept."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES = []
+from genoframe.llm import bpe, mixing, quality, simhash
+from genoframe.llm.entry import MIX, MIX_REST
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    return quality.kept(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near-duplicates the document with the smallest id."""
+    return simhash.first_of_each(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order in which the sources keep to their target weights."""
+    return mixing.in_mixed_order(docs, MIX, MIX_REST)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Counts of tokens, and digests of the tokens and of what they decode to, of each document."""
+    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [("quality", keep_quality), ("near-duplicates", drop_near_duplicates), ("mixing", mix_sources), ("BPE", encode)]
+#: Trained models, hashes of shingles and merges are not SQL; tests hold the rows against a plain version.
 ORACLE_SQL = None
 
 

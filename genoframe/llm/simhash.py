@@ -27,24 +27,33 @@ BITS = 64
 BLOCK = 1 << 15
 
 
-def simhash(text: bytes | None, words: int = 3, seed: int = 42) -> int:
-    """Fingerprint of a text in UTF-8: of each bit, whether it is set in over half of the shingles' hashes."""
+def shingle_hashes(text: bytes | None, words: int, seed: int = 42) -> np.ndarray:
+    """XXH64 of each shingle of a text in UTF-8, A-Z lower-cased, repeats included; of fewer words, of them all."""
     tokens = (text or b"").lower().split()
     if not tokens:
-        return 0
+        return np.zeros(0, np.uint64)
     words = min(words, len(tokens))
     joined = b" ".join(tokens)
     ends = list(accumulate(len(t) + 1 for t in tokens))
     starts = [0, *ends]
     digest = xxhash.xxh64_intdigest
-    hashes = [digest(joined[s : e - 1], seed) for s, e in zip(starts, ends[words - 1 :])]
+    return np.array([digest(joined[s : e - 1], seed) for s, e in zip(starts, ends[words - 1 :])], np.uint64)
+
+
+def vote(hashes: np.ndarray) -> int:
+    """Of each bit, whether it is set in over half of the hashes; 0 of none."""
     set_in = np.zeros(BITS, np.int64)
     for i in range(0, len(hashes), BLOCK):
-        part = np.array(hashes[i : i + BLOCK], ">u8")
+        part = hashes[i : i + BLOCK].astype(">u8")
         set_in += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * set_in > len(hashes)).tobytes(), "big")
 
 
+def simhash(text: bytes | None, words: int = 3, seed: int = 42) -> int:
+    """Fingerprint of a text in UTF-8: of each bit, whether it is set in over half of the shingles' hashes."""
+    return vote(shingle_hashes(text, words, seed))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
     """(id, fp) of every row; fp is the fingerprint as a signed long. A null text has no words: fingerprint 0."""
 
@@ -205,15 +214,3 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = named.withColumn("h", F.xxhash64("root")).join(least, (F.col("root") == F.col("lr")) & (F.col("h") == F.col("lh"))).select("node", "first")
     classes = distinct.join(named, F.col("fp") == F.col("node"), "left").select(F.col("fp").alias("cf"), F.xxhash64("fp").alias("ch"), F.coalesce("first", "least").alias("component_id"))
     return own.withColumn("h", F.xxhash64("fp")).join(classes, (F.col("fp") == F.col("cf")) & (F.col("h") == F.col("ch")), "left").select(F.col("id").alias(id_col), "fp", "component_id")
-
-
-def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, radius: int = 3) -> DataFrame:
-    """One row of docs, with all its columns, of each class of near_duplicates(): that with the smallest id.
-
-    An id names a document: of rows with the same id one stays. Rows without an id cannot be told apart and all stay.
-    """
-    found = near_duplicates(docs.where(F.col(id_col).isNotNull()), id_col, text_col, words, radius)
-    chosen = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("chosen")).distinct()
-    rows = docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("id"))
-    one = rows.where("id is not null").join(chosen, F.col("id") == F.col("chosen"), "left_semi").dropDuplicates(["id"])
-    return one.unionByName(rows.where("id is null")).select("doc.*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from genoframe.llm import bpe, mixing, quality, simhash
+from genoframe.llm import bpe, mixing, nearcopies, quality
 from genoframe.llm.entry import MIX, MIX_REST
 
 
@@ -15,8 +15,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates the document with the smallest id."""
-    return simhash.first_of_each(docs)
+    """Of each class of near copies (five-word shingles, likeness 0.8 or more) the document with the smallest id."""
+    return nearcopies.first_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from bisect import bisect_right
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from genoframe.operators.groups import over_groups
+
 BLOCKS = "ref_name string, ref_start long, ref_end long, qry_name string, qry_start long, qry_end long, strand string, n_records long, ref_span long, qry_span long, matched long, aln_len long"
 
 
@@ -15,34 +18,30 @@ def chain_blocks(paf: DataFrame, max_gap: int = 1_000_000, slack: int = 1000, ga
 
     A record joins the block before it unless a gap on either axis is over max_gap, under -slack, or over
     gap_factor times what the block has aligned so far (0: no such limit). Records are taken by target and query
-    start, then end and matches. What a block has aligned makes this a fold; before it, groups are cut where
-    the target leaps over max_gap whatever the block, so a group is folded in pieces.
+    start, then end and matches. What a block has aligned makes this a fold over the records in order; it keeps
+    nothing but the block at hand, so a chromosome pair may have any number of records.
     """
     order = ["t_start", "q_start", "t_end", "q_end", "nmatch", "alnlen"]
     keys = ["t_name", "q_name", "strand"]
-    before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    to_here = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = paf.select(*keys, *order).withColumn("_leap", F.when(F.col("t_start") - F.max("t_end").over(before) > max_gap, 1).otherwise(0))
-    rows = rows.withColumn("_piece", F.sum("_leap").over(to_here)).drop("_leap")
-
-    def fold(piece: pd.DataFrame) -> pd.DataFrame:
-        t_name, q_name, strand = piece.iloc[0][keys]
-        out, cur = [], None
-        for ts, qs, te, qe, matched, aligned in piece.sort_values(order)[order].itertuples(index=False):
-            if cur:
-                gaps = (ts - cur[1], qs - cur[3] if strand == "+" else cur[2] - qe)
-                earned = gap_factor * cur[6] if gap_factor > 0 else float("inf")
+
+    def fold(key, records):
+        t_name, q_name, strand = key
+        named = lambda b: (t_name, b[0], b[1], q_name, b[2], b[3], strand, b[4], b[1] - b[0], b[3] - b[2], b[5], b[6])
+        block = None
+        for *_, ts, qs, te, qe, matched, aligned in records:
+            if block:
+                gaps = (ts - block[1], qs - block[3] if strand == "+" else block[2] - qe)
+                earned = gap_factor * block[6] if gap_factor > 0 else max_gap
                 if max(gaps) > min(max_gap, earned) or min(gaps) < -slack:
-                    out.append(cur)
-                    cur = None
-            if cur:
-                cur = [min(cur[0], ts), max(cur[1], te), min(cur[2], qs), max(cur[3], qe), cur[4] + 1, cur[5] + matched, cur[6] + aligned]
+                    yield named(block)
+                    block = None
+            if block:
+                block = [min(block[0], ts), max(block[1], te), min(block[2], qs), max(block[3], qe), block[4] + 1, block[5] + matched, block[6] + aligned]
             else:
-                cur = [ts, te, qs, qe, 1, matched, aligned]
-        out.append(cur)
-        return pd.DataFrame([(t_name, a, b, q_name, c, d, strand, n, b - a, d - c, m, g) for a, b, c, d, n, m, g in out], columns=[f.split()[0] for f in BLOCKS.split(", ")])
+                block = [ts, te, qs, qe, 1, matched, aligned]
+        yield named(block)
 
-    found = rows.groupBy(*keys, "_piece").applyInPandas(fold, BLOCKS)
+    found = over_groups(paf.select(*keys, *order), keys, order, fold, BLOCKS)
     kept = found.where((F.col("ref_span") >= min_block) & ((F.lit(min_share) <= 0) | (F.col("ref_span") <= 0) | (F.col("aln_len") >= min_share * F.col("ref_span"))))
     return kept.withColumn("identity", F.coalesce(F.try_divide("matched", "aln_len"), F.lit(0.0)))
 
@@ -62,26 +61,43 @@ def collinear_runs(anchors: DataFrame, keys: list[str], slack: int = 100, min_le
     return found.where((c("t_end") - c("t_start") >= min_len) & (c("q_end") - c("q_start") >= min_len))
 
 
-CHAIN = "t_start long, t_end long, q_start long, q_end long, strand string, n_anchors long"
+CHAIN = ("t_start", "t_end", "q_start", "q_end", "strand", "n_anchors")
+
+
+class _Disjoint:
+    """Spans that share no base, sorted, so that a new one is looked for among its neighbours."""
+
+    def __init__(self):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def meets(self, start: int, end: int) -> bool:
+        k = bisect_right(self.ends, start)
+        return k < len(self.starts) and self.starts[k] < end
+
+    def add(self, start: int, end: int) -> None:
+        k = bisect_right(self.starts, start)
+        self.starts.insert(k, start)
+        self.ends.insert(k, end)
 
 
 def drop_overlaps(chains: DataFrame, key: str) -> DataFrame:
     """Of the chains of each key, longest first, those whose target and query spans meet no chain kept before.
 
-    A key is one segment pair. Its chains are first cut into groups that no spans join on the target, and each is
-    worked through by itself only if a target gap is a query gap too; so the whole segment is taken.
+    What is kept is disjoint on both axes, so a chain is looked for by binary search.
     """
-
-    def pick(group: pd.DataFrame) -> pd.DataFrame:
-        length = (group.t_end - group.t_start) + (group.q_end - group.q_start)
-        kept: list[tuple] = []
-        for row in group.assign(_n=-length).sort_values(["_n", "t_start", "q_start", "strand"]).itertuples(index=False):
-            if all((row.t_end <= k.t_start or row.t_start >= k.t_end) and (row.q_end <= k.q_start or row.q_start >= k.q_end) for k in kept):
-                kept.append(row)
-        return pd.DataFrame(kept, columns=[*group.columns, "_n"]).drop(columns="_n")
-
-    rows = chains.select(key, *[f.split()[0] for f in CHAIN.split(", ")])
-    return rows.groupBy(key).applyInPandas(pick, rows.schema)
+    rows = chains.select(key, *CHAIN, (F.col("t_start") - F.col("t_end") + F.col("q_start") - F.col("q_end")).alias("_short"))
+
+    def pick(own, group):
+        on_t, on_q = _Disjoint(), _Disjoint()
+        for row in group:
+            ts, te, qs, qe = row[1:5]
+            if not on_t.meets(ts, te) and not on_q.meets(qs, qe):
+                on_t.add(ts, te)
+                on_q.add(qs, qe)
+                yield row[:-1]
+
+    return over_groups(rows, [key], ["_short", "t_start", "q_start", "strand"], pick, rows.drop("_short").schema)
 
 
 def tile(chains: DataFrame, key: str, t_len: str, q_len: str) -> DataFrame:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from genoframe.operators.groups import over_groups
 from genoframe.operators.intervals import prefixed, without_contained
 
 
@@ -80,18 +80,24 @@ def trim_overlaps(rows: DataFrame, passes: int = 1) -> DataFrame:
     cut = rows.withColumn("_cut", F.when(F.col("t_start") < F.max("t_end").over(before), 0).otherwise(1))
     cut = cut.withColumn("_piece", F.sum("_cut").over(to_here)).drop("_cut")
 
-    def trim(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(ORDER)
-        r = group[["t_start", "t_end", "q_start", "q_end"]].to_numpy().tolist()
+    names = [c for c in rows.columns if c not in keys]
+    at = [3 + 1 + names.index(c) for c in ("t_start", "t_end", "q_start", "q_end")]
+
+    def trim(key, group):
+        group = [list(r) for r in group]
+        spans = [[r[k] for k in at] for r in group]
         for _ in range(passes):
-            for i, a in enumerate(r):
-                for j, b in enumerate(r):
+            for i, a in enumerate(spans):
+                for j, b in enumerate(spans):
                     if i != j and a[0] < b[0] < a[1] < b[1] and a[2] < b[2] < a[3] < b[3]:
                         b[0], b[2] = a[1], a[3]
-        group[["t_start", "t_end", "q_start", "q_end"]] = r
-        return group.drop(columns="_piece")
+        for r, span in zip(group, spans):
+            for k, value in zip(at, span):
+                r[k] = value
+            yield tuple(r[:3] + r[4:])
 
-    return cut.groupBy(*keys, "_piece").applyInPandas(trim, rows.schema)
+    cut = cut.select(*keys, "_piece", *names)
+    return over_groups(cut, [*keys, "_piece"], [c for c in ORDER if c in names], trim, rows.select(*keys, *names).schema).select(*rows.columns)
 
 
 def polished(rows: DataFrame, bin_size: int) -> DataFrame:
@@ -119,23 +125,21 @@ def merge_small(rows: DataFrame, threshold: int) -> DataFrame:
     cut = rows.select(*keys, *order).withColumn("_cut", F.when(F.col("t_start") <= F.max("t_end").over(before), 0).otherwise(1))
     cut = cut.withColumn("_piece", F.sum("_cut").over(to_here)).drop("_cut")
 
-    def merge(group: pd.DataFrame) -> pd.DataFrame:
-        t, q, strand, block = group.iloc[0][keys]
-        todo = [list(x) for x in group.sort_values(order)[["t_start", "t_end", "q_start", "q_end"]].itertuples(index=False)]
+    def merge(key, group):
+        t, q, strand, block, _ = key
+        todo = [[r[5], r[7], r[6], r[8]] for r in group]
         long_enough = lambda x: x[1] - x[0] >= threshold and x[3] - x[2] >= threshold
-        out = []
         for k, cur in enumerate(todo):
             hit = None
             if not long_enough(cur):
                 hit = next((i for i in range(k + 1, len(todo)) if cur[0] <= todo[i][1] and cur[1] >= todo[i][0] and cur[2] <= todo[i][3] and cur[3] >= todo[i][2]), None)
             if hit is None:
-                out.append(cur)
+                yield t, cur[0], cur[1], q, cur[2], cur[3], strand, block, "pass" if long_enough(cur) else "fail"
             else:
                 o = todo[hit]
                 todo[hit] = [min(cur[0], o[0]), max(cur[1], o[1]), min(cur[2], o[2]), max(cur[3], o[3])]
-        return pd.DataFrame([(t, a, b, q, c, d, strand, block, "pass" if long_enough((a, b, c, d)) else "fail") for a, b, c, d in out], columns=[f.split()[0] for f in MERGED.split(", ")])
 
-    return cut.groupBy(*keys, "_piece").applyInPandas(merge, MERGED)
+    return over_groups(cut.select(*keys, "_piece", *order), [*keys, "_piece"], order, merge, MERGED)
 
 
 def stitched(rows: DataFrame, bin_size: int, max_ratio: float = 3.0, keys: tuple[str, ...] = ("t", "q", "strand", "block")) -> DataFrame:

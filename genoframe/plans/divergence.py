@@ -105,9 +105,7 @@ def _merged(spark, sf_dir):
     rows = genome_of(view(spark, sf_dir, "v_paf", "q_name", "t_name", "t_start", "t_end", "de"), "q_name", genomes(spark), "id")
     rows = rows.where(F.col("t_name").startswith("Zm")).select(F.col("t_name").alias("chrom"), F.col("t_start").alias("start"), F.col("t_end").alias("end"), "de", "id")
     windows = W.make_windows(fai(spark, sf_dir), SIZE, SLIDE)
-    ids = spark.createDataFrame([(i,) for i in _OTHERS], "id string")
     parts = [W.window_averages(windows, rows.where(F.col("id") == i), BIN).withColumn("id", F.lit(i)) for i in _OTHERS]
-    del ids
     long = parts[0].unionByName(parts[1]).unionByName(parts[2]).where("avg_de is not null")
     return W.merge_windows(_rounded(long, "avg_de"), list(_OTHERS))
 

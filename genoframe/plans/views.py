@@ -65,7 +65,7 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
             "ord": "p_partkey",
         },
     ),
-    "v_anchors": ("orders", {"block_id": "o_orderkey // 32 + 1", "ord": "o_orderkey", "gene1": f"concat('g', {_text('((o_orderkey * 2) % 240)')})", "gene2": f"concat('g', {_text('((o_custkey * 2 + 1) % 240)')})"}),
+    "v_anchors": ("orders", {"block_id": "o_orderkey // 8 + 1", "ord": "o_orderkey", "gene1": f"concat('g', {_text('((o_orderkey * 2) % 240)')})", "gene2": f"concat('g', {_text('((o_orderkey * 2 + o_custkey % 4 * 2 + 1) % 240)')})"}),
     "v_events": ("events", {"chrom": f"concat('Zm_chr', {_text('user_id % 5 + 1')})", "start": "(event_id * 7919) % 1000000", "end": "(event_id * 7919) % 1000000 + 1 + event_id % 300", "kind": "event_type", "event_id": "event_id"}),
     "v_seq": ("documents", {"id": "doc_id", "raw": "translate(lower(text), 'bdefhijklmnopqrsuvwxyz', 'acgtacgtacgtacgtacgtacgt')"}),
 }

@@ -186,3 +186,27 @@ def halves(rows: DataFrame) -> DataFrame:
 def remaining(segments: DataFrame, done: DataFrame, skipped: DataFrame, id_col: str = "segment_id") -> DataFrame:
     """Segments that are neither aligned nor skipped yet."""
     return segments.join(done.select(id_col).unionByName(skipped.select(id_col)).distinct(), id_col, "left_anti")
+
+
+def to_parent(records: DataFrame) -> DataFrame:
+    """Alignments within segments in the coordinates of their sequences.
+
+    records: q_start, q_end, t_start, t_end (0-based, half-open, within the segment), strand, and the segment's
+    seg_t_start, seg_q_start, seg_q_end (1-based, ends included) and q_turned, whether its query was
+    reverse-complemented: then query positions are mirrored and the strand changes.
+    """
+    c = F.col
+    length = c("seg_q_end") - c("seg_q_start") + 1
+    t, q = c("seg_t_start") - 1, c("seg_q_start") - 1
+    return records.withColumns({
+        "q_start": q + F.when(c("q_turned"), length - c("q_end")).otherwise(c("q_start")),
+        "q_end": q + F.when(c("q_turned"), length - c("q_start")).otherwise(c("q_end")),
+        "t_start": t + c("t_start"),
+        "t_end": t + c("t_end"),
+        "strand": F.when(c("q_turned"), F.when(c("strand") == "+", "-").otherwise("+")).otherwise(c("strand")),
+    })
+
+
+def best_strand(records: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """keys, strand of the record with most matches; of equals the first by `order`."""
+    return records.groupBy(*keys).agg(F.min_by("strand", F.struct(-F.col("nmatch"), F.col(order))).alias("strand"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from genoframe.functions import codons
 from genoframe.functions.names import digits_of
 from genoframe.operators import assembly, chains, divergence, intervals, rates, scene, synteny, trees
 from genoframe.plans.divergence import _matrix, _rounded
@@ -232,6 +233,29 @@ def skip_reasons(spark, sf_dir):
     return divergence.skip_reasons(view(spark, sf_dir, "v_coords", "t_start", "t_end", "strand").select(reason.alias("reason")))
 
 
+@query(with_views("v_paf") + "r as (select 1) select t_name, q_name, arg_min(strand, (-nmatch, rid)) as strand from v_paf group by 1, 2")
+def best_strands(spark, sf_dir):
+    return synteny.best_strand(view(spark, sf_dir, "v_paf", "t_name", "q_name", "strand", "nmatch", "rid"), ["t_name", "q_name"], "rid")
+
+
+@query(with_views("v_coords") + """
+s as (select rid, strand, t_start + 1 as st, q_start + 1 as sq, q_end as eq, strand = '-' as turned, rid % 100 as qs, rid % 100 + 50 as qe from v_coords)
+select rid, case when turned then sq - 1 + (eq - sq + 1) - qe else sq - 1 + qs end as q_start, case when turned then sq - 1 + (eq - sq + 1) - qs else sq - 1 + qe end as q_end, st - 1 + qs as t_start, st - 1 + qe as t_end, '+' as strand from s""")
+def parent_coordinates(spark, sf_dir):
+    c = F.col
+    own = view(spark, sf_dir, "v_coords").select("rid", (c("t_start") + 1).alias("seg_t_start"), (c("q_start") + 1).alias("seg_q_start"), c("q_end").alias("seg_q_end"), (c("strand") == "-").alias("q_turned"), "strand", (c("rid") % 100).alias("q_start"), (c("rid") % 100 + 50).alias("q_end"), (c("rid") % 100).alias("t_start"), (c("rid") % 100 + 50).alias("t_end"))
+    return synteny.to_parent(own).select("rid", "q_start", "q_end", "t_start", "t_end", "strand")
+
+
+@query()
+def repaired_frames(spark, sf_dir):
+    """Sequences with a base put in after each tenth codon, held against what they meant."""
+    clean = F.regexp_replace("raw", "[^acgt]", "")
+    rows = view(spark, sf_dir, "v_seq").select("id", F.substring(clean, F.lit(1), (F.floor(F.length(clean) / 3) * 3).cast("int")).alias("meant"))
+    rows = rows.select("id", codons.translate(F.col("meant")).alias("protein"), F.regexp_replace("meant", "(.{30})", "$1a").alias("cds")).where("not protein like '%*_%'")
+    return codons.repair_frames(rows).select("id", "repair.*")
+
+
 # -- rates and trees ----------------------------------------------------------------------------------------
 
 

@@ -102,13 +102,23 @@ def cs_counts(cs: Column) -> Column:
     return F.struct(total(F.transform(of(":"), lambda x: x["val"].cast("long"))).alias("matches"), F.size(of("*")).cast("long").alias("mismatches"), size("+").alias("inserted"), size("-").alias("deleted"), (F.size(of("+")) + F.size(of("-"))).cast("long").alias("gaps"))
 
 
-def cigar_of(cs: Column) -> Column:
-    """The CIGAR of a difference string; runs of matches and mismatches become M."""
-    tokens = F.transform(cs_tokens(cs), lambda x: F.struct(F.when(x["op"].isin(":", "*"), "M").when(x["op"] == "+", "I").otherwise("D").alias("op"), F.when(x["op"] == ":", x["val"].try_cast("long")).when(x["op"] == "*", F.lit(1).cast("long")).otherwise(F.length(x["val"]).cast("long")).alias("n")))
+def _joined(runs: Column) -> Column:
+    """A CIGAR of runs (op, n), equal neighbours as one."""
     start = F.struct(F.lit("").alias("done"), F.lit("").alias("op"), F.lit(0).cast("long").alias("n"))
     shown = lambda a: F.when(a["n"] > 0, F.concat(a["done"], a["n"].cast("string"), a["op"])).otherwise(a["done"])
     grow = lambda a, x: F.when(a["op"] == x["op"], F.struct(a["done"].alias("done"), a["op"].alias("op"), (a["n"] + x["n"]).alias("n"))).otherwise(F.struct(shown(a).alias("done"), x["op"].alias("op"), x["n"].alias("n")))
-    return F.aggregate(tokens, start, grow, shown)
+    return F.aggregate(runs, start, grow, shown)
+
+
+def cigar_of(cs: Column) -> Column:
+    """The CIGAR of a difference string; runs of matches and mismatches become M."""
+    size = lambda x: F.when(x["op"] == ":", x["val"].try_cast("long")).when(x["op"] == "*", F.lit(1).cast("long")).otherwise(F.length(x["val"]).cast("long"))
+    return _joined(F.transform(cs_tokens(cs), lambda x: F.struct(F.when(x["op"].isin(":", "*"), "M").when(x["op"] == "+", "I").otherwise("D").alias("op"), size(x).alias("n"))))
+
+
+def turned_cigar(cg: Column) -> Column:
+    """A CIGAR whose I and D are meant the other way round, in this engine's sense; M is read as =."""
+    return _joined(F.transform(cg_tokens(cg), lambda x: F.struct(F.when(x["op"] == "I", "D").when(x["op"] == "D", "I").when(x["op"] == "M", "=").otherwise(x["op"]).alias("op"), x["n"].alias("n"))))
 
 
 def length_ratio(a: Column, b: Column) -> Column:

@@ -126,3 +126,29 @@ def inversions(chains: DataFrame, keys: list[str]) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy("t_start", "t_end", "q_start", "strand")
     turns = chains.withColumn("_turn", F.when(F.col("strand") != F.lag("strand").over(w), 1).otherwise(0))
     return turns.groupBy(*keys).agg(F.sum("_turn").alias("inversions"))
+
+
+TILES = "t_start long, t_end long, q_start long, q_end long, seeded boolean"
+
+
+def covering_tiles(chains: DataFrame, key: str, t_len: str, q_len: str) -> DataFrame:
+    """key with the chains and the gaps around them that cover both axes without holes; chains that begin inside what is covered are left out.
+
+    A fold over the chains in order that keeps the covered ends alone.
+    """
+    rows = chains.select(key, t_len, q_len, "t_start", "t_end", "q_start", "q_end")
+
+    def cover(own, group):
+        t = q = 0
+        for _, t_all, q_all, ts, te, qs, qe in group:
+            if ts < t or qs < q:
+                continue
+            if ts > t or qs > q:
+                yield own[0], t, ts, q, qs, False
+            if te > ts or qe > qs:
+                yield own[0], ts, te, qs, qe, True
+            t, q = te, qe
+        if t < t_all or q < q_all:
+            yield own[0], t, t_all, q, q_all, False
+
+    return over_groups(rows, [key], ["t_start", "q_start", "t_end", "q_end"], cover, f"{key} {dict(rows.dtypes)[key]}, {TILES}")

@@ -65,3 +65,12 @@ def distances(counts: DataFrame, sizes: DataFrame) -> DataFrame:
     """(id1, id2, d) of genome pairs from their counts and (id1, id2, size); null where it is not defined."""
     joined = counts.join(sizes, ["id1", "id2"], "left")
     return joined.select("id1", "id2", F.when(F.col("size") > 0, A.k2p_bounded(F.col("ti"), F.col("tv"), F.col("size"))).alias("d"))
+
+
+def breakpoints(paf: DataFrame, least: int = 100) -> DataFrame:
+    """(rid, t, q): both ends of each indel of at least that length on forward records, where a pair can be cut in register."""
+    c = F.col
+    rows = paf.where("strand = '+' and cg is not null").withColumn("w", F.explode(walk_cg(c("cg"), "ID", least)))
+    t, q, on_t = c("t_start") + c("w.t"), c("q_start") + c("w.q"), c("w.op") == "D"
+    ends = F.array(F.struct(t.alias("t"), q.alias("q")), F.struct((t + F.when(on_t, c("w.n")).otherwise(0)).alias("t"), (q + F.when(on_t, 0).otherwise(c("w.n"))).alias("q")))
+    return rows.select("rid", F.explode(ends).alias("p")).select("rid", "p.*")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from genoframe.functions import alignments as A
 from genoframe.functions import codons, names, params
+from genoframe.functions.align import align_pairs, edit_path
 from genoframe.operators import assembly, chains, divergence, intervals, rates, scene, synteny, trees, variants, windows
 
 CS = ":10*ag:5+ac*ct:3-ttt*ac:7*nn"
@@ -214,3 +215,46 @@ def test_painted(spark):
 def test_reverse_complement_twice(spark):
     r = one(spark.range(1).select(A.reverse_complement(A.reverse_complement(F.lit("ACGTnacgtN"))).alias("x"), A.reverse_complement(F.lit("AACG")).alias("y")))
     assert tuple(r) == ("ACGTnacgtN", "CGTT")
+
+
+def _edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_edit_path():
+    rng = random.Random(4)
+    for _ in range(150):
+        a = "".join(rng.choice("ACGT") for _ in range(rng.randrange(0, 40)))
+        b = "".join(c for c in a if rng.random() > 0.1) if rng.random() < 0.7 else "".join(rng.choice("ACGT") for _ in range(rng.randrange(0, 40)))
+        path = edit_path(a, b)
+        t = q = edits = 0
+        for op, n in path:
+            if op in "=X":
+                assert all((x == y) == (op == "=") for x, y in zip(a[t : t + n], b[q : q + n]))
+            t, q, edits = t + n * (op != "I"), q + n * (op != "D"), edits + n * (op != "=")
+        assert (t, q) == (len(a), len(b)) and edits == _edits(a, b)
+    assert edit_path("A" * 50, "C" * 50, most=10) is None
+
+
+def test_align_pairs(spark):
+    rows = spark.createDataFrame([("ACGTACGT", "ACGTTACCT"), ("", "A"), (None, "A"), ("A" * 9, "C" * 9)], "target string, query string")
+    found = [r.aln for r in align_pairs(rows, most=5).collect()]
+    assert (found[0].edits, found[0].nmatch) == (2, 7) and found[0].cs.count("+") == 1
+    assert [f.reason for f in found] == [None, "empty", "empty", "too many edits"]
+
+
+def test_covering_tiles(spark):
+    rows = [("s", 10, 20, 5, 15), ("s", 15, 30, 14, 40), ("s", 40, 50, 40, 45)]
+    df = spark.createDataFrame(rows, "segment string, t_start long, t_end long, q_start long, q_end long").withColumns({"tl": F.lit(60).cast("long"), "ql": F.lit(50).cast("long")})
+    found = sorted(tuple(r)[1:] for r in chains.covering_tiles(df, "segment", "tl", "ql").collect())
+    assert found == [(0, 10, 0, 5, False), (10, 20, 5, 15, True), (20, 40, 15, 40, False), (40, 50, 40, 45, True), (50, 60, 45, 50, False)]
+
+
+def test_turned_cigar(spark):
+    r = one(spark.range(1).select(A.turned_cigar(F.lit("3=2M1I1I4D")).alias("c")))
+    assert r.c == "5=2D4I"

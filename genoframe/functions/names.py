@@ -6,17 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Known ids that are written into an expression; more are joined.
+MOST_INLINE = 256
+
+
 def genome_of(names: DataFrame, name: str, genomes: DataFrame, as_col: str) -> DataFrame:
     """names with the genome of column `name`: the longest known id that it is or begins with (id and "_"), else what precedes "_".
 
-    genomes(genome) is a list of ids of one study, so it is broadcast.
+    genomes(genome) is a list of ids of one study. Up to MOST_INLINE of them become an expression, so that names is read
+    once; beyond, the distinct names are joined with them, each through the prefixes that end before an underscore.
     """
-    distinct = names.select(F.col(name).alias("_n")).distinct()
-    known = genomes.select(F.col("genome").alias("_g")).distinct()
-    fits = (F.col("_n") == F.col("_g")) | F.col("_n").startswith(F.concat("_g", F.lit("_")))
-    found = distinct.join(F.broadcast(known), fits, "left").groupBy("_n").agg(F.max_by("_g", F.length("_g")).alias("_g"))
-    found = found.select("_n", F.coalesce("_g", F.split_part("_n", F.lit("_"), F.lit(1))).alias(as_col))
-    return names.join(found, F.col(name) == F.col("_n"), "left").drop("_n")
+    known = {r["genome"] for r in genomes.select("genome").limit(MOST_INLINE + 1).collect()} - {None}
+    own, bare = F.col(name), F.split_part(F.col(name), F.lit("_"), F.lit(1))
+    if len(known) <= MOST_INLINE:
+        fits = [F.when((own == g) | own.startswith(g + "_"), g) for g in sorted(known, key=lambda g: (-len(g), g))]
+        return names.withColumn(as_col, F.coalesce(*fits, bare))
+    parts = F.split("_n", "_")
+    distinct = names.select(own.alias("_n")).distinct()
+    prefixes = distinct.select("_n", F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, F.lit(1), k), "_"))).alias("_p"))
+    found = prefixes.join(genomes.select(F.col("genome").alias("_p")).distinct(), "_p").groupBy("_n").agg(F.max_by("_p", F.length("_p")).alias("_g"))
+    return names.join(found, own == F.col("_n"), "left").withColumn(as_col, F.coalesce("_g", bare)).drop("_n", "_g")
 
 
 def natural_key(name: Column) -> Column:

@@ -71,15 +71,16 @@ def genome_averages(weights: DataFrame, genomes: DataFrame) -> DataFrame:
 def symmetric(pairs: DataFrame, value: str, missing: float | None = None) -> DataFrame:
     """Long (i, j, d) over all ids: 0 on the diagonal, `missing` for pairs without a value, of repeated pairs the last by `ord`.
 
-    The ids of a matrix are few, so they are broadcast for their pairs.
+    A matrix has a row for each genome of a study. Its rows are brought together for the list of ids, so that the
+    pairs are worked out once.
     """
     both = pairs.select(F.col("id1").alias("i"), F.col("id2").alias("j"), F.col(value).alias("d"), "ord")
-    both = both.unionByName(both.select(F.col("j").alias("i"), F.col("i").alias("j"), "d", "ord"))
+    both = both.withColumn("_way", F.explode(F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))))).select("_way.i", "_way.j", "d", "ord")
     last = both.groupBy("i", "j").agg(F.max_by("d", "ord").alias("d"))
-    ids = both.select("i").distinct()
-    every = ids.join(F.broadcast(ids.select(F.col("i").alias("j"))))
-    joined = every.join(last, ["i", "j"], "left")
-    return joined.select("i", "j", F.when(F.col("i") == F.col("j"), 0.0).otherwise(F.coalesce("d", F.lit(missing).cast("double"))).alias("d"))
+    rows = last.groupBy("i").agg(F.map_from_entries(F.collect_list(F.struct("j", "d"))).alias("row"))
+    rows = rows.withColumn("_ids", F.collect_list("i").over(Window.partitionBy())).withColumn("j", F.explode("_ids"))
+    d = F.coalesce(F.try_element_at("row", F.col("j")), F.lit(missing).cast("double"))
+    return rows.select("i", "j", F.when(F.col("i") == F.col("j"), 0.0).otherwise(d).alias("d"))
 
 
 def square(long: DataFrame, ids: list[str]) -> DataFrame:

@@ -13,7 +13,7 @@ from genoframe.functions.walks import walk_cg, walk_cs
 def substitutions(paf: DataFrame) -> DataFrame:
     """A row for each substitution; on '-' the query is walked from its end. Alleles are as in the alignment."""
     c = F.col
-    rows = paf.where("cs is not null").withColumn("w", F.explode(walk_cs(c("cs"), "*")))
+    rows = walk_cs(paf.select("q_name", "q_start", "q_end", "strand", "t_name", "t_start", "cs").where("cs is not null"), "*")
     at = F.when(c("strand") == "+", c("q_start") + c("w.q")).otherwise(c("q_end") - 1 - c("w.q"))
     ref = c("t_start") + c("w.t")
     allele = lambda k: F.substring("w.val", k, 1)
@@ -23,7 +23,7 @@ def substitutions(paf: DataFrame) -> DataFrame:
 def presence_absence(paf: DataFrame, least: int) -> DataFrame:
     """(kind, name, seq, start, end) of insertions on the query and deletions on the target; the strand is not looked at."""
     c = F.col
-    rows = paf.where("cs is not null").withColumn("w", F.explode(walk_cs(c("cs"), "+-", least)))
+    rows = walk_cs(paf.select("q_name", "q_start", "t_name", "t_start", "cs").where("cs is not null"), "+-", least)
     ins = c("w.op") == "+"
     start = F.when(ins, c("q_start") + c("w.q")).otherwise(c("t_start") + c("w.t"))
     return rows.select(F.when(ins, "ins").otherwise("del").alias("kind"), F.when(ins, c("q_name")).otherwise(c("t_name")).alias("name"), c("w.val").alias("seq"), start.alias("start"), (start + c("w.n") - 1).alias("end"))
@@ -38,7 +38,7 @@ def indels(paf: DataFrame, least: int, strict: bool = False) -> DataFrame:
     """
     c = F.col
     back = c("strand") == "-"
-    rows = paf.where("cg is not null").withColumn("w", F.explode(walk_cg(c("cg"), "ID", least, back if strict else None, strict)))
+    rows = walk_cg(paf.select("q_name", "q_start", "q_end", "strand", "t_name", "t_start", "t_end", "cg").where("cg is not null"), "ID", least, "strand" if strict else None, strict)
     n, op = c("w.n"), c("w.op")
     if strict:
         q_start, t_start = (F.when(back, c(f"{s}_end") - c(f"w.{s}") - n).otherwise(c(f"{s}_start") + c(f"w.{s}")) for s in ("q", "t"))
@@ -70,7 +70,7 @@ def distances(counts: DataFrame, sizes: DataFrame) -> DataFrame:
 def breakpoints(paf: DataFrame, least: int = 100) -> DataFrame:
     """(rid, t, q): both ends of each indel of at least that length on forward records, where a pair can be cut in register."""
     c = F.col
-    rows = paf.where("strand = '+' and cg is not null").withColumn("w", F.explode(walk_cg(c("cg"), "ID", least)))
+    rows = walk_cg(paf.select("rid", "q_start", "t_start", "strand", "cg").where("strand = '+' and cg is not null"), "ID", least)
     t, q, on_t = c("t_start") + c("w.t"), c("q_start") + c("w.q"), c("w.op") == "D"
     ends = F.array(F.struct(t.alias("t"), q.alias("q")), F.struct((t + F.when(on_t, c("w.n")).otherwise(0)).alias("t"), (q + F.when(on_t, 0).otherwise(c("w.n"))).alias("q")))
     return rows.select("rid", F.explode(ends).alias("p")).select("rid", "p.*")

@@ -44,6 +44,8 @@ def test_genome_of(spark):
     known = spark.createDataFrame([("annuaA",), ("annuaA_chr",)], "genome string")
     found = {r.n: r.g for r in names.genome_of(rows, "n", known, "g").collect()}
     assert found == {"annuaA_chr_chr1": "annuaA_chr", "zz_chr1": "zz", "annuaA": "annuaA"}
+    many = known.unionByName(spark.range(names.MOST_INLINE).select(F.concat(F.lit("g"), F.col("id").cast("string")).alias("genome")))
+    assert {r.n: r.g for r in names.genome_of(rows, "n", many, "g").collect()} == found
 
 
 def test_names(spark):

@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # One hit of these is enough to reject a url.
-STRICT_TERMS = ("casino", "hentai", "poker", "porn", "porno", "sexcam", "spam", "viagra", "warez", "xxx")
+STRICT_TERMS = ("adult", "casino", "hentai", "poker", "porn", "porno", "sexcam", "spam", "viagra", "warez", "xxx")
 # These occur in clean urls too; several distinct ones reject.
-SOFT_TERMS = ("ads", "adult", "bet", "bets", "bonus", "cheap", "click", "crack", "dating", "deal", "escort", "farm", "free", "jackpot", "loan", "nude", "pharmacy", "pills", "sex", "slots", "torrent", "track", "win")
+SOFT_TERMS = ("ads", "bet", "bets", "bonus", "cheap", "click", "crack", "dating", "deal", "escort", "farm", "free", "jackpot", "loan", "nude", "pharmacy", "pills", "sex", "slots", "torrent", "track", "win")
 #: Distinct soft terms that reject.
 SOFT_LIMIT = 2
 # The rules as (verdict, host and path).

@@ -64,7 +64,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = (op1_rendezvous, op2_token_counts, op3_neighbours, op4_bpe, op5_fingerprints, op6_mixing, op7_quality, op8_warc, op9_simhash, op10_urls)
-_SQL = {"op10_urls": urls.judge_sql()}
+_SQL = {"op8_warc": warc.ARCHIVED_SQL, "op10_urls": urls.judge_sql()}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -270,3 +270,18 @@ def archived(spark: SparkSession, pages: DataFrame, min_bytes: int = 0) -> DataF
     """
     manifest = write(typed(pages, min_bytes), f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}")
     return read(manifest.repartition("path"), payloads=False)
+
+
+# The digits of base32.
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+#: What archived() returns, in SQL: five hexadecimal digits of the SHA-1 are four of base32.
+ARCHIVED_SQL = f"""
+with p as (select page_id, coalesce(html, '') as html from pages),
+d as (select page_id, html, max(page_id) over (partition by html) as last,
+  list_transform(range(0, 8), lambda k: cast('0x' || substr(sha1(html), 5 * k + 1, 5) as bigint)) as parts from p)
+select page_id, strlen(html) as payload_bytes,
+  array_to_string(list_transform(parts, lambda x: substr('{_BASE32}', ((x >> 15) & 31) + 1, 1) || substr('{_BASE32}', ((x >> 10) & 31) + 1, 1) || substr('{_BASE32}', ((x >> 5) & 31) + 1, 1) || substr('{_BASE32}', (x & 31) + 1, 1)), '') as payload_digest,
+  case when page_id is distinct from last then 'revisit' else 'response' end as record_type,
+  case when page_id is distinct from last then last end as refers_to
+from d"""

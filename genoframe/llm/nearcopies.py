@@ -19,8 +19,8 @@ from genoframe.llm.components import connected_components
 from genoframe.llm.shared import partitions, written
 from genoframe.llm.simhash import BKTree, shingle_hashes, vote
 
-#: Bands of MinHash values and values in each: two texts of likeness 0.8 share a band but for 7 in 10,000.
-BANDS, BAND_ROWS = 24, 6
+#: Bands of MinHash values and values in each: of pairs of likeness 0.8, three in a million share no band.
+BANDS, BAND_ROWS = 32, 5
 #: Differing bits within which the trees look; texts of likeness 0.8 differ in about 8 to 10, very seldom in 18.
 RADIUS = 24
 #: Texts, and shingles of all texts together, of a chunk.

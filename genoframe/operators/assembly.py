@@ -89,22 +89,22 @@ def length_classes(fai: DataFrame, by_header: bool = True) -> DataFrame:
     """
     rows = fai.withColumn("class", signature(F.col("chrom")) if by_header else F.col("chrom"))
     groups = rows.groupBy("class").agg(F.count("*").alias("n"), F.sum("len").alias("mass"), F.median("len").alias("median"), F.min("chrom").alias("_first"))
-    x = F.log10(F.greatest("median", F.lit(1.0)))
-    ahead = Window.orderBy(F.desc("median"), "_first").rowsBetween(Window.unboundedPreceding, 0)
-    every = groups.agg(F.sum("n").alias("total_n"), F.sum("mass").alias("total_mass"), F.sum(F.col("n") * x).alias("_tx"))
-    sums = groups.withColumns({"cum_n": F.sum("n").over(ahead), "cum_mass": F.sum("mass").over(ahead), "_cx": F.sum(F.col("n") * x).over(ahead), "_next": F.lead("median").over(Window.orderBy(F.desc("median"), "_first"))})
-    sums = sums.join(F.broadcast(every))
+    weighted = F.col("n") * F.log10(F.greatest("median", F.lit(1.0)))
+    ordered, every = Window.orderBy(F.desc("median"), "_first"), Window.partitionBy()
+    ahead = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    sums = groups.withColumns({"cum_n": F.sum("n").over(ahead), "cum_mass": F.sum("mass").over(ahead), "_cx": F.sum(weighted).over(ahead), "_next": F.lead("median").over(ordered), "total_n": F.sum("n").over(every), "total_mass": F.sum("mass").over(every), "_tx": F.sum(weighted).over(every)})
     w1, w2 = F.col("cum_n"), F.col("total_n") - F.col("cum_n")
     apart = F.try_divide(F.col("_cx"), w1) - F.try_divide(F.col("_tx") - F.col("_cx"), w2)
     score = F.when(w2 > 0, w1 * w2 / (F.col("total_n") * F.col("total_n")) * apart * apart)
     return sums.select("class", "n", "mass", "median", "cum_n", "cum_mass", "total_n", "total_mass", score.alias("score"), F.when(F.col("_next") > 0, F.col("median") / F.col("_next")).alias("fold"))
 
 
-def best_cut(classes: DataFrame, most: int = 100, min_share: float = 0.5, min_fold: float = 2.0) -> DataFrame:
-    """(median, fold, share) of the best class down to which sequences are chromosomes; no row if none is fit."""
+def above_best_cut(classes: DataFrame, most: int = 100, min_share: float = 0.5, min_fold: float = 2.0) -> DataFrame:
+    """The classes down to the one with the best score among those that are fit to be a cut; none if none is."""
     share = F.col("cum_mass") / F.col("total_mass")
-    fit = classes.where(F.col("score").isNotNull() & (F.coalesce("fold", F.lit(float("inf"))) >= min_fold) & F.col("cum_n").between(2, most) & (share >= min_share))
-    return fit.orderBy(F.desc("score"), "cum_n").limit(1).select("median", "fold", share.alias("share"))
+    fit = F.col("score").isNotNull() & (F.coalesce("fold", F.lit(float("inf"))) >= min_fold) & F.col("cum_n").between(2, most) & (share >= min_share)
+    best = F.max(F.when(fit, F.struct(F.col("score"), (-F.col("cum_n")).alias("_less"), F.col("median")))).over(Window.partitionBy())
+    return classes.withColumn("_cut", best["median"]).where(F.col("median") >= F.col("_cut")).drop("_cut")
 
 
 def chromosomes(fai: DataFrame, most: int = 100, min_share: float = 0.5, min_fold: float = 2.0, pure: float = 0.1) -> DataFrame:
@@ -112,19 +112,14 @@ def chromosomes(fai: DataFrame, most: int = 100, min_share: float = 0.5, min_fol
 
     Headers' classes count before single lengths. No rows if the assembly has no chromosomes.
     """
-    whole = fai.agg(F.min("len").alias("_min"), F.max("len").alias("_max"), F.count("*").alias("_n"))
+    every = Window.partitionBy()
+    rows = fai.select("chrom", "len", F.min("len").over(every).alias("_min"), F.max("len").over(every).alias("_max"), F.count("*").over(every).alias("_n"))
     is_pure = (F.col("_n") >= 2) & (F.col("_min") >= pure * F.col("_max")) & (F.col("_n") <= most)
-    rows = fai.join(F.broadcast(whole))
-    all_of = rows.where(is_pure).select("chrom", "len", F.lit("pure-scale").alias("rule"))
-    found = all_of
+    found = rows.where(is_pure).select("chrom", "len", F.lit("pure-scale").alias("rule"), F.lit(1).alias("_order"))
     rest = rows.where(~is_pure).select("chrom", "len")
-    cuts = {}
-    for rule, by_header in (("header-class", True), ("length-cliff", False)):
-        classes = length_classes(rest, by_header)
-        cut = best_cut(classes, most, min_share, min_fold)
-        above = classes.join(F.broadcast(cut.select(F.col("median").alias("_cut"))), F.col("median") >= F.col("_cut")).select(F.col("class").alias("_class"))
-        own = signature(F.col("chrom")) if by_header else F.col("chrom")
-        cuts[rule] = rest.withColumn("_own", own).join(above, F.col("_own") == F.col("_class"), "left_semi").select("chrom", "len", F.lit(rule).alias("rule"))
-    any_header = cuts["header-class"].agg(F.count("*").alias("_h"))
-    fallback = cuts["length-cliff"].join(F.broadcast(any_header)).where("_h = 0").drop("_h")
-    return found.unionByName(cuts["header-class"]).unionByName(fallback)
+    for order, (rule, by_header) in enumerate((("header-class", True), ("length-cliff", False)), 2):
+        above = above_best_cut(length_classes(rest, by_header), most, min_share, min_fold).select(F.col("class").alias("_class"))
+        own = rest.withColumn("_own", signature(F.col("chrom")) if by_header else F.col("chrom"))
+        own = own.join(above, F.col("_own") == F.col("_class"), "left_semi")
+        found = found.unionByName(own.select("chrom", "len", F.lit(rule).alias("rule"), F.lit(order).alias("_order")))
+    return found.withColumn("_first", F.min("_order").over(every)).where(F.col("_order") == F.col("_first")).drop("_order", "_first")

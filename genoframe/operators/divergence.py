@@ -95,7 +95,6 @@ def skip_reasons(skips: DataFrame) -> DataFrame:
 def block_n50(blocks: DataFrame, span: str = "ref_span") -> DataFrame:
     """(blocks, total, n50, largest). Spans are summed for each distinct value first, so few rows are ordered."""
     spans = blocks.groupBy(F.col(span).alias("span")).agg(F.sum(span).alias("bases"), F.count("*").alias("n"))
-    total = spans.agg(F.sum("bases").alias("total"), F.sum("n").alias("blocks"), F.max("span").alias("largest"))
     ahead = Window.orderBy(F.desc("span")).rowsBetween(Window.unboundedPreceding, 0)
-    reached = spans.withColumn("cum", F.sum("bases").over(ahead)).join(F.broadcast(total)).where(F.col("cum") >= F.col("total") / 2)
-    return reached.agg(F.max("span").alias("n50")).join(F.broadcast(total)).select("blocks", "total", "n50", "largest")
+    sums = spans.withColumns({"_cum": F.sum("bases").over(ahead), "_total": F.sum("bases").over(Window.partitionBy())})
+    return sums.agg(F.sum("n").alias("blocks"), F.sum("bases").alias("total"), F.max(F.when(F.col("_cum") >= F.col("_total") / 2, F.col("span"))).alias("n50"), F.max("span").alias("largest"))

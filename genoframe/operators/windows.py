@@ -36,6 +36,14 @@ def window_averages(windows: DataFrame, alignments: DataFrame, bin_size: int) ->
     return windows.join(sums, ["chrom", "start", "end"], "left").select("chrom", "start", "end", F.coalesce("n", F.lit(0)).alias("n"), average.alias("avg_de"))
 
 
+def window_averages_by(windows: DataFrame, alignments: DataFrame, bin_size: int) -> DataFrame:
+    """(chrom, start, end, id, avg_de): window_averages() of each id of alignments(id, ...) in one pass; only windows with alignments."""
+    met = overlap_join(windows, prefixed(alignments), ["chrom"], bin_size)
+    weight = (F.least("end", "r_end") - F.greatest("start", "r_start")) / (F.col("end") - F.col("start"))
+    sums = met.groupBy("chrom", "start", "end", F.col("r_id").alias("id")).agg(F.sum(weight).alias("w"), F.sum(weight * F.col("r_de")).alias("wv"))
+    return sums.select("chrom", "start", "end", "id", F.when(F.col("w") == 0, 0.0).otherwise(F.col("wv") / F.col("w")).alias("avg_de"))
+
+
 def snp_windows(windows: DataFrame, snps: DataFrame, size: int, slide: int, shift: int = 0) -> DataFrame:
     """(chrom, start, end, snps, fraction): variants whose position minus `shift` lies in each window.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from genoframe.functions import alignments as A
 from genoframe.functions.names import genome_of, natural_key
@@ -13,6 +14,7 @@ from genoframe.operators import windows as W
 from genoframe.operators.intervals import smaller_of_reciprocal
 from genoframe.plans.registry import query
 from genoframe.plans.views import GENOMES, fai, genome_sql, genomes, snps, view, with_views
+from genoframe.sources.fasta import slices
 
 SIZE = SLIDE = BIN = 100_000
 
@@ -104,9 +106,7 @@ wide as (select chrom, start, "end", max(case when id = 'Sb' then avg_de end) as
 def _merged(spark, sf_dir):
     rows = genome_of(view(spark, sf_dir, "v_paf", "q_name", "t_name", "t_start", "t_end", "de"), "q_name", genomes(spark), "id")
     rows = rows.where(F.col("t_name").startswith("Zm")).select(F.col("t_name").alias("chrom"), F.col("t_start").alias("start"), F.col("t_end").alias("end"), "de", "id")
-    windows = W.make_windows(fai(spark, sf_dir), SIZE, SLIDE)
-    parts = [W.window_averages(windows, rows.where(F.col("id") == i), BIN).withColumn("id", F.lit(i)) for i in _OTHERS]
-    long = parts[0].unionByName(parts[1]).unionByName(parts[2]).where("avg_de is not null")
+    long = W.window_averages_by(_windows(spark, sf_dir), rows, BIN)
     return W.merge_windows(_rounded(long, "avg_de"), list(_OTHERS))
 
 
@@ -252,8 +252,6 @@ def reciprocal_sizes(spark, sf_dir):
 d as (select distinct regexp_replace(chrom, '[0-9]+$', '') as stem, cast(regexp_extract(chrom, '([0-9]+)$', 1) as bigint) as n, chrom from v_fai)
 select chrom, row_number() over (order by lower(stem), n, stem) as place from d""")
 def natural_order(spark, sf_dir):
-    from pyspark.sql.window import Window
-
     return fai(spark, sf_dir).select("chrom", F.row_number().over(Window.orderBy(natural_key(F.col("chrom")), "chrom")).alias("place"))
 
 
@@ -332,8 +330,6 @@ def reverse_complement(spark, sf_dir):
 @query(with_views("v_seq", "v_coords") + """r as (select 1)
 select c.rid, substring(s.raw, cast(c.t_start % 50 + 1 as bigint), 80) as slice from v_coords c join v_seq s on s.id = c.rid % 100""")
 def sequence_slices(spark, sf_dir):
-    from genoframe.sources.fasta import slices
-
     seqs = view(spark, sf_dir, "v_seq").select(F.col("id").alias("seq_id"), F.col("raw").alias("seq"))
     asked = view(spark, sf_dir, "v_coords", "rid", "t_start").select("rid", (F.col("rid") % 100).alias("seq_id"), (F.col("t_start") % 50).alias("start"), (F.col("t_start") % 50 + 80).alias("end"))
     return slices(asked, seqs).select("rid", F.col("seq").alias("slice"))

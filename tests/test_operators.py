@@ -260,3 +260,12 @@ def test_covering_tiles(spark):
 def test_turned_cigar(spark):
     r = one(spark.range(1).select(A.turned_cigar(F.lit("3=2M1I1I4D")).alias("c")))
     assert r.c == "5=2D4I"
+
+
+def test_chromosomes_by_length_cliff(spark):
+    sizes = [1000, 990, 980, 20, 19, 18, 17]
+    fai = spark.createDataFrame([(f"s{i}", n) for i, n in enumerate(sizes)], "chrom string, len long")
+    found = assembly.chromosomes(fai).collect()
+    assert {(r.chrom, r.rule) for r in found} == {(f"s{i}", "length-cliff") for i in range(3)}
+    flat = spark.createDataFrame([(f"s{i}", n) for i, n in enumerate([1000, 600, 350, 200, 120, 70])], "chrom string, len long")
+    assert assembly.chromosomes(flat, min_fold=3.0).count() == 0

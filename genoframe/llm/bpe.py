@@ -7,7 +7,6 @@ to WIDEST bytes are merged many at a time, one tree for each row of an array; lo
 
 from __future__ import annotations
 
-import hashlib
 import json
 from functools import lru_cache
 
@@ -199,7 +198,8 @@ class Encoder:
 
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
-        self.known: dict[str, tuple[str, bytes]] = {}
+        #: Of each pre-token its ids as 32-bit integers, and what they decode to.
+        self.known: dict[str, tuple[bytes, bytes]] = {}
 
     def pieces(self, text: str):
         """Lists of the pre-tokens of a text, part by part; a special token is a list of its own."""
@@ -219,60 +219,59 @@ class Encoder:
         for piece, own in zip(new, ids):
             if piece in self.vocab.special:
                 own = [self.vocab.special[piece]]
-            self.known[piece] = ",".join(map(str, own)), b"".join(map(self.vocab.token_bytes.__getitem__, own))
-
-    def digest(self, lists: list[list[str]]) -> tuple[int, str, str]:
-        """(tokens, SHA-256 of the ids, SHA-256 of the decoded text) of a text given as lists of known pre-tokens."""
-        ids, data, n = hashlib.sha256(), [], 0
-        for pieces in lists:
-            both = [self.known[p] for p in pieces]
-            text = ",".join([b[0] for b in both])
-            ids.update(("," if n else "").encode() + text.encode())
-            n += text.count(",") + 1
-            data.append(b"".join([b[1] for b in both]))
-        decoded = b"".join(data).decode("utf-8", "replace")
-        return n, ids.hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
-
-    def digests(self, texts: list[str]):
-        """digest() of each text; no more than about HELD_CHARS of them are held at a time."""
+            self.known[piece] = np.array(own, np.int32).tobytes(), b"".join(map(self.vocab.token_bytes.__getitem__, own))
+
+    def coded(self, texts: list[str]):
+        """Lists of (ids as 32-bit integers, decoded text) of the texts in turn; a list holds about HELD_CHARS of them at most."""
         held, chars = [], 0
         for text in texts:
-            held.append(list(self.pieces(text)))
+            held.append([p for p in self.pieces(text) if p])
             chars += len(text)
             if chars > HELD_CHARS:
-                yield from self._held(held)
+                yield self._held(held)
                 held, chars = [], 0
-        yield from self._held(held)
+        yield self._held(held)
 
-    def _held(self, held):
+    def _held(self, held: list[list[list[str]]]) -> list[tuple[bytes, str]]:
         self.learn([p for lists in held for p in lists])
+        found = []
         for lists in held:
-            yield self.digest([p for p in lists if p])
+            both = [self.known[p] for pieces in lists for p in pieces]
+            found.append((b"".join([b[0] for b in both]), b"".join([b[1] for b in both]).decode("utf-8", "replace")))
+        return found
 
     def encode(self, text: str) -> list[int]:
-        lists = [p for p in self.pieces(text) if p]
-        self.learn(lists)
-        return [int(i) for p in lists for piece in p for i in self.known[piece][0].split(",")]
+        return [i for found in self.coded([text]) for ids, _ in found for i in np.frombuffer(ids, np.int32).tolist()]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(self.vocab.token_bytes[i] for i in ids).decode("utf-8", "replace")
 
 
-def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_tokens, ids_sha256, decoded_sha256 of every row: its whole text encoded, and the tokens decoded again.
+def coded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, ids (array of int) and decoded of every row: its whole text encoded, and the tokens decoded again.
 
-    A null text is empty: no tokens, digests of nothing. Rows, repeated ones too, stay as many as they are;
-    an empty table returns none; other columns are not looked at. path: a tokenizers JSON file that all
-    executors can open.
+    A null text is empty: no tokens. Rows, repeated ones too, stay as many as they are; an empty table returns
+    none; other columns are not looked at. path: a tokenizers JSON file that all executors can open.
     """
 
     def run(batches):
         encoder = Encoder(vocabulary(path))
         for batch in batches:
             texts = [(t or b"").decode("utf-8", "replace") for t in batch.column(1).to_pylist()]
-            found = list(encoder.digests(texts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([f[k] for f in found], t) for k, t in enumerate((pa.int64(), pa.string(), pa.string())))], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            at = 0
+            for found in encoder.coded(texts):
+                ends = np.cumsum([0, *(len(ids) // 4 for ids, _ in found)]).astype(np.int32)
+                flat = np.frombuffer(b"".join(ids for ids, _ in found), np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(found)), lists, pa.array([t for _, t in found], pa.string())], names=["id", "ids", "decoded"])
+                at += len(found)
 
     kind = dict(docs.dtypes)[id_col]
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, f"id {kind}, ids array<int>, decoded string")
     return out.withColumnRenamed("id", id_col)
+
+
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, n_tokens, ids_sha256 (of the ids joined by commas) and decoded_sha256 of what coded() returns."""
+    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded(docs, path, id_col, text_col).select(id_col, F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 
+import numpy as np
 import public_tokenizers
 from helpers import empty_documents, odd_documents
 from hypothesis import given, settings
@@ -46,7 +47,9 @@ def test_knowledge_is_bounded(monkeypatch):
     monkeypatch.setattr(bpe, "HELD_CHARS", 50)
     own = bpe.Encoder(VOCAB)
     texts = [f"one{i} two{i} three{i % 3}" for i in range(100)]
-    assert list(own.digests(texts)) == [other(t) for t in texts]
+    found = [x for part in own.coded(texts) for x in part]
+    assert [np.frombuffer(ids, np.int32).tolist() for ids, _ in found] == [OTHER.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [t for _, t in found] == texts
     assert len(own.known) < 100
 
 
@@ -55,6 +58,8 @@ def test_round_trip(spark):
     found = bpe.round_trip(docs, PATH).collect()
     want = sorted((str(r.doc_id), *other(r.text or "")) for r in docs.collect())
     assert sorted((str(r.doc_id), r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in found) == want
+    coded = {str(r.doc_id) + str(r.decoded): r.ids for r in bpe.coded(docs, PATH).collect()}
+    assert all(coded[str(r.doc_id) + (r.text or "")] == OTHER.encode(r.text or "", add_special_tokens=False).ids for r in docs.collect())
     assert bpe.round_trip(empty_documents(spark), PATH).count() == 0
 
 

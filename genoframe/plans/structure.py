@@ -249,10 +249,10 @@ def parent_coordinates(spark, sf_dir):
 
 @query()
 def repaired_frames(spark, sf_dir):
-    """Sequences with a base put in after each tenth codon, held against what they meant."""
+    """All sequences, stop codons or not, with a base put in after each tenth codon, held against what they meant."""
     clean = F.regexp_replace("raw", "[^acgt]", "")
     rows = view(spark, sf_dir, "v_seq").select("id", F.substring(clean, F.lit(1), (F.floor(F.length(clean) / 3) * 3).cast("int")).alias("meant"))
-    rows = rows.select("id", codons.translate(F.col("meant")).alias("protein"), F.regexp_replace("meant", "(.{30})", "$1a").alias("cds")).where("not protein like '%*_%'")
+    rows = rows.select("id", codons.translate(F.col("meant")).alias("protein"), F.regexp_replace("meant", "(.{30})", "$1a").alias("cds"))
     return codons.repair_frames(rows).select("id", "repair.*")
 
 

@@ -9,6 +9,7 @@ from genoframe.functions import alignments as A
 from genoframe.functions import codons, names, params
 from genoframe.functions.align import align_pairs, edit_path
 from genoframe.operators import assembly, chains, divergence, intervals, rates, scene, synteny, trees, variants, windows
+from genoframe.plans import structure
 
 CS = ":10*ag:5+ac*ct:3-ttt*ac:7*nn"
 CG = "16M2I4M3D9M"
@@ -185,6 +186,26 @@ def test_codons(spark):
     assert found[0].fixed == "ATGGCC" and found[0].out[0].at == 3 and "amino acid 2" in found[1].error
 
 
+def test_repaired_frames_of_all_documents(spark, tmp_path):
+    rng = random.Random(4)
+    texts = {k: "".join(rng.choice("acgt") for _ in range(n)) for k, n in enumerate((0, 2, 3, 50, 300, 900, 2000))} | {7: "atgtaagcc" * 20, 8: "taa", 9: None}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.id: r for r in structure.repaired_frames(spark, str(tmp_path)).collect()}
+    base = str.maketrans("bdefhijklmnopqrsuvwxyz", "acgtacgtacgtacgtacgtacgt"[:22])
+    assert found.keys() == texts.keys()
+    for k, text in texts.items():
+        meant = (text or "").translate(base)
+        meant = meant[: len(meant) // 3 * 3]
+        protein = "".join(codons.amino_acid(meant[i : i + 3]) for i in range(0, len(meant), 3))
+        cds = "".join(meant[i : i + 30] + "a" * (i + 30 <= len(meant)) for i in range(0, len(meant), 30))
+        try:
+            fixed, out, error = *codons.repaired(cds, protein.rstrip("*")), None
+        except ValueError as e:
+            fixed, out, error = None, None, str(e)
+        assert (found[k].fixed, found[k].out and [tuple(x) for x in found[k].out], found[k].error) == (fixed, out, error)
+    assert "taa" in found[7].fixed
+
+
 def test_params(spark):
     r = one(spark.range(1).select(params.changed(F.lit('{"a":"1","b":"2","c":"3"}'), F.lit('{"a":"1","b":"4","d":"3"}')).alias("m"), params.in_bases(F.lit(12500)).alias("b")))
     assert {k: tuple(v) for k, v in r.m.items()} == {"b": ("2", "4")} and r.b == "12.5 kb"

@@ -40,10 +40,13 @@ def digits_of(name: Column) -> Column:
 
 
 def letters(n: Column) -> Column:
-    """1 is A, 26 is Z, 27 is AA."""
+    """1 is A, 26 is Z, 27 is AA; up to eight letters, over 200 billion numbers."""
     digit = lambda x: F.char((x % 26 + 65).cast("long"))
-    k = n - 1
-    return F.when(k < 26, digit(k)).when(k < 702, F.concat(digit(F.floor(k / 26) - 1), digit(k))).otherwise(F.concat(digit(F.floor((k - 26) / 676) - 1), digit(F.floor((k - 26) / 26) % 26), digit(k)))
+    k, names, shorter = n.cast("long") - 1, [], 0
+    for size in range(1, 9):
+        own, shorter = k - shorter, shorter + 26**size
+        names.append(F.when(k < shorter, F.concat(*[digit(F.floor(own / 26**i)) for i in reversed(range(size))])))
+    return F.coalesce(*names)
 
 
 def file_stem(path: Column) -> Column:

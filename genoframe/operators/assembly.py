@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from string import ascii_uppercase
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -17,32 +18,24 @@ def chromosome_of(header: Column) -> tuple[Column, Column]:
     return number, F.nullif(F.upper(F.regexp_extract(header, pattern, 2)), F.lit(""))
 
 
-NAMED = "ord long, header string, chrom string, letter string, new string"
-
-
 def name_chromosomes(headers: DataFrame, prefix: str) -> DataFrame:
     """(ord, header, chrom, letter, new) of headers(ord, header) that name a chromosome.
 
     Within a number the first header of a letter keeps it. Where a number occurs more than once, those without a
-    letter, and repeats of a letter, get the next free ones in order. A number is a few headers.
+    letter, and repeats of a letter, get the next free ones in order: after Z come AA, AB and so on.
     """
     number, letter = chromosome_of(F.col("header"))
     rows = headers.select(F.col("ord").cast("long"), "header", number.alias("chrom"), letter.alias("letter")).where("chrom is not null")
-
-    def assign(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("ord")
-        taken, own = set(), []
-        for x in group.letter:
-            own.append(x if x and x not in taken else None)
-            taken.add(x)
-        if len(group) > 1:
-            free = (chr(c) for c in range(ord("A"), ord("Z") + 1) if chr(c) not in taken)
-            own = [x or next(free, None) for x in own]
-        group["letter"] = own
-        group["new"] = [f"{prefix}_chr{c}{x or ''}" for c, x in zip(group.chrom, own)]
-        return group[["ord", "header", "chrom", "letter", "new"]]
-
-    return rows.groupBy("chrom").applyInPandas(assign, NAMED)
+    c, every = F.col, Window.partitionBy("chrom")
+    first = F.row_number().over(Window.partitionBy("chrom", "letter").orderBy("ord", "header")) == 1
+    rows = rows.withColumns({"_own": F.when(first, c("letter")), "_kept": F.collect_set("letter").over(every), "_n": F.count("*").over(every)})
+    place = F.row_number().over(Window.partitionBy("chrom", c("_own").isNull()).orderBy("ord", "header"))
+    free = F.filter(F.array(*[F.lit(x) for x in ascii_uppercase]), lambda x: ~F.array_contains("_kept", x))
+    rows = rows.withColumns({"_place": place, "_free": free})
+    # Headers bring single letters only, so all longer names are free.
+    given = F.when(c("_place") <= F.size("_free"), F.get("_free", c("_place") - 1)).otherwise(letters(c("_place") - F.size("_free") + 26))
+    rows = rows.withColumn("letter", F.coalesce("_own", F.when(c("_n") > 1, given)))
+    return rows.select("ord", "header", "chrom", "letter", F.concat(F.lit(f"{prefix}_chr"), "chrom", F.coalesce("letter", F.lit(""))).alias("new"))
 
 
 def name_scaffolds(scaffolds: DataFrame, prefix: str, most: int = 13) -> DataFrame:

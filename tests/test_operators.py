@@ -217,6 +217,20 @@ def test_chromosome_names(spark):
     assert found == {1: "Zm_chr1A", 2: "Zm_chr1B", 3: "Zm_chr1C", 4: "Zm_chr1D", 5: "Zm_chr2"}
 
 
+def test_chromosome_names_after_z(spark):
+    headers = [(i, f"chr{i % 2 + 1}" + ("b" if i % 5 == 0 else "")) for i in range(1600)]
+    found = {r.ord: r for r in assembly.name_chromosomes(spark.createDataFrame(headers, "ord long, header string"), "Zm").collect()}
+    spelled = lambda n: spelled((n - 1) // 26) + chr(65 + (n - 1) % 26) if n else ""
+    free, kept = {c: (x for n in range(1, 2000) if (x := spelled(n)) != "B") for c in "12"}, set()
+    for i, header in headers:
+        own = "B" if header.endswith("b") and header[3] not in kept else next(free[header[3]])
+        kept |= {header[3]} if own == "B" else set()
+        assert found[i].letter == own and found[i].new == f"Zm_chr{header[3]}{own}"
+    assert len({r.new for r in found.values()}) == 1600
+    ns = [1, 26, 27, 702, 703, 18278, 18279, 475254, 475255, 10**9]
+    assert [r.x for r in spark.createDataFrame([(n,) for n in ns], "n long").select(names.letters(F.col("n")).alias("x")).collect()] == [spelled(n) for n in ns]
+
+
 def test_chromosomes_of_one_scale(spark):
     fai = spark.createDataFrame([("x1", 100), ("y2", 90)], "chrom string, len long")
     assert {r.rule for r in assembly.chromosomes(fai).collect()} == {"pure-scale"}

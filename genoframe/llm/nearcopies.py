@@ -52,10 +52,10 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFra
         for batch in batches:
             out = []
             for text in batch.column(1).to_pylist():
-                hashes = shingle_hashes(text, words)
-                distinct = np.unique(hashes)
+                # Fingerprint and likeness are of the same set: a shingle counts once, however often it is repeated.
+                distinct = np.unique(shingle_hashes(text, words))
                 own = np.frombuffer(xxhash.xxh3_128_digest(b" ".join((text or b"").lower().split())), np.int64)
-                out.append((own[0], own[1], np.array([vote(hashes)], np.uint64).view(np.int64)[0], len(distinct), bands(distinct) if len(distinct) else np.zeros(0, np.int64)))
+                out.append((own[0], own[1], np.array([vote(distinct)], np.uint64).view(np.int64)[0], len(distinct), bands(distinct) if len(distinct) else np.zeros(0, np.int64)))
             columns = [pa.array([o[k] for o in out], pa.int64()) for k in range(4)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array([o[4] for o in out], pa.list_(pa.int64()))], names=["id", "high", "low", "fp", "shingles", "bands"])
 

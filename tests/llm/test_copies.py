@@ -125,6 +125,19 @@ def test_near_copies(spark, monkeypatch):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(n for n, r in want.items() if n == r)
 
 
+def test_near_copies_with_unequal_repetition(spark):
+    rng = random.Random(21)
+    texts = []
+    for _ in range(12):
+        start, line, end = sentence(rng, 60), sentence(rng, 9), sentence(rng, 40)
+        texts += [f"{start} {line} {line} {end}", f"{start} {f'{line} ' * 40}{end}", f"{start} {f'{line} ' * 13}{end}"]
+    for _ in range(12):
+        start, end = sentence(rng, 60), sentence(rng, 40)
+        texts += [f"{start} {'same ' * 5}{end}", f"{start} {'same ' * 25}{end}", f"{start} {'same ' * 300}{end}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in nearcopies.first_of_each(docs).collect()) == list(range(0, len(texts), 3))
+
+
 def test_first_of_each_keeps_columns(spark):
     docs = odd_documents(spark)
     found = nearcopies.first_of_each(docs)

@@ -1,8 +1,9 @@
 """Nearest neighbours by largest inner product: a navigable small-world graph per shard, shard results merged.
 
-Vectors are dealt into shards of about `shard_rows` by a hash of their id. Each shard becomes one row that
+Vectors are dealt into shards of about `shard_rows` by ranges of their norms and a hash of their id. Each shard becomes one row that
 holds its vectors and a hierarchical graph as flat arrays of neighbours. The inner product is searched as
-a distance: vectors get one more component that makes all norms of a shard equal. Queries go to every
+a distance: vectors get one more component that makes all norms of a shard equal. As a shard's norms differ by
+a bounded factor, that component is never so large that single precision rounds the inner product away. Queries go to every
 shard in blocks; each shard gives its k best, scored in double precision on the original vectors.
 """
 
@@ -21,6 +22,8 @@ from pyspark.sql.window import Window
 from genoframe.llm.shared import written
 
 SHARD_ROWS, BLOCK_ROWS = 8192, 4096
+#: Binary logarithm of the most by which norms of a shard differ; 1 lies in the middle of its range.
+NORM_RANGE = 3
 INDEX_SCHEMA = "dim int, shard int, rows long, vectors binary, ids binary, starts binary, extra binary, base binary, upper binary, places binary, top int"
 FOUND_SCHEMA = "query_id long, vec_id long, score double"
 
@@ -143,6 +146,11 @@ def build(vectors: np.ndarray, links: int = 12, wide: int = 64, seed: int = 11)
     return graph
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """The vectors over the power of two that brings their largest component to at most 1; without rounding."""
+    return np.ldexp(vectors, -int(np.frexp(np.abs(vectors).max())[1]))
+
+
 def _index(shard: pa.Table) -> pa.Table:
     """One row for the vectors (vec_id, dim, shard, vector) of a shard; equal vectors are one point with several ids."""
     dim, own = shard["dim"][0].as_py(), shard["shard"][0].as_py()
@@ -155,10 +163,11 @@ def _index(shard: pa.Table) -> pa.Table:
     group = group.reshape(-1)
     order = np.lexsort((ids, group))
     starts = np.searchsorted(group[order], np.arange(len(distinct) + 1))
-    norms = (distinct**2).sum(axis=1)
+    scaled = _scaled(distinct)
+    norms = (scaled**2).sum(axis=1)
     extra = np.sqrt(np.maximum(norms.max() - norms, 0.0))
     shuffled = np.random.default_rng(own).permutation(len(distinct))
-    graph = build(np.column_stack([distinct, extra])[shuffled].astype(np.float32))
+    graph = build(np.column_stack([scaled, extra])[shuffled].astype(np.float32))
     row = (dim, own, len(ids), distinct[shuffled].tobytes(), ids[order].tobytes(), np.column_stack([starts[:-1], starts[1:]])[shuffled].astype(np.int64).tobytes(), extra[shuffled].tobytes(), graph.base.tobytes(), graph.upper.tobytes(), graph.places.astype(np.int64).tobytes(), graph.top)
     names = [f.split()[0] for f in INDEX_SCHEMA.split(", ")]
     kinds = (pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 7, pa.int32())
@@ -174,7 +183,7 @@ def _search(k: int, wide: int, links: int = 12):
         dim = row["dim"]
         of = lambda name, kind: np.frombuffer(row[name], kind)
         vectors, ids, starts = of("vectors", np.float64).reshape(-1, dim), of("ids", np.int64), of("starts", np.int64).reshape(-1, 2)
-        flat = np.column_stack([vectors, of("extra", np.float64)]).astype(np.float32)
+        flat = np.column_stack([_scaled(vectors), of("extra", np.float64)]).astype(np.float32)
         graph = Graph(flat, of("base", np.int32).reshape(-1, 3 * links), of("upper", np.int32).reshape(-1, 3 * links), of("places", np.int64), row["top"])
         queries = block["vec_id"].to_numpy()
         asked = block["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64)
@@ -182,7 +191,7 @@ def _search(k: int, wide: int, links: int = 12):
         high = int(graph.levels().max(initial=0)) + 1
         order = np.lexsort((*asked.T[::-1], queries))
         for i in order[np.append(True, queries[order][1:] != queries[order][:-1])].tolist():
-            points = np.array(graph.search(np.append(asked[i], 0.0).astype(np.float32), wide, seen, mark))
+            points = np.array(graph.search(np.append(_scaled(asked[i]), 0.0).astype(np.float32), wide, seen, mark))
             mark += high
             scores = (vectors[points] * asked[i]).sum(axis=1)
             own = []
@@ -206,10 +215,26 @@ def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.where(finite & F.exists("vector", lambda x: x != 0.0)).withColumn("dim", F.size("vector"))
 
 
+def _range(vector: Column) -> Column:
+    """Number of the range that the norm is in."""
+    squares = F.aggregate(vector, F.lit(0.0), lambda a, x: a + x * x)
+    # Only squares that leave the range of doubles need the norm over the largest component.
+    most = F.array_max(F.transform(vector, F.abs))
+    parts = F.aggregate(vector, F.lit(0.0), lambda a, x: a + (x / most) * (x / most))
+    log = F.when(squares.between(1e-250, 1e250), F.log2(squares) / 2).otherwise(F.log2(most) + F.log2(parts) / 2)
+    return F.floor(log / NORM_RANGE + 0.5)
+
+
 def index(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """A row for each shard of usable() rows, written to the shared folder. Vectors of other dimensions are shards of their own."""
-    counts = rows.groupBy("dim").count()
-    sized = rows.join(F.broadcast(counts), "dim").withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.ceil(F.col("count") / shard_rows)).cast("int"))
+    """A row for each shard of usable() rows, written to the shared folder. Vectors of other dimensions, and of norms in
+    other ranges, are shards of their own."""
+    ahead = Window.partitionBy("dim").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("dim", _range(F.col("vector")).alias("range")).count().withColumn("shards", F.ceil(F.col("count") / shard_rows))
+    counts = counts.select("dim", "range", "shards", F.coalesce(F.sum("shards").over(ahead), F.lit(0)).alias("before"))
+    # Vectors of one id may be in several ranges; the least one counts.
+    one = rows.groupBy("dim", "vec_id").agg(F.min("vector").alias("vector"))
+    sized = one.withColumn("range", _range(F.col("vector"))).join(F.broadcast(counts), ["dim", "range"])
+    sized = sized.withColumn("shard", (F.col("before") + F.pmod(F.xxhash64("vec_id"), "shards")).cast("int"))
     return written(sized.select("vec_id", "dim", "shard", "vector").groupBy("dim", "shard").applyInArrow(_index, INDEX_SCHEMA))
 
 

@@ -146,6 +146,26 @@ def test_recall(spark, scaled):
         assert [(-r.score, r.vec_id) for r in own] == sorted((-r.score, r.vec_id) for r in own)
 
 
+def test_recall_with_very_long_vectors(spark):
+    v = vectors(1500, 24, 1).astype(np.float64)
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    for i, norm in ((3, 300.0), (333, 1e4), (700, 1e4), (1101, 1e9), (1200, 1e140)):
+        v[i] *= norm
+    rows = [(i, x.tolist()) for i, x in enumerate(v)]
+    rows += [(0, (v[0] * 1e6 + 1e7).tolist()), (333, (v[333] * 0 + 2e4).tolist())]  # not the least vectors of their ids
+    rows = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    usable = ann.usable(rows, "vec_id", "embedding")
+    found = ann.search(ann.index(usable, 500), usable.where("vec_id % 20 = 0"), 20).collect()
+    own = {(r.query_id, r.vec_id) for r in found}
+    assert len(found) == len(own) == 75 * 20
+    exact = set()
+    for q in range(0, 1500, 20):
+        scores = v @ v[q]
+        scores[q] = -np.inf
+        exact |= {(q, int(i)) for i in np.argsort(-scores, kind="stable")[:20]}
+    assert len(own & exact) >= 0.9 * len(exact)
+
+
 def test_odd_vectors(spark):
     copies = [(i, [1.0, 0.0]) for i in range(40)]
     bad = [(100, None), (101, []), (102, [0.0, 0.0]), (103, [1.0, None]), (104, [float("nan"), 1.0]), (105, [float("inf"), 1.0]), (None, [1.0, 1.0])]

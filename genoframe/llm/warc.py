@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import re
 import uuid
 import zlib
@@ -15,15 +16,19 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoframe.llm.shared import shared_folder, written
+from genoframe.llm.shared import partitions, shared_folder, written
 
 VERSION = b"WARC/1."
 GZIP = b"\x1f\x8b\x08"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: Bytes read from an archive at a time.
-CHUNK = 1 << 16
-#: Most bytes of a record's header.
-HEADER_BYTES = 1 << 16
+#: Bytes read from an archive, and bytes unpacked, at a time.
+CHUNK, UNPACKED = 1 << 16, 1 << 20
+#: A record's stated length beyond which its end is looked at before its bytes are held.
+PROBED = 1 << 24
+#: Most bytes of a record: what a value of a table can hold.
+MOST_BYTES = (1 << 31) - (1 << 20)
+#: Bytes of archives, about, that a task reads.
+TASK_BYTES = 128 << 20
 _URN = "urn:genoframe:page:"
 
 
@@ -45,15 +50,25 @@ class Record:
 
 @dataclass
 class Gap:
-    """Bytes of an archive that hold no valid record."""
+    """Bytes of an archive that hold no valid record.
+
+    start and length are places in the archive. Where a member goes on after what is lost, they are the member's,
+    and inner_start and inner_bytes say which of its unpacked bytes are lost (inner_bytes: None if unknown).
+    """
 
     start: int
     length: int
     reason: str
+    inner_start: int | None = None
+    inner_bytes: int | None = None
 
 
 class Damaged(Exception):
-    pass
+    """A check has failed."""
+
+
+class BadMember(Damaged):
+    """A member cannot be unpacked any further, or its checksum differs."""
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, kind: str = "response", refers_to: int | None = None, date: str = "1970-01-01T00:00:00Z") -> bytes:
@@ -83,95 +98,265 @@ def page_of(urn: str | None) -> int | None:
     return int(found[1]) if found else None
 
 
+class _Plain:
+    """Bytes of a file by their places."""
+
+    def __init__(self, file, size: int):
+        self.file, self.size = file, size
+
+    def take(self, start: int, n: int) -> bytes:
+        """n bytes from start on; fewer at the end."""
+        self.file.seek(start)
+        return self.file.read(min(n, max(0, self.size - start)))
+
+    def holds(self, end: int) -> bool:
+        return end <= self.size
+
+    def forget(self, before: int) -> None:
+        """Bytes before that place are not asked for again."""
+
+
+class _Member:
+    """Unpacked bytes of the gzip member that begins at `at`, held from the place that was last said to be needed."""
+
+    def __init__(self, raw: _Plain, at: int, unpack=None):
+        self.raw, self.at, self.unpack = raw, at, unpack or zlib.decompressobj(31)
+        self.base, self.held, self.broken = 0, bytearray(), None
+
+    def _more(self) -> bool:
+        """Unpack some more; False at the member's end."""
+        if self.unpack.eof:
+            return False
+        if self.broken:
+            raise self.broken
+        data = self.unpack.unconsumed_tail
+        if not data:
+            data = self.raw.take(self.at, CHUNK)
+            self.at += len(data)
+        if not data:
+            self.broken = BadMember("member is cut off")
+            raise self.broken
+        before = self.unpack.copy()
+        try:
+            self.held += self.unpack.decompress(data, UNPACKED)
+        except zlib.error as e:
+            # What the bytes before the fault unpack to.
+            self.broken = BadMember(str(e))
+            try:
+                for i in range(len(data)):
+                    self.held += before.decompress(data[i : i + 1])
+            except zlib.error:
+                pass
+        return True
+
+    def take(self, start: int, n: int) -> bytes:
+        """n bytes from start on; fewer where the member ends or cannot be unpacked further, but then at least one."""
+        try:
+            while self.base + len(self.held) < start + n and self._more():
+                pass
+        except BadMember:
+            if self.base + len(self.held) <= start:
+                raise
+        return bytes(self.held[start - self.base : start - self.base + n])
+
+    def holds(self, end: int) -> bool:
+        """Whether there are bytes up to `end`, without holding them."""
+        if self.base + len(self.held) >= end:
+            return True
+        ahead = _Member(self.raw, self.at, self.unpack.copy())
+        ahead.base = self.base + len(self.held)
+        try:
+            while ahead.base + len(ahead.held) < end:
+                ahead.forget(ahead.base + len(ahead.held))
+                if not ahead._more():
+                    return False
+        except BadMember:
+            return False
+        return True
+
+    def forget(self, before: int) -> None:
+        del self.held[: before - self.base]
+        self.base = max(self.base, before)
+
+    def end(self) -> int:
+        """Where the archive goes on after the member, all of which is unpacked for that and its checksum looked at."""
+        while self._more():
+            self.forget(self.base + len(self.held))
+        return self.at - len(self.unpack.unused_data)
+
+
 class SalvageReader:
-    """Iterates over the valid records of an archive (plain, or one gzip member for each record); gaps has the rest.
+    """Iterates over the valid records of an archive, plain or in gzip members of one or many records; gaps has the rest.
+
+    Where a check fails (version line, header, length, end of record, block digest), what follows is searched for
+    the next version line from which a whole valid record can be read: in the archive, or in the unpacked bytes of
+    the member, if it goes on. Where a member cannot be unpacked any further, the archive is searched for the next
+    member or version line with a valid record. What lies between becomes a gap. Records before a fault count if
+    their block digests hold. A record without a digest counts only if its whole member is sound, and a member's
+    last record only if the member ends soundly, or goes on with a version line.
 
-    Where a check fails (version line, header, length, end of record, gzip CRC, block digest), the archive is
-    searched for the next gzip member or version line from which a whole valid record can be read; what lies
-    between becomes a gap. file: anything with seek() and read(); a record at a time is held in memory.
+    file: anything with seek() and read(). About one record is held in memory at a time; a stated length is
+    believed only if there are as many bytes, and a record over MOST_BYTES is a gap.
     """
 
     def __init__(self, file):
-        self.file, self.gaps = file, []
+        self.gaps: list[Gap] = []
         self.size = file.seek(0, 2) or file.tell()
-
-    def _at(self, start: int, n: int) -> bytes:
-        self.file.seek(start)
-        return self.file.read(n)
-
-    def _plain(self, start: int) -> tuple[list[Record], int]:
-        head = self._at(start, HEADER_BYTES)
-        end = head.find(b"\r\n\r\n")
-        if not head.startswith(VERSION) or end < 0:
-            raise Damaged("no version line" if not head.startswith(VERSION) else "no end of header")
-        found, after = self._parsed(head[:end], lambda n: self._at(start + end + 4, n))
-        return [found], start + end + 4 + after
-
-    @staticmethod
-    def _parsed(head: bytes, body) -> tuple[Record, int]:
-        """The record with that header; body(n) gives n bytes after it. Also the bytes it takes there."""
+        self.raw = _Plain(file, self.size)
+
+    # -- one record ---------------------------------------------------------------------------------------
+
+    def _header(self, source, start: int) -> bytes:
+        """The header that begins there, without its blank line, however long it is. Its lines are looked at as they come."""
+        n, seen = 1 << 12, 0
+        while True:
+            head = source.take(start, n)
+            if not head.startswith(VERSION):
+                raise Damaged("no version line")
+            end = head.find(b"\r\n\r\n", max(0, seen - 3))
+            lines = head[: end if end >= 0 else len(head)].split(b"\r\n")
+            # The last line may go on.
+            if re.search(rb"[\x00-\x08\x0b\x0c\x0e-\x1f]", head[: end if end >= 0 else len(head)]):
+                raise Damaged("bad header")
+            for line in lines[1:] if end >= 0 else lines[1:-1]:
+                if b":" not in line and line[:1] not in (b" ", b"\t"):
+                    raise Damaged("bad header")
+            if len(lines[0]) > 16:
+                raise Damaged("no version line")
+            if end >= 0:
+                return head[:end]
+            if len(head) < n:
+                raise Damaged("no end of header")
+            seen, n = len(head), 4 * n
+
+    def _record(self, source, start: int) -> tuple[Record, int]:
+        """The record that begins there, and where it ends."""
+        head = self._header(source, start)
         try:
             lines = head.decode().split("\r\n")
-            headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+            headers: dict[str, str] = {}
+            for line in lines[1:]:
+                if line[:1] in (" ", "\t") and headers:
+                    last = next(reversed(headers))
+                    headers[last] = f"{headers[last]} {line.strip()}"
+                else:
+                    key, _, value = line.partition(":")
+                    headers[key.strip().lower()] = value.strip()
             n = int(headers["content-length"])
         except (UnicodeDecodeError, KeyError, ValueError) as e:
             raise Damaged("bad header") from e
-        data = body(n + 4) if n >= 0 else b""
+        at = start + len(head) + 4
+        if n < 0 or n > MOST_BYTES or (n > PROBED and not source.holds(at + n + 4)):
+            raise Damaged("bad length")
+        data = source.take(at, n + 4)
         if len(data) != n + 4 or data[n:] != b"\r\n\r\n":
             raise Damaged("bad length")
         stated = headers.get("warc-block-digest", "")
-        if stated.startswith("sha1:") and stated[5:] != digest_of(data[:n]):
+        block = data[:n]
+        if stated.startswith("sha1:") and stated[5:] != digest_of(block):
             raise Damaged("block digest differs")
-        return Record(headers, data[:n]), n + 4
+        return Record(headers, block), at + n + 4
+
+    # -- members ------------------------------------------------------------------------------------------
 
-    def _zipped(self, start: int) -> tuple[list[Record], int]:
-        unpack, parts, at = zlib.decompressobj(31), [], start
+    def _sound(self, start: int) -> bool:
+        """Whether the member unpacks to its end and its checksum holds."""
         try:
-            while not unpack.eof:
-                if not (data := self._at(at, CHUNK)):
-                    raise Damaged("member is cut off")
-                parts.append(unpack.decompress(data))
-                at += len(data)
-        except zlib.error as e:
-            raise Damaged("bad member") from e
-        after, data, found, k = at - len(unpack.unused_data), b"".join(parts), [], 0
-        while k < len(data):
-            end = data.find(b"\r\n\r\n", k)
-            if not data.startswith(VERSION, k) or end < 0:
-                raise Damaged("no version line" if end >= 0 else "no end of header")
-            one, n = self._parsed(data[k:end], lambda n, at=end + 4: data[at : at + n])
-            found.append(one)
-            k = end + 4 + n
-        return found, after
-
-    def _read(self, start: int) -> tuple[list[Record], int]:
-        return (self._zipped if self._at(start, 3) == GZIP else self._plain)(start)
-
-    def _starts(self, start: int) -> Iterator[int]:
-        """Places from start on at which a member or a version line may begin."""
+            _Member(self.raw, start).end()
+        except Damaged:
+            return False
+        return True
+
+    def _within(self, start: int) -> Iterator[Record]:
+        """The records of the member there; sets self.after, self.inner and self.lost. A fault of the member itself is raised."""
+        member, at, held, sound = _Member(self.raw, start), 0, None, None
+        self.after, self.inner, self.lost = None, None, []
+
+        def usable(one: Record) -> bool:
+            nonlocal sound
+            if one.headers.get("warc-block-digest", "").startswith("sha1:"):
+                return True
+            if sound is None:
+                sound = self._sound(start)
+            return sound
+
+        while member.take(at, 1):
+            try:
+                one, end = self._record(member, at)
+                if not usable(one):
+                    raise Damaged("no digest in a bad member")
+            except Damaged as damage:
+                if held and member.take(at, len(VERSION)) == VERSION:
+                    self.inner = at
+                    yield held
+                    held = None
+                nxt = self._next_inside(member, at + 1)
+                self.lost.append((at, nxt - at, str(damage)))
+                at = nxt
+                continue
+            if held:
+                self.inner = at
+                yield held
+            held, at = one, end
+            member.forget(at)
+        self.after = member.end()
+        if held:
+            yield held
+
+    def _next_inside(self, member: _Member, at: int) -> int:
+        """The next place in the member's unpacked bytes at which a valid record begins, or their end."""
+        while data := member.take(at, CHUNK + 8):
+            for m in re.finditer(rb"WARC/1\.", data):
+                if m.start() < CHUNK:
+                    try:
+                        self._record(member, at + m.start())
+                        return at + m.start()
+                    except Damaged:
+                        continue
+            at += min(CHUNK, len(data))
+            member.forget(at)
+        return at
+
+    # -- the archive --------------------------------------------------------------------------------------
+
+    def _valid_at(self, start: int) -> bool:
+        """Whether a valid record can be read from there on."""
+        try:
+            if self.raw.take(start, 3) == GZIP:
+                return next(self._within(start), None) is not None
+            self._record(self.raw, start)
+            return True
+        except Damaged:
+            return False
+
+    def _next(self, start: int) -> int:
+        """The next place at which a member or a version line with a valid record begins, or the archive's end."""
         while start < self.size:
-            data = self._at(start, CHUNK + 8)
+            data = self.raw.take(start, CHUNK + 8)
             for m in re.finditer(rb"\x1f\x8b\x08|WARC/1\.", data):
-                if m.start() < CHUNK:
-                    yield start + m.start()
+                if m.start() < CHUNK and self._valid_at(start + m.start()):
+                    return start + m.start()
             start += CHUNK
+        return self.size
 
     def __iter__(self) -> Iterator[Record]:
         at = 0
         while at < self.size:
+            self.inner, self.lost, reason = None, [], None
             try:
-                found, after = self._read(at)
-            except Damaged as damage:
-                for nxt in self._starts(at + 1):
-                    try:
-                        found, after = self._read(nxt)
-                        break
-                    except Damaged:
-                        continue
+                if self.raw.take(at, 3) == GZIP:
+                    yield from self._within(at)
+                    after = self.after
                 else:
-                    found, nxt, after = [], self.size, self.size
-                self.gaps.append(Gap(at, nxt - at, str(damage)))
-            yield from found
+                    one, after = self._record(self.raw, at)
+                    yield one
+            except Damaged as damage:
+                reason, inner, lost = str(damage), self.inner, self.lost
+                after = self._next(at + 1)
+                self.inner, self.lost = inner, lost
+            self.gaps += [Gap(at, after - at, why, k, n) for k, n, why in self.lost]
+            if reason:
+                self.gaps.append(Gap(at, after - at, reason, self.inner))
             at = after
 
 
@@ -221,7 +406,7 @@ def write(records: DataFrame, folder: str, archive_bytes: int = 32 << 20, compre
     return written(records.select("page_id", "url", "payload", "kind", "refers_to").mapInArrow(run, "path string, records long, bytes long")).withColumn("folder", F.lit(folder))
 
 
-READ_SCHEMA = "path string, page_id long, url string, kind string, payload binary, payload_bytes long, payload_digest string, refers_to long, gap_start long, gap_bytes long, gap_reason string"
+READ_SCHEMA = "path string, page_id long, url string, kind string, payload binary, payload_bytes long, payload_digest string, refers_to long, gap_start long, gap_bytes long, gap_reason string, gap_inner_start long, gap_inner_bytes long"
 
 
 def read(archives: DataFrame, payloads: bool = True) -> DataFrame:
@@ -238,9 +423,9 @@ def read(archives: DataFrame, payloads: bool = True) -> DataFrame:
             size, digest, payload = int(n[1]) if n else None, r.headers.get("warc-payload-digest", "").removeprefix("sha1:"), None
         else:
             size, digest = len(payload), digest_of(payload)
-        return path, page_of(r.headers.get("warc-record-id")), r.headers.get("warc-target-uri"), kind, payload if payloads else None, size, digest, page_of(r.headers.get("warc-refers-to")), None, None, None
+        return path, page_of(r.headers.get("warc-record-id")), r.headers.get("warc-target-uri"), kind, payload if payloads else None, size, digest, page_of(r.headers.get("warc-refers-to")), *[None] * 5
 
-    kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+    kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64())
     names = [f.split()[0] for f in READ_SCHEMA.split(", ")]
     table = lambda rows: pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=names)
 
@@ -256,20 +441,27 @@ def read(archives: DataFrame, payloads: bool = True) -> DataFrame:
                         if held > 8 << 20:
                             yield table(rows)
                             rows, held = [], 0
-                    rows += [(path, *[None] * 7, g.start, g.length, g.reason) for g in reader.gaps]
+                    rows += [(path, *[None] * 7, g.start, g.length, g.reason, g.inner_start, g.inner_bytes) for g in reader.gaps]
                     yield table(rows)
 
     return archives.select("path", "folder").mapInArrow(run, READ_SCHEMA)
 
 
+def spread(manifest: DataFrame) -> DataFrame:
+    """The archives of a manifest dealt evenly over tasks: one for each TASK_BYTES, or as many as the session shuffles
+    to, if that is more, but none without an archive. A row of a manifest is small, so its size says nothing of the work."""
+    size, archives = manifest.agg(F.sum("bytes"), F.count("*")).first()
+    tasks = min(archives, max(partitions(manifest.sparkSession), math.ceil((size or 0) / TASK_BYTES)))
+    return manifest.coalesce(1).repartition(max(1, tasks))
+
+
 def archived(spark: SparkSession, pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Write a record for each page into a new folder of the shared one and read the archives back.
 
     Null html: empty payload. Null url: no target URI. A null page_id stays null. An empty table writes no
     archive and returns no rows. Other columns are not looked at.
     """
-    manifest = write(typed(pages, min_bytes), f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}")
-    return read(manifest.repartition("path"), payloads=False)
+    return read(spread(write(typed(pages, min_bytes), f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}")), payloads=False)
 
 
 # The digits of base32.

@@ -1,5 +1,6 @@
 import io
 import random
+import re
 
 import numpy as np
 import pytest
@@ -86,6 +87,62 @@ def test_salvage(pack):
     assert ids(b"") == ([], []) and ids(b"nothing at all")[0] == []
 
 
+def records(n=50):
+    rng = random.Random(5)
+    return [warc.record(i, f"http://x/{i}", rng.randbytes(1500).hex().encode()) for i in range(n)]
+
+
+def test_salvage_inside_a_member():
+    parts = records()
+    good, bad = b"".join(parts), bytearray(b"".join(parts))
+    starts = np.cumsum([0, *map(len, parts)]).tolist()
+    # One record's block is damaged before packing: its digest differs, the others are read.
+    bad[starts[20] + len(parts[20]) - 50] ^= 1
+    found, gaps = ids(warc.member(bytes(bad)) + warc.member(parts[7]))
+    assert found == [*range(20), *range(21, 50), 7]
+    assert [(g.start, g.length, g.inner_start, g.inner_bytes) for g in gaps] == [(0, len(warc.member(bytes(bad))), starts[20], len(parts[20]))]
+    # A packed byte is damaged: what comes before is read, and the next member.
+    whole = bytearray(warc.member(good))
+    for back in (2000, 40_000, len(whole) - 5000):
+        broken = bytearray(whole)
+        broken[-back] ^= 0x55
+        found, gaps = ids(bytes(broken) + warc.member(parts[7]))
+        before = int(50 * (1 - back / len(whole))) - 1
+        assert found[-1] == 7 and found[:before] == list(range(before)) and found[:-1] == sorted(set(found[:-1])) and len(found) < 51
+        assert {(g.start, g.length) for g in gaps} == {(0, len(whole))} and all(g.inner_start in starts for g in gaps)
+    # The checksum alone is damaged: the last record is not believed.
+    whole[-6] ^= 1
+    assert ids(bytes(whole))[0] == list(range(49))
+    # Records without a digest count only in a sound member.
+    plain = re.sub(rb"WARC-Block-Digest: [^\r]*\r\n", b"", good)
+    assert ids(warc.member(plain))[0] == list(range(50))
+    torn = bytearray(warc.member(plain))
+    torn[-2000] ^= 0x55
+    assert ids(bytes(torn))[0] == []
+
+
+@pytest.mark.parametrize("pack", [warc.member, bytes])
+def test_long_headers_and_bad_lengths(pack):
+    parts = [warc.record(0, "http://x/0", b"a"), warc.record(1, "http://x/" + "y" * 300_000, b"b"), warc.record(2, "http://x/2", b"c")]
+    assert ids(b"".join(map(pack, parts))) == ([0, 1, 2], [])
+    parts[1] = re.sub(rb"\r\nContent-Length: \d+\r\n\r\nHTTP", b"\r\nContent-Length: 1999999999\r\n\r\nHTTP", parts[1])
+    found, gaps = ids(b"".join(map(pack, parts)))
+    assert found == [0, 2] and gaps[0].reason == "bad length"
+    folded = parts[0].replace(b"WARC-Date:", b"X-Note: a\r\n  folded: line\r\nWARC-Date:")
+    assert ids(pack(folded)) == ([0], [])
+
+
+def test_small_member_of_a_large_record():
+    import tracemalloc
+
+    data = warc.member(warc.record(1, "http://x", b"z" * (1 << 20)) + warc.record(2, "http://x", b"z" * 200_000_000, "response").replace(b"Content-Length: 2000", b"Content-Length: 2100", 1) + warc.record(3, "http://x", b"end"))
+    tracemalloc.start()
+    found, gaps = ids(data)
+    assert found[0] == 1 and found[-1] == 3 and len(gaps) == 1
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+
+
 def test_revisit_and_headers():
     r = next(iter(warc.SalvageReader(io.BytesIO(warc.record(3, "http://x/\r\nWARC-Type: evil", b"abc", "revisit", 9)))))
     assert r.headers["warc-type"] == "revisit" and r.payload == b"" and warc.page_of(r.headers["warc-refers-to"]) == 9

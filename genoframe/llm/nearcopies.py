@@ -1,32 +1,45 @@
 """Near copies by the likeness of their word shingles, found with SimHash and BK-trees.
 
-A few differing bits of a SimHash stand for a likeness far above 0.8, and at the many bits that 0.8 needs a
-BK-tree over all texts would be searched almost whole. So texts are dealt into shards first: by bands of MinHash
-values, whose links alone are followed to coarse classes. Each coarse class of several texts becomes a shard with a
-BK-tree over its fingerprints; what the tree finds within the radius is compared by its whole shingle sets, unless
-both are in one class already. A large class is cut into chunks, and every two chunks meet in a task.
+Each distinct sequence of words gets a SimHash of 256 bits over its distinct shingles; texts of likeness 0.8 differ in
+about 39 of them, unrelated ones in 128. A BK-tree over all texts would grow with the corpus, so texts are dealt into
+shards by bands of MinHash values: every band that two texts share is a shard of its own, never joined to other shards.
+A shard's tree is searched along the edges within the radius, and what it finds is compared by whole shingle sets.
+
+1. In the shards of the first bands each text is linked to the nearest one that the tree finds; these links, one for
+   each text and shard, are compared exactly, and components of the links that hold are the first classes.
+2. In the shards of all bands that still hold several classes, every two texts of different classes within the radius
+   are compared. Only texts with such a partner are sent their shingles. Large shards are dealt again by a second band,
+   and what is still large is cut into chunks that meet in pairs; two chunks of a shard's largest class need not meet.
+
+Classes are the components of links that hold, and of no others.
 """
 
 from __future__ import annotations
 
+import string
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from genoframe.llm.components import connected_components
-from genoframe.llm.shared import partitions, written
-from genoframe.llm.simhash import BKTree, shingle_hashes, vote
+from genoframe.llm.shared import written
+from genoframe.llm.simhash import BLOCK, BKTree, shingle_hashes
+from genoframe.operators.groups import over_groups
 
 #: Bands of MinHash values and values in each: of pairs of likeness 0.8, three in a million share no band.
 BANDS, BAND_ROWS = 32, 5
-#: Differing bits within which the trees look; texts of likeness 0.8 differ in about 8 to 10, very seldom in 18.
-RADIUS = 24
-#: Texts, and shingles of all texts together, of a chunk.
-CHUNK_TEXTS, CHUNK_SHINGLES = 512, 1 << 21
+#: Bands whose shards are searched for nearest texts first.
+FIRST_BANDS = 8
+#: Words of 64 bits of a fingerprint, and differing bits within which the trees look: 4.5 deviations above those of likeness 0.8.
+WORDS, RADIUS = 4, 64
+#: Texts of a chunk.
+CHUNK_TEXTS = 256
 
 _FACTORS = np.random.default_rng(5).integers(0, 1 << 63, BANDS * BAND_ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+_ODD = np.random.default_rng(6).integers(0, 1 << 63, (WORDS, 2), np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def bands(shingles: np.ndarray) -> np.ndarray:
@@ -34,135 +47,238 @@ def bands(shingles: np.ndarray) -> np.ndarray:
     least = np.full(len(_FACTORS), np.iinfo(np.uint64).max)
     for i in range(0, len(shingles), 1 << 12):
         least = np.minimum(least, (shingles[i : i + (1 << 12), None] * _FACTORS).min(axis=0))
-    return np.array([xxhash.xxh64_intdigest(b.tobytes()) for b in least.reshape(BANDS, BAND_ROWS)], np.uint64).view(np.int64)
+    return np.array([xxhash.xxh64_intdigest(b.tobytes(), k) for k, b in enumerate(least.reshape(BANDS, BAND_ROWS))], np.uint64).view(np.int64)
+
+
+def wide_simhash(shingles: np.ndarray) -> bytes:
+    """Fingerprint of WORDS times 64 bits: whether each bit is set in over half of the hashes that follow from the shingles'."""
+    set_in = np.zeros(64 * WORDS, np.int64)
+    for i in range(0, len(shingles), BLOCK):
+        part = shingles[i : i + BLOCK, None] * _ODD[:, 0]
+        part = (part ^ (part >> np.uint64(32))) * _ODD[:, 1]
+        part = (part ^ (part >> np.uint64(29))).astype(">u8")
+        set_in += np.unpackbits(part.view(np.uint8).reshape(len(part), -1), axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * set_in > len(shingles)).tobytes()
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """Jaccard likeness of two sorted sets; two empty ones are alike."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    common = int(np.isin(a, b, assume_unique=True).sum())
+    common = len(np.intersect1d(a, b, assume_unique=True))
     return common / (len(a) + len(b) - common)
 
 
-def sketches(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """(id, high, low: digest of the words in order, fp, shingles: how many, bands) of each row."""
+def words_of(text: Column) -> Column:
+    """A text's words with one space between them, A-Z lower-cased."""
+    low = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
+    return F.trim(F.regexp_replace(low, r"[ \t\n\x0B\f\r]+", " "))
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, key, text) of each row: key is a digest of 128 bits of the words, which text holds."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), words_of(F.col(text_col)).alias("text"))
+    return rows.select("id", F.unhex(F.md5("text")).alias("key"), "text")
+
+
+def sketches(rows: DataFrame, words: int) -> DataFrame:
+    """(id, key, fp, shingles: how many, bands) of rows(id, key, text)."""
 
     def run(batches):
         for batch in batches:
             out = []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(2).to_pylist():
                 # Fingerprint and likeness are of the same set: a shingle counts once, however often it is repeated.
                 distinct = np.unique(shingle_hashes(text, words))
-                own = np.frombuffer(xxhash.xxh3_128_digest(b" ".join((text or b"").lower().split())), np.int64)
-                out.append((own[0], own[1], np.array([vote(distinct)], np.uint64).view(np.int64)[0], len(distinct), bands(distinct) if len(distinct) else np.zeros(0, np.int64)))
-            columns = [pa.array([o[k] for o in out], pa.int64()) for k in range(4)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array([o[4] for o in out], pa.list_(pa.int64()))], names=["id", "high", "low", "fp", "shingles", "bands"])
-
-    kind = dict(docs.dtypes)[id_col]
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, high long, low long, fp long, shingles long, bands array<long>")
-
-
-def _coarse(texts: DataFrame) -> DataFrame:
-    """(node, root): texts that share a band with another, directly or over others."""
-    keyed = texts.select("id", F.posexplode("bands").alias("band", "value"))
-    least = keyed.groupBy("band", "value").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    least = least.select(F.col("band").alias("lb"), F.col("value").alias("lv"), F.xxhash64("value").alias("lh"), "first")
-    met = keyed.withColumn("h", F.xxhash64("value")).join(least, (F.col("band") == F.col("lb")) & (F.col("value") == F.col("lv")) & (F.col("h") == F.col("lh")))
-    return connected_components(met.select("id", "first"), "id", "first")
-
-
-def _linked(ids: list, fps: list[int], sets: list[np.ndarray], least: float) -> list[tuple]:
-    """Links of at least that likeness that join all texts which such links join, but no more than needed."""
-    parent, tree, at_node, classes, out = list(range(len(ids))), BKTree(), {}, 0, []
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    for i, fp in enumerate(fps):
-        classes += 1
-        for node in tree.near(fp, RADIUS):
-            for j in at_node[tree.values[node]]:
-                a, b = root(i), root(j)
-                small, large = sorted((len(sets[i]), len(sets[j])))
-                if a != b and small >= least * large and likeness(sets[i], sets[j]) >= least:
-                    parent[max(a, b)] = min(a, b)
-                    classes -= 1
-                    out.append((ids[i], ids[j]))
-            if classes == 1 and i:
-                break
-        if fp not in at_node:
-            at_node[fp] = []
-            tree.insert(fp)
-        at_node[fp].append(i)
-    return out
-
-
-def _search(least: float, kind: pa.DataType):
-    """Over batches of (coarse, i, j, id, fp, text set) sorted by (coarse, i, j, id): the links of each cell."""
-
-    def links(cell: list[tuple]):
-        cell = [c for k, c in enumerate(cell) if not k or c[3] != cell[k - 1][3]]
-        found = _linked([c[3] for c in cell], [c[4] & (1 << 64) - 1 for c in cell], [np.frombuffer(c[5], np.uint64) for c in cell], least)
-        return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], kind) for k in (0, 1)], names=["a", "b"])
+                out.append((wide_simhash(distinct), len(distinct), bands(distinct) if len(distinct) else np.zeros(0, np.int64)))
+            columns = [pa.array([o[k] for o in out], t) for k, t in enumerate((pa.binary(), pa.int64(), pa.list_(pa.int64())))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["id", "key", "fp", "shingles", "bands"])
+
+    return rows.select("id", "key", F.col("text").cast("binary")).mapInArrow(run, "id long, key binary, fp binary, shingles long, bands array<long>")
+
+
+def _shared(shards: DataFrame, where: Column, *more: Column) -> DataFrame:
+    """Rows of those shards for which `where`, an aggregate, is true, with the other aggregates. Shard and a hash of it join, so that a hot one can be split."""
+    found = shards.groupBy("shard").agg(where.alias("_where"), *more).where("_where").drop("_where")
+    found = found.withColumnRenamed("shard", "_s").withColumn("_h", F.xxhash64("_s"))
+    same = (F.col("shard") == F.col("_s")) & (F.xxhash64("shard") == F.col("_h"))
+    return shards.join(found, same).drop("_s", "_h")
+
+
+def _nearest(texts: DataFrame, first: int) -> DataFrame:
+    """(a, b): in every shard of the first bands, each text and the nearest within the radius among those before it.
+
+    A shard over CHUNK_TEXTS is cut into chunks, and each text is looked for in its own chunk and the first.
+    """
+    shards = texts.select("node", "fp", "shingles", F.explode(F.slice("bands", 1, first)).alias("shard"))
+    shards = _shared(shards, F.count("*") > 1, F.ceil(F.count("*") / CHUNK_TEXTS).alias("chunks"))
+    shards = shards.withColumn("own", F.pmod(F.xxhash64("node", "shard"), "chunks"))
+    everywhere = F.when(F.col("own") == 0, F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).otherwise(F.array("own"))
+    cells = shards.select("shard", F.explode(everywhere).alias("cell"), "own", "node", "fp")
+
+    def look(key, group):
+        tree, nodes = BKTree(), []
+        for _, cell, own, node, fp in group:
+            value, hit = int.from_bytes(fp, "big"), None
+            if own == cell:
+                hit = tree.nearest(value, RADIUS)
+                if hit is not None:
+                    yield nodes[hit], node
+            if hit is None or tree.values[hit] != value:
+                tree.insert(value)
+                nodes.append(node)
+
+    return over_groups(cells, ["shard", "cell"], ["own", "node"], look, "a long, b long").distinct()
+
+
+def _holding(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose shingle sets are at least so alike."""
+    for side in ("a", "b"):
+        own = sets.select(F.col("node").alias(f"_{side}"), F.col("set").alias(f"set_{side}"), F.xxhash64("node").alias("_h"))
+        pairs = pairs.join(own, (F.col(side) == F.col(f"_{side}")) & (F.xxhash64(side) == F.col("_h"))).drop(f"_{side}", "_h")
 
     def run(batches):
-        cell: list[tuple] = []
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if cell and cell[0][:3] != row[:3]:
-                    yield links(cell)
-                    cell = []
-                cell.append(row)
-        if cell:
-            yield links(cell)
-
-    return run
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                small, large = sorted((len(x), len(y)))
+                keep.append(small >= least * large and likeness(x, y) >= least)
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+
+
+def _open_shards(texts: DataFrame) -> DataFrame:
+    """(shard, node, class, main, rest, most) of texts(node, class, bands) in shards of several classes: main is a shard's
+    largest class, most the number of its texts and rest that of all others. Large ones are dealt again by a second band."""
+    several = F.min("class") < F.max("class")
+    shards = _shared(texts.select("node", "class", F.explode("bands").alias("shard")), several)
+
+    def sized(shards: DataFrame) -> DataFrame:
+        by_class = shards.groupBy("shard", "class").agg(F.count("*").alias("n"))
+        stats = by_class.groupBy("shard").agg(F.max_by("class", F.struct("n", "class")).alias("main"), F.max("n").alias("most"), (F.sum("n") - F.max("n")).alias("rest"))
+        stats = stats.withColumnRenamed("shard", "_s").withColumn("_h", F.xxhash64("_s"))
+        return shards.join(stats, (F.col("shard") == F.col("_s")) & (F.xxhash64("shard") == F.col("_h"))).drop("_s", "_h")
+
+    shards = written(sized(shards))
+    again = shards.where(F.col("rest") > CHUNK_TEXTS).select("shard", "node", "class").join(texts.select("node", "bands"), "node")
+    again = again.select("node", "class", F.col("shard").alias("_first"), F.explode("bands").alias("_second")).where("_first <> _second")
+    again = again.select("node", "class", F.xxhash64(F.least("_first", "_second"), F.greatest("_first", "_second")).alias("shard")).distinct()
+    again = sized(_shared(again, several))
+    return shards.where(F.col("rest") <= CHUNK_TEXTS).unionByName(again.select(*shards.columns))
+
+
+def _cells(shards: DataFrame) -> DataFrame:
+    """_open_shards() as cells (shard, i, j) of one or two chunks; part is the chunk that a text is of."""
+    c = F.col
+    small = c("rest") + c("most") <= CHUNK_TEXTS
+    rests, mains = (F.when(small, k).otherwise(F.ceil(c(n) / CHUNK_TEXTS)).cast("long") for n, k in (("rest", 1), ("most", 0)))
+    shards = shards.withColumns({"rests": rests, "mains": mains})
+    in_main = (c("class") == c("main")) & (c("mains") > 0)
+    # The largest class's chunks come last and do not meet each other.
+    shards = shards.withColumn("part", F.when(in_main, c("rests") + F.pmod(F.xxhash64("node"), c("mains"))).otherwise(F.pmod(F.xxhash64("node"), c("rests"))))
+    others = F.sequence(F.lit(0).cast("long"), F.when(in_main, c("rests")).otherwise(c("rests") + c("mains")) - 1)
+    cells = shards.select("shard", "node", "class", "part", F.explode(others).alias("other"))
+    return cells.select("shard", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "class")
+
+
+def _partners(group, fits):
+    """Pairs (earlier, later) of rows (shard, i, j, part, node, class, fp, shingles, ...) within the radius that fits() admits, by a tree in which rows of the
+    first chunk, and in a cell of one chunk all rows, are put."""
+    tree, at_node = BKTree(), []
+    for row in group:
+        _, i, j, part, *_ = row
+        value = int.from_bytes(row[6], "big")
+        if i == j or part == j:
+            for k in tree.near(value, RADIUS):
+                for other in at_node[k]:
+                    if fits(other, row):
+                        yield other, row
+        if i == j or part == i:
+            k = tree.insert(value)
+            if k == len(at_node):
+                at_node.append([])
+            at_node[k].append(row)
+
+
+def _remaining(texts: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """(a, b): links that hold between texts(node, class, fp, shingles, bands) of different classes in a shard; of a cell as many as join what is joined."""
+    cells = _cells(_open_shards(texts)).join(texts.select("node", "fp", "shingles"), "node")
+    cells = cells.select("shard", "i", "j", "part", "node", "class", "fp", "shingles")
+    sizes_fit = lambda a, b: a[5] != b[5] and min(a[7], b[7]) >= least * max(a[7], b[7])
+
+    def flag(key, group):
+        seen = set()
+        for pair in _partners(group, sizes_fit):
+            for row in pair:
+                if row[4] not in seen:
+                    seen.add(row[4])
+                    yield row
+
+    def compare(key, group):
+        parent: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while parent.setdefault(c, c) != c:
+                parent[c] = parent[parent[c]]
+                c = parent[c]
+            return c
+
+        for x, y in _partners(group, lambda a, b: sizes_fit(a, b) and root(a[5]) != root(b[5])):
+            if root(x[5]) != root(y[5]) and likeness(np.frombuffer(x[8], np.uint64), np.frombuffer(y[8], np.uint64)) >= least:
+                parent[root(y[5])] = root(x[5])
+                yield x[4], y[4]
+
+    keys, order = ["shard", "i", "j"], ["part", "node"]
+    flagged = over_groups(cells, keys, order, flag, cells.schema)
+    own = sets.select(F.col("node").alias("_n"), "set", F.xxhash64("node").alias("_h"))
+    flagged = flagged.join(own, (F.col("node") == F.col("_n")) & (F.xxhash64("node") == F.col("_h"))).drop("_n", "_h")
+    return over_groups(flagged, keys, order, compare, "a long, b long")
 
 
 def near_copies(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(texts, classes): texts(id, high, low, ...) has a row for each distinct sequence of words with its smallest id;
-    classes(node, root) names, for each of these ids with a near copy, the smallest id of its class.
+    """(texts, classes): texts(node, key, id, ...) has a row for each distinct sequence of words with its smallest id;
+    classes(node, root) names, for each of these nodes with a near copy, one node of its class.
 
     Near copies have at least that share of their distinct shingles in common; classes are what such links join.
-    Ids are whole numbers and not null. Case (A-Z) and white space do not matter; texts without words are copies
-    of one another. Rows of one id are taken as one document.
+    Case (A-Z) and white space do not matter; texts without words, null ones too, are copies of one another. Rows of
+    one id with different words are different texts.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    texts = written(sketches(rows, "id", "text", words).groupBy("high", "low").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("fp", "shingles", "bands")]))
-    coarse = _coarse(texts)
-    members = coarse.unionByName(coarse.select(F.col("root").alias("node"), "root").distinct())
-    members = written(members.join(texts.select("id", "fp", "shingles"), F.col("node") == F.col("id")).select("id", "root", "fp", "shingles"))
-    sizes = members.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / CHUNK_TEXTS), F.ceil(F.sum("shingles") / CHUNK_SHINGLES)).alias("chunks"))
-    sizes = sizes.select(F.col("root").alias("lr"), F.xxhash64("root").alias("lh"), "chunks")
-    members = members.withColumn("h", F.xxhash64("root")).join(sizes, (F.col("root") == F.col("lr")) & (F.col("h") == F.col("lh"))).select(F.col("id").alias("mid"), "root", "fp", "chunks")
-
-    def sets(batches):
+    rows = keyed(docs, id_col, text_col)
+    texts = sketches(rows, words).groupBy("key").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("fp", "shingles", "bands")])
+    texts = written(texts.withColumn("node", F.monotonically_increasing_id()))
+
+    def shingled(batches):
         for batch in batches:
-            found = [np.unique(shingle_hashes(t, words)).tobytes() for t in batch.column(4).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(found, pa.binary())], names=["id", "root", "fp", "chunks", "shingles"])
+            found = [np.unique(shingle_hashes(t, words)).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["node", "set"])
+
+    # Only texts that share a band with another are shingled again.
+    meet = _shared(texts.select("node", F.explode("bands").alias("shard")), F.count("*") > 1).select("node").distinct()
+    meet = texts.join(meet, "node", "left_semi").select("node", F.col("key").alias("_key"), F.col("id").alias("_id"))
+    own = rows.join(meet, (F.col("key") == F.col("_key")) & F.col("id").eqNullSafe(F.col("_id"))).select("node", F.col("text").cast("binary").alias("text"))
+    sets = written(own.mapInArrow(shingled, "node long, set binary").dropDuplicates(["node"]))
 
-    with_text = members.join(rows, F.col("mid") == F.col("id")).select("id", "root", "fp", "chunks", F.col("text").cast("binary").alias("text"))
-    cells = with_text.mapInArrow(sets, "id long, root long, fp long, chunks long, shingles binary").withColumn("own", F.pmod(F.xxhash64("id"), "chunks"))
-    cells = cells.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("other"))
-    cells = cells.select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "fp", "shingles")
-    cells = cells.repartition(partitions(spark), "root", "i", "j").sortWithinPartitions("root", "i", "j", "id")
-    return texts, connected_components(cells.mapInArrow(_search(least, pa.int64()), "a long, b long"), "a", "b")
+    links = written(_holding(_nearest(texts, FIRST_BANDS), sets, least))
+    first = connected_components(links, "a", "b").select(F.col("node").alias("_n"), "root")
+    classed = texts.join(first, F.col("node") == F.col("_n"), "left").select("node", F.coalesce("root", "node").alias("class"), "fp", "shingles", "bands")
+    more = _remaining(written(classed), sets, least)
+    return texts, connected_components(links.unionByName(more), "a", "b")
 
 
 def first_of_each(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of docs, with all its columns, of each class of near copies: that with the smallest id.
 
-    An id names a document: of rows with the same id one stays. Rows without an id cannot be told apart and all stay.
-    An empty table stays empty.
+    Null ids come after all others. Of several such rows with that id, the one whose words have the least digest stays,
+    then the first by text and by its JSON form. Rows of one id whose texts are not alike all stay. An empty table
+    stays empty.
     """
-    texts, classes = near_copies(docs.where(F.col(id_col).isNotNull()), words, least, id_col, text_col)
-    chosen = texts.select(F.col("id").alias("chosen")).join(classes, F.col("chosen") == F.col("node"), "left_anti")
-    rows = docs.select(F.struct("*").alias("doc"), F.col(id_col).cast("long").alias("id"))
-    one = rows.where("id is not null").join(chosen, F.col("id") == F.col("chosen"), "left_semi").dropDuplicates(["id"])
-    return one.unionByName(rows.where("id is null")).select("doc.*")
+    texts, classes = near_copies(docs, words, least, id_col, text_col)
+    named = texts.select("node", "key", "id").join(classes.select(F.col("node").alias("_n"), "root"), F.col("node") == F.col("_n"), "left")
+    lead = F.struct(F.col("id").isNull().alias("none"), "id", "key")
+    chosen = named.groupBy(F.coalesce("root", "node").alias("class")).agg(F.min(lead).alias("lead")).select(F.col("lead.id").alias("_id"), F.col("lead.key").alias("_key"))
+    rows = docs.select(F.struct("*").alias("doc"), F.col(id_col).cast("long").alias("id"), F.unhex(F.md5(words_of(F.col(text_col)))).alias("key"))
+    kept = rows.join(chosen, (F.col("key") == F.col("_key")) & F.col("id").eqNullSafe(F.col("_id")), "left_semi")
+    order = F.struct(F.col(f"doc.`{text_col}`").alias("text"), F.to_json("doc").alias("json"))
+    return kept.groupBy("key", "id").agg(F.min_by("doc", order).alias("doc")).select("doc.*")

@@ -73,16 +73,19 @@ class BKTree:
         self.values: list[int] = []
         self.children: list[dict[int, int]] = []
 
-    def insert(self, value: int) -> None:
+    def insert(self, value: int) -> int:
+        """The index of the value, which is put in if it is new."""
         new, at = len(self.values), 0
-        self.values.append(value)
-        self.children.append({})
         while new:
-            below = self.children[at]
-            nxt = below.setdefault((self.values[at] ^ value).bit_count(), new)
+            if not (d := (self.values[at] ^ value).bit_count()):
+                return at
+            nxt = self.children[at].setdefault(d, new)
             if nxt == new:
-                return
+                break
             at = nxt
+        self.values.append(value)
+        self.children.append({})
+        return new
 
     def near(self, value: int, radius: int):
         """Indices of the values within the radius."""
@@ -97,6 +100,22 @@ class BKTree:
                 if d - radius <= edge <= d + radius:
                     todo.append(child)
 
+    def nearest(self, value: int, radius: int) -> int | None:
+        """Index of the nearest value within the radius, which shrinks to the nearest found so far."""
+        todo, best, found = [(0, 0)] if self.values else [], radius + 1, None
+        values, children = self.values, self.children
+        while todo:
+            at, least = todo.pop()
+            if least >= best:
+                continue
+            d = (values[at] ^ value).bit_count()
+            if d < best:
+                best, found = d, at
+            for edge, child in children[at].items():
+                if (gap := abs(d - edge)) < best:
+                    todo.append((child, gap))
+        return found
+
 
 def _forest(members: list[int], others: list[int], radius: int) -> list[tuple[int, int]]:
     """Spanning forest of the links among members, or, if there are others, between others and members."""

@@ -7,6 +7,7 @@ descent, and its margins are turned into probabilities by a logistic curve fitte
 
 from __future__ import annotations
 
+import heapq
 import re
 from dataclasses import dataclass
 
@@ -19,8 +20,8 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 #: Indicators are hashed to so many features.
 FEATURES = 1 << 18
-#: Most labelled rows, about, that a model is fitted on.
-FIT_ROWS = 16_000
+#: Most labelled rows, about, that a model is fitted on, and most features of them all.
+FIT_ROWS, FIT_FEATURES = 16_000, 1 << 25
 #: Shares of a text's words (1/2, 1/4, ...) from which a shape counts as frequent in it.
 SHARES = 7
 
@@ -71,23 +72,28 @@ class Indicators:
             self.shapes[at] = xxhash.xxh64_intdigest(_RUN.sub(r"\1", w.translate(_SHAPES)))
         return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
-    def _part(self, text: str) -> tuple[list[np.ndarray], np.ndarray]:
-        places = self._places(text.split())
-        w, s = self.hashes[places], self.shapes[places]
-        again = np.zeros(len(w), bool)
-        again[1:] = w[1:] == w[:-1]
-        s = np.where(again, np.uint64(1), s)  # a repeated word has a shape of its own
-        kinds = [np.uint64(k) for k in range(5)]
-        return [_mixed(w, kinds[0]), _mixed(w[:-1], w[1:], kinds[1]), _mixed(s, kinds[2]), _mixed(s[:-1], s[1:], kinds[3]), _mixed(s[:-2], s[1:-1], s[2:], kinds[4])], s
-
     def of(self, text: str | None, part: int = 1 << 20) -> np.ndarray:
-        """Sorted features of a text; long ones are taken part by part. Every text has the feature 0."""
+        """Sorted features of a text, whatever `part` is: long texts are taken part by part, cut between words. Every text has the feature 0."""
+        text, at = text or "", 0
         found, counts, total = [np.zeros(1, np.uint64)], {}, 0
-        for i in range(0, len(text or ""), part):
-            own, shapes = self._part(text[i : i + part])
-            found += own
-            total += len(shapes)
-            for value, n in zip(*np.unique(shapes, return_counts=True)):
+        # The words before a part: its n-grams begin with them.
+        w, s = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        while at < len(text):
+            end = min(at + part, len(text))
+            while end < len(text) and not text[end].isspace():
+                end += 1
+            places = self._places(text[at:end].split())
+            at, held = end, len(w)
+            w, own = np.concatenate([w, self.hashes[places]]), self.shapes[places]
+            again = np.zeros(len(w), bool)
+            again[1:] = w[1:] == w[:-1]
+            own = np.where(again[held:], np.uint64(1), own)  # a repeated word has a shape of its own
+            s = np.concatenate([s, own])
+            kinds = [np.uint64(k) for k in range(5)]
+            found.append(np.unique(np.concatenate([_mixed(w, kinds[0]), _mixed(w[:-1], w[1:], kinds[1]), _mixed(s, kinds[2]), _mixed(s[:-1], s[1:], kinds[3]), _mixed(s[:-2], s[1:-1], s[2:], kinds[4])])))
+            w, s = w[-2:], s[-2:]
+            total += len(own)
+            for value, n in zip(*np.unique(own, return_counts=True)):
                 counts[value] = counts.get(value, 0) + int(n)
         values = np.array(list(counts), np.uint64)
         share = np.array(list(counts.values()), float) / max(total, 1)
@@ -124,15 +130,15 @@ def dual_coordinate_descent(rows: list[np.ndarray], labels: np.ndarray, scale: n
     share = np.maximum(np.array([(sign < 0).mean(), (sign > 0).mean()]), 1e-9)
     most = np.where(sign > 0, cost / (2 * share[1]), cost / (2 * share[0]))
     alpha, w, order = np.zeros(len(rows)), np.zeros(FEATURES), np.random.default_rng(seed)
-    values = [scale[x] for x in rows]
-    norms = [float(v @ v) or 1.0 for v in values]
+    norms = [float(scale[x] @ scale[x]) or 1.0 for x in rows]
     for _ in range(rounds):
         moved = 0.0
         for i in order.permutation(len(rows)):
-            gradient = sign[i] * float(w[rows[i]] @ values[i]) - 1.0
+            values = scale[rows[i]]
+            gradient = sign[i] * float(w[rows[i]] @ values) - 1.0
             new = min(max(alpha[i] - gradient / norms[i], 0.0), most[i])
             if new != alpha[i]:
-                w[rows[i]] += (new - alpha[i]) * sign[i] * values[i]
+                w[rows[i]] += (new - alpha[i]) * sign[i] * values
                 moved = max(moved, abs(new - alpha[i]) * norms[i] ** 0.5)
                 alpha[i] = new
         if moved < 1e-3:
@@ -170,15 +176,32 @@ def held_out(id_col: Column, parts: int = 3, kept: int = 1) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % parts == kept, F.lit(False))
 
 
+def bounded(rows, most_rows: int, most_features: int) -> list[tuple[int, int, bytes]]:
+    """(hash, label, features) of rows(id, label, features) by hash, the least hashes of all that keep within both bounds. No more is held."""
+    held, size, end = [], 0, 1 << 64
+    for own, label, features in rows:
+        h = xxhash.xxh64_intdigest(features, xxhash.xxh64_intdigest(str(own)))
+        if h >= end:
+            continue
+        heapq.heappush(held, (-h, label, features))
+        size += len(features) // 4
+        while len(held) > most_rows or (size > most_features and len(held) > 1):
+            out = heapq.heappop(held)
+            size, end = size - len(out[2]) // 4, min(end, -out[0])
+    return sorted((-h, label, features) for h, label, features in held)
+
+
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS) -> Model:
     """A model of the labelled rows that are not held out.
 
-    Fitted in one task on about fit_rows of them, chosen by a hash of the id (all, if they are fewer); the ids
-    and labels of these alone are broadcast, and only features leave the texts' tasks. Null labels are left out.
+    Fitted in one task on about fit_rows of them, chosen by 64 bits of a hash of the id (all, if they are fewer); the
+    ids and labels of these alone are broadcast, and only features leave the texts' tasks. Rows of one id may be many:
+    of what comes, the task keeps a quarter more than fit_rows at most, and no more than FIT_FEATURES features. Null
+    labels are left out; of several labels of an id the least counts.
     """
-    usable = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
-    share = min(1.0, fit_rows / max(1, usable.count()))
-    chosen = usable.where(F.pmod(F.xxhash64("id", F.lit("fit")), F.lit(1 << 20)) < int(share * (1 << 20)))
+    usable = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("int").alias("label"))
+    ids = usable.count()
+    chosen = usable if ids <= fit_rows else usable.where(F.xxhash64("id", F.lit("fit")) < (fit_rows << 64) // ids - (1 << 63))
 
     def features(batches):
         of = Indicators()
@@ -187,10 +210,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.binary())], names=["id", "label", "features"])
 
     def fitted(batches):
-        rows = []
-        for batch in batches:
-            rows += zip(*(c.to_pylist() for c in batch.columns))
-        rows.sort(key=lambda r: xxhash.xxh64_intdigest(str(r[0])))
+        rows = bounded((r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns))), fit_rows * 5 // 4, FIT_FEATURES)
         model = fit([np.frombuffer(x, np.int32) for _, _, x in rows], np.array([y for _, y, _ in rows]))
         yield pa.RecordBatch.from_arrays([pa.array([model.weights.astype(np.float32).tobytes()]), pa.array([model.slope]), pa.array([model.shift])], names=["weights", "slope", "shift"])
 
@@ -218,7 +238,7 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", least: float |
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of docs: id, held_out, score, predicted.
+    """One row for each row of docs: id, held_out, score, predicted. A text of any length is scored whole.
 
     Labels, and nothing else but texts, teach the model, and only of rows that are not held out. Empty and null
     texts get a score too. Without labels all scores are one half. Repeated rows stay; an empty table returns none.

@@ -303,3 +303,52 @@ def test_features_do_not_depend_on_what_is_known():
     a, b = quality.Indicators(), quality.Indicators(most_known=3)
     for t in ("One two two THREE!!", "", None, "x " * 2000, "four five six seven eight nine"):
         assert a.of(t).tolist() == b.of(t).tolist()
+
+
+def test_features_do_not_depend_on_parts():
+    rng = random.Random(12)
+    of = quality.Indicators()
+    for t in ("good " * 3000, sentence(rng, 2000), "x" * 5000, f"{'y' * 3000} a a b {'z' * 3000} b", " \t a  a\n\na b ", "one two two three", "é  Ü\u2003word\u2003word"):
+        assert all(of.of(t).tolist() == of.of(t, part).tolist() for part in (1, 7, 100, 4096)), t[:20]
+
+
+def plain_model(texts, labels, cost=0.1):
+    """The same model worked out plainly: all rows, dense arrays, a solver that takes the steepest way."""
+    of = quality.Indicators()
+    rows = [of.of(t) for t in texts]
+    used = sorted({int(f) for r in rows for f in r})
+    x = np.array([[float(f in set(r.tolist())) for f in used] for r in rows])
+    y = np.array(labels)
+    p, q = (1 + x[y == v].sum(axis=0) for v in (1, 0))
+    ratio = np.log(p / (p.sum() + quality.FEATURES - len(used))) - np.log(q / (q.sum() + quality.FEATURES - len(used)))
+    z, sign = x * ratio, np.where(y == 1, 1.0, -1.0)
+    most = np.where(y == 1, cost / (2 * (y == 1).mean()), cost / (2 * (y == 0).mean()))
+    gram, alpha = (z * sign[:, None]) @ (z * sign[:, None]).T, np.zeros(len(y))
+    for _ in range(4000):  # projected gradient steps on the dual
+        alpha = np.clip(alpha - (gram @ alpha - 1) / np.linalg.norm(gram, 2), 0, most)
+    return dict(zip(used, ratio * (z.T @ (alpha * sign))))
+
+
+def test_model_against_a_plain_fit():
+    rng = random.Random(13)
+    texts = [sentence(rng, 12) if k % 3 else sentence(rng, 12).upper() + " !!" for k in range(60)]
+    labels = [int(k % 3 > 0) for k in range(60)]
+    of = quality.Indicators()
+    rows = [of.of(t) for t in texts]
+    ratio = quality.log_count_ratio(rows, np.array(labels))
+    own = quality.dual_coordinate_descent(rows, np.array(labels), ratio, 0.1, 2000) * ratio
+    want = plain_model(texts, labels)
+    margin = lambda w, r: sum(w[int(f)] for f in r)
+    a, b = np.array([margin(own, r) for r in rows]), np.array([margin(want, r) for r in rows])
+    assert np.abs(a - b).max() < 0.02 * np.abs(b).max()
+
+
+def test_fit_is_bounded(spark):
+    few = quality.bounded(((k % 3, k % 2, np.arange(k % 50 + 1, dtype=np.int32).tobytes()) for k in range(2000)), 100, 1500)
+    again = quality.bounded(((k % 3, k % 2, np.arange(k % 50 + 1, dtype=np.int32).tobytes()) for k in reversed(range(2000))), 100, 1500)
+    assert few == again and 0 < len(few) <= 100 and sum(len(f) // 4 for *_, f in few) <= 1500
+    docs = graded(spark).withColumn("doc_id", F.when(F.col("doc_id") % 3 == 0, F.lit(7)).otherwise(F.col("doc_id")))
+    labels = graded(spark).select("doc_id", "quality")
+    labels = labels.unionByName(labels.where("doc_id = 7").crossJoin(spark.range(500)).drop("id"))
+    model = quality.train(docs.select("doc_id", "text"), labels, fit_rows=40)
+    assert np.isfinite(model.weights).all() and model.weights.any()

@@ -8,16 +8,20 @@ node at which the piece begins. A pre-token's count is that of its last node.
 from __future__ import annotations
 
 import math
+import re
 from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+_SPACE = re.compile(r"\s")
 #: What stands for the space before a word in vocabulary files.
 SPACE = "▁"
 #: Nodes, about, that a task holds before it begins a new trie.
 HELD_NODES = 400_000
+#: Characters of the longest pre-token that is put in the trie.
+TRIE_CHARS = 256
 #: Zipf-Mandelbrot shift of the ranks, and the score of a byte of an unknown character below the last rank's.
 SHIFT, PENALTY = 2.7, 10.0
 
@@ -28,6 +32,7 @@ class Pieces:
     def __init__(self, scores: dict[str, float]):
         self.scores = scores
         self.unknown = min(scores.values(), default=0.0) - PENALTY
+        self.longest = max(map(len, scores), default=0)
         self.backwards: list[dict[str, int]] = [{}]
         self.score_at: list[float | None] = [None]
         for piece, score in scores.items():
@@ -84,27 +89,47 @@ class Trie:
         return self.terminal[token]
 
 
+def count_long(own: Pieces, token: str) -> int:
+    """What Trie.insert() returns, with the scores of the last prefixes alone: no piece reaches farther back."""
+    room = own.longest + 1
+    scores, counts = [0.0] * room, [0] * room
+    for i, char in enumerate(token):
+        size = len(char.encode("utf-8", "replace"))
+        best = (scores[i % room] + size * own.unknown, -counts[i % room] - size)
+        at, k = 0, i
+        while k >= 0 and (at := own.backwards[at].get(token[k], 0)):
+            if (score := own.score_at[at]) is not None:
+                best = max(best, (scores[k % room] + score, -counts[k % room] - 1))
+            k -= 1
+        scores[(i + 1) % room], counts[(i + 1) % room] = best[0], -best[1]
+    return counts[len(token) % room]
+
+
 class Counter:
     def __init__(self, own: Pieces):
         self.own, self.trie = own, Trie(own)
 
     def count(self, text: str | None, part: int = 1 << 20) -> tuple[int, int]:
-        """(tokens, pre-tokens) of a text; long ones are split part by part, between words."""
+        """(tokens, pre-tokens) of a text; long ones are split part by part, between words. A pre-token may have any length."""
         tokens = words = at = 0
         text = text or ""
         while at < len(text):
             end = min(at + part, len(text))
-            while end < len(text) and not text[end].isspace():
-                end += 1
+            space = _SPACE.search(text, end)
+            end = space.start() if space else len(text)
             own = text[at:end].split()
             if len(self.trie.children) > HELD_NODES:
                 self.trie = Trie(self.own)
             known = self.trie.terminal
+            words += len(own)
+            if end - at > TRIE_CHARS:
+                long = [w for w in own if len(w) > TRIE_CHARS]
+                tokens += sum(count_long(self.own, SPACE + w) for w in long)
+                own = [w for w in own if len(w) <= TRIE_CHARS] if long else own
             for word in set(own).difference(known):
                 self.trie.insert(SPACE + word)
                 known[word] = known.pop(SPACE + word)
             tokens += sum(map(known.__getitem__, own))
-            words += len(own)
             at = end
         return tokens, words
 
@@ -112,7 +137,8 @@ class Counter:
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of docs: id, n_tokens, n_pretokens, of its whole text split at white space.
 
-    Null and empty texts have none. Rows, repeated ones too, stay as many as they are; an empty table returns
+    Null and empty texts have none. Pre-tokens over TRIE_CHARS, such as a text without spaces, are counted with the
+    same scores in memory of the longest piece's size and put in no trie. Rows, repeated ones too, stay as many as they are; an empty table returns
     none; other columns are not looked at.
     """
 

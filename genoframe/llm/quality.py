@@ -25,7 +25,10 @@ FIT_ROWS, FIT_FEATURES = 16_000, 1 << 25
 #: Shares of a text's words (1/2, 1/4, ...) from which a shape counts as frequent in it.
 SHARES = 7
 
+_SPACE = re.compile(r"\s")
 _RUN = re.compile(r"(.)\1+")
+#: Characters beyond which the shape of a word is worked out as an array.
+LONG_WORD = 1 << 12
 
 
 class _Shapes(dict):
@@ -38,6 +41,16 @@ class _Shapes(dict):
 
 
 _SHAPES = _Shapes()
+
+
+def shape(word: str) -> str:
+    """The word's kinds of characters, each run of one kind once."""
+    if len(word) <= LONG_WORD:
+        return _RUN.sub(r"\1", word.translate(_SHAPES))
+    codes = np.frombuffer(word.translate(_SHAPES).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return codes[np.append(True, codes[1:] != codes[:-1])].tobytes().decode("utf-32-le", "surrogatepass")
+
+
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -69,7 +82,7 @@ class Indicators:
         for w in new:
             known[w] = at = len(known)
             self.hashes[at] = xxhash.xxh64_intdigest(w)
-            self.shapes[at] = xxhash.xxh64_intdigest(_RUN.sub(r"\1", w.translate(_SHAPES)))
+            self.shapes[at] = xxhash.xxh64_intdigest(shape(w))
         return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
     def of(self, text: str | None, part: int = 1 << 20) -> np.ndarray:
@@ -80,8 +93,10 @@ class Indicators:
         w, s = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         while at < len(text):
             end = min(at + part, len(text))
-            while end < len(text) and not text[end].isspace():
-                end += 1
+            if found_space := _SPACE.search(text, end):
+                end = found_space.start()
+            else:
+                end = len(text)
             places = self._places(text[at:end].split())
             at, held = end, len(w)
             w, own = np.concatenate([w, self.hashes[places]]), self.shapes[places]

@@ -25,8 +25,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Counts of tokens, and digests of the tokens and of what they decode to, of each document."""
-    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    """doc_id and source of each document, in the order that it comes in, with its tokens, their count, and digests of them and of what they decode to."""
+    return bpe.with_digests(bpe.coded(docs, public_tokenizers.path("byte_bpe_50k.json"), keep=["source"]))
 
 
 STAGES = [("quality", keep_quality), ("near-duplicates", drop_near_duplicates), ("mixing", mix_sources), ("BPE", encode)]

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 from array import array
+from collections.abc import Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -16,6 +17,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 #: How byte-level BPE splits a text before merging (fixed value).
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -260,8 +262,8 @@ class Encoder:
         return b"".join(self.vocab.token_bytes[i] for i in ids).decode("utf-8", "replace")
 
 
-def coded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, ids (array of int) and decoded of every row: its whole text encoded, and the tokens decoded again.
+def coded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """id, the columns to keep, ids (array of int) and decoded of every row: its whole text encoded, and the tokens decoded again.
 
     A null text is empty: no tokens. Rows, repeated ones too, stay as many as they are; an empty table returns
     none; other columns are not looked at. path: a tokenizers JSON file that all executors can open.
@@ -276,15 +278,21 @@ def coded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
                 ends = np.cumsum([0, *(len(ids) // 4 for ids, _ in found)]).astype(np.int32)
                 flat = np.frombuffer(b"".join(ids for ids, _ in found), np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(found)), lists, pa.array([t for _, t in found], pa.string())], names=["id", "ids", "decoded"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(found)), lists, pa.array([t for _, t in found], pa.string())], names=["row", "ids", "decoded"])
                 at += len(found)
 
-    kind = dict(docs.dtypes)[id_col]
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, f"id {kind}, ids array<int>, decoded string")
-    return out.withColumnRenamed("id", id_col)
+    names = [id_col, *keep]
+    rows = docs.select(F.struct(*[F.col(c) for c in names]).alias("row"), F.col(text_col).cast("binary").alias("text"))
+    schema = StructType([rows.schema["row"], StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType())])
+    return rows.mapInArrow(run, schema).select(*[F.col("row")[c].alias(c) for c in names], "ids", "decoded")
 
 
-def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_tokens, ids_sha256 (of the ids joined by commas) and decoded_sha256 of what coded() returns."""
+def with_digests(found: DataFrame) -> DataFrame:
+    """coded() with n_tokens, ids_sha256 (of the ids joined by commas) and decoded_sha256 in place of the decoded text."""
     joined = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return coded(docs, path, id_col, text_col).select(id_col, F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return found.select(*[c for c in found.columns if c not in ("ids", "decoded")], F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, n_tokens, ids_sha256 and decoded_sha256 of what coded() returns."""
+    return with_digests(coded(docs, path, id_col, text_col)).drop("ids")

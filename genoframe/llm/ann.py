@@ -1,10 +1,14 @@
 """Nearest neighbours by largest inner product: a navigable small-world graph per shard, shard results merged.
 
-Vectors are dealt into shards of about `shard_rows` by ranges of their norms and a hash of their id. Each shard becomes one row that
+Vectors are dealt into shards by ranges of their norms and a hash of their id. Each shard becomes one row that
 holds its vectors and a hierarchical graph as flat arrays of neighbours. The inner product is searched as
 a distance: vectors get one more component that makes all norms of a shard equal. As a shard's norms differ by
 a bounded factor, that component is never so large that single precision rounds the inner product away. Queries go to every
 shard in blocks; each shard gives its k best, scored in double precision on the original vectors.
+
+A search grows with the logarithm of a shard's rows but with the number of shards, so shards are as large as tasks can
+hold: at first there are enough for all tasks, then they grow up to SHARD_BYTES of vectors. Likewise a shard is sent to
+as few blocks of queries as keep all tasks busy and fit in BLOCK_BYTES.
 """
 
 from __future__ import annotations
@@ -19,9 +23,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from genoframe.llm.shared import written
+from genoframe.llm.shared import partitions, written
 
+#: Fewest rows of a shard (but for what is left over) and of a block of queries, if there are so many.
 SHARD_ROWS, BLOCK_ROWS = 8192, 4096
+#: Most bytes of a shard's vectors and of a block's, in double precision.
+SHARD_BYTES, BLOCK_BYTES = 1 << 26, 1 << 25
 #: Binary logarithm of the most by which norms of a shard differ; 1 lies in the middle of its range.
 NORM_RANGE = 3
 INDEX_SCHEMA = "dim int, shard int, rows long, vectors binary, ids binary, starts binary, extra binary, base binary, upper binary, places binary, top int"
@@ -225,9 +232,17 @@ def _range(vector: Column) -> Column:
     return F.floor(log / NORM_RANGE + 0.5)
 
 
-def index(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def rows_for(rows: int, dim: int, parts: int, fewest: int, most_bytes: int) -> int:
+    """Rows of a part so that there are `parts` of them, but no fewer than `fewest` nor more than fit in the bytes."""
+    return max(1, min(max(fewest, math.ceil(rows / max(1, parts))), most_bytes // (8 * max(1, dim))))
+
+
+def index(rows: DataFrame, shard_rows: int | None = None) -> DataFrame:
     """A row for each shard of usable() rows, written to the shared folder. Vectors of other dimensions, and of norms in
-    other ranges, are shards of their own."""
+    other ranges, are shards of their own. shard_rows: by default as many as leave two shards for each task, see rows_for()."""
+    if shard_rows is None:
+        n, dim = rows.agg(F.count("*"), F.max("dim")).first()
+        shard_rows = rows_for(n, dim or 1, 2 * partitions(rows.sparkSession), SHARD_ROWS, SHARD_BYTES)
     ahead = Window.partitionBy("dim").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     counts = rows.groupBy("dim", _range(F.col("vector")).alias("range")).count().withColumn("shards", F.ceil(F.col("count") / shard_rows))
     counts = counts.select("dim", "range", "shards", F.coalesce(F.sum("shards").over(ahead), F.lit(0)).alias("before"))
@@ -238,9 +253,15 @@ def index(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     return written(sized.select("vec_id", "dim", "shard", "vector").groupBy("dim", "shard").applyInArrow(_index, INDEX_SCHEMA))
 
 
-def search(shards: DataFrame, queries: DataFrame, k: int = 20, wide: int = 128, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest found of each query, nearest first, ties to smaller ids; never itself."""
-    blocks = max(1, math.ceil(queries.count() / block_rows))
+def search(shards: DataFrame, queries: DataFrame, k: int = 20, wide: int = 128, block_rows: int | None = None) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k nearest found of each query, nearest first, ties to smaller ids; never itself.
+
+    block_rows: by default so many that shards and blocks together make two searches for each task, see rows_for().
+    """
+    asked = queries.agg(F.count("*"), F.max("dim")).first()
+    if block_rows is None:
+        block_rows = rows_for(asked[0], asked[1] or 1, math.ceil(2 * partitions(queries.sparkSession) / max(1, shards.count())), BLOCK_ROWS, BLOCK_BYTES)
+    blocks = max(1, math.ceil(asked[0] / block_rows))
     names = shards.groupBy("dim").agg(F.collect_list("shard").alias("all"))
     asked = queries.join(F.broadcast(names), "dim").select("vec_id", "vector", "dim", F.explode("all").alias("shard"), F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"))
     copies = shards.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))

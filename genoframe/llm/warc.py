@@ -16,7 +16,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoframe.llm.shared import partitions, shared_folder, written
+from genoframe.llm.shared import own_folder, partitions, written
 
 VERSION = b"WARC/1."
 GZIP = b"\x1f\x8b\x08"
@@ -461,7 +461,7 @@ def archived(spark: SparkSession, pages: DataFrame, min_bytes: int = 0) -> DataF
     Null html: empty payload. Null url: no target URI. A null page_id stays null. An empty table writes no
     archive and returns no rows. Other columns are not looked at.
     """
-    return read(spread(write(typed(pages, min_bytes), f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}")), payloads=False)
+    return read(spread(write(typed(pages, min_bytes), f"{own_folder(spark)}/warc-{uuid.uuid4().hex}")), payloads=False)
 
 
 # The digits of base32.

@@ -7,15 +7,29 @@ from collections.abc import Mapping, Sequence
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # One hit of these is enough to reject a url.
-STRICT_TERMS = ("adult", "casino", "hentai", "poker", "porn", "porno", "sexcam", "spam", "viagra", "warez", "xxx")
+STRICT_TERMS = """
+adult anal bdsm blowjob camgirl camgirls camsex casino casinos cialis cumshot erotic erotica erotik escorts fetish
+gangbang hentai jackpots keygen kamagra levitra milf milfs nudes onlyfans poker porn porno pornos pornstar pornstars
+roulette sexcam sexcams sexchat sexo sexshop sexvideo sexvideos slutty spam strippers striptease swingers tramadol
+viagra warez xanax xxx
+""".split()
 # These occur in clean urls too; several distinct ones reject.
-SOFT_TERMS = ("ads", "bet", "bets", "bonus", "cheap", "click", "crack", "dating", "deal", "escort", "farm", "free", "jackpot", "loan", "nude", "pharmacy", "pills", "sex", "slots", "torrent", "track", "win")
+SOFT_TERMS = """
+ads affiliate bet bets betting bingo bitcoin bonus bonuses cams cash cheap cheats click clicks coupon coupons crack
+cracked credit dating deal deals desnudas diet download earn escort fake farm followers forex free freebies gamble
+gambling girls gratis hacked hacks hardcore hot hotties jackpot kostenlos lesbian likes loan loans lottery lotto
+mature meds mp3 nackt naked nude offers payday pharmacy pills popup prescription proxy profit prize promo replica rich
+rx sale sex sexy serials single singles slot slots streaming taboo teen teens torrent torrents track traffic video
+videos virgin voucher weightloss win winner
+""".split()
 #: Distinct soft terms that reject.
 SOFT_LIMIT = 2
+#: Most terms of a vocabulary that is read from a file.
+MOST_TERMS = 1_000_000
 # The rules as (verdict, host and path).
 RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
 
@@ -48,6 +62,24 @@ def longest_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
     return (none, none) if name is None else (name, verdict)
 
 
+def read_terms(spark: SparkSession, path: str, most: int = MOST_TERMS) -> tuple[list[str], list[str]]:
+    """(strict, soft) terms of a text file of lines such as "casino strict" or "bonus soft"; blank lines and # comments are left out.
+
+    A vocabulary is sent to every task, so one of over `most` terms is an error, as is a line of another form.
+    """
+    line = F.trim(F.regexp_replace("value", r"\s+", " "))
+    rows = spark.read.text(path).select(line.alias("line")).where("line <> '' and not startswith(line, '#')").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"over {most} terms in {path}")
+    found: dict[str, list[str]] = {"strict": [], "soft": []}
+    for r in rows:
+        term, _, weight = r["line"].rpartition(" ")
+        if not term or " " in term or weight not in found:
+            raise ValueError(f"not a term and its weight: {r['line']}")
+        found[weight].append(term.lower())
+    return found["strict"], found["soft"]
+
+
 def automaton(weights: Mapping[str, bool]) -> ahocorasick.Automaton:
     """weights: term to whether it is strict."""
     found = ahocorasick.Automaton()

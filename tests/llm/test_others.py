@@ -56,6 +56,22 @@ def test_urls(spark):
     assert urls.judge(pages, rules=[], strict=[], soft=[]).where("verdict = 'block' or rule is not null").count() == 0
 
 
+def test_terms_of_a_file(spark, tmp_path):
+    (tmp_path / "terms").write_text("# terms\nCasino  strict\n\nbonus\tsoft\n x-y soft\n")
+    assert urls.read_terms(spark, str(tmp_path / "terms")) == (["casino"], ["bonus", "x-y"])
+    strict, soft = urls.read_terms(spark, str(tmp_path / "terms"))
+    pages = spark.createDataFrame([(1, "http://x.io/x-y/bonus"), (2, "http://x.io/x-y"), (3, "http://CASINO.io")], "page_id long, url string")
+    assert {r.page_id: r.verdict for r in urls.judge(pages, strict=strict, soft=soft).collect()} == {1: "block", 2: "allow", 3: "block"}
+    with pytest.raises(ValueError):
+        urls.read_terms(spark, str(tmp_path / "terms"), most=2)
+    (tmp_path / "bad").write_text("casino maybe\n")
+    with pytest.raises(ValueError):
+        urls.read_terms(spark, str(tmp_path / "bad"))
+    many = [f"term{k}" for k in range(20_000)]
+    found = urls.judge(spark.createDataFrame([(1, "http://x.io/term19999/a"), (2, "http://x.io/term20000")], "page_id long, url string"), strict=many, soft=[])
+    assert {r.page_id: r.verdict for r in found.collect()} == {1: "block", 2: "allow"}
+
+
 # -- warc ---------------------------------------------------------------------------------------------------
 
 
@@ -223,6 +239,13 @@ def test_recall_with_very_long_vectors(spark):
     assert len(own & exact) >= 0.9 * len(exact)
 
 
+def test_rows_of_shards():
+    assert ann.rows_for(50_000, 64, 100, 8192, 1 << 26) == 8192
+    assert ann.rows_for(10**9, 64, 100, 8192, 1 << 26) == (1 << 26) // 512
+    assert ann.rows_for(4_000_000, 64, 100, 8192, 1 << 26) == 40_000
+    assert ann.rows_for(0, 1 << 30, 0, 8192, 1 << 26) == 1
+
+
 def test_odd_vectors(spark):
     copies = [(i, [1.0, 0.0]) for i in range(40)]
     bad = [(100, None), (101, []), (102, [0.0, 0.0]), (103, [1.0, None]), (104, [float("nan"), 1.0]), (105, [float("inf"), 1.0]), (None, [1.0, 1.0])]

@@ -107,3 +107,62 @@ def test_mixed_order_keeps_columns(spark):
     assert mixing.in_mixed_order(empty_documents(spark), {"src0": 1}).count() == 0
     with pytest.raises(ValueError):
         mixing.mixed(docs, {"*": 1})
+
+
+def plain_schedule(parts, blocks):
+    """Slot by slot: of the sources that still have blocks, each block may run from its release on; the earliest deadline runs. When one runs dry the others begin anew."""
+    from fractions import Fraction
+
+    left, order, done = {s: n for s, n in blocks.items() if n}, [], dict.fromkeys(blocks, 0)
+    while left:
+        total, here, slot, dry = sum(parts[s] for s in left), dict.fromkeys(left, 0), 0, False
+        while not dry:
+            weight = {s: Fraction(parts[s], total) for s in left}
+            ready = [s for s in left if here[s] / weight[s] // 1 <= slot]
+            s = min(ready, key=lambda s: (-(-(here[s] + 1) / weight[s] // 1), -parts[s], s))
+            order.append((s, done[s]))
+            here[s], done[s], slot = here[s] + 1, done[s] + 1, slot + 1
+            left[s] -= 1
+            dry = not left[s]
+        left = {s: n for s, n in left.items() if n}
+    return order
+
+
+def test_schedule_against_slot_by_slot():
+    for parts, blocks in (({"a": 5, "b": 3, "c": 1}, {"a": 20, "b": 3, "c": 9}), ({"a": 4, "b": 4, "c": 2, "d": 6}, {"a": 7, "b": 31, "c": 1, "d": 12}), ({"a": 1}, {"a": 4}), ({"a": 7, "b": 2}, {"a": 1, "b": 30})):
+        found = {}
+        for r in mixing.schedule(parts, blocks):
+            for b in range(r.first, r.last + 1):
+                j = b - r.first
+                found[r.start + j // r.parts * r.period + r.places[j % r.parts]] = (r.source, b)
+        assert [found[k] for k in range(len(found))] == plain_schedule(parts, blocks)
+
+
+def test_shared_folder(spark, tmp_path, monkeypatch):
+    from genoframe.llm import shared
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
+
+        def set(self, key, value):
+            self[key] = value
+
+    class Context:
+        def __init__(self, master, at=None):
+            self.master, self.at = master, at
+
+        def getCheckpointDir(self):
+            return self.at
+
+    class Session:
+        def __init__(self, context, **conf):
+            self.sparkContext, self.conf = context, Conf(conf)
+
+    assert shared.shared_folder(Session(Context("spark://x", "hdfs://a/b"))) == "hdfs://a/b"
+    assert shared.shared_folder(Session(Context("spark://x", "hdfs://a/b"), **{"spark.checkpoint.dir": "s3://c"})) == "s3://c"
+    assert shared.shared_folder(Session(Context("local[4]"))).startswith("file://")
+    with pytest.raises(ValueError):
+        shared.shared_folder(Session(Context("yarn")))
+    rows = shared.written(spark.range(3))
+    assert rows.count() == 3 and shared.own_folder(spark).split("://")[-1].strip("/") in rows.inputFiles()[0]

@@ -16,7 +16,7 @@ Classes are the components of links that hold, and of no others.
 
 from __future__ import annotations
 
-import string
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,9 @@ FIRST_BANDS = 8
 #: Words of 64 bits of a fingerprint, and differing bits within which the trees look: 4.5 deviations above those of likeness 0.8.
 WORDS, RADIUS = 4, 64
 #: Texts of a chunk.
-CHUNK_TEXTS = 256
+CHUNK_TEXTS = 64
+#: Most rows, of a few numbers each, that are broadcast.
+BROADCAST_ROWS = 1_000_000
 
 _FACTORS = np.random.default_rng(5).integers(0, 1 << 63, BANDS * BAND_ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 _ODD = np.random.default_rng(6).integers(0, 1 << 63, (WORDS, 2), np.uint64) * np.uint64(2) + np.uint64(1)
@@ -69,20 +71,8 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return common / (len(a) + len(b) - common)
 
 
-def words_of(text: Column) -> Column:
-    """A text's words with one space between them, A-Z lower-cased."""
-    low = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    return F.trim(F.regexp_replace(low, r"[ \t\n\x0B\f\r]+", " "))
-
-
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, key, text) of each row: key is a digest of 128 bits of the words, which text holds."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), words_of(F.col(text_col)).alias("text"))
-    return rows.select("id", F.unhex(F.md5("text")).alias("key"), "text")
-
-
 def sketches(rows: DataFrame, words: int) -> DataFrame:
-    """(id, key, fp, shingles: how many, bands) of rows(id, key, text)."""
+    """(id, hash, high, low: digest of the words in order, fp, shingles: how many, bands) of rows(id, hash, text)."""
 
     def run(batches):
         for batch in batches:
@@ -90,17 +80,33 @@ def sketches(rows: DataFrame, words: int) -> DataFrame:
             for text in batch.column(2).to_pylist():
                 # Fingerprint and likeness are of the same set: a shingle counts once, however often it is repeated.
                 distinct = np.unique(shingle_hashes(text, words))
-                out.append((wide_simhash(distinct), len(distinct), bands(distinct) if len(distinct) else np.zeros(0, np.int64)))
-            columns = [pa.array([o[k] for o in out], t) for k, t in enumerate((pa.binary(), pa.int64(), pa.list_(pa.int64())))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["id", "key", "fp", "shingles", "bands"])
+                high, low = np.frombuffer(xxhash.xxh3_128_digest(b" ".join((text or b"").lower().split())), np.int64).tolist()
+                out.append((high, low, wide_simhash(distinct), len(distinct), bands(distinct) if len(distinct) else np.zeros(0, np.int64)))
+            columns = [pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64())))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], names=["id", "hash", "high", "low", "fp", "shingles", "bands"])
+
+    return rows.mapInArrow(run, "id long, hash long, high long, low long, fp binary, shingles long, bands array<long>")
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """(id, hash of the text) and more of each row: together they name a text of an id."""
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("hash"), *more)
 
-    return rows.select("id", "key", F.col("text").cast("binary")).mapInArrow(run, "id long, key binary, fp binary, shingles long, bands array<long>")
+
+def _same_text() -> Column:
+    return F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash"))
+
+
+def _sized(df: DataFrame) -> DataFrame:
+    """df, written first, to be broadcast if it has at most BROADCAST_ROWS rows."""
+    df = written(df)
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def _shared(shards: DataFrame, where: Column, *more: Column) -> DataFrame:
     """Rows of those shards for which `where`, an aggregate, is true, with the other aggregates. Shard and a hash of it join, so that a hot one can be split."""
     found = shards.groupBy("shard").agg(where.alias("_where"), *more).where("_where").drop("_where")
-    found = found.withColumnRenamed("shard", "_s").withColumn("_h", F.xxhash64("_s"))
+    found = _sized(found.withColumnRenamed("shard", "_s").withColumn("_h", F.xxhash64("_s")))
     same = (F.col("shard") == F.col("_s")) & (F.xxhash64("shard") == F.col("_h"))
     return shards.join(found, same).drop("_s", "_h")
 
@@ -202,8 +208,10 @@ def _partners(group, fits):
             at_node[k].append(row)
 
 
-def _remaining(texts: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """(a, b): links that hold between texts(node, class, fp, shingles, bands) of different classes in a shard; of a cell as many as join what is joined."""
+def _remaining(texts: DataFrame, sets: Callable[[DataFrame], DataFrame], least: float) -> DataFrame:
+    """(a, b): links that hold between texts(node, class, fp, shingles, bands) of different classes in a shard; of a cell as many as join what is joined.
+
+    sets: gives (node, set) of nodes."""
     cells = _cells(_open_shards(texts)).join(texts.select("node", "fp", "shingles"), "node")
     cells = cells.select("shard", "i", "j", "part", "node", "class", "fp", "shingles")
     sizes_fit = lambda a, b: a[5] != b[5] and min(a[7], b[7]) >= least * max(a[7], b[7])
@@ -231,36 +239,39 @@ def _remaining(texts: DataFrame, sets: DataFrame, least: float) -> DataFrame:
                 yield x[4], y[4]
 
     keys, order = ["shard", "i", "j"], ["part", "node"]
-    flagged = over_groups(cells, keys, order, flag, cells.schema)
-    own = sets.select(F.col("node").alias("_n"), "set", F.xxhash64("node").alias("_h"))
+    flagged = written(over_groups(cells, keys, order, flag, cells.schema))
+    own = sets(flagged.select("node")).select(F.col("node").alias("_n"), "set", F.xxhash64("node").alias("_h"))
     flagged = flagged.join(own, (F.col("node") == F.col("_n")) & (F.xxhash64("node") == F.col("_h"))).drop("_n", "_h")
     return over_groups(flagged, keys, order, compare, "a long, b long")
 
 
 def near_copies(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(texts, classes): texts(node, key, id, ...) has a row for each distinct sequence of words with its smallest id;
+    """(texts, classes): texts(node, id, hash, ...) has a row for each distinct sequence of words with its smallest id;
     classes(node, root) names, for each of these nodes with a near copy, one node of its class.
 
     Near copies have at least that share of their distinct shingles in common; classes are what such links join.
     Case (A-Z) and white space do not matter; texts without words, null ones too, are copies of one another. Rows of
     one id with different words are different texts.
     """
-    rows = keyed(docs, id_col, text_col)
-    texts = sketches(rows, words).groupBy("key").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("fp", "shingles", "bands")])
-    texts = written(texts.withColumn("node", F.monotonically_increasing_id()))
+    rows = _rows(docs, id_col, text_col, F.col(text_col).cast("binary").alias("text"))
+    lead = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")).alias("lead")
+    texts = sketches(rows, words).groupBy("high", "low").agg(lead, *[F.first(c).alias(c) for c in ("fp", "shingles", "bands")])
+    texts = written(texts.select(F.monotonically_increasing_id().alias("node"), "lead.id", "lead.hash", "fp", "shingles", "bands"))
 
-    def shingled(batches):
-        for batch in batches:
-            found = [np.unique(shingle_hashes(t, words)).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["node", "set"])
+    def sets(nodes: DataFrame) -> DataFrame:
+        """(node, set): the shingles of the texts of those nodes."""
+
+        def shingled(batches):
+            for batch in batches:
+                found = [np.unique(shingle_hashes(t, words)).tobytes() for t in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["node", "set"])
 
-    # Only texts that share a band with another are shingled again.
-    meet = _shared(texts.select("node", F.explode("bands").alias("shard")), F.count("*") > 1).select("node").distinct()
-    meet = texts.join(meet, "node", "left_semi").select("node", F.col("key").alias("_key"), F.col("id").alias("_id"))
-    own = rows.join(meet, (F.col("key") == F.col("_key")) & F.col("id").eqNullSafe(F.col("_id"))).select("node", F.col("text").cast("binary").alias("text"))
-    sets = written(own.mapInArrow(shingled, "node long, set binary").dropDuplicates(["node"]))
+        wanted = _sized(texts.join(nodes.distinct(), "node", "left_semi").select("node", F.col("id").alias("_id"), F.col("hash").alias("_hash")))
+        found = rows.join(wanted, _same_text()).select("node", "text").mapInArrow(shingled, "node long, set binary")
+        return written(found.dropDuplicates(["node"]))
 
-    links = written(_holding(_nearest(texts, FIRST_BANDS), sets, least))
+    pairs = written(_nearest(texts, FIRST_BANDS))
+    links = written(_holding(pairs, sets(pairs.select(F.explode(F.array("a", "b")).alias("node"))), least))
     first = connected_components(links, "a", "b").select(F.col("node").alias("_n"), "root")
     classed = texts.join(first, F.col("node") == F.col("_n"), "left").select("node", F.coalesce("root", "node").alias("class"), "fp", "shingles", "bands")
     more = _remaining(written(classed), sets, least)
@@ -270,15 +281,14 @@ def near_copies(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str
 def first_of_each(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of docs, with all its columns, of each class of near copies: that with the smallest id.
 
-    Null ids come after all others. Of several such rows with that id, the one whose words have the least digest stays,
-    then the first by text and by its JSON form. Rows of one id whose texts are not alike all stay. An empty table
-    stays empty.
+    Null ids come after all others. Of several texts of that id in the class the one whose hash is least stays, and of
+    equal ones the least row by its columns, but for those that have no order. Rows of one id whose texts are not alike
+    all stay. An empty table stays empty.
     """
     texts, classes = near_copies(docs, words, least, id_col, text_col)
-    named = texts.select("node", "key", "id").join(classes.select(F.col("node").alias("_n"), "root"), F.col("node") == F.col("_n"), "left")
-    lead = F.struct(F.col("id").isNull().alias("none"), "id", "key")
-    chosen = named.groupBy(F.coalesce("root", "node").alias("class")).agg(F.min(lead).alias("lead")).select(F.col("lead.id").alias("_id"), F.col("lead.key").alias("_key"))
-    rows = docs.select(F.struct("*").alias("doc"), F.col(id_col).cast("long").alias("id"), F.unhex(F.md5(words_of(F.col(text_col)))).alias("key"))
-    kept = rows.join(chosen, (F.col("key") == F.col("_key")) & F.col("id").eqNullSafe(F.col("_id")), "left_semi")
-    order = F.struct(F.col(f"doc.`{text_col}`").alias("text"), F.to_json("doc").alias("json"))
-    return kept.groupBy("key", "id").agg(F.min_by("doc", order).alias("doc")).select("doc.*")
+    named = texts.select("node", "id", "hash").join(classes.select(F.col("node").alias("_n"), "root"), F.col("node") == F.col("_n"), "left")
+    lead = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")).alias("lead")
+    chosen = named.groupBy(F.coalesce("root", "node").alias("class")).agg(lead).select(F.col("lead.id").alias("_id"), F.col("lead.hash").alias("_hash"))
+    kept = _rows(docs, id_col, text_col, F.struct("*").alias("doc")).join(chosen, _same_text(), "left_semi")
+    order = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    return kept.groupBy("id", "hash").agg(F.min_by("doc", F.struct(*[F.col(f"doc.`{c}`") for c in order])).alias("doc")).select("doc.*")

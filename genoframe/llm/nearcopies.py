@@ -5,11 +5,12 @@ about 39 of them, unrelated ones in 128. A BK-tree over all texts would grow wit
 shards by bands of MinHash values: every band that two texts share is a shard of its own, never joined to other shards.
 A shard's tree is searched along the edges within the radius, and what it finds is compared by whole shingle sets.
 
-1. In the shards of the first bands each text is linked to the nearest one that the tree finds; these links, one for
-   each text and shard, are compared exactly, and components of the links that hold are the first classes.
-2. In the shards of all bands that still hold several classes, every two texts of different classes within the radius
-   are compared. Only texts with such a partner are sent their shingles. Large shards are dealt again by a second band,
-   and what is still large is cut into chunks that meet in pairs; two chunks of a shard's largest class need not meet.
+1. In the shards of the first bands each text is linked to the nearest other one that the tree finds; these links, one
+   for each text and shard, are compared exactly, and components of the links that hold are the first classes.
+2. In those shards, then in the shards of all bands, that still hold several classes, every two texts of different
+   classes within the radius are compared. Only texts with such a partner are sent their shingles. Large shards are
+   dealt again by a second band, and what is still large is cut into chunks that meet in pairs; two chunks of a shard's
+   largest class need not meet.
 
 Classes are the components of links that hold, and of no others.
 """
@@ -31,12 +32,12 @@ from genoframe.operators.groups import over_groups
 
 #: Bands of MinHash values and values in each: of pairs of likeness 0.8, three in a million share no band.
 BANDS, BAND_ROWS = 32, 5
-#: Bands whose shards are searched for nearest texts first.
-FIRST_BANDS = 8
+#: Bands whose shards are searched for nearest texts first, and bands whose shards are then searched whole before all others.
+FIRST_BANDS, THEN_BANDS = 8, 4
 #: Words of 64 bits of a fingerprint, and differing bits within which the trees look: 4.5 deviations above those of likeness 0.8.
 WORDS, RADIUS = 4, 64
 #: Texts of a chunk.
-CHUNK_TEXTS = 64
+CHUNK_TEXTS = 256
 #: Most rows, of a few numbers each, that are broadcast.
 BROADCAST_ROWS = 1_000_000
 
@@ -112,9 +113,9 @@ def _shared(shards: DataFrame, where: Column, *more: Column) -> DataFrame:
 
 
 def _nearest(texts: DataFrame, first: int) -> DataFrame:
-    """(a, b): in every shard of the first bands, each text and the nearest within the radius among those before it.
+    """(a, b): in every shard of the first bands, each text and the nearest other one within the radius.
 
-    A shard over CHUNK_TEXTS is cut into chunks, and each text is looked for in its own chunk and the first.
+    A shard over CHUNK_TEXTS is cut into chunks, other ones in each band, and each text is looked for in its own chunk and the first.
     """
     shards = texts.select("node", "fp", "shingles", F.explode(F.slice("bands", 1, first)).alias("shard"))
     shards = _shared(shards, F.count("*") > 1, F.ceil(F.count("*") / CHUNK_TEXTS).alias("chunks"))
@@ -123,16 +124,21 @@ def _nearest(texts: DataFrame, first: int) -> DataFrame:
     cells = shards.select("shard", F.explode(everywhere).alias("cell"), "own", "node", "fp")
 
     def look(key, group):
-        tree, nodes = BKTree(), []
+        tree, at_node, asked = BKTree(), [], []
         for _, cell, own, node, fp in group:
-            value, hit = int.from_bytes(fp, "big"), None
+            k = tree.insert(int.from_bytes(fp, "big"))
+            if k == len(at_node):
+                at_node.append(node)
+            elif own == cell:
+                yield at_node[k], node
+                continue
             if own == cell:
-                hit = tree.nearest(value, RADIUS)
-                if hit is not None:
-                    yield nodes[hit], node
-            if hit is None or tree.values[hit] != value:
-                tree.insert(value)
-                nodes.append(node)
+                asked.append((k, node))
+        for k, node in asked:
+            if at_node[k] != node:
+                yield at_node[k], node
+            elif (hit := tree.nearest(tree.values[k], RADIUS, k)) is not None:
+                yield min(node, at_node[hit]), max(node, at_node[hit])
 
     return over_groups(cells, ["shard", "cell"], ["own", "node"], look, "a long, b long").distinct()
 
@@ -155,11 +161,11 @@ def _holding(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return pairs.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
-def _open_shards(texts: DataFrame) -> DataFrame:
+def _open_shards(texts: DataFrame, bands: Column) -> DataFrame:
     """(shard, node, class, main, rest, most) of texts(node, class, bands) in shards of several classes: main is a shard's
     largest class, most the number of its texts and rest that of all others. Large ones are dealt again by a second band."""
     several = F.min("class") < F.max("class")
-    shards = _shared(texts.select("node", "class", F.explode("bands").alias("shard")), several)
+    shards = _shared(texts.select("node", "class", F.explode(bands).alias("shard")), several)
 
     def sized(shards: DataFrame) -> DataFrame:
         by_class = shards.groupBy("shard", "class").agg(F.count("*").alias("n"))
@@ -208,11 +214,11 @@ def _partners(group, fits):
             at_node[k].append(row)
 
 
-def _remaining(texts: DataFrame, sets: Callable[[DataFrame], DataFrame], least: float) -> DataFrame:
-    """(a, b): links that hold between texts(node, class, fp, shingles, bands) of different classes in a shard; of a cell as many as join what is joined.
+def _remaining(texts: DataFrame, bands: Column, sets: Callable[[DataFrame], DataFrame], least: float) -> DataFrame:
+    """(a, b): links that hold between texts(node, class, fp, shingles, bands) of different classes in a shard of those bands; of a cell as many as join what is joined.
 
     sets: gives (node, set) of nodes."""
-    cells = _cells(_open_shards(texts)).join(texts.select("node", "fp", "shingles"), "node")
+    cells = _cells(_open_shards(texts, bands)).join(texts.select("node", "fp", "shingles"), "node")
     cells = cells.select("shard", "i", "j", "part", "node", "class", "fp", "shingles")
     sizes_fit = lambda a, b: a[5] != b[5] and min(a[7], b[7]) >= least * max(a[7], b[7])
 
@@ -272,10 +278,11 @@ def near_copies(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str
 
     pairs = written(_nearest(texts, FIRST_BANDS))
     links = written(_holding(pairs, sets(pairs.select(F.explode(F.array("a", "b")).alias("node"))), least))
-    first = connected_components(links, "a", "b").select(F.col("node").alias("_n"), "root")
-    classed = texts.join(first, F.col("node") == F.col("_n"), "left").select("node", F.coalesce("root", "node").alias("class"), "fp", "shingles", "bands")
-    more = _remaining(written(classed), sets, least)
-    return texts, connected_components(links.unionByName(more), "a", "b")
+    for own in (F.slice("bands", 1, THEN_BANDS), F.col("bands")):
+        found = connected_components(links, "a", "b").select(F.col("node").alias("_n"), "root")
+        classed = texts.join(found, F.col("node") == F.col("_n"), "left").select("node", F.coalesce("root", "node").alias("class"), "fp", "shingles", "bands")
+        links = links.unionByName(written(_remaining(written(classed), own, sets, least)))
+    return texts, connected_components(links, "a", "b")
 
 
 def first_of_each(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

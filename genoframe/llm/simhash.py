@@ -100,8 +100,8 @@ class BKTree:
                 if d - radius <= edge <= d + radius:
                     todo.append(child)
 
-    def nearest(self, value: int, radius: int) -> int | None:
-        """Index of the nearest value within the radius, which shrinks to the nearest found so far."""
+    def nearest(self, value: int, radius: int, but: int = -1) -> int | None:
+        """Index (other than `but`) of the nearest value within the radius, which shrinks to the nearest found so far."""
         todo, best, found = [(0, 0)] if self.values else [], radius + 1, None
         values, children = self.values, self.children
         while todo:
@@ -109,7 +109,7 @@ class BKTree:
             if least >= best:
                 continue
             d = (values[at] ^ value).bit_count()
-            if d < best:
+            if d < best and at != but:
                 best, found = d, at
             for edge, child in children[at].items():
                 if (gap := abs(d - edge)) < best:

@@ -1,57 +1,160 @@
-"""Global alignment of short oriented sequence pairs, for segments that no outside aligner has worked on."""
+"""Global alignment of oriented sequence pairs, for segments that no outside aligner has worked on.
+
+A pair is cut into tiles at exact words that both sequences hold once and in the same order, the tiles are aligned by
+fewest edits as rows of their own, and their paths are joined by position. Within a tile memory is linear.
+"""
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections.abc import Iterator
 from itertools import groupby
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Most edits of a pair; farther ones are left to an aligner and said to be so. Memory grows with its square.
-MOST_EDITS = 2000
+from genoframe.operators.groups import over_groups
+
+#: Words at which a pair is cut: first the long ones, then shorter ones within tiles that stay over TILE bases.
+SEEDS, TILE = (32, 20, 12), 256
+
+Path = list[tuple[str, int]]
+
+
+def _middle(a: str, b: str, most: int | None) -> tuple[int, int] | None:
+    """A place (x, y) inside on a path of fewest edits, for sequences at least two edits apart; None if there are more than `most`.
 
+    Fronts grow from both ends, one edit at a time: of each diagonal (x less y) the farthest base that so many edits reach.
+    Costs do not fall along a diagonal, so where fronts meet, the paths do. Only the fronts are kept.
+    """
+    n, m = len(a), len(b)
+    ahead = ({}, {})  # one of them with both sequences turned round
+    edits = [-1, -1]
+    while True:
+        way = 0 if edits[0] <= edits[1] else 1
+        edits[way] += 1
+        if most is not None and sum(edits) > most:
+            return None
+        last, front = ahead[way], {}
+        for k in range(max(-m, -edits[way]), min(n, edits[way]) + 1):
+            x = max(last.get(k, -2) + 1, last.get(k - 1, -2) + 1, last.get(k + 1, -2)) if last else 0
+            x = min(x, n, m + k)
+            if x < max(0, k):
+                continue
+            y = x - k
+            if way:
+                while x < n and y < m and a[-1 - x] == b[-1 - y]:
+                    x, y = x + 1, y + 1
+            else:
+                while x < n and y < m and a[x] == b[y]:
+                    x, y = x + 1, y + 1
+            front[k] = x
+        ahead[way].clear()
+        ahead[way].update(front)
+        for k, x in front.items():
+            other = ahead[1 - way].get(n - m - k)
+            if other is not None and x + other >= n:
+                at, k = (n - other, k) if not way else (n - x, n - m - k)
+                return at, at - k
 
-def edit_path(target: str, query: str, most: int = MOST_EDITS) -> list[tuple[str, int]] | None:
-    """Runs of '=', 'X', 'I' (query alone) and 'D' (target alone) with fewest edits; None beyond `most`.
 
-    reach[k] is the farthest target base on diagonal k (target less query) after each number of edits.
+def edit_path(target: str, query: str, most: int | None = None) -> Path | None:
+    """Runs of '=', 'X', 'I' (query alone) and 'D' (target alone) with fewest edits; None if there are more than `most`.
+
+    The pair is halved at a place of a best path again and again, so memory grows with the sequences' length alone.
     """
-    n, m = len(target), len(query)
+    out: list[list] = []
+    todo: list[tuple[int, int, int, int] | int] = [(0, len(target), 0, len(query))]
 
-    def slide(t: int, k: int) -> int:
-        while t < n and t - k < m and target[t] == query[t - k]:
-            t += 1
-        return t
+    def add(op: str, n: int) -> None:
+        if n and out and out[-1][0] == op:
+            out[-1][1] += n
+        elif n:
+            out.append([op, n])
 
-    waves = [{0: slide(0, 0)}]
-    while waves[-1].get(n - m, -1) < n:
-        if len(waves) > most:
+    while todo:
+        job = todo.pop()
+        if isinstance(job, int):
+            add("=", job)
+            continue
+        t0, t1, q0, q1 = job
+        tail = 0
+        while t0 < t1 and q0 < q1 and target[t0] == query[q0]:
+            add("=", 1)
+            t0, q0 = t0 + 1, q0 + 1
+        while t0 < t1 and q0 < q1 and target[t1 - 1] == query[q1 - 1]:
+            t1, q1, tail = t1 - 1, q1 - 1, tail + 1
+        if t0 == t1 or q0 == q1 or (t1 - t0 == 1 and q1 - q0 == 1):
+            if most is not None and max(t1 - t0, q1 - q0) > most:
+                return None
+            same = min(t1 - t0, q1 - q0)
+            for op, n in (("X", same), ("D", t1 - t0 - same), ("I", q1 - q0 - same), ("=", tail)):
+                add(op, n)
+        elif (found := _middle(target[t0:t1], query[q0:q1], most)) is None:
             return None
-        last, wave = waves[-1], {}
-        for k in range(min(last) - 1, max(last) + 2):
-            t = max(last.get(k, -2) + 1, last.get(k - 1, -2) + 1, last.get(k + 1, -2))
-            if t >= 0 and t <= n and 0 <= t - k <= m:
-                wave[k] = slide(t, k)
-        waves.append(wave)
-    ops, k, t = [], n - m, n
-    for d in range(len(waves) - 1, 0, -1):
-        last = waves[d - 1]
-        options = ((last.get(k, -2) + 1, "X", k), (last.get(k - 1, -2) + 1, "D", k - 1), (last.get(k + 1, -2), "I", k + 1))
-        start, op, before = max((o for o in options if o[0] >= 0 and 0 <= o[0] - k <= m), key=lambda o: o[0])
-        ops += ["="] * (t - start) + [op]
-        t, k = (start if op == "I" else start - 1), before
-    ops += ["="] * t
-    return [(op, len(list(run))) for op, run in groupby(reversed(ops))]
-
-
-def difference_string(path: list[tuple[str, int]], target: str, query: str) -> str:
-    """The cs form of a path."""
+        else:
+            todo += [tail, (t0 + found[0], t1, q0 + found[1], q1), (t0, t0 + found[0], q0, q0 + found[1])]
+        most = None  # the whole pair is within it
+    return [(op, n) for op, n in out]
+
+
+def _once(text: str, size: int) -> dict[str, int]:
+    """Places of the words of that size that occur once."""
+    seen: dict[str, int] = {}
+    for i in range(len(text) - size + 1):
+        word = text[i : i + size]
+        seen[word] = -1 if word in seen else i
+    return {w: i for w, i in seen.items() if i >= 0}
+
+
+def _in_register(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The longest chain of (t, q), sorted by t, that grows on both."""
+    ends: list[int] = []
+    at_end: list[int] = []
+    before: list[int] = []
+    for i, (_, q) in enumerate(pairs):
+        k = bisect_left(ends, q)
+        before.append(at_end[k - 1] if k else -1)
+        ends[k : k + 1], at_end[k : k + 1] = [q], [i]
+    out, i = [], at_end[-1] if at_end else -1
+    while i >= 0:
+        out.append(pairs[i])
+        i = before[i]
+    return out[::-1]
+
+
+def cuts(target: str, query: str, seeds: tuple[int, ...] = SEEDS, tile: int = TILE) -> Iterator[tuple[int, int]]:
+    """Places (t, q) in order where a pair can be cut in register: middles of exact words that both hold once.
+
+    Between them shorter words are looked for while more than `tile` bases lie there.
+    """
+    if not seeds or max(len(target), len(query)) <= tile:
+        return
+    size, half = seeds[0], seeds[0] // 2
+    once = _once(query, size)
+    chain = _in_register([(i, once[w]) for w, i in _once(target, size).items() if w in once]) if once else []
+    t = q = 0
+    for i, j in [*chain, (None, None)]:
+        to_t, to_q = (len(target), len(query)) if i is None else (i + half, j + half)
+        # Cuts nearer than a tile to the last are not needed.
+        if i is not None and to_t - t < tile and to_q - q < tile:
+            continue
+        for x, y in cuts(target[t:to_t], query[q:to_q], seeds[1:], tile):
+            yield t + x, q + y
+        if i is not None:
+            yield to_t, to_q
+            t, q = to_t, to_q
+
+
+def difference_string(path: Path, target: str, query: str, long: bool = False) -> str:
+    """The cs form of a path; long: with the equal bases themselves."""
     t = q = 0
     out = []
     for op, n in path:
         if op == "=":
-            out.append(f":{n}")
+            out.append(f"={target[t : t + n]}" if long else f":{n}")
         elif op == "X":
             out += [f"*{a}{b}" for a, b in zip(target[t : t + n].lower(), query[q : q + n].lower())]
         else:
@@ -60,10 +163,24 @@ def difference_string(path: list[tuple[str, int]], target: str, query: str) -> s
     return "".join(out)
 
 
-def align_pairs(rows: DataFrame, target: str = "target", query: str = "query", most: int = MOST_EDITS) -> DataFrame:
-    """rows with `aln`: struct of cg, cs, nmatch, alnlen and edits, or of the reason why there is none."""
+ALIGNED = "cg string, cs string, nmatch bigint, alnlen bigint, edits bigint, reason string"
+
+
+def _described(path: Path, target: str, query: str, long: bool) -> tuple:
+    """(cg, cs, nmatch, alnlen, edits)."""
+    merged = [(m, sum(n for _, n in run)) for m, run in groupby(path, key=lambda x: "M" if x[0] in "=X" else x[0])]
+    same, whole = sum(n for op, n in path if op == "="), sum(n for _, n in path)
+    return "".join(f"{n}{op}" for op, n in merged), difference_string(path, target, query, long), same, whole, whole - same
+
 
-    @F.pandas_udf("cg string, cs string, nmatch bigint, alnlen bigint, edits bigint, reason string")
+def align_pairs(rows: DataFrame, target: str = "target", query: str = "query", most: int | None = None, long: bool = False) -> DataFrame:
+    """rows with `aln`: struct of cg, cs, nmatch, alnlen and edits, or of the reason why there is none.
+
+    Each pair is worked on by itself, whole: for pairs of up to some thousand bases, or of few edits: time grows with
+    the square of the edits. most: pairs of more edits have the reason "too many edits". None: no such limit.
+    """
+
+    @F.pandas_udf(ALIGNED)
     def run(targets: pd.Series, queries: pd.Series) -> pd.DataFrame:
         found = []
         for t, q in zip(targets, queries):
@@ -71,13 +188,47 @@ def align_pairs(rows: DataFrame, target: str = "target", query: str = "query", m
                 found.append((None, None, None, None, None, "empty"))
                 continue
             path = edit_path(t.upper(), q.upper(), most)
-            if path is None:
-                found.append((None, None, None, None, None, "too many edits"))
-                continue
-            merged = [(m, sum(n for _, n in run)) for m, run in groupby(path, key=lambda x: "M" if x[0] in "=X" else x[0])]
-            same, whole = sum(n for op, n in path if op == "="), sum(n for _, n in path)
-            found.append(("".join(f"{n}{op}" for op, n in merged), difference_string(path, t, q), same, whole, whole - same, None))
+            found.append((None, None, None, None, None, "too many edits") if path is None else (*_described(path, t, q, long), None))
         out = pd.DataFrame(found, columns=["cg", "cs", "nmatch", "alnlen", "edits", "reason"])
         return out.astype({c: "Int64" for c in ("nmatch", "alnlen", "edits")})
 
     return rows.withColumn("aln", run(F.col(target), F.col(query)))
+
+
+def align_by_tiles(rows: DataFrame, id_col: str, target: str = "target", query: str = "query", long: bool = False) -> DataFrame:
+    """(id, cg, cs, nmatch, alnlen, edits) of rows(id, target, query), however long or different the pairs are; empty pairs are left out.
+
+    Pairs become rows of tiles, which are dealt anew and aligned each by fewest edits; then the paths of a pair are joined in
+    order. Ids name pairs. Cuts lie in exact words, so they cost no edits but where such a word is a chance hit.
+    """
+    kind = dict(rows.dtypes)[id_col]
+
+    def tiles(batches):
+        for batch in batches:
+            for own, t, q in zip(*(c.to_pylist() for c in batch.columns)):
+                places = [(0, 0), *cuts(t.upper(), q.upper()), (len(t), len(q))]
+                parts = [(own, k, t[a:c], q[b:d]) for k, ((a, b), (c, d)) in enumerate(zip(places, places[1:]))]
+                yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in parts], x) for i, x in enumerate((batch.schema.field(0).type, pa.int64(), pa.string(), pa.string()))], names=["id", "tile", "t", "q"])
+
+    pairs = rows.select(F.col(id_col).alias("id"), F.col(target).alias("t"), F.col(query).alias("q")).where("t <> '' and q <> ''")
+    dealt = pairs.mapInArrow(tiles, f"id {kind}, tile long, t string, q string").repartition("id", "tile")
+
+    @F.pandas_udf("array<struct<op:string,n:bigint>>")
+    def path_of(targets: pd.Series, queries: pd.Series) -> pd.Series:
+        return pd.Series([[{"op": op, "n": n} for op, n in edit_path(t.upper(), q.upper())] for t, q in zip(targets, queries)])
+
+    def joined(key, group):
+        whole: list[list] = []
+        ts, qs = [], []
+        for _, _, t, q, path in group:
+            ts.append(t)
+            qs.append(q)
+            for step in path:
+                if whole and whole[-1][0] == step["op"]:
+                    whole[-1][1] += step["n"]
+                else:
+                    whole.append([step["op"], step["n"]])
+        yield (*key, *_described([(op, n) for op, n in whole], "".join(ts), "".join(qs), long))
+
+    paths = dealt.select("id", "tile", "t", "q", path_of("t", "q").alias("path"))
+    return over_groups(paths, ["id"], ["tile"], joined, f"id {kind}, cg string, cs string, nmatch bigint, alnlen bigint, edits bigint").withColumnRenamed("id", id_col)

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 LOCUS = r"^(.+):(\d+)\.\.(\d+)$"
+# What begins an operation of a difference string, by its published grammar (:length, *from-to, +in, -out, =same).
+CS_MARKS = ":*+=-"
+#: An operation: its mark, then all up to the next mark.
+CS_OPERATION = f"([{CS_MARKS}])([^{CS_MARKS}]+)"
 
 
 def total(values: Column) -> Column:
@@ -24,7 +31,7 @@ def matched_bases(cg: Column) -> Column:
 
 def cs_tokens(cs: Column) -> Column:
     """Operations of a difference string: array of (op, val)."""
-    ops, vals = (F.regexp_extract_all(cs, F.lit(r"([:*+-])([^:*+-]+)"), F.lit(k)) for k in (1, 2))
+    ops, vals = (F.regexp_extract_all(cs, F.lit(CS_OPERATION), F.lit(k)) for k in (1, 2))
     return F.zip_with(ops, vals, lambda op, val: F.struct(op.alias("op"), val.alias("val")))
 
 
@@ -40,7 +47,7 @@ def _is_transition(pair: Column) -> Column:
 
 def substitution_pairs(cs: Column) -> Column:
     """The two bases of each substitution."""
-    return F.regexp_extract_all(cs, F.lit(r"\*([^:*+-]{2})(?![^:*+-])"), F.lit(1))
+    return F.regexp_extract_all(cs, F.lit(f"\\*([^{CS_MARKS}]{{2}})(?![^{CS_MARKS}])"), F.lit(1))
 
 
 def k2p(transitions: Column, transversions: Column, sites: Column) -> Column:
@@ -86,11 +93,26 @@ def reverse_complement(seq: Column) -> Column:
     return F.reverse(F.translate(seq, "ACGTacgt", "TGCAtgca"))
 
 
+def _same(token: Column) -> Column:
+    """Bases of a run of equal ones, short (:3) or long (=acg)."""
+    return F.when(token["op"] == ":", token["val"].try_cast("long")).otherwise(F.length(token["val"]).cast("long"))
+
+
+def target_of(cs: Column) -> Column:
+    """The target's bases, from a difference string in the long form."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(cs, r"\+[^:*+=-]+", ""), r"\*(.)(.)", "$1"), "[=-]", "")
+
+
+def query_of(cs: Column) -> Column:
+    """The query's bases, likewise."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(cs, r"-[^:*+=-]+", ""), r"\*(.)(.)", "$2"), "[=+]", "")
+
+
 def gap_compressed_divergence(cs: Column) -> Column:
     """Mismatches and gap openings over these and the matches."""
     tokens = cs_tokens(cs)
-    same = total(F.transform(F.filter(tokens, lambda x: x["op"] == ":"), lambda x: x["val"].cast("long")))
-    other = F.size(F.filter(tokens, lambda x: x["op"] != ":"))
+    same = total(F.transform(F.filter(tokens, lambda x: x["op"].isin(":", "=")), _same))
+    other = F.size(F.filter(tokens, lambda x: ~x["op"].isin(":", "=")))
     return F.try_divide(other, same + other)
 
 
@@ -99,7 +121,8 @@ def cs_counts(cs: Column) -> Column:
     tokens = cs_tokens(cs)
     of = lambda op: F.filter(tokens, lambda x: x["op"] == op)
     size = lambda op: total(F.transform(of(op), lambda x: F.length(x["val"]).cast("long")))
-    return F.struct(total(F.transform(of(":"), lambda x: x["val"].cast("long"))).alias("matches"), F.size(of("*")).cast("long").alias("mismatches"), size("+").alias("inserted"), size("-").alias("deleted"), (F.size(of("+")) + F.size(of("-"))).cast("long").alias("gaps"))
+    same = total(F.transform(F.filter(tokens, lambda x: x["op"].isin(":", "=")), _same))
+    return F.struct(same.alias("matches"), F.size(of("*")).cast("long").alias("mismatches"), size("+").alias("inserted"), size("-").alias("deleted"), (F.size(of("+")) + F.size(of("-"))).cast("long").alias("gaps"))
 
 
 def _joined(runs: Column) -> Column:
@@ -112,8 +135,8 @@ def _joined(runs: Column) -> Column:
 
 def cigar_of(cs: Column) -> Column:
     """The CIGAR of a difference string; runs of matches and mismatches become M."""
-    size = lambda x: F.when(x["op"] == ":", x["val"].try_cast("long")).when(x["op"] == "*", F.lit(1).cast("long")).otherwise(F.length(x["val"]).cast("long"))
-    return _joined(F.transform(cs_tokens(cs), lambda x: F.struct(F.when(x["op"].isin(":", "*"), "M").when(x["op"] == "+", "I").otherwise("D").alias("op"), size(x).alias("n"))))
+    size = lambda x: F.when(x["op"] == "*", F.lit(1).cast("long")).otherwise(_same(x))
+    return _joined(F.transform(cs_tokens(cs), lambda x: F.struct(F.when(x["op"].isin(":", "=", "*"), "M").when(x["op"] == "+", "I").otherwise("D").alias("op"), size(x).alias("n"))))
 
 
 def turned_cigar(cg: Column) -> Column:
@@ -132,6 +155,16 @@ def locus(text: Column, clamp: bool = False, order: bool = False) -> Column:
     return F.struct(F.nullif(F.regexp_extract(text, LOCUS, 1), F.lit("")).alias("name"), (F.greatest(start, F.lit(1).cast("long")) if clamp else start).alias("start"), end.alias("end"))
 
 
+def stored_segment_id(first: Column, second: Column, strand: Column) -> Column:
+    """The ids that results of runs outside this engine carry: 48 bits of BLAKE2b, which is no built-in function."""
+
+    @F.pandas_udf("string")
+    def digest(keys: pd.Series) -> pd.Series:
+        return keys.map(lambda k: None if k is None else hashlib.blake2b(k.encode(), digest_size=6).hexdigest())
+
+    return digest(F.concat(first, F.lit("|"), second, F.lit("|"), strand))
+
+
 def segment_id(first: Column, second: Column, strand: Column) -> Column:
     """Twelve hexadecimal digits that name a pair of intervals."""
     return F.substring(F.sha2(F.concat_ws("|", first, second, strand), 256), 1, 12)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,16 +12,28 @@ from pyspark.sql import functions as F
 MOST_INLINE = 256
 
 
-def genome_of(names: DataFrame, name: str, genomes: DataFrame, as_col: str) -> DataFrame:
+#: The ids of a study's genomes: a table, or what listed() makes of it.
+Genomes = DataFrame | Collection[str]
+
+
+def listed(genomes: Genomes) -> Genomes:
+    """The ids themselves, if there are no more than MOST_INLINE, so that they need not be asked for again."""
+    if not isinstance(genomes, DataFrame):
+        return genomes
+    known = {r["genome"] for r in genomes.select("genome").limit(MOST_INLINE + 1).collect()} - {None}
+    return known if len(known) <= MOST_INLINE else genomes
+
+
+def genome_of(names: DataFrame, name: str, genomes: Genomes, as_col: str) -> DataFrame:
     """names with the genome of column `name`: the longest known id that it is or begins with (id and "_"), else what precedes "_".
 
     genomes(genome) is a list of ids of one study. Up to MOST_INLINE of them become an expression, so that names is read
     once; beyond, the distinct names are joined with them, each through the prefixes that end before an underscore.
     """
-    known = {r["genome"] for r in genomes.select("genome").limit(MOST_INLINE + 1).collect()} - {None}
+    genomes = listed(genomes)
     own, bare = F.col(name), F.split_part(F.col(name), F.lit("_"), F.lit(1))
-    if len(known) <= MOST_INLINE:
-        fits = [F.when((own == g) | own.startswith(g + "_"), g) for g in sorted(known, key=lambda g: (-len(g), g))]
+    if not isinstance(genomes, DataFrame):
+        fits = [F.when((own == g) | own.startswith(g + "_"), g) for g in sorted(genomes, key=lambda g: (-len(g), g))]
         return names.withColumn(as_col, F.coalesce(*fits, bare))
     parts = F.split("_n", "_")
     distinct = names.select(own.alias("_n")).distinct()
@@ -28,6 +42,14 @@ def genome_of(names: DataFrame, name: str, genomes: DataFrame, as_col: str) -> D
     return names.join(found, own == F.col("_n"), "left").withColumn(as_col, F.coalesce("_g", bare)).drop("_n", "_g")
 
 
+def unique_genome_of(names: DataFrame, name: str, sequences: DataFrame, as_col: str) -> DataFrame:
+    """names with the genome of a sequence as sequences(chrom, genome) has it; a sequence of two genomes is an error."""
+    error = F.raise_error(F.concat(F.lit("sequence of several genomes: "), F.col("chrom")))
+    known = sequences.groupBy("chrom").agg(F.min("genome").alias("_a"), F.max("genome").alias("_b"))
+    known = known.select(F.col("chrom").alias("_chrom"), F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise(error).alias(as_col))
+    return names.join(known, F.col(name) == F.col("_chrom"), "left").drop("_chrom")
+
+
 def natural_key(name: Column) -> Column:
     """Sorts digit runs by value and the rest without case."""
     parts = F.regexp_extract_all(name, F.lit(r"(\d+|\D+)"), F.lit(1))

@@ -39,9 +39,21 @@ def name_chromosomes(headers: DataFrame, prefix: str) -> DataFrame:
 
 
 def name_scaffolds(scaffolds: DataFrame, prefix: str, most: int = 13) -> DataFrame:
-    """(ord, header, new) of scaffolds(ord, header, length), longest first; names stop before one is over `most` characters."""
-    rows = scaffolds.select("ord", "header", F.row_number().over(Window.orderBy(F.desc("length"), "ord")).alias("_n"))
-    return rows.select("ord", "header", F.concat(F.lit(f"{prefix}_sca"), F.col("_n").cast("string")).alias("new")).where(F.length("new") <= most)
+    """(ord, header, new) of scaffolds(ord, header, length), longest first; names stop before one is over `most` characters.
+
+    The letters left for a number say how many get a name, so that many of the longest are sorted and numbered.
+    """
+    named = max(0, 10 ** max(0, most - len(f"{prefix}_sca")) - 1)
+    rows = scaffolds.select("ord", "header", "length").orderBy(F.desc("length"), "ord").limit(min(named, (1 << 31) - 1))
+    number = F.row_number().over(Window.orderBy(F.desc("length"), "ord"))
+    return rows.select("ord", "header", F.concat(F.lit(f"{prefix}_sca"), number.cast("string")).alias("new"))
+
+
+def survives(headers: DataFrame, prefix: str, most: int = 13) -> DataFrame:
+    """(records, chromosomes, ok): whether naming would leave any of headers(ord, header): a chromosome, or room for a scaffold's name."""
+    room = len(f"{prefix}_sca1") <= most
+    found = headers.agg(F.count("*").alias("records"), F.count_if(chromosome_of(F.col("header"))[0].isNotNull()).alias("chromosomes"))
+    return found.withColumn("ok", (F.col("records") > 0) & (F.lit(room) | (F.col("chromosomes") > 0)))
 
 
 def pair_list(genomes: DataFrame) -> DataFrame:
@@ -66,6 +78,7 @@ def unique_targets(rows: DataFrame, target: str = "target", id_col: str = "id")
 
 
 def numbered(rows: DataFrame, order: list[str], prefix: str) -> DataFrame:
+    """rows of a list that people read, with a running number: one task's work."""
     return rows.withColumn("number", F.concat(F.lit(prefix), F.row_number().over(Window.orderBy(*order)).cast("string")))
 
 
@@ -92,27 +105,46 @@ def length_classes(fai: DataFrame, by_header: bool = True) -> DataFrame:
     return sums.select("class", "n", "mass", "median", "cum_n", "cum_mass", "total_n", "total_mass", score.alias("score"), F.when(F.col("_next") > 0, F.col("median") / F.col("_next")).alias("fold"))
 
 
-def above_best_cut(classes: DataFrame, most: int = 100, min_share: float = 0.5, min_fold: float = 2.0) -> DataFrame:
-    """The classes down to the one with the best score among those that are fit to be a cut; none if none is."""
-    share = F.col("cum_mass") / F.col("total_mass")
-    fit = F.col("score").isNotNull() & (F.coalesce("fold", F.lit(float("inf"))) >= min_fold) & F.col("cum_n").between(2, most) & (share >= min_share)
-    best = F.max(F.when(fit, F.struct(F.col("score"), (-F.col("cum_n")).alias("_less"), F.col("median")))).over(Window.partitionBy())
-    return classes.withColumn("_cut", best["median"]).where(F.col("median") >= F.col("_cut")).drop("_cut")
+def best_cut(classes: DataFrame, most: int, min_share: float, min_fold: float) -> float | None:
+    """The least median above the best cut; None if no class is fit to be one.
 
-
-def chromosomes(fai: DataFrame, most: int = 100, min_share: float = 0.5, min_fold: float = 2.0, pure: float = 0.1) -> DataFrame:
+    classes(n, mass, median): a cut sets at most `most` sequences apart, so no more classes than that are sorted; of
+    all others only totals count.
+    """
+    weighted = F.col("n") * F.log10(F.greatest("median", F.lit(1.0)))
+    total = classes.agg(F.sum("n").alias("n"), F.sum("mass").alias("mass"), F.sum(weighted).alias("x")).first()
+    first = classes.orderBy(F.desc("median")).limit(most + 1).select("n", "mass", "median", weighted.alias("x")).collect()
+    best, n, mass, x = None, 0, 0, 0.0
+    for k, c in enumerate(first):
+        n, mass, x = n + c["n"], mass + c["mass"], x + c["x"]
+        after = first[k + 1]["median"] if k + 1 < len(first) else None
+        # Nothing is left below the last class, and classes of one median are cut together.
+        if n >= total["n"] or not 2 <= n <= most or after == c["median"]:
+            continue
+        if mass >= min_share * total["mass"] and (not after or c["median"] >= min_fold * after):
+            apart = x / n - (total["x"] - x) / (total["n"] - n)
+            score = n * (total["n"] - n) / total["n"] ** 2 * apart * apart
+            if best is None or score > best[0]:
+                best = (score, c["median"])
+    return best and best[1]
+
+
+def chromosomes(fai: DataFrame, most: int = 100, min_share: float = 0.5, min_fold: float = 2.0, pure: float = 0.1, pattern: str | None = None, min_len: int = 0) -> DataFrame:
     """(chrom, len, rule): all sequences if the shortest has `pure` of the longest's length, else the classes above the best cut.
 
-    Headers' classes count before single lengths. No rows if the assembly has no chromosomes.
+    Headers' classes count before single lengths. No rows if the assembly has no chromosomes. pattern, or else min_len,
+    says which sequences are chromosomes and overrides all that. `most` chromosomes at most are told apart.
     """
-    every = Window.partitionBy()
-    rows = fai.select("chrom", "len", F.min("len").over(every).alias("_min"), F.max("len").over(every).alias("_max"), F.count("*").over(every).alias("_n"))
-    is_pure = (F.col("_n") >= 2) & (F.col("_min") >= pure * F.col("_max")) & (F.col("_n") <= most)
-    found = rows.where(is_pure).select("chrom", "len", F.lit("pure-scale").alias("rule"), F.lit(1).alias("_order"))
-    rest = rows.where(~is_pure).select("chrom", "len")
-    for order, (rule, by_header) in enumerate((("header-class", True), ("length-cliff", False)), 2):
-        above = above_best_cut(length_classes(rest, by_header), most, min_share, min_fold).select(F.col("class").alias("_class"))
-        own = rest.withColumn("_own", signature(F.col("chrom")) if by_header else F.col("chrom"))
-        own = own.join(above, F.col("_own") == F.col("_class"), "left_semi")
-        found = found.unionByName(own.select("chrom", "len", F.lit(rule).alias("rule"), F.lit(order).alias("_order")))
-    return found.withColumn("_first", F.min("_order").over(every)).where(F.col("_order") == F.col("_first")).drop("_order", "_first")
+    ruled = lambda rows, rule: rows.select("chrom", "len", F.lit(rule).alias("rule"))
+    if pattern or min_len:
+        return ruled(fai.where(F.col("chrom").rlike(pattern)), "pattern") if pattern else ruled(fai.where(F.col("len") >= min_len), "min-length")
+    whole = fai.agg(F.count("*").alias("n"), F.min("len").alias("low"), F.max("len").alias("high")).first()
+    if 2 <= whole["n"] <= most and whole["low"] >= pure * whole["high"]:
+        return ruled(fai, "pure-scale")
+    named = fai.withColumn("_class", signature(F.col("chrom")))
+    by_header = named.groupBy("_class").agg(F.count("*").alias("n"), F.sum("len").alias("mass"), F.median("len").alias("median"))
+    if (cut := best_cut(by_header, most, min_share, min_fold)) is not None:
+        return ruled(named.join(by_header.where(F.col("median") >= cut).select("_class"), "_class", "left_semi"), "header-class")
+    by_length = fai.groupBy("len").agg(F.count("*").alias("n"), F.sum("len").alias("mass")).withColumn("median", F.col("len").cast("double"))
+    cut = best_cut(by_length, most, min_share, min_fold)
+    return ruled(fai.where(F.col("len") >= cut) if cut is not None else fai.limit(0), "length-cliff")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from genoframe.functions import alignments as A
-from genoframe.functions.names import genome_of
+from genoframe.functions.names import Genomes, genome_of, listed
 from genoframe.functions.walks import kept_substitutions
 
 
@@ -23,22 +23,24 @@ def with_distance(paf: DataFrame, no_adjacent: bool = False, off_indels: int | N
     return paf.withColumn("k2p", F.when(F.col("cs").isNotNull(), A.k2p(F.col("ti"), F.col("tv"), F.col("sites"))))
 
 
-def adjust_lengths(paf: DataFrame, fai: DataFrame, genomes: DataFrame) -> DataFrame:
+def adjust_lengths(paf: DataFrame, fai: DataFrame, genomes: Genomes) -> DataFrame:
     """paf with lengths from the index where it has them, and both genomes' whole lengths."""
+    genomes = listed(genomes)
     sizes = genome_of(fai, "chrom", genomes, "genome").groupBy("genome").agg(F.sum("len").alias("genome_len"))
     for side in ("q", "t"):
         index = fai.select(F.col("chrom").alias(f"{side}_name"), F.col("len").alias("_len"))
-        paf = paf.join(F.broadcast(index), f"{side}_name", "left").withColumn(f"{side}_len", F.coalesce("_len", f"{side}_len")).drop("_len")
+        paf = paf.join(index, f"{side}_name", "left").withColumn(f"{side}_len", F.coalesce("_len", f"{side}_len")).drop("_len")
         paf = genome_of(paf, f"{side}_name", genomes, "_genome")
         paf = paf.join(sizes.select(F.col("genome").alias("_genome"), F.col("genome_len").alias(f"{side}_genome_len")), "_genome", "left").drop("_genome")
     return paf
 
 
-def reference_bed(paf: DataFrame, reference: str, genomes: DataFrame, strict: bool = False) -> DataFrame:
+def reference_bed(paf: DataFrame, reference: str, genomes: Genomes, strict: bool = False) -> DataFrame:
     """(other, chrom, start, end, de) on the reference's chromosomes, with the other genome's id.
 
     strict tests whether the reference's id occurs anywhere in a name, the query's first; else the resolved ids count.
     """
+    genomes = listed(genomes)
     rows = genome_of(genome_of(paf, "q_name", genomes, "q_genome"), "t_name", genomes, "t_genome")
     on_q = F.col("q_name").contains(reference) if strict else F.col("q_genome") == reference
     on_t = F.col("t_name").contains(reference) if strict else F.col("t_genome") == reference
@@ -46,8 +48,9 @@ def reference_bed(paf: DataFrame, reference: str, genomes: DataFrame, strict: bo
     return rows.where(on_q | on_t).select(pick("t_genome", "q_genome").alias("other"), pick("q_name", "t_name").alias("chrom"), pick("q_start", "t_start").alias("start"), pick("q_end", "t_end").alias("end"), "de")
 
 
-def pair_weights(paf: DataFrame, genomes: DataFrame, value: str = "de") -> DataFrame:
+def pair_weights(paf: DataFrame, genomes: Genomes, value: str = "de") -> DataFrame:
     """(id1, id2, weight, value): each record's share of the matched bases of its unordered genome pair."""
+    genomes = listed(genomes)
     rows = genome_of(genome_of(paf.where("msum is not null"), "q_name", genomes, "g1"), "t_name", genomes, "g2")
     pair = F.struct(F.least("g1", "g2").alias("a"), F.greatest("g1", "g2").alias("b"))
     rows = rows.select(F.col("q_name").alias("id1"), F.col("t_name").alias("id2"), "msum", F.col(value).alias("value"), pair.alias("pair"))
@@ -62,8 +65,9 @@ def chromosome_averages(weights: DataFrame) -> DataFrame:
     return sums.select("id1", "id2", "weight", F.when(F.col("weight") == 0, 0.0).otherwise(F.col("wv") / F.col("weight")).alias("avg"))
 
 
-def genome_averages(weights: DataFrame, genomes: DataFrame) -> DataFrame:
+def genome_averages(weights: DataFrame, genomes: Genomes) -> DataFrame:
     """chromosome_averages() of the genomes."""
+    genomes = listed(genomes)
     rows = genome_of(genome_of(weights, "id1", genomes, "g1"), "id2", genomes, "g2")
     return chromosome_averages(rows.select(F.col("g1").alias("id1"), F.col("g2").alias("id2"), "weight", "value"))
 
@@ -88,6 +92,16 @@ def square(long: DataFrame, ids: list[str]) -> DataFrame:
     return long.groupBy("i").pivot("j", ids).agg(F.first("d"))
 
 
+def identity_bed(paf: DataFrame) -> DataFrame:
+    """(chrom, start, end, de) on the targets of records that state their divergence."""
+    return paf.where("de is not null").select(F.col("t_name").alias("chrom"), F.col("t_start").alias("start"), F.col("t_end").alias("end"), "de")
+
+
+def records_per_block(blocks: DataFrame, records: str = "n_records") -> DataFrame:
+    """(blocks, records, per_block): how many records blocks have, and on average."""
+    return blocks.agg(F.count("*").alias("blocks"), F.sum(records).alias("records"), F.avg(records).alias("per_block"))
+
+
 def skip_reasons(skips: DataFrame) -> DataFrame:
     return skips.groupBy("reason").agg(F.count("*").alias("n"))
 

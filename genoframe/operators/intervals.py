@@ -1,29 +1,70 @@
-"""Joins and folds over intervals."""
+"""Joins and folds over intervals.
+
+Joins are on equality of bins. Folds along a chromosome are worked on range by range, with what earlier ranges have
+reached carried over, so a chromosome is never one task's.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+#: Bases of a range that is folded by itself.
+RANGE = 1 << 20
+#: A level's bins are so many times larger than those of the level below.
+WIDER = 32
+
 
 def _bins(start: Column, end: Column, size: int) -> Column:
     return F.sequence(F.floor(start / size), F.floor(F.greatest(end - 1, start) / size))
 
 
-def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], bin_size: int, starts: tuple[str, str] = ("start", "r_start"), ends: tuple[str, str] = ("end", "r_end")) -> DataFrame:
+def _level(length: Column, bin_size: int, levels: int) -> Column:
+    """The lowest level whose bins are as long as an interval; the highest for all longer ones."""
+    found = F.lit(levels - 1)
+    for k in reversed(range(levels - 1)):
+        found = F.when(length <= bin_size * WIDER**k, k).otherwise(found)
+    return found
+
+
+def _slots(start: Column, end: Column, bin_size: int, levels: int, own: int, above: tuple[int, int]) -> Column:
+    """Numbers that name (bin, level, kind): an interval's bins on its own level, of kind `own`, and, as far as `above`
+    = (first step, kind) says, on its own level or the ones above it."""
+    level, found = _level(end - start, bin_size, levels), []
+    for k in range(levels):
+        bins = _bins(start, end, bin_size * WIDER**k)
+        for kind, there in ((own, level == k), (above[1], level + above[0] <= k)):
+            found.append(F.when(there, _added(bins, 2 * (k + kind * levels))).otherwise(F.array().cast("array<bigint>")))
+    return F.concat(*found)
+
+
+def _added(bins: Column, slot: int) -> Column:
+    return F.transform(bins, lambda b: b * 64 + slot)
+
+
+def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], bin_size: int, starts: tuple[str, str] = ("start", "r_start"), ends: tuple[str, str] = ("end", "r_end"), levels: int = 1) -> DataFrame:
     """Pairs of left and right rows with equal keys (`key` on the left, `r_key` on the right) whose intervals share a base.
 
     Both sides are dealt over bins of bin_size bases, so a chromosome is joined bin by bin and the join is on
-    equality; a pair that meets in several bins is kept in the first alone.
+    equality; a pair that meets in several bins is kept in the first alone. levels: of bins, each WIDER times as large
+    as those below, for tables with long intervals: a pair then meets on the level of its longer interval, where neither
+    has many bins.
     """
     (ls, rs), (le, re_) = (F.col(starts[0]), F.col(starts[1])), (F.col(ends[0]), F.col(ends[1]))
-    a = left.withColumn("_bin", F.explode(_bins(ls, le, bin_size)))
-    b = right.withColumn("_r_bin", F.explode(_bins(rs, re_, bin_size)))
-    same = F.col("_bin") == F.col("_r_bin")
-    for k in keys:
-        same = same & (F.col(k) == F.col(f"r_{k}"))
-    first = F.col("_bin") == F.greatest(F.floor(ls / bin_size), F.floor(rs / bin_size))
+    if levels == 1:
+        a, b = left.withColumn("_bin", F.explode(_bins(ls, le, bin_size))), right.withColumn("_r_bin", F.explode(_bins(rs, re_, bin_size)))
+        number, size = F.col("_bin"), F.lit(bin_size)
+    else:
+        # Kind 0: the left interval is of this level and the right one of it or below; kind 1: the right one is, the left one is below.
+        a = left.withColumn("_bin", F.explode(_slots(ls, le, bin_size, levels, 0, (1, 1))))
+        b = right.withColumn("_r_bin", F.explode(_slots(rs, re_, bin_size, levels, 1, (0, 0))))
+        number, step = F.floor(F.col("_bin") / 64), F.pmod(F.col("_bin"), F.lit(64)) / 2
+        size = F.lit(bin_size) * F.pow(F.lit(WIDER), F.pmod(step, F.lit(levels))).cast("long")
+    same = reduce(lambda x, y: x & y, [F.col(k) == F.col(f"r_{k}") for k in keys], F.col("_bin") == F.col("_r_bin"))
+    first = number == F.greatest(F.floor(ls / size), F.floor(rs / size))
     return a.join(b, same & (ls < re_) & (le > rs) & first).drop("_bin", "_r_bin")
 
 
@@ -45,54 +86,101 @@ def near_join(left: DataFrame, right: DataFrame, keys: list[str], within: int) -
     return a.join(b, same & (F.abs(F.col("start") - F.col("r_start")) <= within) & (F.abs(F.col("end") - F.col("r_end")) <= within)).drop("_bin", "_r_bin")
 
 
-def near_join_by_share(left: DataFrame, right: DataFrame, keys: list[str], share: float, most: int) -> DataFrame:
-    """near_join() within a share of the right interval's length, which is at most `most` bases."""
-    found = near_join(left, right, keys, max(1, int(share * most)))
-    limit = share * (F.col("r_end") - F.col("r_start"))
-    return found.where((F.abs(F.col("start") - F.col("r_start")) <= limit) & (F.abs(F.col("end") - F.col("r_end")) <= limit))
+def near_join_by_share(left: DataFrame, right: DataFrame, keys: list[str], share: float, bin_size: int = 1024, levels: int = 5) -> DataFrame:
+    """near_join() within a share of the right interval's length, however long that is.
+
+    A right interval reaches as far as its share says and is dealt over the bins of a level as wide as that; left
+    starts go to their bin on each level.
+    """
+    c = F.col
+    reach = share * (c("r_end") - c("r_start"))
+    level = _level(2 * reach, bin_size, levels)
+    size = F.lit(bin_size) * F.pow(F.lit(WIDER), level).cast("long")
+    bins = F.sequence(F.floor((c("r_start") - reach) / size), F.floor((c("r_start") + reach) / size))
+    b = right.where(reach >= 0).withColumns({"_r_level": level, "_r_bin": F.explode(bins)})
+    own = F.array(*[F.struct(F.lit(k).alias("level"), F.floor(c("start") / (bin_size * WIDER**k)).alias("bin")) for k in range(levels)])
+    a = left.withColumn("_at", F.explode(own))
+    same = reduce(lambda x, y: x & y, [c(k) == c(f"r_{k}") for k in keys], (c("_at.level") == c("_r_level")) & (c("_at.bin") == c("_r_bin")))
+    return a.join(b, same & (F.abs(c("start") - c("r_start")) <= reach) & (F.abs(c("end") - c("r_end")) <= reach)).drop("_at", "_r_level", "_r_bin")
+
+
+def _joined(rows: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+    """rows with the other columns of small, a row for each value of the keys, nulls too."""
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys])
+    return rows.join(small.withColumnsRenamed({k: f"_s_{k}" for k in keys}), same, "left").drop(*[f"_s_{k}" for k in keys])
+
+
+def _reached(rows: DataFrame, keys: list[str], range_size: int | None) -> DataFrame:
+    """rows with _range and _reached: the greatest end of the rows before by start and end; null for the first."""
+    local = [*keys, "_range"]
+    rows = rows.withColumn("_range", F.floor(F.col("start") / range_size) if range_size else F.lit(0).cast("long"))
+    before = Window.partitionBy(*local).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    if not range_size:
+        return rows.withColumn("_reached", F.max("end").over(before))
+    ahead = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    tops = rows.groupBy(*local).agg(F.max("end").alias("_top")).withColumn("_carried", F.max("_top").over(ahead)).drop("_top")
+    return _joined(rows, tops, local).withColumn("_reached", F.greatest(F.max("end").over(before), "_carried")).drop("_carried")
+
+
+def in_islands(rows: DataFrame, keys: list[str], range_size: int | None = RANGE) -> DataFrame:
+    """rows with `island`, numbered from 1 along each key: intervals that touch or overlap, directly or over others, share one.
+
+    range_size: bases that are numbered by themselves; None for keys of few rows each.
+    """
+    local = [*keys, "_range"]
+    rows = _reached(rows, keys, range_size).withColumn("_new", F.when(F.col("start") <= F.col("_reached"), 0).otherwise(1)).drop("_reached")
+    rows = rows.withColumn("island", F.sum("_new").over(Window.partitionBy(*local).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)))
+    if range_size:
+        ahead = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+        counts = rows.groupBy(*local).agg(F.sum("_new").alias("_n")).withColumn("_ahead", F.coalesce(F.sum("_n").over(ahead), F.lit(0))).drop("_n")
+        rows = _joined(rows, counts, local).withColumn("island", F.col("island") + F.col("_ahead")).drop("_ahead")
+    return rows.drop("_range", "_new")
 
 
-def islands(rows: DataFrame, keys: list[str]) -> DataFrame:
+def islands(rows: DataFrame, keys: list[str], range_size: int | None = RANGE) -> DataFrame:
     """Unions of intervals that touch or overlap: keys, island, start, end, n."""
-    ahead = Window.partitionBy(*keys).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
-    ordered = Window.partitionBy(*keys).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)
-    marked = rows.withColumn("_new", F.when(F.col("start") <= F.max("end").over(ahead), 0).otherwise(1))
-    numbered = marked.withColumn("island", F.sum("_new").over(ordered))
-    return numbered.groupBy(*keys, "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n"))
+    found = in_islands(rows.select(*keys, "start", "end"), keys, range_size)
+    return found.groupBy(*keys, "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n"))
 
 
-def covered_bases(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, covered: bases in the union of the intervals."""
-    return islands(rows, keys).groupBy(*keys).agg(F.sum(F.col("end") - F.col("start")).alias("covered"))
+def covered_bases(rows: DataFrame, keys: list[str], range_size: int | None = RANGE) -> DataFrame:
+    """keys, covered: bases in the union of the intervals. Each adds what it has beyond those before it."""
+    found = _reached(rows.select(*keys, "start", "end"), keys, range_size)
+    added = F.greatest(F.col("end") - F.greatest("start", "_reached"), F.lit(0))
+    return found.groupBy(*keys).agg(F.sum(added).alias("covered"))
 
 
 def uncovered_share(rows: DataFrame, cover: DataFrame, id_col: str, keys: list[str], bin_size: int) -> DataFrame:
     """rows with `uncovered`: the share of each interval that no interval of cover reaches (0 for empty ones)."""
     other = prefixed(cover.select(*keys, "start", "end"))
-    clipped = overlap_join(rows.select(id_col, *keys, "start", "end"), other, keys, bin_size)
+    clipped = overlap_join(rows.select(id_col, *keys, "start", "end"), other, keys, bin_size, levels=2)
     clipped = clipped.select(id_col, F.greatest("start", "r_start").alias("start"), F.least("end", "r_end").alias("end"))
-    covered = covered_bases(clipped, [id_col])
+    covered = covered_bases(clipped, [id_col], None)
     span = F.col("end") - F.col("start")
     share = F.when(span <= 0, 0.0).otherwise(F.greatest(F.lit(0.0), 1 - F.coalesce("covered", F.lit(0)) / span))
     return rows.join(covered, id_col, "left").withColumn("uncovered", share).drop("covered")
 
 
-def contained(rows: DataFrame, id_col: str, keys: list[str], bin_size: int, first_of_equal: bool = True) -> DataFrame:
+def contained(rows: DataFrame, id_col: str, keys: list[str], bin_size: int, first_of_equal: bool = True, levels: int = 3) -> DataFrame:
     """Ids of rows (t_start, t_end, q_start, q_end) that lie in another row of the same keys on both axes.
 
     Of equal rows the first (by id) stays; with first_of_equal off, all of them go, as each lies in the other. A
-    container shares the bin of the row's start.
+    container shares the bin of the row's start, on the level of its own length.
     """
-    inner = rows.withColumn("_bin", F.floor(F.col("t_start") / bin_size))
-    outer = prefixed(rows.select(id_col, *keys, "t_start", "t_end", "q_start", "q_end")).withColumn("_r_bin", F.explode(F.sequence(F.floor(F.col("r_t_start") / bin_size), F.floor(F.col("r_t_end") / bin_size))))
     c = F.col
+    own = F.array(*[F.floor(c("t_start") / (bin_size * WIDER**k)) * 8 + k for k in range(levels)])
+    inner = rows.withColumn("_bin", F.explode(own))
+    level = _level(c("r_t_end") - c("r_t_start"), bin_size, levels)
+    size = F.lit(bin_size) * F.pow(F.lit(WIDER), level).cast("long")
+    bins = F.transform(F.sequence(F.floor(c("r_t_start") / size), F.floor(c("r_t_end") / size)), lambda b: b * 8 + level)
+    outer = prefixed(rows.select(id_col, *keys, "t_start", "t_end", "q_start", "q_end")).where("r_t_start <= r_t_end").withColumn("_r_bin", F.explode(bins))
     inside = (c("r_t_start") <= c("t_start")) & (c("t_end") <= c("r_t_end")) & (c("r_q_start") <= c("q_start")) & (c("q_end") <= c("r_q_end")) & (c("t_start") <= c("t_end")) & (c("q_start") <= c("q_end"))
     equal = (c("r_t_start") == c("t_start")) & (c("t_end") == c("r_t_end")) & (c("r_q_start") == c("q_start")) & (c("q_end") == c("r_q_end"))
     other = ~equal | (c(f"r_{id_col}") < c(id_col)) if first_of_equal else c(f"r_{id_col}") != c(id_col)
     same = c("_bin") == c("_r_bin")
     for k in keys:
         same = same & (c(k) == c(f"r_{k}"))
-    return inner.join(outer, same & inside & other, "left_semi").select(id_col)
+    return inner.join(outer, same & inside & other, "left_semi").select(id_col).distinct()
 
 
 def without_contained(rows: DataFrame, id_col: str, keys: list[str], bin_size: int, first_of_equal: bool = True) -> DataFrame:
@@ -102,26 +190,31 @@ def without_contained(rows: DataFrame, id_col: str, keys: list[str], bin_size: i
 def best_overlap(rows: DataFrame, painted: DataFrame, id_col: str, keys: list[str], bin_size: int) -> DataFrame:
     """rows with `ref` of the painted interval (ord, ref) that shares most bases, ties to the lower ord; else of the nearest one.
 
-    The nearest is found without pairing all: the last end before and the first start after each interval.
+    The nearest are the last end before and the first start after an interval. They are looked for in the range of the
+    interval's own end, with the last one of all ranges before carried over; ends after are the same on a turned axis.
     """
-    paint = prefixed(painted)
-    met = overlap_join(rows, paint, keys, bin_size).withColumn("_shared", F.least("end", "r_end") - F.greatest("start", "r_start"))
-    best = met.groupBy(id_col).agg(F.min_by("r_ref", F.struct(-F.col("_shared"), F.col("r_ord"))).alias("ref"))
-    alone = rows.join(best, id_col, "left_anti")
-    marks = alone.select(id_col, *keys, F.col("start").alias("at"), F.lit(None).cast("string").alias("ref"), F.lit(None).cast("long").alias("ord"), F.lit(1).alias("ask"))
-    ends = painted.select(F.lit(None).cast(dict(rows.dtypes)[id_col]).alias(id_col), *keys, F.col("end").alias("at"), "ref", F.col("ord").cast("long"), F.lit(0).alias("ask"))
-    look = Window.partitionBy(*keys).orderBy("at", "ask", F.desc("ord")).rowsBetween(Window.unboundedPreceding, 0)
-    known = F.when(F.col("ask") == 0, F.struct("at", "ref", "ord"))
-    before = marks.unionByName(ends).withColumn("_b", F.last(known, True).over(look)).where("ask = 1").select(id_col, F.col("_b").alias("before"))
-    marks = alone.select(id_col, *keys, F.col("end").alias("at"), F.lit(None).cast("string").alias("ref"), F.lit(None).cast("long").alias("ord"), F.lit(0).alias("ask"))
-    starts = painted.select(F.lit(None).cast(dict(rows.dtypes)[id_col]).alias(id_col), *keys, F.col("start").alias("at"), "ref", F.col("ord").cast("long"), F.lit(1).alias("ask"))
-    look = Window.partitionBy(*keys).orderBy(F.desc("at"), F.desc("ask"), F.desc("ord")).rowsBetween(Window.unboundedPreceding, 0)
-    known = F.when(F.col("ask") == 1, F.struct("at", "ref", "ord"))
-    after = marks.unionByName(starts).withColumn("_a", F.last(known, True).over(look)).where("ask = 0").select(id_col, F.col("_a").alias("after"))
-    near = alone.join(before, id_col).join(after, id_col)
-    left, right = F.struct((F.col("start") - F.col("before.at")).alias("d"), F.col("before.ord").alias("o")), F.struct((F.col("after.at") - F.col("end")).alias("d"), F.col("after.ord").alias("o"))
-    ref = F.when(F.col("after.ref").isNull() | (F.col("before.ref").isNotNull() & (left < right)), F.col("before.ref")).otherwise(F.col("after.ref"))
-    return rows.join(best, id_col).unionByName(near.select(*[F.col(c) for c in rows.columns], ref.alias("ref")))
+    c, row = F.col, F.struct("*").alias("row")
+    met = overlap_join(rows, prefixed(painted.select(*keys, "start", "end", "ref", "ord")), keys, bin_size)
+    none = F.lit(None)
+    whole = F.struct(*[c(x) for x in rows.columns]).alias("row")
+    shared = met.select(whole, F.lit(0).alias("far"), (F.greatest("start", "r_start") - F.least("end", "r_end")).alias("d"), c("r_ord").cast("long").alias("ord"), c("r_ref").alias("ref"))
+
+    # ask 1: an interval that looks back from `at`; ask 0: a painted one that ends there. Way 1 has the axis turned.
+    both = lambda a, b: F.explode(F.array(F.struct(F.lit(0).alias("way"), a.alias("at")), F.struct(F.lit(1).alias("way"), (-b).alias("at"))))
+    asks = rows.select(*keys, row, both(c("start"), c("end")).alias("_p")).select(*keys, "_p.*", F.lit(1).alias("ask"), "row", none.cast("long").alias("ord"), none.cast("string").alias("ref"))
+    ends = painted.select(*keys, both(c("end"), c("start")).alias("_p"), c("ord").cast("long").alias("ord"), c("ref").cast("string").alias("ref"))
+    ends = ends.select(*keys, "_p.*", F.lit(0).alias("ask"), none.cast(rows.select(row).schema["row"].dataType).alias("row"), "ord", "ref")
+    points = asks.unionByName(ends).withColumn("_range", F.floor(c("at") / RANGE))
+    local = [*keys, "way", "_range"]
+    known = F.when(c("ask") == 0, F.struct("at", (-c("ord")).alias("less"), "ref"))
+    ahead = Window.partitionBy(*keys, "way").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = points.groupBy(*local).agg(F.max(known).alias("_last")).withColumn("_carried", F.last("_last", True).over(ahead)).drop("_last")
+    look = Window.partitionBy(*local).orderBy("at", "ask", F.desc("ord")).rowsBetween(Window.unboundedPreceding, 0)
+    near = _joined(points, carried, local).withColumn("_near", F.coalesce(F.last(known, True).over(look), "_carried")).where("ask = 1")
+    # An interval without any painted one on its key stays, without a ref.
+    near = near.select("row", F.when(c("_near").isNull(), 2).otherwise(1).alias("far"), (c("at") - c("_near.at")).alias("d"), (-c("_near.less")).alias("ord"), c("_near.ref").alias("ref"))
+    found = shared.unionByName(near).withColumn("_id", c(f"row.{id_col}")).groupBy("_id").agg(F.min_by(F.struct("row", "ref"), F.struct("far", "d", "ord")).alias("x"))
+    return found.select("x.row.*", "x.ref")
 
 
 def smaller_of_reciprocal(sizes: DataFrame) -> DataFrame:

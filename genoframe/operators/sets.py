@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def without(rows: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
@@ -15,6 +16,21 @@ def duplicates(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.groupBy(*columns).agg(F.count("*").alias("n")).where("n > 1")
 
 
+def preflight(genomes: DataFrame) -> DataFrame:
+    """(id, problem) of what is wrong with genomes(id, path): an id that comes twice, an empty one, a file of a kind that is not read."""
+    twice = F.count("*").over(Window.partitionBy("id")) > 1
+    kind = F.lower("path").rlike(r"\.(fasta|fa|fna|fas)(\.(gz|bgz|bgzf|bz2|xz|lzma))?$")
+    problem = F.when(F.trim(F.coalesce("id", F.lit(""))) == "", "no id").when(twice, "id comes twice").when(~F.coalesce(kind, F.lit(False)), "unknown kind of file")
+    return genomes.select("id", problem.alias("problem")).where("problem is not null").distinct()
+
+
+def with_proteins(cds: DataFrame, proteins: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pairs, missing): (ord, id, cds, protein) of coding sequences(id, cds) and proteins(ord, id, protein), in the proteins'
+    order, and the ids of proteins without a coding sequence."""
+    joined = proteins.select("ord", "id", "protein").join(cds.select("id", "cds"), "id", "left")
+    return joined.where("cds is not null").select("ord", "id", "cds", "protein").orderBy("ord"), joined.where("cds is null").select("ord", "id")
+
+
 def differences(a: DataFrame, b: DataFrame, column: str) -> DataFrame:
     """(column, side) of values that only one side has; no rows if both agree."""
     both = a.select(column, F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(b.select(column, F.lit(0).alias("a"), F.lit(1).alias("b")))

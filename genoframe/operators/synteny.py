@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right, insort
+from collections import deque
+from functools import reduce
+from itertools import chain
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from genoframe.functions.align import align_pairs
+from genoframe.functions.alignments import reverse_complement
 from genoframe.operators.groups import over_groups
-from genoframe.operators.intervals import prefixed, without_contained
+from genoframe.operators.intervals import overlap_join, prefixed, without_contained
+from genoframe.scratch import written
 
 
 def _orientation(a: str, b: str) -> Column:
@@ -67,45 +75,61 @@ def transposed(anchors: DataFrame) -> DataFrame:
 ORDER = ["t_start", "q_start", "t_end", "q_end", "block", "rid"]
 
 
-def trim_overlaps(rows: DataFrame, passes: int = 1) -> DataFrame:
-    """coords(rid, t, q, strand, ...) where a record that begins inside an earlier one on both axes begins at its end instead.
+def trim_overlaps(rows: DataFrame) -> DataFrame:
+    """coords(rid, t, q, strand, ...) where a record that begins inside another one on both axes, and ends after it, begins at its end instead.
 
-    Records are taken in ORDER and looked at against all others in turn, with starts as they have become. Only
-    records that overlap on the target can meet, so groups are cut where no span bridges, and the cuts hold however
-    starts move.
+    Records act in ORDER, with starts as they have become by then. A sweep along the target: before a record acts, all
+    that begin before its end are read; it leaves once those still to act begin no earlier. So only records about one
+    place are held, found by their starts, and a chromosome pair may have any number of them.
     """
     keys = ["t", "q", "strand"]
-    before = Window.partitionBy(*keys).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
-    to_here = Window.partitionBy(*keys).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
-    cut = rows.withColumn("_cut", F.when(F.col("t_start") < F.max("t_end").over(before), 0).otherwise(1))
-    cut = cut.withColumn("_piece", F.sum("_cut").over(to_here)).drop("_cut")
-
     names = [c for c in rows.columns if c not in keys]
-    at = [3 + 1 + names.index(c) for c in ("t_start", "t_end", "q_start", "q_end")]
-
-    def trim(key, group):
-        group = [list(r) for r in group]
-        spans = [[r[k] for k in at] for r in group]
-        for _ in range(passes):
-            for i, a in enumerate(spans):
-                for j, b in enumerate(spans):
-                    if i != j and a[0] < b[0] < a[1] < b[1] and a[2] < b[2] < a[3] < b[3]:
-                        b[0], b[2] = a[1], a[3]
-        for r, span in zip(group, spans):
-            for k, value in zip(at, span):
-                r[k] = value
-            yield tuple(r[:3] + r[4:])
-
-    cut = cut.select(*keys, "_piece", *names)
-    return over_groups(cut, [*keys, "_piece"], [c for c in ORDER if c in names], trim, rows.select(*keys, *names).schema).select(*rows.columns)
+    ts, te, qs, qe = (len(keys) + names.index(c) for c in ("t_start", "t_end", "q_start", "q_end"))
+
+    def sweep(key, group):
+        unread, count = chain(group, [None]), 0
+        ahead = next(unread)
+        held: dict[int, list] = {}
+        begins: list[tuple[int, int]] = []  # (start, number) of all that are held, sorted
+        to_act: deque[tuple[int, int]] = deque()  # (number, start as it was read)
+        while to_act or ahead:
+            number, first = to_act.popleft() if to_act else (count, ahead[ts])
+            end = held[number][te] if number in held else ahead[te]
+            while ahead and (number == count or ahead[ts] < end):
+                held[count] = list(ahead)
+                insort(begins, (ahead[ts], count))
+                if number != count:
+                    to_act.append((count, ahead[ts]))
+                ahead, count = next(unread), count + 1
+            own = held[number]
+            inside = begins[bisect_right(begins, (own[ts], count)) : bisect_left(begins, (end, -1))]
+            for start, other in inside:
+                o = held[other]
+                if o[te] > end and own[qs] < o[qs] < own[qe] < o[qe]:
+                    begins.remove((start, other))
+                    o[ts], o[qs] = end, own[qe]
+                    insort(begins, (end, other))
+            left = to_act[0][1] if to_act else ahead[ts] if ahead else None
+            done = len(begins) if left is None else bisect_right(begins, (left, count))
+            waiting = {n for n, _ in to_act} if left is not None and done else ()
+            stay = []
+            for place in begins[:done]:
+                if place[1] in waiting:
+                    stay.append(place)
+                else:
+                    yield tuple(held.pop(place[1]))
+            begins[:done] = stay
+
+    found = over_groups(rows.select(*keys, *names), keys, [c for c in ORDER if c in names], sweep, rows.select(*keys, *names).schema)
+    return found.select(*rows.columns)
 
 
 def polished(rows: DataFrame, bin_size: int) -> DataFrame:
-    """Repeated and contained records go, then partial overlaps are trimmed, and both once more."""
+    """Repeated and contained records go, then partial overlaps are trimmed, and both once more. Of equal records the one with the smallest rid stays."""
     keys = ["t", "q", "strand"]
-    rows = rows.dropDuplicates([c for c in rows.columns if c != "rid"])
+    rows = rows.groupBy(*[c for c in rows.columns if c != "rid"]).agg(F.min("rid").alias("rid")).select(*rows.columns)
     for _ in range(2):
-        rows = trim_overlaps(without_contained(rows, "rid", keys, bin_size), 1)
+        rows = trim_overlaps(without_contained(rows, "rid", keys, bin_size))
     return rows
 
 
@@ -115,31 +139,36 @@ MERGED = "t string, t_start long, t_end long, q string, q_start long, q_end long
 def merge_small(rows: DataFrame, threshold: int) -> DataFrame:
     """coords of each (t, q, strand, block) where a record shorter than the threshold on either axis takes up the first later record that it touches on both.
 
-    What it becomes stands in that record's place and goes on so until it is long enough. Only touching records meet,
-    so groups are cut where the target has a gap that no span bridges.
+    What it becomes stands in that record's place and goes on so until it is long enough. A sweep along the target:
+    records are read as far as the one at hand reaches, and no more of them are held.
     """
     keys = ["t", "q", "strand", "block"]
     order = ["t_start", "q_start", "t_end", "q_end"]
-    before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    to_here = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    cut = rows.select(*keys, *order).withColumn("_cut", F.when(F.col("t_start") <= F.max("t_end").over(before), 0).otherwise(1))
-    cut = cut.withColumn("_piece", F.sum("_cut").over(to_here)).drop("_cut")
-
-    def merge(key, group):
-        t, q, strand, block, _ = key
-        todo = [[r[5], r[7], r[6], r[8]] for r in group]
-        long_enough = lambda x: x[1] - x[0] >= threshold and x[3] - x[2] >= threshold
-        for k, cur in enumerate(todo):
-            hit = None
-            if not long_enough(cur):
-                hit = next((i for i in range(k + 1, len(todo)) if cur[0] <= todo[i][1] and cur[1] >= todo[i][0] and cur[2] <= todo[i][3] and cur[3] >= todo[i][2]), None)
-            if hit is None:
-                yield t, cur[0], cur[1], q, cur[2], cur[3], strand, block, "pass" if long_enough(cur) else "fail"
+
+    def sweep(key, group):
+        t, q, strand, block = key
+        spans = ({"t": (r[4], r[6]), "q": (r[5], r[7])} for r in group)
+        unread, waiting = chain(spans, [None]), deque()
+        ahead = next(unread)
+        while waiting or ahead:
+            if not waiting:
+                waiting.append(ahead)
+                ahead = next(unread)
+            own = waiting.popleft()
+            short = any(end - start < threshold for start, end in own.values())
+            partner = None
+            if short:
+                while ahead and ahead["t"][0] <= own["t"][1]:
+                    waiting.append(ahead)
+                    ahead = next(unread)
+                touches = lambda o: all(own[x][0] <= o[x][1] and o[x][0] <= own[x][1] for x in "qt")  # noqa: B023, E731
+                partner = next(filter(touches, waiting), None)
+            if partner:
+                partner.update({x: (min(own[x][0], partner[x][0]), max(own[x][1], partner[x][1])) for x in "qt"})
             else:
-                o = todo[hit]
-                todo[hit] = [min(cur[0], o[0]), max(cur[1], o[1]), min(cur[2], o[2]), max(cur[3], o[3])]
+                yield t, *own["t"], q, *own["q"], strand, block, "fail" if short else "pass"
 
-    return over_groups(cut.select(*keys, "_piece", *order), [*keys, "_piece"], order, merge, MERGED)
+    return over_groups(rows.select(*keys, *order), keys, order, sweep, MERGED)
 
 
 def stitched(rows: DataFrame, bin_size: int, max_ratio: float = 3.0, keys: tuple[str, ...] = ("t", "q", "strand", "block")) -> DataFrame:
@@ -157,11 +186,11 @@ def stitched(rows: DataFrame, bin_size: int, max_ratio: float = 3.0, keys: tuple
     gaps = gaps.where((t_gap > 0) & (q_gap > 0) & (F.abs("step") == 1))
     if max_ratio > 0:
         gaps = gaps.where(F.greatest(t_gap, q_gap) <= max_ratio * F.least(t_gap, q_gap))
-    bins = lambda a, b: F.explode(F.sequence(F.floor(a / bin_size), F.floor(b / bin_size)))
-    own = gaps.withColumn("_bin", bins(c("t_start"), c("t_end")))
-    other = prefixed(rows.select("t", "q", "strand", "t_start", "t_end", "q_start", "q_end")).withColumn("_r_bin", bins(c("r_t_start"), c("r_t_end")))
-    occupied = (c("_bin") == c("_r_bin")) & (c("t") == c("r_t")) & (c("q") == c("r_q")) & (c("strand") != c("r_strand")) & (c("r_t_start") <= c("t_end")) & (c("r_t_end") >= c("t_start")) & (c("r_q_start") <= c("q_end")) & (c("r_q_end") >= c("q_start"))
-    taken = own.join(other, occupied, "left_semi").select("rid").distinct()
+    # Spans here hold both their ends.
+    own = gaps.select("rid", "t", "q", "strand", "t_start", (c("t_end") + 1).alias("t_stop"), "q_start", "q_end")
+    other = prefixed(rows.select("t", "q", "strand", "t_start", (c("t_end") + 1).alias("t_stop"), "q_start", "q_end"))
+    met = overlap_join(own, other, ["t", "q"], bin_size, ("t_start", "r_t_start"), ("t_stop", "r_t_stop"), levels=2)
+    taken = met.where((c("strand") != c("r_strand")) & (c("r_q_start") <= c("q_end")) & (c("r_q_end") >= c("q_start"))).select("rid").distinct()
     return gaps.join(taken, "rid", "left_anti").select("rid", "t", "t_start", "t_end", "q", "q_start", "q_end", "strand", *[k for k in keys if k not in ("t", "q", "strand")])
 
 
@@ -183,6 +212,39 @@ def halves(rows: DataFrame) -> DataFrame:
     return rows.where((t_n >= 4) & (q_n >= 4)).select(*rest, F.explode(F.array(first, second)).alias("_h")).select(*rest, "_h.*")
 
 
+def align_segments(segments: DataFrame, sequences: DataFrame, most_edits: int, rounds: int = 4, max_ratio: float = 0.0) -> tuple[DataFrame, DataFrame]:
+    """(records, skips) of segments(segment_id, t, t_start, t_end, q, q_start, q_end, strand; 1-based, ends included).
+
+    A piece that does not align within most_edits is halved on both axes, and the halves are tried in the next round; what
+    is left after the last round, cannot be halved, or is not usable is a skip with its reason. records: segment_id, t,
+    q, strand, t_start, t_end, q_start, q_end (0-based, half-open, of the sequences), cg, cs, nmatch, alnlen. Each round is
+    a job whose result is written, so lineage does not grow.
+    """
+    c = F.col
+    names = ["segment_id", "t", "t_start", "t_end", "q", "q_start", "q_end", "strand"]
+    todo, records, skips = segments.select(*names), [], []
+    for turn in range(rounds + 1):
+        rows = todo
+        for side in "tq":
+            own = sequences.select(c("seq_id").alias(side), c("seq").alias(f"_{side}"))
+            part = F.substring(c(f"_{side}"), c(f"{side}_start").cast("int"), (c(f"{side}_end") - c(f"{side}_start") + 1).cast("int"))
+            rows = rows.join(own, side, "left").withColumn(f"{side}_seq", part).drop(f"_{side}")
+        low, high = F.least(F.length("t_seq"), F.length("q_seq")), F.greatest(F.length("t_seq"), F.length("q_seq"))
+        reason = F.when(c("t_seq").isNull() | c("q_seq").isNull(), "no_sequence").when(low <= 0, "empty_span")
+        rows = rows.withColumn("reason", reason.when((F.lit(max_ratio) > 0) & (high > max_ratio * low), "length_ratio"))
+        rows = rows.withColumn("q_seq", F.when(c("strand") == "-", reverse_complement(c("q_seq"))).otherwise(c("q_seq")))
+        tried = written(align_pairs(rows, "t_seq", "q_seq", most_edits).select(*names, F.coalesce("reason", "aln.reason").alias("reason"), "aln"))
+        records.append(tried.where("reason is null").select("segment_id", "t", "q", "strand", (c("t_start") - 1).alias("t_start"), "t_end", (c("q_start") - 1).alias("q_start"), "q_end", "aln.cg", "aln.cs", "aln.nmatch", "aln.alnlen"))
+        failed = tried.where("reason = 'too many edits'")
+        smaller = (c("t_end") - c("t_start") >= 3) & (c("q_end") - c("q_start") >= 3) if turn < rounds else F.lit(False)
+        skips.append(tried.where((c("reason").isNotNull() & (c("reason") != "too many edits")) | (c("reason") == "too many edits") & ~smaller).select(*names, "reason"))
+        todo = halves(failed.where(smaller).select(*names)).select(*names)
+        if todo.isEmpty():
+            break
+    union = lambda parts: reduce(DataFrame.unionByName, parts)
+    return union(records), union(skips)
+
+
 def remaining(segments: DataFrame, done: DataFrame, skipped: DataFrame, id_col: str = "segment_id") -> DataFrame:
     """Segments that are neither aligned nor skipped yet."""
     return segments.join(done.select(id_col).unionByName(skipped.select(id_col)).distinct(), id_col, "left_anti")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Most genomes of a matrix that is made into a tree.
-MOST_TAXA = 5000
+MOST_TAXA = 500
 
 
 def _average_linkage(names: list[str], d: dict[tuple[str, str], float]) -> str:
@@ -74,5 +74,5 @@ def without_decimals(tree: str) -> str:
 def relabelled(matrix: DataFrame, names: DataFrame) -> DataFrame:
     """(i, j, d) with the names(name, label) of a key; a name without a label stays."""
     for c in ("i", "j"):
-        matrix = matrix.join(F.broadcast(names.select(F.col("name").alias(c), F.col("label").alias("_label"))), c, "left").withColumn(c, F.coalesce("_label", c)).drop("_label")
+        matrix = matrix.join(names.select(F.col("name").alias(c), F.col("label").alias("_label")), c, "left").withColumn(c, F.coalesce("_label", c)).drop("_label")
     return matrix

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from genoframe.functions import alignments as A
-from genoframe.functions.names import genome_of
+from genoframe.functions.names import Genomes, genome_of, listed
 from genoframe.functions.walks import walk_cg, walk_cs
 
 
@@ -54,13 +54,26 @@ def by_either_name(events: DataFrame) -> DataFrame:
     return events.withColumn("chrom", F.explode(F.array_distinct(F.array("q_name", "t_name"))))
 
 
-def substitution_counts(variants: DataFrame, genomes: DataFrame) -> DataFrame:
+def substitution_counts(variants: DataFrame, genomes: Genomes) -> DataFrame:
     """(id1, id2, ti, tv) of each unordered genome pair; alleles that are no bases do not count."""
     rows = variants.withColumn("kind", A.variant_kind(F.col("ref_allele"), F.col("query_allele"))).where("kind is not null")
+    genomes = listed(genomes)
     rows = genome_of(genome_of(rows, "ref_contig", genomes, "g1"), "query_contig", genomes, "g2")
     return rows.groupBy(F.least("g1", "g2").alias("id1"), F.greatest("g1", "g2").alias("id2")).agg(F.count_if(F.col("kind") == "transition").alias("ti"), F.count_if(F.col("kind") == "transversion").alias("tv"))
 
 
+def counts_and_sizes(paf: DataFrame, genomes: Genomes) -> DataFrame:
+    """(id1, id2, ti, tv, size) of each unordered genome pair: substitution_counts(), and aligned bases, in one pass over
+    the records. Substitutions are counted within a record's difference string and never become rows."""
+    pairs = F.transform(A.substitution_pairs(F.col("cs")), lambda p: A.variant_kind(F.substring(p, 1, 1), F.substring(p, 2, 1)))
+    rows = paf.select("q_name", "t_name", "alnlen", pairs.alias("kinds"))
+    rows = rows.select("q_name", "t_name", "alnlen", *[F.coalesce(F.size(F.filter("kinds", lambda k, x=x: k == x)), F.lit(0)).alias(x) for x in ("transition", "transversion")])
+    genomes = listed(genomes)
+    rows = rows.groupBy("q_name", "t_name").agg(F.sum("alnlen").alias("size"), F.sum("transition").alias("ti"), F.sum("transversion").alias("tv"))
+    rows = genome_of(genome_of(rows, "q_name", genomes, "g1"), "t_name", genomes, "g2")
+    return rows.groupBy(F.least("g1", "g2").alias("id1"), F.greatest("g1", "g2").alias("id2")).agg(F.sum("ti").alias("ti"), F.sum("tv").alias("tv"), F.sum("size").alias("size"))
+
+
 def distances(counts: DataFrame, sizes: DataFrame) -> DataFrame:
     """(id1, id2, d) of genome pairs from their counts and (id1, id2, size); null where it is not defined."""
     joined = counts.join(sizes, ["id1", "id2"], "left")

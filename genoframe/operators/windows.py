@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from genoframe.operators.intervals import overlap_join, prefixed
 
@@ -15,12 +16,17 @@ def make_windows(fai: DataFrame, size: int, slide: int) -> DataFrame:
 
 
 def window_overlaps(windows: DataFrame, alignments: DataFrame, bin_size: int) -> DataFrame:
-    """(chrom, start, end, fraction, de): each alignment that shares bases with a window, with the share of the window; windows without any once, with nulls."""
+    """(chrom, start, end, fraction, de): each alignment that shares bases with a window, with the share of the window; windows without any once, with nulls.
+
+    Each window is also a row of its own, which stays where it comes first: pairs come before it.
+    """
     met = overlap_join(windows, prefixed(alignments), ["chrom"], bin_size)
     share = (F.least("end", "r_end") - F.greatest("start", "r_start")) / (F.col("end") - F.col("start"))
     met = met.select("chrom", "start", "end", share.alias("fraction"), F.col("r_de").alias("de"))
-    bare = windows.join(met.select("chrom", "start", "end").distinct(), ["chrom", "start", "end"], "left_anti")
-    return met.unionByName(bare.select("chrom", "start", "end", F.lit(None).cast("double").alias("fraction"), F.lit(None).cast("double").alias("de")))
+    none = F.lit(None).cast("double")
+    rows = met.withColumn("_bare", F.lit(0)).unionByName(windows.select("chrom", "start", "end", none.alias("fraction"), none.alias("de"), F.lit(1).alias("_bare")))
+    place = F.row_number().over(Window.partitionBy("chrom", "start", "end").orderBy("_bare"))
+    return rows.withColumn("_place", place).where("_bare = 0 or _place = 1").drop("_bare", "_place")
 
 
 def window_averages(windows: DataFrame, alignments: DataFrame, bin_size: int) -> DataFrame:
@@ -72,13 +78,15 @@ def chromosome_report(fai: DataFrame, alignments: DataFrame) -> DataFrame:
 
     Alignments without a value still weigh.
     """
-    joined = alignments.join(F.broadcast(fai), "chrom").withColumn("w", F.try_divide(F.abs(F.col("end") - F.col("start")), "len"))
+    joined = alignments.join(fai, "chrom").withColumn("w", F.try_divide(F.abs(F.col("end") - F.col("start")), "len"))
     found = joined.rollup("chrom").agg(F.sum("w").alias("w"), F.sum(F.col("w") * F.col("de")).alias("wv"), F.grouping("chrom").alias("all"))
     return found.select(F.when(F.col("all") == 1, "WholeGenome").otherwise(F.col("chrom")).alias("chrom"), F.try_divide("wv", "w").alias("avg_de"))
 
 
-def merge_windows(averages: DataFrame, ids: list[str]) -> DataFrame:
-    """Long (chrom, start, end, id, avg_de) as a column for each id: one grouping in place of a full join for each."""
+def merge_windows(averages: DataFrame, ids: list[str] | None = None) -> DataFrame:
+    """Long (chrom, start, end, id, avg_de) as a column for each id, by default of all there are, sorted: one grouping in place of a full join for each."""
+    if ids is None:
+        ids = sorted(r["id"] for r in averages.select("id").where("id is not null").distinct().collect())
     return averages.groupBy("chrom", "start", "end").pivot("id", ids).agg(F.first("avg_de"))
 
 

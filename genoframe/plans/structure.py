@@ -43,7 +43,7 @@ def near_join(spark, sf_dir):
 select e.event_id, c.rid from v_events e join v_coords c on c.t = e.chrom and abs(e.start - c.t_start) <= 0.9 * (c.t_end - c.t_start) and abs(e."end" - c.t_end) <= 0.9 * (c.t_end - c.t_start)""")
 def near_join_by_share(spark, sf_dir):
     right = intervals.prefixed(_targets(spark, sf_dir))
-    return intervals.near_join_by_share(_events(spark, sf_dir), right, ["chrom"], 0.9, 10_000).select("event_id", F.col("r_rid").alias("rid"))
+    return intervals.near_join_by_share(_events(spark, sf_dir), right, ["chrom"], 0.9).select("event_id", F.col("r_rid").alias("rid"))
 
 
 _INSIDE = "b.t_start <= a.t_start and a.t_end <= b.t_end and b.q_start <= a.q_start and a.q_end <= b.q_end and b.t = a.t and b.q = a.q and b.strand = a.strand"

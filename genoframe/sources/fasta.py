@@ -6,16 +6,25 @@ import bz2
 import gzip
 import io
 import lzma
+import re
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genoframe.functions.alignments import reverse_complement
+from genoframe.operators.groups import over_groups
+from genoframe.sources.tables import read_fai
+from genoframe.sources.text import counted, is_there, lines
+
+#: Names of files that Spark's text reader does not unpack.
+PACKED = re.compile(r"\.(bgz|bgzf|xz|lzma)$", re.IGNORECASE)
+#: Lines handed on at a time.
+OUT_LINES = 10_000
 
 
 def _opened(data: bytes) -> io.TextIOWrapper:
-    """Text of a file's bytes, unpacked by what they begin with."""
+    """Text of a file's bytes, unpacked by what they begin with, as it is read."""
     if data[:2] == b"\x1f\x8b":
         raw = gzip.GzipFile(fileobj=io.BytesIO(data))
     elif data[:3] == b"BZh":
@@ -27,29 +36,69 @@ def _opened(data: bytes) -> io.TextIOWrapper:
     return io.TextIOWrapper(raw, "utf-8")
 
 
-def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(file, ord, header, seq_id, seq, length) of plain, gz, bgz, bz2, xz and lzma files; a file is read by one task.
-
-    seq_id is the header's first word. A header that comes again in a file begins its record anew, and the last counts.
-    """
+def _unpacked(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """lines() of packed files; a file is unpacked by one task, line by line."""
 
     def run(batches):
+        table = lambda file, first, text: pa.RecordBatch.from_arrays([pa.array([file] * len(text)), pa.array([0] * len(text), pa.int64()), pa.array(range(first, first + len(text)), pa.int64()), pa.array(text)], names=["file", "split", "line_no", "line"])
         for batch in batches:
             for file, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found: dict[str, list[str]] = {}
-                own: list[str] | None = None
+                out, first = [], 0
                 for line in _opened(data):
-                    line = line.rstrip("\r\n")
-                    if line.startswith(">"):
-                        own = found[line[1:]] = []
-                    elif own is not None:
-                        own.append(line.strip())
-                for k, (header, parts) in enumerate(found.items()):
-                    seq = "".join(parts)
-                    yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (file, k, header, (header.split() or [""])[0], seq, len(seq))], names=["file", "ord", "header", "seq_id", "seq", "length"])
+                    out.append(line.rstrip("\r\n"))
+                    if len(out) == OUT_LINES:
+                        yield table(file, first, out)
+                        out, first = [], first + OUT_LINES
+                yield table(file, first, out)
+
+    return spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(run, "file string, split long, line_no long, line string")
+
+
+def fasta_lines(spark: SparkSession, path: str) -> DataFrame:
+    """lines() of plain, gz, bgz, bz2, xz and lzma files."""
+    names = [r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect()]
+    plain, packed = [n for n in names if not PACKED.search(n)], [n for n in names if PACKED.search(n)]
+    parts = ([lines(spark, plain)] if plain else []) + ([_unpacked(spark, packed)] if packed else [])
+    return parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0]
+
+
+def sequences_of(rows: DataFrame) -> DataFrame:
+    """(file, ord, header, seq_id, seq, length) of lines(); ord numbers a file's records.
+
+    seq_id is the header's first word. A header that comes again in a file begins its record anew: the last one's
+    sequence counts, at the first one's place. Lines are dealt by record, so a file's records are many tasks'.
+    """
+    starts = F.col("line").startswith(">")
+    rows = counted(rows.select("file", "split", "line_no", "line"), starts, "record").where("record > 0").drop("split")
+    heads = rows.where(starts).groupBy("file", F.substring("line", 2, 1 << 30).alias("header")).agg(F.min("record").alias("ord"), F.max("record").alias("_last"))
+    heads = heads.withColumnRenamed("file", "_file")
+    rows = rows.join(heads, (F.col("file") == F.col("_file")) & (F.col("record") == F.col("_last"))).select("file", "ord", "header", "line_no", "line")
+
+    def build(key, group):
+        file, ord_ = key
+        header, seq = None, bytearray()
+        for _, _, header, _, line in group:
+            if not line.startswith(">"):
+                seq += line.strip().encode()
+        yield file, ord_ - 1, header, (header.split() or [""])[0], seq.decode(), len(seq)
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(run, "file string, ord long, header string, seq_id string, seq string, length long")
+    return over_groups(rows, ["file", "ord"], ["line_no"], build, "file string, ord long, header string, seq_id string, seq string, length long")
+
+
+def read_fasta(spark: SparkSession, path: str) -> DataFrame:
+    """sequences_of() the files."""
+    return sequences_of(fasta_lines(spark, path))
+
+
+def first_record(sequences: DataFrame) -> DataFrame:
+    """The first sequence of each file."""
+    first = F.min_by(F.struct(*sequences.columns), "ord").alias("s")
+    return sequences.groupBy(F.col("file").alias("_file")).agg(first).select("s.*")
+
+
+def records(spark: SparkSession, path: str) -> DataFrame:
+    """(file, n): how many records each file has; sequences are not put together."""
+    return fasta_lines(spark, path).groupBy("file").agg(F.count_if(F.col("line").startswith(">")).alias("n"))
 
 
 def index_of(sequences: DataFrame) -> DataFrame:
@@ -57,6 +106,12 @@ def index_of(sequences: DataFrame) -> DataFrame:
     return sequences.select(F.col("seq_id").alias("chrom"), F.length("seq").cast("long").alias("len"))
 
 
+def read_or_make_index(spark: SparkSession, fasta: str, fai: str | None = None) -> DataFrame:
+    """(chrom, len) of the index file, or where there is none, of the sequences."""
+    fai = fai or f"{fasta}.fai"
+    return read_fai(spark, fai) if is_there(spark, fai) else index_of(read_fasta(spark, fasta))
+
+
 def slices(segments: DataFrame, sequences: DataFrame, strand: str | None = None) -> DataFrame:
     """segments(seq_id, start, end: 0-based, half-open) with seq, reverse-complemented where the strand column is '-'."""
     found = segments.join(sequences.select("seq_id", F.col("seq").alias("_seq")), "seq_id")
@@ -74,3 +129,9 @@ def write_fasta(sequences: DataFrame, path: str, width: int | None = 60) -> None
     """seq_id and seq as FASTA text files; width None keeps each sequence on one line."""
     seq = wrapped(F.col("seq"), width) if width else F.col("seq")
     sequences.select(F.concat(F.lit(">"), F.col("seq_id"), F.lit("\n"), seq).alias("value")).write.text(path)
+
+
+def write_presence_absence(events: DataFrame, path: str) -> None:
+    """presence_absence() events as FASTA: name:start..end and the bases on one line."""
+    name = F.concat("name", F.lit(":"), F.col("start").cast("string"), F.lit(".."), F.col("end").cast("string"))
+    write_fasta(events.select(name.alias("seq_id"), "seq"), path, None)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from genoframe.functions.alignments import cs_counts, gap_compressed_divergence
 
@@ -38,3 +39,20 @@ def write_by_genome(bed: DataFrame, path: str) -> None:
 def decimals(value: Column, places: int) -> Column:
     """Rounded half to even, as text."""
     return F.format_string(f"%.{places}f", F.bround(value, places) + 0.0)
+
+
+def write_anchors(anchors: DataFrame, path: str) -> None:
+    """anchors(block_id, ord, gene1, gene2) as text of two columns, ### before each block; blocks lie in order over the part files."""
+    first = F.row_number().over(Window.partitionBy("block_id").orderBy("ord")) == 1
+    line = F.concat(F.when(first, "###\n").otherwise(""), F.col("gene1"), F.lit("\t"), F.col("gene2"))
+    anchors.select("block_id", "ord", line.alias("value")).repartitionByRange("block_id").sortWithinPartitions("block_id", "ord").select("value").write.text(path)
+
+
+def locus_text(name: str, start: str, end: str) -> Column:
+    """name:start..end"""
+    return F.concat(F.col(name), F.lit(":"), F.col(start).cast("string"), F.lit(".."), F.col(end).cast("string"))
+
+
+def write_coords(coords: DataFrame, path: str) -> None:
+    """coords as lines of two loci, strand and block."""
+    coords.select(F.concat_ws("\t", locus_text("t", "t_start", "t_end"), locus_text("q", "q_start", "q_end"), "strand", F.col("block").cast("string")).alias("value")).write.text(path)

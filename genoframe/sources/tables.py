@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from genoframe.functions.alignments import locus, trailing_decimal
-from genoframe.functions.names import genome_of
-from genoframe.sources.text import carried, field, fields, lines
+from genoframe.functions.names import Genomes, genome_of, listed
+from genoframe.sources.text import carried, counted, field, fields, is_there, lines
 
 
 def paf_of(rows: DataFrame, min_len: int = 0, both_sides: bool = False) -> DataFrame:
@@ -30,7 +32,7 @@ def paf_of(rows: DataFrame, min_len: int = 0, both_sides: bool = False) -> DataF
     if min_len:
         found = found.where((F.col("t_end") - F.col("t_start") >= min_len) & (F.lit(not both_sides) | (F.col("q_end") - F.col("q_start") >= min_len)))
     of = lambda k, kind="string": F.try_element_at(F.col("tags"), F.lit(k)).try_cast(kind)
-    return found.withColumns({"de": of("de:f", "double"), "cs": of("cs:Z"), "cg": of("cg:Z")})
+    return found.withColumns({"de": F.regexp_extract(of("de:f"), r"^([^:]*?)(rl:i:.*)?$", 1).try_cast("double"), "cs": of("cs:Z"), "cg": of("cg:Z")})
 
 
 def read_paf(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -48,6 +50,14 @@ def read_genes(spark: SparkSession, path: str) -> DataFrame:
     return kept.select(field(1).alias("chrom"), field(2, "bigint").alias("start"), field(3, "bigint").alias("end"), field(4).alias("gene"), field(5).alias("score"), field(6).alias("strand"), F.col("line_no").alias("ord"))
 
 
+def read_genes_if_there(spark: SparkSession, path: str) -> DataFrame:
+    """read_genes(); without a file a warning and no rows."""
+    if is_there(spark, path):
+        return read_genes(spark, path)
+    warnings.warn(f"no gene models at {path}", stacklevel=2)
+    return spark.createDataFrame([], "chrom string, start long, end long, gene string, score string, strand string, ord long")
+
+
 def read_scored_bed(spark: SparkSession, path: str) -> DataFrame:
     """(chrom, start, end, score) of lines with four columns, or with six of which the second and the sixth are left out."""
     rows = fields(lines(spark, path)).where(F.size("f").isin(4, 6)).withColumn("six", F.size("f") == 6)
@@ -65,11 +75,13 @@ def anchors_of(rows: DataFrame, exact: bool = False) -> DataFrame:
 
     exact: lines that have not just two fields are left out.
     """
-    w = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.where(F.trim("line") != "").withColumn("_part", F.sum(F.when(F.trim("line") == "###", 1).otherwise(0)).over(w))
+    rows = counted(rows.where(F.trim("line") != ""), F.trim("line") == "###", "_part")
     rows = rows.where(F.trim("line") != "###").withColumn("f", F.split(F.trim("line"), r"\s+"))
     rows = rows.where(F.size("f") == 2 if exact else F.size("f") >= 2)
-    return rows.select("file", F.dense_rank().over(Window.partitionBy("file").orderBy("_part")).cast("long").alias("block_id"), F.col("line_no").alias("ord"), field(1).alias("gene1"), field(2).alias("gene2"))
+    # Blocks without anchors have no number, so the blocks are ranked by themselves.
+    blocks = rows.select(F.col("file").alias("_file"), F.col("_part").alias("_p")).distinct().withColumn("block_id", F.row_number().over(Window.partitionBy("_file").orderBy("_p")).cast("long"))
+    rows = rows.join(blocks, (F.col("file") == F.col("_file")) & (F.col("_part") == F.col("_p")))
+    return rows.select("file", "block_id", F.col("line_no").alias("ord"), field(1).alias("gene1"), field(2).alias("gene2"))
 
 
 def read_anchors(spark: SparkSession, path: str, exact: bool = False) -> DataFrame:
@@ -88,8 +100,9 @@ def read_coords(spark: SparkSession, path: str, clamp: bool = False, order: bool
     return coords_of(lines(spark, path), clamp, order)
 
 
-def between_two_genomes(coords: DataFrame, genomes: DataFrame) -> DataFrame:
+def between_two_genomes(coords: DataFrame, genomes: Genomes) -> DataFrame:
     """coords with both genomes; an error where a record does not join two."""
+    genomes = listed(genomes)
     rows = genome_of(genome_of(coords, "t", genomes, "t_genome"), "q", genomes, "q_genome")
     guard = F.when(F.col("t_genome") == F.col("q_genome"), F.raise_error(F.concat(F.lit("one genome on both sides: "), F.col("t")))).otherwise(F.col("q_genome"))
     return rows.withColumn("q_genome", guard)
@@ -123,6 +136,17 @@ def read_reports(spark: SparkSession, pattern: str) -> DataFrame:
     return rows.select("accession", field(1).alias("chrom"), field(2, "double").alias("value")).where("value is not null")
 
 
+def mean_lines(reports: DataFrame) -> DataFrame:
+    """(accession, chrom, value) of the chromosomes' own lines, without the whole genome's."""
+    return reports.where("chrom <> 'WholeGenome'")
+
+
+def with_means(windows: DataFrame, reports: DataFrame) -> DataFrame:
+    """Long windows (chrom, start, end, id, avg_de) with the chromosome's mean of the report of that id."""
+    own = mean_lines(reports).select(F.col("accession").alias("id"), "chrom", F.col("value").alias("mean"))
+    return windows.join(own, ["id", "chrom"], "left")
+
+
 def read_pairs(spark: SparkSession, path: str, exact: bool = False) -> DataFrame:
     """(id1, id2, ord); exact: a line that has not just two ids is an error."""
     rows = fields(lines(spark, path), r"\s+")
@@ -152,14 +176,65 @@ def gff_of(rows: DataFrame) -> DataFrame:
     return kept.select("line_no", field(1).alias("chrom"), field(3).alias("type"), field(4, "bigint").alias("start"), field(5, "bigint").alias("end"), field(6).alias("score"), field(7).alias("strand"), field(8).alias("phase"), F.map_from_arrays(keys, values).alias("attrs"), "sta", clean.alias("atn"))
 
 
+def read_annotations(spark: SparkSession, path: str) -> DataFrame:
+    """(chrom, type, start, end, line) of the lines of a GFF with nine fields and whole numbers; starts are 0-based as intervals are here."""
+    rows = fields(lines(spark, path)).where(F.size("f") >= 9)
+    return rows.select(field(1).alias("chrom"), field(3).alias("type"), (field(4, "bigint") - 1).alias("start"), field(5, "bigint").alias("end"), "line").where("start is not null and end is not null")
+
+
+def read_indels(spark: SparkSession, path: str) -> DataFrame:
+    """Indels (op, q_name, q_start, q_end, t_name, t_start, t_end, length) of lines with at least five fields of which the third and fourth are whole numbers."""
+    names = ("op", "q_name", "q_start:bigint", "q_end:bigint", "t_name", "t_start:bigint", "t_end:bigint", "length:bigint")
+    rows = fields(lines(spark, path)).where(F.size("f") >= 5)
+    return rows.select(*[field(k, (n.split(":") + ["string"])[1]).alias(n.split(":")[0]) for k, n in enumerate(names, 1)]).where("q_start is not null and q_end is not null")
+
+
+def read_hits(spark: SparkSession, path: str) -> DataFrame:
+    """(query, target, identity, length) of a tabular list of hits."""
+    rows = lines(spark, path).where(F.trim("line") != "").withColumn("f", F.split("line", "\t"))
+    return rows.select(F.trim(field(1)).alias("query"), field(2).alias("target"), field(3, "double").alias("identity"), field(4, "bigint").alias("length"))
+
+
+def hit_ids(hits: DataFrame) -> DataFrame:
+    """The ids that have a hit, once each."""
+    return hits.select(F.col("query").alias("id")).distinct()
+
+
+def read_matrix(spark: SparkSession, path: str) -> DataFrame:
+    """Long (i, j, d) of a square table whose first line names the columns, with or without a field over the row names."""
+    rows = lines(spark, path).where(F.trim("line") != "").withColumn("f", F.split("line", "\t"))
+    first = rows.groupBy(F.col("file").alias("_file")).agg(F.min("line_no").alias("_first"), F.min_by("f", "line_no").alias("_names"))
+    cells = rows.join(first, F.col("file") == F.col("_file")).where("line_no > _first")
+    shift = F.size("f") - F.size("_names")  # 1 where nothing stands over the row names
+    cells = cells.select(field(1).alias("i"), F.posexplode(F.slice("f", F.lit(2), F.size("f"))).alias("_k", "_d"), "_names", shift.alias("_shift"))
+    return cells.select("i", F.try_element_at("_names", F.col("_k") + 2 - F.col("_shift")).alias("j"), F.col("_d").try_cast("double").alias("d")).where("j is not null")
+
+
+def read_name_key(spark: SparkSession, path: str) -> DataFrame:
+    """(name, label) of a name key."""
+    return fields(lines(spark, path)).where(F.size("f") >= 2).select(field(1).alias("name"), field(2).alias("label"))
+
+
+def read_genome_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """(genome) of a run's folder: of genome_list.txt, one to a line; else of jcvi_list.txt, all words; else the names of files *_mod.fa. The first that has any counts."""
+    for name, words in (("genome_list.txt", F.array(F.trim("line"))), ("jcvi_list.txt", F.split(F.trim("line"), r"\s+"))):
+        if is_there(spark, f"{folder}/{name}"):
+            found = lines(spark, f"{folder}/{name}").where(F.trim("line") != "").select(F.explode(words).alias("genome")).distinct()
+            if not found.isEmpty():
+                return found
+    if not is_there(spark, f"{folder}/*_mod.fa"):
+        return spark.createDataFrame([], "genome string")
+    files = spark.read.format("binaryFile").load(f"{folder}/*_mod.fa")
+    return files.select(F.regexp_extract("path", r"([^/]*)_mod\.fa$", 1).alias("genome")).distinct()
+
+
 def read_gff(spark: SparkSession, path: str) -> DataFrame:
     return gff_of(lines(spark, path))
 
 
 def maf_of(rows: DataFrame) -> DataFrame:
     """Pairwise MAF lines: (block, names, starts, sizes, strands, texts) of each block, target first."""
-    w = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("block", F.sum(F.when(F.col("line").rlike(r"^a\b"), 1).otherwise(0)).over(w)).where(F.col("line").rlike(r"^s\s"))
+    rows = counted(rows, F.col("line").rlike(r"^a\b"), "block").where(F.col("line").rlike(r"^s\s"))
     rows = rows.withColumn("f", F.split("line", r"\s+"))
     part = F.struct("line_no", field(2).alias("name"), field(3, "bigint").alias("start"), field(4, "bigint").alias("size"), field(5).alias("strand"), field(6, "bigint").alias("length"), field(7).alias("text"))
     return rows.groupBy("file", "block").agg(F.array_sort(F.collect_list(part)).alias("s")).where(F.size("s") >= 2).select("block", F.col("s")[0].alias("t"), F.col("s")[1].alias("q"))

@@ -1,18 +1,35 @@
-"""Delimited text with the order of its lines."""
+"""Delimited text with the order of its lines.
+
+Files are read in splits. What a line takes from the lines before it (a count, the last value of something) is worked out
+split by split and carried on from one to the next, so a file is never one task's.
+"""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_no, line) of text files, gz and bz2 ones too. line_no grows along a file; it is not gapless.
+def lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, split, line_no, line) of text files, gz and bz2 ones too. line_no grows along a file; it is not gapless.
 
-    A file that is split is read in order of its splits, which Spark numbers by their offset.
+    split is the offset of the part of the file that a line was read with.
     """
-    return spark.read.text(path).select(F.input_file_name().alias("file"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_i"), F.col("value").alias("line")).select("file", (F.col("_at") * (1 << 20) + F.col("_i") % (1 << 33)).alias("line_no"), "line")
+    rows = spark.read.text(path).select(F.input_file_name().alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("_i"), F.col("value").alias("line"))
+    return rows.select("file", "split", (F.col("split") * (1 << 20) + F.col("_i") % (1 << 33)).alias("line_no"), "line")
+
+
+def is_there(spark: SparkSession, path: str) -> bool:
+    """Whether Spark finds anything at the path."""
+    try:
+        spark.read.text(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def fields(rows: DataFrame, separator: str = "\t") -> DataFrame:
@@ -26,7 +43,28 @@ def field(k: int, kind: str = "string") -> Column:
     return F.try_element_at(F.col("f"), F.lit(k)).try_cast(kind)
 
 
+def _with_earlier(rows: DataFrame, of_split: Column, of_all: Column) -> DataFrame:
+    """rows with _earlier: of_all, over the splits before, of what of_split says of each of them."""
+    splits = rows.groupBy("file", "split").agg(of_split.alias("_of_split"))
+    ahead = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = splits.select(F.col("file").alias("_file"), F.col("split").alias("_split"), of_all.over(ahead).alias("_earlier"))
+    return rows.join(earlier, (F.col("file") == F.col("_file")) & (F.col("split") == F.col("_split"))).drop("_file", "_split")
+
+
+def _to_here():
+    return Window.partitionBy("file", "split").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+
+
 def carried(rows: DataFrame, value: Column, as_col: str) -> DataFrame:
     """lines() with the last value that is not null at or before each line of its file."""
-    w = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn(as_col, F.last(value, ignorenulls=True).over(w))
+    rows = rows.withColumn("_value", value)
+    last = F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col("line_no")))
+    rows = _with_earlier(rows, last, F.last("_of_split", ignorenulls=True))
+    return rows.withColumn(as_col, F.coalesce(F.last("_value", ignorenulls=True).over(_to_here()), "_earlier")).drop("_value", "_earlier")
+
+
+def counted(rows: DataFrame, where: Column, as_col: str) -> DataFrame:
+    """lines() with the number of lines of its file, up to and with each, for which that is true."""
+    rows = rows.withColumn("_one", F.when(where, 1).otherwise(0).cast("long"))
+    rows = _with_earlier(rows, F.sum("_one"), F.sum("_of_split"))
+    return rows.withColumn(as_col, F.sum("_one").over(_to_here()) + F.coalesce("_earlier", F.lit(0))).drop("_one", "_earlier")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from genoframe.operators.synteny import remaining
 
@@ -31,10 +31,19 @@ def _others(spark: SparkSession, results: str, number: int, id_col: str, like: D
     """Ids that other batches have results of."""
     try:
         return spark.read.parquet(results).where(F.col("batch") != number).select(id_col)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return like.select(id_col).limit(0)
 
 
+def job_stream(spark: SparkSession, path: str) -> DataFrame:
+    """Streamed (segment_id, target, query) of text files of three fields that come into a folder; other lines are left out."""
+    parts = F.split("value", "\t")
+    rows = spark.readStream.text(path).where(F.size(parts) == 3)
+    return rows.select(parts[0].alias("segment_id"), parts[1].alias("target"), parts[2].alias("query"))
+
+
 def reasons_so_far(skips: DataFrame) -> DataFrame:
     """Running counts of the streamed skips by reason, for a sink in complete mode."""
     return skips.groupBy("reason").agg(F.count("*").alias("n"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from genoframe.functions import alignments as A
 from genoframe.functions import codons, names, params
-from genoframe.functions.align import align_pairs, edit_path
+from genoframe.functions.align import align_by_tiles, align_pairs, edit_path
 from genoframe.operators import assembly, chains, divergence, intervals, rates, scene, synteny, trees, variants, windows
 from genoframe.plans import structure
 
@@ -129,6 +129,70 @@ def test_merge_against_plain(spark):
     assert sorted(found) == sorted(want)
 
 
+def test_islands_across_ranges(spark):
+    rng = random.Random(15)
+    rows = [(rng.choice("ab"), s := rng.randrange(30_000), s + rng.choice([1, 5, 50, 4000 if rng.random() < 0.05 else 20])) for _ in range(500)]
+    df = spark.createDataFrame(rows, "chrom string, start long, end long")
+    found = lambda size: sorted(tuple(r) for r in intervals.islands(df, ["chrom"], size).collect())
+    assert found(100) == found(None) == found(1 << 20) and len(found(100)) > 20
+    covered = {c: len({p for x, a, b in rows if x == c for p in range(a, b)}) for c in "ab"}
+    for size in (100, None):
+        assert {r.chrom: r.covered for r in intervals.covered_bases(df, ["chrom"], size).collect()} == covered
+
+
+def test_overlaps_on_levels(spark):
+    rng = random.Random(16)
+    rows = lambda n, seed: [(k, rng.choice("ab"), s := rng.randrange(100_000), s + rng.choice([1, 20, 300, 9000, 60_000])) for k in range(n)]
+    a, b = rows(120, 1), rows(120, 2)
+    schema = "id long, chrom string, start long, end long"
+    left, right = spark.createDataFrame(a, schema), intervals.prefixed(spark.createDataFrame(b, schema))
+    want = sorted((x[0], y[0]) for x in a for y in b if x[1] == y[1] and x[2] < y[3] and x[3] > y[2])
+    for levels in (1, 2, 3):
+        found = intervals.overlap_join(left, right, ["chrom"], 16, levels=levels)
+        assert sorted((r.id, r.r_id) for r in found.collect()) == want
+    near = sorted((x[0], y[0]) for x in a for y in b if x[1] == y[1] and abs(x[2] - y[2]) <= 0.9 * (y[3] - y[2]) and abs(x[3] - y[3]) <= 0.9 * (y[3] - y[2]))
+    assert sorted((r.id, r.r_id) for r in intervals.near_join_by_share(left, right, ["chrom"], 0.9, 16).collect()) == near
+    one = spark.createDataFrame([(1, "c", 1000, 51_000)], schema), intervals.prefixed(spark.createDataFrame([(2, "c", 41_000, 91_000)], schema))
+    assert intervals.near_join_by_share(*one, ["chrom"], 0.9).count() == 1
+
+
+def test_nearest_against_all_pairs(spark):
+    rng = random.Random(17)
+    rows = [(k, rng.choice("abc"), s := rng.randrange(10_000_000), s + rng.randrange(1, 900)) for k in range(150)]
+    paint = [(rng.choice("ab"), s := rng.randrange(10_000_000), s + rng.randrange(1, 40_000), f"r{k % 7}", k) for k in range(120)]
+    want = {}
+    for k, c, s, e in rows:
+        own = [(max(0, min(e, b) - max(s, a)), max(a - e, s - b, 0), o, ref) for x, a, b, ref, o in paint if x == c]
+        best = min(((-sh, o, ref) for sh, _, o, ref in own if sh), default=None) or min(((d, o, ref) for _, d, o, ref in own), default=(0, 0, None))
+        want[k] = best[2]
+    df = spark.createDataFrame(rows, "id long, chrom string, start long, end long")
+    painted = spark.createDataFrame(paint, "chrom string, start long, end long, ref string, ord int")
+    assert {r.id: r.ref for r in intervals.best_overlap(df, painted, "id", ["chrom"], 5000).collect()} == want
+
+
+def test_segments_aligned_by_halving(spark):
+    rng = random.Random(18)
+    t = "".join(rng.choice("ACGT") for _ in range(1200))
+    q = t[:600] + "".join(rng.choice("ACGT") for _ in range(600))
+    turned = "".join({"A": "T", "C": "G", "G": "C", "T": "A"}[x] for x in reversed(t))
+    seqs = spark.createDataFrame([("t", t), ("q", q), ("r", turned)], "seq_id string, seq string")
+    rows = [("same", "t", 1, 600, "q", 1, 600, "+"), ("half", "t", 1, 1200, "q", 1, 1200, "+"), ("back", "t", 101, 400, "r", 801, 1100, "-"), ("none", "t", 1, 9, "x", 1, 9, "+"), ("long", "t", 1, 400, "q", 1, 40, "+")]
+    segments = spark.createDataFrame(rows, "segment_id string, t string, t_start long, t_end long, q string, q_start long, q_end long, strand string")
+    records, skips = synteny.align_segments(segments, seqs, 60, 4, 4.0)
+    found = records.collect()
+    assert {r.segment_id for r in found} >= {"same", "half", "back"}
+    for r in found:
+        part = {"t": t, "q": q, "r": turned}[r.q][r.q_start : r.q_end]
+        part = part if r.strand == "+" else "".join({"A": "T", "C": "G", "G": "C", "T": "A"}[x] for x in reversed(part))
+        same = sum(x == y for x, y in zip(t[r.t_start : r.t_end], part)) if r.segment_id != "half" else r.nmatch
+        assert r.nmatch >= same
+    half = [r for r in found if r.segment_id == "half"]
+    assert min(r.t_start for r in half) == 0 and max(r.t_end for r in half) >= 600
+    reasons = {(r.segment_id, r.reason) for r in skips.collect()}
+    assert reasons == {("none", "no_sequence"), ("long", "length_ratio")}
+    assert ("half", "too many edits") in {(r.segment_id, r.reason) for r in synteny.align_segments(segments, seqs, 60, 0)[1].collect()}
+
+
 def test_chain_blocks(spark):
     rows = [(0, 100, 0, 100, 100), (150, 300, 140, 290, 150), (900, 950, 900, 950, 50)]
     paf = spark.createDataFrame([("t", "q", "+", a, b, c, d, n, n) for a, b, c, d, n in rows], "t_name string, q_name string, strand string, t_start long, t_end long, q_start long, q_end long, nmatch long, alnlen long")
@@ -236,6 +300,42 @@ def test_chromosomes_of_one_scale(spark):
     assert {r.rule for r in assembly.chromosomes(fai).collect()} == {"pure-scale"}
 
 
+def test_triage_against_a_plain_version(spark):
+    rng = random.Random(14)
+    blocks = []
+    for k in range(150):
+        s, t, n = rng.randrange(4000), rng.randrange(4000), rng.randrange(0, 120)
+        blocks.append((k, rng.choice("ab"), s, s + n, rng.choice("xyz"), t, t + (n if k % 3 else rng.randrange(0, 12)), "+"))
+
+    def bare(spans, s, e):
+        return 0.0 if e <= s else 1 - len({p for a, b in spans for p in range(max(a, s), min(b, e))}) / (e - s)
+
+    df = spark.createDataFrame(blocks, "id long, ca string, sa long, ea long, cb string, sb long, eb long, strand string")
+    for both in (True, False):
+        up, down, want, skewed = {}, {}, {}, []
+        for k, ca, sa, ea, cb, sb, eb, _ in blocks:
+            low, high = sorted((ea - sa, eb - sb))
+            ratio = high / low if low > 0 else float("inf")
+            if ratio > 4:
+                skewed.append((ratio, k))
+            else:
+                want[k] = "clean"
+                up.setdefault(ca, []).append((sa, ea))
+                down.setdefault(cb, []).append((sb, eb))
+        for _, k in sorted(skewed):
+            _, ca, sa, ea, cb, sb, eb, _ = blocks[k]
+            shares = bare(up.get(ca, []), sa, ea), bare(down.get(cb, []), sb, eb)
+            want[k] = "rescued" if (min if both else max)(shares) >= 0.5 else "dropped"
+            if want[k] == "rescued":
+                up.setdefault(ca, []).append((sa, ea))
+                down.setdefault(cb, []).append((sb, eb))
+        triaged = scene.triage(df, 4.0, 0.5, both)
+        assert {r.id: r.verdict for r in triaged.collect()} == want
+        assert len(set(want.values())) == 3
+    top = [r.ratio for r in scene.top_rescued(triaged, 3).collect()]
+    assert len(top) == 3 and top == sorted(top, reverse=True)
+
+
 def test_triage(spark):
     blocks = [(1, "a", 0, 100, "b", 0, 100, "+"), (2, "a", 200, 300, "b", 200, 210, "+"), (3, "a", 0, 90, "b", 50, 55, "+"), (4, "a", 210, 300, "b", 201, 206, "+")]
     df = spark.createDataFrame(blocks, "id long, ca string, sa long, ea long, cb string, sb long, eb long, strand string")
@@ -278,6 +378,37 @@ def test_edit_path():
     assert edit_path("A" * 50, "C" * 50, most=10) is None
 
 
+def test_edit_path_of_long_and_other_sequences():
+    rng = random.Random(5)
+    base = "".join(rng.choice("ACGT") for _ in range(3000))
+    for b in ("", "A", base[:1500], base[700:], base[::-1][:400], "".join(c for c in base if rng.random() > 0.02), "T" * 300):
+        path = edit_path(base, b)
+        assert sum(n for op, n in path if op != "I") == 3000 and sum(n for op, n in path if op != "D") == len(b)
+    far = edit_path(base, "".join(rng.choice("ACGT") for _ in range(2500)))
+    assert sum(n for op, n in far if op != "=") > 1000
+
+
+def test_tiles(spark):
+    rng = random.Random(6)
+    pairs = []
+    for k in range(12):
+        t = "".join(rng.choice("acgt") for _ in range(rng.randrange(1, 4000)))
+        q = "".join(rng.choice("acgt") if rng.random() < 0.02 * (k % 4) else c for c in t if rng.random() > 0.02 * (k % 3))
+        if k == 5:
+            q = q[:200] + "".join(rng.choice("acgt") for _ in range(900)) + q[200:]
+        pairs.append((k, t, q or "a"))
+    pairs += [(20, "a" * 900, "a" * 850), (21, "acgt", "tgca"), (22, "", "a"), (23, None, "a"), (24, "ac" * 400, "ca" * 380)]
+    df = spark.createDataFrame(pairs, "id long, target string, query string")
+    found = {r.id: r for r in align_by_tiles(df, "id", long=True).withColumns({"t": A.target_of(F.col("cs")), "q": A.query_of(F.col("cs")), "cigar": A.cigar_of(F.col("cs")), "counts": A.cs_counts(F.col("cs"))}).collect()}
+    assert found.keys() == {k for k, t, q in pairs if t and q}
+    for k, t, q in pairs:
+        if t and q:
+            r = found[k]
+            assert (r.t, r.q, r.cigar) == (t, q, r.cg) and r.counts.matches == r.nmatch
+            least = _edits(t, q) if len(t) < 1000 else sum(n for op, n in edit_path(t, q) if op != "=")
+            assert least <= r.edits <= 1.05 * least + 5
+
+
 def test_align_pairs(spark):
     rows = spark.createDataFrame([("ACGTACGT", "ACGTTACCT"), ("", "A"), (None, "A"), ("A" * 9, "C" * 9)], "target string, query string")
     found = [r.aln for r in align_pairs(rows, most=5).collect()]

@@ -97,7 +97,7 @@ def drop_overlaps(chains: DataFrame, key: str) -> DataFrame:
                 on_q.add(qs, qe)
                 yield row[:-1]
 
-    return over_groups(rows, [key], ["_short", "t_start", "q_start", "strand"], pick, rows.drop("_short").schema)
+    return over_groups(rows, [key], ["_short", "t_start", "q_start", "strand", "t_end", "q_end", "n_anchors"], pick, rows.drop("_short").schema)
 
 
 def tile(chains: DataFrame, key: str, t_len: str, q_len: str) -> DataFrame:

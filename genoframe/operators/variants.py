@@ -67,7 +67,8 @@ def counts_and_sizes(paf: DataFrame, genomes: Genomes) -> DataFrame:
     the records. Substitutions are counted within a record's difference string and never become rows."""
     pairs = F.transform(A.substitution_pairs(F.col("cs")), lambda p: A.variant_kind(F.substring(p, 1, 1), F.substring(p, 2, 1)))
     rows = paf.select("q_name", "t_name", "alnlen", pairs.alias("kinds"))
-    rows = rows.select("q_name", "t_name", "alnlen", *[F.coalesce(F.size(F.filter("kinds", lambda k, x=x: k == x)), F.lit(0)).alias(x) for x in ("transition", "transversion")])
+    count = lambda kind: F.coalesce(F.size(F.filter("kinds", lambda k: k == kind)), F.lit(0)).alias(kind)
+    rows = rows.select("q_name", "t_name", "alnlen", count("transition"), count("transversion"))
     genomes = listed(genomes)
     rows = rows.groupBy("q_name", "t_name").agg(F.sum("alnlen").alias("size"), F.sum("transition").alias("ti"), F.sum("transversion").alias("tv"))
     rows = genome_of(genome_of(rows, "q_name", genomes, "g1"), "t_name", genomes, "g2")

@@ -290,9 +290,8 @@ def substitution_counts(spark, sf_dir):
 @query(_COUNTS.rstrip() + f""", z as (select least({genome_sql('q_name')}, {genome_sql('t_name')}) as id1, greatest({genome_sql('q_name')}, {genome_sql('t_name')}) as id2, sum(alnlen) as size from v_paf group by 1, 2)
 select n.id1, n.id2, round(case when ti / size + tv / size < 0.75 and 1 - 2 * (ti / size) - tv / size > 0 and 1 - 2 * (tv / size) > 0 then -0.5 * ln((1 - 2 * (ti / size) - tv / size) * sqrt(1 - 2 * (tv / size))) end, 6) as d from n join z on z.id1 = n.id1 and z.id2 = n.id2""")
 def variant_distances(spark, sf_dir):
-    rows = genome_of(genome_of(view(spark, sf_dir, "v_paf", "q_name", "t_name", "alnlen"), "q_name", genomes(spark), "g1"), "t_name", genomes(spark), "g2")
-    sizes = rows.groupBy(F.least("g1", "g2").alias("id1"), F.greatest("g1", "g2").alias("id2")).agg(F.sum("alnlen").alias("size"))
-    return _rounded(V.distances(_counts(spark, sf_dir), sizes), "d")
+    found = V.counts_and_sizes(view(spark, sf_dir, "v_paf", "q_name", "t_name", "alnlen", "cs"), genomes(spark))
+    return _rounded(V.distances(found.select("id1", "id2", "ti", "tv"), found.select("id1", "id2", "size")), "d")
 
 
 @query(with_views("v_paf") + _ABC + """
@@ -327,9 +326,14 @@ def reverse_complement(spark, sf_dir):
     return view(spark, sf_dir, "v_seq").select("id", A.reverse_complement(F.col("raw")).alias("rc"))
 
 
-@query(with_views("v_seq", "v_coords") + """r as (select 1)
-select c.rid, substring(s.raw, cast(c.t_start % 50 + 1 as bigint), 80) as slice from v_coords c join v_seq s on s.id = c.rid % 100""")
+@query(with_views("v_seq") + """
+s as (select id, raw, unnest(range(0, length(raw), 500)) as start from v_seq),
+p as (select id, start, (start // 500) % 2 = 1 as turned, substring(raw, start + 1, 80) as part from s)
+select id, start, case when turned then reverse(translate(part, 'ACGTacgt', 'TGCAtgca')) else part end as slice from p""")
 def sequence_slices(spark, sf_dir):
+    """Eighty bases of every five hundred of each sequence, every other slice of the other strand."""
     seqs = view(spark, sf_dir, "v_seq").select(F.col("id").alias("seq_id"), F.col("raw").alias("seq"))
-    asked = view(spark, sf_dir, "v_coords", "rid", "t_start").select("rid", (F.col("rid") % 100).alias("seq_id"), (F.col("t_start") % 50).alias("start"), (F.col("t_start") % 50 + 80).alias("end"))
-    return slices(asked, seqs).select("rid", F.col("seq").alias("slice"))
+    starts = F.sequence(F.lit(0).cast("long"), F.length("seq").cast("long") - 1, F.lit(500).cast("long"))
+    asked = seqs.where("seq <> ''").select("seq_id", F.explode(starts).alias("start"))
+    asked = asked.select("seq_id", "start", (F.col("start") + 80).alias("end"), F.when(F.floor(F.col("start") / 500) % 2 == 1, "-").otherwise("+").alias("strand"))
+    return slices(asked, seqs, "strand").select(F.col("seq_id").alias("id"), "start", F.col("seq").alias("slice"))

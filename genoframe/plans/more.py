@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from genoframe.functions import alignments as A
-from genoframe.functions.align import align_pairs
+from genoframe.functions.align import align_by_tiles
 from genoframe.functions.names import genome_of
 from genoframe.operators import chains, scene, sets, trees, variants
 from genoframe.plans.divergence import _GENOME_AVERAGES, _matrix
 from genoframe.plans.registry import query
-from genoframe.plans.structure import _LAYOUT, _runs, ribbon_points
+from genoframe.plans.structure import _LAYOUT, _RUNS, _runs, ribbon_points
 from genoframe.plans.views import genome_sql, genomes, view, with_views
 
 
@@ -32,19 +32,32 @@ def breakpoints(spark, sf_dir):
 
 
 _PAIR = """
-s as (select id, substring(regexp_replace(raw, '[^acgt]', '', 'g'), 1, 240) as target from v_seq),
+s as (select id, regexp_replace(raw, '[^acgt]', '', 'g') as target from v_seq),
 p as (select id, target, regexp_replace(regexp_replace(target, '(.{37})', '\\1a', 'g'), 'ca', 'g', 'g') as query from s where target <> '')
 """
 
 
-@query(with_views("v_seq") + _PAIR + "select id, levenshtein(target, query) as edits from p where query <> ''")
+@query(with_views("v_seq") + _PAIR + "select id, md5(target) as target, md5(query) as query, length(target) as t_len, length(query) as q_len from p where query <> ''")
 def aligned_segments(spark, sf_dir):
-    rows = view(spark, sf_dir, "v_seq").select("id", F.substring(F.regexp_replace("raw", "[^acgt]", ""), 1, 240).alias("target")).where("target <> ''")
+    """Whole sequences and what both are by the alignment's difference string and its CIGAR."""
+    rows = view(spark, sf_dir, "v_seq").select("id", F.regexp_replace("raw", "[^acgt]", "").alias("target")).where("target <> ''")
     rows = rows.withColumn("query", F.regexp_replace(F.regexp_replace("target", "(.{37})", "$1a"), "ca", "g")).where("query <> ''")
-    return align_pairs(rows).select("id", F.col("aln.edits").alias("edits"))
-
-
-@query()
+    steps = A.cg_tokens(F.col("cg"))
+    bases = lambda *ops: A.total(F.transform(F.filter(steps, lambda x: x["op"].isin(*ops)), lambda x: x["n"]))
+    found = align_by_tiles(rows, "id", long=True)
+    return found.select("id", F.md5(A.target_of(F.col("cs"))).alias("target"), F.md5(A.query_of(F.col("cs"))).alias("query"), bases("M", "D").alias("t_len"), bases("M", "I").alias("q_len"))
+
+
+@query(with_views("v_paf") + _RUNS.rstrip() + """,
+n as (select concat(t_name, '|', q_name) as segment, t_start, t_end, q_start, q_end, row_number() over (partition by t_name, q_name order by t_start, q_start, t_end, q_end) as i from u),
+f as (
+  select distinct segment, cast(0 as bigint) as i, cast(0 as bigint) as t, cast(0 as bigint) as q, cast(0 as bigint) as pt, cast(0 as bigint) as pq, cast(0 as bigint) as ts, cast(0 as bigint) as te, cast(0 as bigint) as qs, cast(0 as bigint) as qe, false as took from n
+  union all
+  select n.segment, n.i, case when n.t_start < f.t or n.q_start < f.q then f.t else n.t_end end, case when n.t_start < f.t or n.q_start < f.q then f.q else n.q_end end, f.t, f.q, n.t_start, n.t_end, n.q_start, n.q_end, not (n.t_start < f.t or n.q_start < f.q)
+  from f join n on n.segment = f.segment and n.i = f.i + 1)
+select segment, pt as t_start, ts as t_end, pq as q_start, qs as q_end, false as seeded from f where took and (ts > pt or qs > pq)
+union all select segment, ts, te, qs, qe, true from f where took and (te > ts or qe > qs)
+union all select segment, t, 1000000, q, 1000000, false from (select * from f qualify row_number() over (partition by segment order by i desc) = 1) where t < 1000000 or q < 1000000""")
 def covering_tiles(spark, sf_dir):
     runs = _runs(spark, sf_dir).select(F.concat_ws("|", "t_name", "q_name").alias("segment"), "t_start", "t_end", "q_start", "q_end")
     return chains.covering_tiles(runs.withColumns({"tl": F.lit(1_000_000).cast("long"), "ql": F.lit(1_000_000).cast("long")}), "segment", "tl", "ql")

@@ -140,13 +140,30 @@ def inversion_counts(spark, sf_dir):
     return chains.inversions(_runs(spark, sf_dir), ["t_name", "q_name"])
 
 
-@query()
+_DISJOINT = _RUNS.rstrip() + """,
+n as (select concat(t_name, '|', q_name) as segment, t_start, t_end, q_start, q_end, strand, n_anchors,
+  row_number() over (partition by t_name, q_name order by t_start - t_end + q_start - q_end, t_start, q_start, strand, t_end, q_end, n_anchors) as i from u),
+f as (
+  select distinct segment, cast(0 as bigint) as i, cast([] as struct(a bigint, b bigint, c bigint, d bigint)[]) as kept, false as took from n
+  union all
+  select n.segment, n.i, case when len(list_filter(f.kept, lambda k: (k.a < n.t_end and k.b > n.t_start) or (k.c < n.q_end and k.d > n.q_start))) = 0 then list_append(f.kept, {'a': n.t_start, 'b': n.t_end, 'c': n.q_start, 'd': n.q_end}) else f.kept end,
+    len(list_filter(f.kept, lambda k: (k.a < n.t_end and k.b > n.t_start) or (k.c < n.q_end and k.d > n.q_start))) = 0
+  from f join n on n.segment = f.segment and n.i = f.i + 1),
+d as (select n.segment, t_start, t_end, q_start, q_end, strand, n_anchors from n join f on f.segment = n.segment and f.i = n.i where took)
+"""
+
+
+@query(with_views("v_paf") + _DISJOINT + "select * from d")
 def disjoint_chains(spark, sf_dir):
     runs = _runs(spark, sf_dir).withColumn("segment", F.concat_ws("|", "t_name", "q_name"))
     return chains.drop_overlaps(runs, "segment")
 
 
-@query()
+@query(with_views("v_paf") + _DISJOINT.rstrip() + """,
+w as (select *, lag(t_end) over o as pt, lag(q_end) over o as pq, lead(t_start) over o as nt, lead(q_start) over o as nq from d window o as (partition by segment order by t_start, q_start)),
+x as (select *, max(case when nq < q_start then 1 else 0 end) over (partition by segment) as stays from w)
+select segment, case when stays = 1 then t_start when pt is null then 0 else (pt + t_start) // 2 end as t_start, case when stays = 1 then t_end when nt is null then 1000000 else (t_end + nt) // 2 end as t_end,
+  case when stays = 1 then q_start when pq is null then 0 else (pq + q_start) // 2 end as q_start, case when stays = 1 then q_end when nq is null then 1000000 else (q_end + nq) // 2 end as q_end, strand, n_anchors, cast(1000000 as bigint) as t_len, cast(1000000 as bigint) as q_len from x""")
 def tiled_chains(spark, sf_dir):
     rows = disjoint_chains(spark, sf_dir).withColumns({"t_len": F.lit(1_000_000).cast("long"), "q_len": F.lit(1_000_000).cast("long")})
     return chains.tile(rows, "segment", "t_len", "q_len")
@@ -332,13 +349,17 @@ def detected_chromosomes(spark, sf_dir):
     return assembly.chromosomes(_contigs(spark, sf_dir).select("chrom", "len"), most=100_000)
 
 
-@query(_CONTIGS + """, s as (select ord, chrom as header, 'Zm_sca' || row_number() over (order by len desc, ord) as new from c where chrom like 'sca%') select * from s where length(new) <= 8""")
+@query(_CONTIGS + """, s as (select ord, chrom as header, 'Zm_sca' || row_number() over (order by len desc, ord) as new from c where chrom like 'sca%') select * from s where length(new) <= 13""")
 def scaffold_names(spark, sf_dir):
     rows = _contigs(spark, sf_dir).where(F.col("chrom").startswith("sca")).select("ord", F.col("chrom").alias("header"), F.col("len").alias("length"))
-    return assembly.name_scaffolds(rows, "Zm", 8)
+    return assembly.name_scaffolds(rows, "Zm")
 
 
-@query()
+@query("""with h as (select s_suppkey as ord, 'chr0' || (s_suppkey % 7 + 1) || case when s_suppkey % 3 = 0 then 'a' else '' end as header, cast(s_suppkey % 7 + 1 as varchar) as chrom, case when s_suppkey % 3 = 0 then 'A' end as given from supplier),
+f as (select *, given is not null and row_number() over (partition by chrom, given order by ord) = 1 as own, count(*) over (partition by chrom) as n, max(given) over (partition by chrom) as kept from h),
+k as (select *, row_number() over (partition by chrom, own order by ord) + case when kept is null then 0 else 1 end as k from f),
+l as (select *, case when own then given when n > 1 then case when k <= 26 then chr(cast(64 + k as int)) else chr(cast(65 + (k - 27) // 26 as int)) || chr(cast(65 + (k - 27) % 26 as int)) end end as letter from k)
+select ord, header, chrom, letter, 'Zm_chr' || chrom || coalesce(letter, '') as new from l""")
 def chromosome_names(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").alias("ord"), F.concat(F.lit("chr0"), (F.col("s_suppkey") % 7 + 1).cast("string"), F.when(F.col("s_suppkey") % 3 == 0, "a").otherwise("")).alias("header"))
     return assembly.name_chromosomes(rows, "Zm")
@@ -403,7 +424,19 @@ def triaged_blocks(spark, sf_dir):
     return scene.triage(rows, 4.0, 0.5)
 
 
-@query()
+@query(with_views("v_coords") + """
+b as (select t as chrom, q as ref, t_start as s, t_end as e, cast(least(499, t_start * 500 // 1000000) as bigint) as low, cast(least(500, ceil(t_end * 500 / 1000000)) as bigint) as high from v_coords),
+c as (select *, unnest(range(low, greatest(low + 1, high))) as bin from b),
+w as (select chrom, bin, ref, sum(least(e, (bin + 1) * 2000) - greatest(s, bin * 2000)) as bases from c group by 1, 2, 3),
+x as (select chrom, bin, arg_min(ref, (-bases, ref)) as ref from w group by 1, 2 having sum(bases) > 0),
+v as (select chrom, unnest(range(0, 500)) as bin from (select distinct chrom from x)),
+y as (select v.chrom, v.bin, x.ref, x.bin as own from v left join x on x.chrom = v.chrom and x.bin = v.bin),
+z as (select chrom, bin, last_value(ref ignore nulls) over l as lr, last_value(own ignore nulls) over l as lb, first_value(ref ignore nulls) over r as rr, first_value(own ignore nulls) over r as rb
+  from y window l as (partition by chrom order by bin rows unbounded preceding), r as (partition by chrom order by bin rows between current row and unbounded following)),
+p as (select chrom, bin, case when rb is null or (lb is not null and bin - lb <= rb - bin) then lr else rr end as ref from z),
+g as (select *, lag(ref) over (partition by chrom order by bin) as before from p),
+h as (select *, sum(case when ref = before then 0 else 1 end) over (partition by chrom order by bin rows unbounded preceding) as run from g)
+select chrom, min(bin) * 2000.0 as start, (max(bin) + 1) * 2000.0 as "end", ref from h group by chrom, run, ref""")
 def painted_chromosomes(spark, sf_dir):
     rows = _targets(spark, sf_dir).join(view(spark, sf_dir, "v_coords", "rid", "q").withColumnRenamed("q", "ref"), "rid")
     return scene.painted(rows.select("chrom", F.lit(1_000_000).cast("long").alias("len"), "start", "end", "ref"), 500)

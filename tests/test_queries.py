@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import genoframe.plans.divergence  # noqa: F401
+import genoframe.plans.files  # noqa: F401
 import genoframe.plans.more  # noqa: F401
 import genoframe.plans.structure  # noqa: F401
 from genoframe.plans import registry

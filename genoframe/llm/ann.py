@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from genoframe.llm.shared import partitions, written
+from genoframe.llm.shared import partitions
+from genoframe.scratch import written
 
 #: Fewest rows of a shard (but for what is left over) and of a block of queries, if there are so many.
 SHARD_ROWS, BLOCK_ROWS = 8192, 4096

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from genoframe.llm.shared import partitions, written
+from genoframe.llm.shared import partitions
+from genoframe.scratch import written
 
 #: Most ranges of ids that documents are dealt into.
 MOST_RANGES = 16384

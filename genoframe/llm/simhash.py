@@ -19,8 +19,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from genoframe.llm.components import connected_components
-from genoframe.llm.shared import partitions, written
+from genoframe.operators.components import connected_components
+from genoframe.llm.shared import partitions
+from genoframe.scratch import written
 
 BITS = 64
 #: Shingles of a text whose bits are counted at a time.

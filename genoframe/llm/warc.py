@@ -16,7 +16,8 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoframe.llm.shared import own_folder, partitions, written
+from genoframe.llm.shared import partitions
+from genoframe.scratch import own_folder, written
 
 VERSION = b"WARC/1."
 GZIP = b"\x1f\x8b\x08"

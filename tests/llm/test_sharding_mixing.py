@@ -139,7 +139,7 @@ def test_schedule_against_slot_by_slot():
 
 
 def test_shared_folder(spark, tmp_path, monkeypatch):
-    from genoframe.llm import shared
+    from genoframe import scratch as shared
 
     class Conf(dict):
         def get(self, key, default=None):

@@ -196,8 +196,12 @@ def best_overlap(rows: DataFrame, painted: DataFrame, id_col: str, keys: list[st
     c, row = F.col, F.struct("*").alias("row")
     met = overlap_join(rows, prefixed(painted.select(*keys, "start", "end", "ref", "ord")), keys, bin_size)
     none = F.lit(None)
-    whole = F.struct(*[c(x) for x in rows.columns]).alias("row")
-    shared = met.select(whole, F.lit(0).alias("far"), (F.greatest("start", "r_start") - F.least("end", "r_end")).alias("d"), c("r_ord").cast("long").alias("ord"), c("r_ref").alias("ref"))
+    # Pairs are brought down to one for each interval before they meet anything else.
+    less = F.greatest("start", "r_start") - F.least("end", "r_end")
+    shared = met.select(c(id_col).alias("_id"), less.alias("d"), c("r_ord").cast("long").alias("ord"), c("r_ref").cast("string").alias("ref"))
+    shared = shared.groupBy("_id").agg(F.min(F.struct("d", "ord", "ref")).alias("x"))
+    empty = none.cast(rows.select(row).schema["row"].dataType).alias("row")
+    shared = shared.select("_id", empty, F.lit(0).alias("far"), "x.d", "x.ord", "x.ref")
 
     # ask 1: an interval that looks back from `at`; ask 0: a painted one that ends there. Way 1 has the axis turned.
     both = lambda a, b: F.explode(F.array(F.struct(F.lit(0).alias("way"), a.alias("at")), F.struct(F.lit(1).alias("way"), (-b).alias("at"))))
@@ -212,9 +216,9 @@ def best_overlap(rows: DataFrame, painted: DataFrame, id_col: str, keys: list[st
     look = Window.partitionBy(*local).orderBy("at", "ask", F.desc("ord")).rowsBetween(Window.unboundedPreceding, 0)
     near = _joined(points, carried, local).withColumn("_near", F.coalesce(F.last(known, True).over(look), "_carried")).where("ask = 1")
     # An interval without any painted one on its key stays, without a ref.
-    near = near.select("row", F.when(c("_near").isNull(), 2).otherwise(1).alias("far"), (c("at") - c("_near.at")).alias("d"), (-c("_near.less")).alias("ord"), c("_near.ref").alias("ref"))
-    found = shared.unionByName(near).withColumn("_id", c(f"row.{id_col}")).groupBy("_id").agg(F.min_by(F.struct("row", "ref"), F.struct("far", "d", "ord")).alias("x"))
-    return found.select("x.row.*", "x.ref")
+    near = near.select(c(f"row.{id_col}").alias("_id"), "row", F.when(c("_near").isNull(), 2).otherwise(1).alias("far"), (c("at") - c("_near.at")).alias("d"), (-c("_near.less")).alias("ord"), c("_near.ref").alias("ref"))
+    found = shared.unionByName(near).groupBy("_id").agg(F.first("row", ignorenulls=True).alias("row"), F.min(F.struct("far", "d", "ord", "ref")).alias("x"))
+    return found.select("row.*", "x.ref")
 
 
 def smaller_of_reciprocal(sizes: DataFrame) -> DataFrame:

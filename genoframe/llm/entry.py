@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoframe.llm import ann, bpe, fingerprints, mixing, quality, sharding, simhash, tokencounts, urls, warc
+from genoframe.llm import ann, bpe, centroids, fingerprints, mixing, quality, sharding, simhash, tokencounts, urls, warc, whitening
 
 
 #: Target parts of the mix: src0, the largest source, is held at a fifth; sources that are not named share the rest.
@@ -63,8 +63,16 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-_QUERIES = (op1_rendezvous, op2_token_counts, op3_neighbours, op4_bpe, op5_fingerprints, op6_mixing, op7_quality, op8_warc, op9_simhash, op10_urls)
-_SQL = {"op8_warc": warc.ARCHIVED_SQL, "op10_urls": urls.judge_sql()}
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(_table(spark, sf_dir, "embeddings"))
+
+
+_QUERIES = (op1_rendezvous, op2_token_counts, op3_neighbours, op4_bpe, op5_fingerprints, op6_mixing, op7_quality, op8_warc, op9_simhash, op10_urls, op11_whitening, op13_centroids)
+_SQL = {"op8_warc": warc.ARCHIVED_SQL, "op10_urls": urls.judge_sql(), "op13_centroids": centroids.clusters_sql()}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoframe.llm import ann, bpe, centroids, fingerprints, mixing, quality, sharding, simhash, tokencounts, urls, warc, whitening
+from genoframe.llm import ann, bpe, centroids, fingerprints, lm, mixing, quality, sharding, simhash, tokencounts, urls, warc, whitening
 
 
 #: Target parts of the mix: src0, the largest source, is held at a fifth; sources that are not named share the rest.
@@ -67,11 +67,15 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(_table(spark, sf_dir, "documents"))
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clusters(_table(spark, sf_dir, "embeddings"))
 
 
-_QUERIES = (op1_rendezvous, op2_token_counts, op3_neighbours, op4_bpe, op5_fingerprints, op6_mixing, op7_quality, op8_warc, op9_simhash, op10_urls, op11_whitening, op13_centroids)
+_QUERIES = (op1_rendezvous, op2_token_counts, op3_neighbours, op4_bpe, op5_fingerprints, op6_mixing, op7_quality, op8_warc, op9_simhash, op10_urls, op11_whitening, op12_lm, op13_centroids)
 _SQL = {"op8_warc": warc.ARCHIVED_SQL, "op10_urls": urls.judge_sql(), "op13_centroids": centroids.clusters_sql()}
 
 

@@ -27,7 +27,7 @@ from genoframe.llm.shared import partitions
 from genoframe.scratch import written
 
 #: Pseudo-counts of the next shorter history for bigrams, trigrams and so on; the last one holds for longer ones too.
-STRENGTHS = (100.0, 5.0)
+STRENGTHS = (300.0, 5.0)
 #: What is added to the count of a word, and of one unknown word.
 ADDED = 0.1
 #: Tokens from which a block is full. A text is never cut, so a block may exceed that by one text.

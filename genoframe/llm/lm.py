@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -31,7 +32,7 @@ STRENGTHS = (300.0, 5.0)
 #: What is added to the count of a word, and of one unknown word.
 ADDED = 0.1
 #: Tokens from which a block is full. A text is never cut, so a block may exceed that by one text.
-BLOCK_TOKENS = 1 << 21
+BLOCK_TOKENS = 1 << 20
 #: N-grams, about, that a task adds up; the number of ranges follows from all tokens.
 RANGE_GRAMS = 1 << 22
 #: Bits of an n-gram's hash beyond those that number all n-grams: two share a hash with a chance of 2^-24 for each n-gram.
@@ -39,72 +40,98 @@ SPARE_BITS = 24
 #: Tokens of a part of a text; all parts of a block are walked side by side.
 PART_TOKENS = 256
 
-BLOCK_SCHEMA = "block long, ids array<{kind}>, train array<boolean>, sizes array<int>, tokens binary, words array<binary>, counts array<long>"
-GRAM_SCHEMA = "size int, range int, block long, words array<binary>, keys binary, counts binary"
+BLOCK_SCHEMA = "block long, ids array<{kind}>, train array<boolean>, sizes array<int>, tokens binary, words binary, many long, known long"
+GRAM_SCHEMA = "size int, range int, block long, keys binary, counts binary"
 TOTAL_SCHEMA = "block long, size int, range int, totals binary, words_seen long"
 
 
-class _Numbers(dict):
-    """Words numbered as they come."""
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(words of all texts, how many each has): ASCII letters lower-cased, split at ASCII white space; both leave other bytes of UTF-8 alone."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, sizes = parts.flatten(), pc.list_value_length(parts).to_numpy().astype(np.int64)
+    full = pc.greater(pc.binary_length(words), 0)
+    text = np.repeat(np.arange(len(sizes)), sizes)[full.to_numpy(zero_copy_only=False)]
+    return words.filter(full), np.bincount(text, minlength=len(sizes))
 
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        return number
 
+def _one(values: pa.Array | np.ndarray) -> pa.Array:
+    """One row whose value is the list of all values."""
+    values = pa.array(values) if isinstance(values, np.ndarray) else values
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
-def words_of(text: bytes) -> list[bytes]:
-    """ASCII letters lower-cased, split at ASCII white space; both leave other bytes of UTF-8 alone."""
-    return text.lower().split()
 
+def _packed(x: np.ndarray) -> bytes:
+    """Numbers with their first bytes together, then their second bytes and so on, compressed."""
+    data = x.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    return len(x).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
 
-def _one(values: pa.Array | np.ndarray, kind: pa.DataType) -> pa.Array:
-    """One row whose value is the list of all values."""
-    values = pa.array(values, kind) if isinstance(values, np.ndarray | list) else values
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
+def _numbers(x: bytes) -> np.ndarray:
+    n = int.from_bytes(x[:8], "little")
+    data = pa.decompress(x[8:], 8 * n, "zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").reshape(-1)
 
-class _Block:
-    def __init__(self):
-        self.numbers, self.ids, self.train, self.sizes, self.tokens = _Numbers(), [], [], [], []
-        self.many = 0
 
-    def add(self, own_id: pa.Array, text: bytes | None, train: bool) -> None:
-        found = np.array(list(map(self.numbers.__getitem__, words_of(text or b""))), np.int32)
-        self.ids.append(own_id)
-        self.train.append(train)
-        self.sizes.append(len(found))
-        self.tokens.append(found)
-        self.many += len(found) + 1
+def _joined(words: pa.Array) -> bytes:
+    """Words hold no white space."""
+    data = b"\n".join(words.cast(pa.binary()).to_pylist())
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def _parted(x: bytes) -> list[bytes]:
+    n = int.from_bytes(x[:8], "little")
+    return pa.decompress(x[8:], n, "zstd", asbytes=True).split(b"\n") if n else []
 
-    def row(self, number: int) -> pa.RecordBatch:
-        tokens, sizes = np.concatenate(self.tokens), np.array(self.sizes, np.int32)
-        counts = np.bincount(tokens[np.repeat(self.train, sizes)], minlength=len(self.numbers))
-        ids = pa.concat_arrays(self.ids)
-        columns = [
-            pa.array([number], pa.int64()), _one(ids, ids.type), _one(self.train, pa.bool_()), _one(sizes, pa.int32()), pa.array([tokens.tobytes()], pa.binary()),
-            _one(list(self.numbers), pa.binary()), _one(counts.astype(np.int64), pa.int64()),
-        ]
-        return pa.RecordBatch.from_arrays(columns, names=["block", "ids", "train", "sizes", "tokens", "words", "counts"])
+
+def _block_row(number: int, held: list[tuple[pa.Array, np.ndarray, pa.Array, np.ndarray]]) -> pa.RecordBatch:
+    """A row of BLOCK_SCHEMA for held (ids, train, words, how many each has)."""
+    ids, words = (pa.concat_arrays([h[k] for h in held]) for k in (0, 2))
+    train, sizes = (np.concatenate([h[k] for h in held]) for k in (1, 3))
+    coded = words.dictionary_encode()
+    columns = [
+        pa.array([number], pa.int64()), _one(ids), _one(train), _one(sizes.astype(np.int32)), pa.array([_packed(coded.indices.to_numpy())], pa.binary()),
+        pa.array([_joined(coded.dictionary)], pa.binary()), pa.array([int(sizes.sum())], pa.int64()), pa.array([int(sizes[train].sum())], pa.int64()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["block", "ids", "train", "sizes", "tokens", "words", "many", "known"])
 
 
 def blocks(docs: DataFrame, train: Column, id_col: str, text_col: str) -> DataFrame:
     """Texts as numbers of their block's words, a row for each block, written to the shared folder."""
 
     def run(batches):
-        first, own, n = TaskContext.get().partitionId() << 32, _Block(), 0
+        first, held, many, n = TaskContext.get().partitionId() << 32, [], 0, 0
         for batch in batches:
-            for i, (text, learn) in enumerate(zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist())):
-                own.add(batch.column(0).slice(i, 1), text, learn)
-                if own.many >= BLOCK_TOKENS:
-                    yield own.row(first + n)
-                    own, n = _Block(), n + 1
-        if own.ids:
-            yield own.row(first + n)
+            words, sizes = words_of(batch.column(1))
+            learn, ends, at = batch.column(2).to_numpy(zero_copy_only=False).astype(bool), np.concatenate([[0], np.cumsum(sizes)]), 0
+            # A text counts as one more for its end.
+            full = ends + np.arange(len(ends))
+            while at < len(sizes):
+                to = min(len(sizes), max(at + 1, int(np.searchsorted(full, full[at] + BLOCK_TOKENS - many))))
+                held.append((batch.column(0).slice(at, to - at), learn[at:to], words.slice(ends[at], ends[to] - ends[at]), sizes[at:to]))
+                many, at = many + int(full[to] - full[at]), to
+                if many >= BLOCK_TOKENS:
+                    yield _block_row(first + n, held)
+                    held, many, n = [], 0, n + 1
+        if held:
+            yield _block_row(first + n, held)
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), train.alias("train"))
     return written(rows.mapInArrow(run, BLOCK_SCHEMA.format(kind=dict(docs.dtypes)[id_col])))
 
 
+def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct codes, for each code the number of it among them). Codes and their places are sorted as one number where both fit."""
+    bits = max(1, int(len(codes) - 1).bit_length())
+    if not len(codes) or int(codes.max()).bit_length() + bits > 62:
+        return np.unique(codes, return_inverse=True)
+    both = np.sort((codes << bits) | np.arange(len(codes)))
+    place, both = both & ((1 << bits) - 1), both >> bits
+    new = np.append(True, both[1:] != both[:-1])
+    number = np.empty(len(codes), np.int32)
+    number[place] = np.cumsum(new, dtype=np.int32) - 1
+    return both[new], number
+
+
 def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """A hash of two hashes."""
     x = a * np.uint64(0x9E3779B97F4A7C15) + b
@@ -113,15 +140,6 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _bytes_apart(x: np.ndarray) -> bytes:
-    """First bytes of all numbers, then their second bytes and so on, which compresses small numbers well."""
-    return x.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
-
-
-def _numbers(x: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(8, -1).T).view("<u8").reshape(-1)
-
-
 @dataclass
 class Level:
     """The distinct n-grams of one size: number of the first words' gram, last word, number of the last words' gram, hash, count
@@ -140,34 +158,35 @@ class Grams:
 
     def __init__(self, words: list[bytes], sizes: np.ndarray, tokens: np.ndarray, train: np.ndarray, order: int):
         self.begin, self.end, self.kinds = len(words), len(words) + 1, len(words) + 2
-        lengths = sizes.astype(np.int64) + 2
-        self.starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
-        self.lengths = lengths
-        self.text = np.repeat(np.arange(len(sizes)), lengths)
-        self.depth = np.arange(len(self.text)) - self.starts[self.text]
-        self.sequence = np.full(len(self.text), self.end, np.int64)
+        self.lengths = sizes + 2
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.text = np.repeat(np.arange(len(sizes), dtype=np.int32), self.lengths)
+        self.depth = (np.arange(len(self.text)) - np.repeat(self.starts, self.lengths)).astype(np.int32)
+        self.sequence = np.full(len(self.text), self.end, np.int32)
+        inside = np.ones(len(self.text), bool)
+        inside[self.starts] = inside[self.starts + self.lengths - 1] = False
+        self.sequence[inside] = tokens
         self.sequence[self.starts] = self.begin
-        self.sequence[(self.depth > 0) & (self.depth < lengths[self.text] - 1)] = tokens
         learn = train[self.text]
-        hashes = np.array([xxhash.xxh64_intdigest(w, 1) for w in words] + [xxhash.xxh64_intdigest(b"", seed) for seed in (2, 3)], np.uint64)
+        hashes = np.array([*(xxhash.xxh64_intdigest(w, 1) for w in words), xxhash.xxh64_intdigest(b"", 2), xxhash.xxh64_intdigest(b"", 3)], np.uint64)
         none = np.zeros(0, np.int64)
         count = np.bincount(self.sequence[learn], minlength=self.kinds)
         self.levels = [Level(none, np.arange(self.kinds), none, hashes, count, self.sequence)]
         for size in range(2, order + 1):
             below = self.levels[-1]
             at = np.flatnonzero(self.depth >= size - 1)
-            codes, number = np.unique(below.of[at - 1] * self.kinds + self.sequence[at], return_inverse=True)
+            codes, number = _distinct(below.of[at - 1] * np.int64(self.kinds) + self.sequence[at])
             prefix, last = codes // self.kinds, codes % self.kinds
-            suffix = np.empty(len(codes), np.int64)
+            suffix = np.empty(len(codes), np.int32)
             suffix[number] = below.of[at]
-            of = np.full(len(self.text), -1, np.int64)
+            of = np.full(len(self.text), -1, np.int32)
             of[at] = number
             count = np.bincount(number[learn[at]], minlength=len(codes))
             self.levels.append(Level(prefix, last, suffix, _mixed(below.key[prefix], hashes[last]), count, of))
 
 
 def _block(row: dict, order: int) -> Grams:
-    return Grams(row["words"], np.array(row["sizes"], np.int64), np.frombuffer(row["tokens"], np.int32), np.array(row["train"], bool), order)
+    return Grams(_parted(row["words"]), np.array(row["sizes"], np.int64), _numbers(row["tokens"]), np.array(row["train"], bool), order)
 
 
 def _borders(bits: int, ranges: int) -> np.ndarray:
@@ -175,10 +194,11 @@ def _borders(bits: int, ranges: int) -> np.ndarray:
     return np.array([-(-(r << bits) // ranges) for r in range(1, ranges)], np.uint64)
 
 
-def _dealt(key: np.ndarray, bits: int, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _dealt(key: np.ndarray, bits: int, borders: np.ndarray, stable: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(order of the keys, keys of so many bits in that order, where the ranges begin and end in it)."""
     short = key >> np.uint64(64 - bits)
-    order = np.argsort(short, kind="stable")
+    # Grams of one hash get the same total, so their order is of no matter; words of one hash do not, and are sorted stably.
+    order = np.argsort(short, kind="stable" if stable else None)
     short = short[order]
     return order, short, np.concatenate([[0], np.searchsorted(short, borders), [len(short)]])
 
@@ -190,16 +210,16 @@ def _sent(order: int, bits: int, ranges: int):
     def run(batches):
         for row in (b.slice(i, 1).to_pylist()[0] for b in batches for i in range(b.num_rows)):
             grams = _block(row, order)
-            words = pa.array(row["words"], pa.binary())
+            words = pa.array(_parted(row["words"]), pa.binary())
             for size, level in enumerate(grams.levels, 1):
                 key = level.key[: len(words)] if size == 1 else level.key
-                by, short, at = _dealt(key, bits, borders)
+                by, short, at = _dealt(key, bits, borders, size == 1)
                 for r in np.flatnonzero(np.diff(at)).tolist():
                     mine = slice(at[r], at[r + 1])
-                    own = words.take(pa.array(by[mine])) if size == 1 else pa.array([], pa.binary())
-                    keys = b"" if size == 1 else _bytes_apart(np.diff(short[mine], prepend=np.uint64(0)))
-                    columns = [pa.array([size], pa.int32()), pa.array([r], pa.int32()), pa.array([row["block"]], pa.int64()), _one(own, pa.binary()), pa.array([keys], pa.binary()), pa.array([_bytes_apart(level.count[by[mine]])], pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, names=["size", "range", "block", "words", "keys", "counts"])
+                    keys = _joined(words.take(pa.array(by[mine]))) if size == 1 else _packed(np.diff(short[mine], prepend=np.uint64(0)))
+                    values = (size, r, row["block"], keys, _packed(level.count[by[mine]]))
+                    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds)], names=["size", "range", "block", "keys", "counts"])
 
     return run
 
@@ -209,13 +229,16 @@ def _added(sent: pa.Table) -> pa.Table:
     size, own = sent["size"][0].as_py(), sent["range"][0].as_py()
     counts = [_numbers(c) for c in sent["counts"].to_pylist()]
     if size == 1:
-        number = sent["words"].combine_chunks().flatten().dictionary_encode().indices.to_numpy()
+        number = pa.array([w for k in sent["keys"].to_pylist() for w in _parted(k)], pa.binary()).dictionary_encode().indices.to_numpy()
     else:
-        number = np.unique(np.concatenate([np.cumsum(_numbers(k), dtype=np.uint64) for k in sent["keys"].to_pylist()]), return_inverse=True)[1]
-    totals = np.zeros(int(number.max()) + 1, np.uint64)
-    np.add.at(totals, number, np.concatenate(counts))
+        keys = np.concatenate([np.cumsum(_numbers(k), dtype=np.uint64) for k in sent["keys"].to_pylist()])
+        order = np.argsort(keys)
+        number = np.empty(len(keys), np.int64)
+        number[order] = np.cumsum(np.append(False, keys[order][1:] != keys[order][:-1]))
+    # Sums of longs below 2^53 are exact as doubles.
+    totals = np.bincount(number, weights=np.concatenate(counts)).astype(np.uint64)
     ends = np.cumsum([len(c) for c in counts])
-    back = [_bytes_apart(part) for part in np.split(totals[number], ends[:-1])]
+    back = [_packed(part) for part in np.split(totals[number], ends[:-1])]
     seen = [int((totals > 0).sum()) if size == 1 and i == 0 else 0 for i in range(len(back))]
     kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64())
     columns = (sent["block"].to_pylist(), [size] * len(back), [own] * len(back), back, seen)
@@ -305,14 +328,14 @@ def _scored(order: int, bits: int, ranges: int, tokens: int, kinds_seen: int, te
     borders = _borders(bits, ranges)
 
     def run(own: pa.Table, totals: pa.Table) -> pa.Table:
-        row = own.to_pylist()[0]
+        row = own.drop_columns(["ids"]).to_pylist()[0]
         grams = _block(row, order)
         back = {(s, r): _numbers(t) for s, r, t in zip(*(totals[c].to_pylist() for c in ("size", "range", "totals")))}
         counts = []
         for size, level in enumerate(grams.levels, 1):
             count = np.full(len(level.key), texts, np.int64)
             key = level.key[: grams.begin] if size == 1 else level.key
-            by, _, at = _dealt(key, bits, borders)
+            by, _, at = _dealt(key, bits, borders, size == 1)
             if len(by):
                 count[by] = np.concatenate([back[size, r] for r in np.flatnonzero(np.diff(at)).tolist()]).astype(np.int64)
             counts.append(count)
@@ -341,8 +364,7 @@ def scored(docs: DataFrame, train: Column | None = None, order: int = 3, strengt
         raise ValueError("order must be 1 at least, strengths over 0")
     train = F.crc32(F.col(id_col).cast("string")) % 10 != 0 if train is None else train
     own = blocks(docs, F.coalesce(train, F.lit(False)), id_col, text_col)
-    every = F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)
-    known, texts, all_tokens = own.agg(F.sum(every), F.sum(F.size(F.filter("train", lambda t: t))), F.sum(F.octet_length("tokens") / 4 + F.size("ids"))).first()
+    known, texts, all_tokens = own.agg(F.sum("known"), F.sum(F.size(F.filter("train", lambda t: t))), F.sum(F.col("many") + F.size("ids"))).first()
     known, texts, grams = known or 0, texts or 0, int(all_tokens or 0) * order
     bits = min(64, SPARE_BITS + max(1, math.ceil(math.log2(grams + 1))))
     ranges = max(partitions(docs.sparkSession), math.ceil(grams / order / RANGE_GRAMS))

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import empty_documents, odd_documents, sentence
 from pyspark.sql import functions as F
@@ -117,13 +118,12 @@ def test_held_out_texts_are_likelier_than_by_words_alone(spark):
 
 def test_automaton_walks_a_long_text_in_parts():
     rng = random.Random(4)
-    words = sentence(rng, 3000).encode()
-    block = lm._Block()
-    import pyarrow as pa
-
-    for text, train in ((words, True), (words[:4000], False), (b"", True)):
-        block.add(pa.array([1]), text, train)
-    grams = lm._block(block.row(0).to_pylist()[0], 3)
+    text = sentence(rng, 3000)
+    words, sizes = lm.words_of(pa.array([text, text[:4000], "", None, " \t x\x0b\x0cY\x1f\x85É  "]))
+    assert words.to_pylist()[-2:] == ["x", "y\x1f\x85É"]
+    assert sizes.tolist()[2:] == [0, 0, 2]
+    row = lm._block_row(0, [(pa.array(range(5)), np.array([True, False, True, False, False]), words, sizes)])
+    grams = lm._block(row.to_pylist()[0], 3)
     counts = [level.count for level in grams.levels]
     counts[0][grams.begin] = 2
     own = lm.Automaton(grams, counts, int(sum(counts[0][: grams.begin])) + 2, int((counts[0] > 0).sum()) - 1, lm.STRENGTHS)

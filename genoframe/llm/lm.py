@@ -32,7 +32,7 @@ STRENGTHS = (300.0, 5.0)
 #: What is added to the count of a word, and of one unknown word.
 ADDED = 0.1
 #: Tokens from which a block is full. A text is never cut, so a block may exceed that by one text.
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 19
 #: N-grams, about, that a task adds up; the number of ranges follows from all tokens.
 RANGE_GRAMS = 1 << 22
 #: Bits of an n-gram's hash beyond those that number all n-grams: two share a hash with a chance of 2^-24 for each n-gram.

@@ -166,7 +166,7 @@ def difference_string(path: Path, target: str, query: str, long: bool = False) -
 ALIGNED = "cg string, cs string, nmatch bigint, alnlen bigint, edits bigint, reason string"
 
 
-def _described(path: Path, target: str, query: str, long: bool) -> tuple:
+def described(path: Path, target: str, query: str, long: bool) -> tuple:
     """(cg, cs, nmatch, alnlen, edits)."""
     merged = [(m, sum(n for _, n in run)) for m, run in groupby(path, key=lambda x: "M" if x[0] in "=X" else x[0])]
     same, whole = sum(n for op, n in path if op == "="), sum(n for _, n in path)
@@ -188,7 +188,7 @@ def align_pairs(rows: DataFrame, target: str = "target", query: str = "query", m
                 found.append((None, None, None, None, None, "empty"))
                 continue
             path = edit_path(t.upper(), q.upper(), most)
-            found.append((None, None, None, None, None, "too many edits") if path is None else (*_described(path, t, q, long), None))
+            found.append((None, None, None, None, None, "too many edits") if path is None else (*described(path, t, q, long), None))
         out = pd.DataFrame(found, columns=["cg", "cs", "nmatch", "alnlen", "edits", "reason"])
         return out.astype({c: "Int64" for c in ("nmatch", "alnlen", "edits")})
 
@@ -228,7 +228,7 @@ def align_by_tiles(rows: DataFrame, id_col: str, target: str = "target", query:
                     whole[-1][1] += step["n"]
                 else:
                     whole.append([step["op"], step["n"]])
-        yield (*key, *_described([(op, n) for op, n in whole], "".join(ts), "".join(qs), long))
+        yield (*key, *described([(op, n) for op, n in whole], "".join(ts), "".join(qs), long))
 
     paths = dealt.select("id", "tile", "t", "q", path_of("t", "q").alias("path"))
     return over_groups(paths, ["id"], ["tile"], joined, f"id {kind}, cg string, cs string, nmatch bigint, alnlen bigint, edits bigint").withColumnRenamed("id", id_col)

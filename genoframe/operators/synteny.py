@@ -16,6 +16,7 @@ from genoframe.functions.alignments import reverse_complement
 from genoframe.operators.groups import over_groups
 from genoframe.operators.intervals import overlap_join, prefixed, without_contained
 from genoframe.scratch import written
+from genoframe.sources.fasta import CHUNK, chunked, slices_of_chunks
 
 
 def _orientation(a: str, b: str) -> Column:
@@ -222,13 +223,12 @@ def align_segments(segments: DataFrame, sequences: DataFrame, most_edits: int, r
     """
     c = F.col
     names = ["segment_id", "t", "t_start", "t_end", "q", "q_start", "q_end", "strand"]
-    todo, records, skips = segments.select(*names), [], []
+    todo, records, skips, chunks = segments.select(*names), [], [], chunked(sequences)
     for turn in range(rounds + 1):
         rows = todo
         for side in "tq":
-            own = sequences.select(c("seq_id").alias(side), c("seq").alias(f"_{side}"))
-            part = F.substring(c(f"_{side}"), c(f"{side}_start").cast("int"), (c(f"{side}_end") - c(f"{side}_start") + 1).cast("int"))
-            rows = rows.join(own, side, "left").withColumn(f"{side}_seq", part).drop(f"_{side}")
+            named = rows.withColumns({"seq_id": c(side), "start": c(f"{side}_start") - 1, "end": c(f"{side}_end")})
+            rows = slices_of_chunks(named, chunks, CHUNK).withColumnRenamed("seq", f"{side}_seq").drop("seq_id", "start", "end")
         low, high = F.least(F.length("t_seq"), F.length("q_seq")), F.greatest(F.length("t_seq"), F.length("q_seq"))
         reason = F.when(c("t_seq").isNull() | c("q_seq").isNull(), "no_sequence").when(low <= 0, "empty_span")
         rows = rows.withColumn("reason", reason.when((F.lit(max_ratio) > 0) & (high > max_ratio * low), "length_ratio"))

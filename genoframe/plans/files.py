@@ -117,9 +117,16 @@ def gff_file(spark, sf_dir):
 
 @query(with_views("v_ks") + "r as (select 1) select id1 || '-' || id2 as pair, count(*) as n, median(ks) as median from v_ks group by 1")
 def rates_file(spark, sf_dir):
-    """Without a header Ks is the fourth column."""
-    path = _text(spark, F.concat("id1", F.lit("-"), "id2"), F.lit("x"), F.lit("0.1"), "ks", rows=view(spark, sf_dir, "v_ks"))
-    return tables.read_ks(spark, path).groupBy("pair").agg(F.count("*").alias("n"), F.median("ks").alias("median"))
+    """Tables of three layouts: 22 columns without a header, and two with headers that have Ks at different places."""
+    rows = view(spark, sf_dir, "v_ks").withColumn("pair", F.concat("id1", F.lit("-"), "id2"))
+    pad = lambda n: [F.lit("0.5").alias(f"x{k}") for k in range(n)]
+    layouts = (
+        (c("id1") == "Zm", ["pair", F.lit("YN").alias("m"), F.lit("0.1").alias("a"), "ks", *pad(18)], False),
+        (c("id1") == "Sb", [c("pair").alias("Sequence"), F.lit("YN").alias("Method"), F.lit("0.1").alias("Ka"), F.lit("0.2").alias("Ka/Ks"), c("ks").alias("Ks")], True),
+        (~c("id1").isin("Zm", "Sb"), [c("pair").alias("Sequence"), c("ks").alias("Ks"), F.lit("9.9").alias("Ka"), *pad(2)], True),
+    )
+    paths = [_table(spark, rows.where(own).select(*columns), header) for own, columns, header in layouts]
+    return tables.read_ks(spark, paths).groupBy("pair").agg(F.count("*").alias("n"), F.median("ks").alias("median"))
 
 
 @query(with_views("v_coords") + "r as (select 1) select t, t_start, q, q_start, strand, 'AC-GT' as t_text, 'ACTGT' as q_text from v_coords")
@@ -170,3 +177,20 @@ def presence_file(spark, sf_dir):
     fasta.write_presence_absence(events.select("name", "start", "end", "seq").distinct(), path)
     found = fasta.read_fasta(spark, path)
     return found.groupBy("seq_id").agg(F.count("*").alias("n"), F.max("seq").alias("seq")).where("n = 1").select("seq_id", "seq")
+
+
+@query(with_views("v_seq") + """
+s as (select id, regexp_replace(raw, '[^acgt]', '', 'g') as seq from v_seq),
+p as (select id, seq, unnest(range(0, length(seq), 700)) as start from s)
+select cast(id as varchar) as seq_id, start, case when (start // 700) % 2 = 1 then reverse(translate(substring(seq, start + 1, 90 + id % 50), 'acgt', 'tgca')) else substring(seq, start + 1, 90 + id % 50) end as slice from p""")
+def indexed_slices(spark, sf_dir):
+    """Slices of every sequence, over its whole length, from FASTA files with indexes of which only the chunks asked for are read."""
+    from genoframe.sources.indexed import read_slices, write_indexed
+
+    seqs = view(spark, sf_dir, "v_seq").select("id", c("id").cast("string").alias("seq_id"), F.regexp_replace("raw", "[^acgt]", "").alias("seq")).where("seq <> ''")
+    path = new_path(spark, "indexed")
+    write_indexed(seqs, path, 70)
+    starts = F.sequence(F.lit(0).cast("long"), F.length("seq").cast("long") - 1, F.lit(700).cast("long"))
+    asked = seqs.select("id", "seq_id", F.explode(starts).alias("start"))
+    asked = asked.select("seq_id", "start", (c("start") + 90 + c("id") % 50).alias("end"), F.when(F.floor(c("start") / 700) % 2 == 1, "-").otherwise("+").alias("strand"))
+    return read_slices(spark, asked, path, "strand", 4096).select("seq_id", "start", c("seq").alias("slice"))

@@ -21,6 +21,8 @@ from genoframe.sources.text import counted, is_there, lines
 PACKED = re.compile(r"\.(bgz|bgzf|xz|lzma)$", re.IGNORECASE)
 #: Lines handed on at a time.
 OUT_LINES = 10_000
+#: Bases of the parts in which sequences meet what is cut out of them.
+CHUNK = 1 << 16
 
 
 def _opened(data: bytes) -> io.TextIOWrapper:
@@ -112,13 +114,37 @@ def read_or_make_index(spark: SparkSession, fasta: str, fai: str | None = None)
     return read_fai(spark, fai) if is_there(spark, fai) else index_of(read_fasta(spark, fasta))
 
 
-def slices(segments: DataFrame, sequences: DataFrame, strand: str | None = None) -> DataFrame:
-    """segments(seq_id, start, end: 0-based, half-open) with seq, reverse-complemented where the strand column is '-'."""
-    found = segments.join(sequences.select("seq_id", F.col("seq").alias("_seq")), "seq_id")
-    part = F.substring("_seq", F.col("start").cast("int") + 1, (F.col("end") - F.col("start")).cast("int"))
-    if strand:
-        part = F.when(F.col(strand) == "-", reverse_complement(part)).otherwise(part)
-    return found.withColumn("seq", part).drop("_seq")
+def chunked(sequences: DataFrame, size: int = CHUNK) -> DataFrame:
+    """(seq_id, chunk, bases): the sequences in parts of `size` bases, numbered from 0."""
+    return sequences.select("seq_id", F.posexplode(F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{size}}}"), F.lit(0))).alias("chunk", "bases"))
+
+
+def slices_of_chunks(segments: DataFrame, chunks: DataFrame, size: int, strand: str | None = None) -> DataFrame:
+    """slices() of chunks(seq_id, chunk, bases), which may leave out chunks that no segment lies in.
+
+    Segments meet the chunks that they lie in by number, so no segment carries a sequence, and one in a single chunk is cut out at once.
+    """
+    c = F.col
+    asked = segments.select(c("seq_id").alias("_id"), c("start").cast("long").alias("_a"), c("end").cast("long").alias("_b")).where("_b > _a and _a >= 0").distinct()
+    first = F.floor(c("_a") / size)
+    asked = asked.withColumn("_chunk", F.explode(F.sequence(first, F.floor((c("_b") - 1) / size))))
+    met = asked.join(chunks.select("seq_id", c("chunk").cast("long").alias("chunk"), "bases"), (c("_id") == c("seq_id")) & (c("_chunk") == c("chunk")))
+    at = F.greatest(c("_a") - c("chunk") * size, F.lit(0))
+    piece = F.substring("bases", at.cast("int") + 1, (F.least(c("_b") - c("chunk") * size, F.lit(size)) - at).cast("int"))
+    pieces = met.groupBy("_id", "_a", "_b").agg(F.array_sort(F.collect_list(F.struct("chunk", piece.alias("piece")))).alias("_p"))
+    seq = F.concat_ws("", F.transform("_p", lambda p: p["piece"]))
+    found = pieces.select("_id", "_a", "_b", F.when(seq != "", seq).alias("_seq"))
+    out = segments.join(found, (c("seq_id") == c("_id")) & (c("start").cast("long") == c("_a")) & (c("end").cast("long") == c("_b")), "left")
+    part = c("_seq") if strand is None else F.when(c(strand) == "-", reverse_complement(c("_seq"))).otherwise(c("_seq"))
+    return out.withColumn("seq", part).drop("_id", "_a", "_b", "_seq")
+
+
+def slices(segments: DataFrame, sequences: DataFrame, strand: str | None = None, size: int = CHUNK) -> DataFrame:
+    """segments(seq_id, start, end: 0-based, half-open) with seq, reverse-complemented where the strand column is '-'.
+
+    What lies beyond the sequence is left out; seq is null for segments of unknown sequences, without bases or wholly outside. Ids name sequences.
+    """
+    return slices_of_chunks(segments, chunked(sequences, size), size, strand)
 
 
 def wrapped(seq: Column, width: int = 60) -> Column:

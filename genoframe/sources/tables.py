@@ -12,6 +12,9 @@ from genoframe.functions.alignments import locus, trailing_decimal
 from genoframe.functions.names import Genomes, genome_of, listed
 from genoframe.sources.text import carried, counted, field, fields, is_there, lines
 
+#: Fields of a rate table without a header.
+RATE_COLUMNS = 22
+
 
 def paf_of(rows: DataFrame, min_len: int = 0, both_sides: bool = False) -> DataFrame:
     """PAF lines: twelve columns, tags as a map, and de, cs and cg. Lines whose numbers are none are left out.
@@ -155,13 +158,19 @@ def read_pairs(spark: SparkSession, path: str, exact: bool = False) -> DataFrame
     return rows.where(F.size("f") >= 2).select(field(1).alias("id1"), field(2).alias("id2"), F.col("line_no").alias("ord"))
 
 
-def read_ks(spark: SparkSession, path: str) -> DataFrame:
-    """(pair, ks) of a table of 22 columns with or without a header (Sequence ... Ks ...); values that are no number are null."""
+def read_ks(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, pair, ks) of rate tables, each by its own first line; values that are no number are null.
+
+    A first line with a field Ks is a header: its place says where the rates are, and lines that repeat it are left out. Without a
+    header a table must have RATE_COLUMNS fields, of which Ks is the fourth. Any other layout is an error.
+    """
     rows = fields(lines(spark, path))
-    header = rows.where(F.lower(field(1)) == "sequence").select(F.array_position(F.transform("f", F.lower), "ks").cast("int").alias("at")).limit(1)
-    # Without a header Ks is the fourth column.
-    joined = rows.where(F.lower(field(1)) != "sequence").join(F.broadcast(header), how="left")
-    return joined.select(field(1).alias("pair"), F.try_element_at("f", F.coalesce("at", F.lit(4))).try_cast("double").alias("ks"))
+    heads = rows.groupBy(F.col("file").alias("_file")).agg(F.min_by("f", "line_no").alias("_head"))
+    named = F.array_position("_head", "Ks").cast("int")
+    wrong = F.raise_error(F.concat(F.lit("neither a Ks column nor the known number of columns: "), F.col("_file"))).cast("int")
+    heads = heads.select("_file", F.when(named > 0, F.col("_head")).alias("_head"), F.when(named > 0, named).when(F.size("_head") == RATE_COLUMNS, F.lit(4)).otherwise(wrong).alias("_at"))
+    own = rows.join(heads, F.col("file") == F.col("_file")).where(F.col("_head").isNull() | (F.col("f") != F.col("_head")))
+    return own.select("file", field(1).alias("pair"), F.try_element_at("f", F.col("_at")).try_cast("double").alias("ks"))
 
 
 def gff_of(rows: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import bz2
 import gzip
 import lzma
 
+import pytest
 from pyspark.sql import functions as F
 
 from genoframe.functions.alignments import locus
@@ -57,7 +58,16 @@ def test_vcf_and_rates(spark, tmp_path):
     assert [tuple(r) for r in v.collect()] == [("c1", 7)] and [tuple(r) for r in c.collect()] == [("c1", 50)]
     head = put(tmp_path, "k1", "Sequence\tMethod\tKa\tKs\na-b\tx\t0.1\t0.5\nc-d\tx\t0.1\tNA\n")
     assert sorted((r.pair, r.ks) for r in tables.read_ks(spark, head).where("ks is not null").collect()) == [("a-b", 0.5)]
-    assert tables.read_ks(spark, put(tmp_path, "k2", "a-b\tx\t0.1\t0.7\n")).collect()[0].ks == 0.7
+    (tmp_path / "many").mkdir()
+    rest = "\t9.5" * 18
+    put(tmp_path, "many/a", "Sequence\tMethod\tKa\tx\tKs\na-b\tYN\t0.1\t8.0\t0.5\nSequence\tMethod\tKa\tx\tKs\na-c\tYN\t0.1\t8.0\t0.6\n")
+    put(tmp_path, "many/b", f"b-c\tYN\t0.1\t0.7{rest}\nb-d\tYN\t0.1\tNA{rest}\n")
+    put(tmp_path, "many/c", "Sequence\tKs\tKa\nc-d\t0.9\t0.1\n")
+    found = tables.read_ks(spark, str(tmp_path / "many")).collect()
+    assert sorted((r.pair, r.ks) for r in found if r.ks) == [("a-b", 0.5), ("a-c", 0.6), ("b-c", 0.7), ("c-d", 0.9)] and len(found) == 5
+    put(tmp_path, "many/d", "d-e\tYN\t0.1\t0.7\n")
+    with pytest.raises(Exception, match="known number of columns"):
+        tables.read_ks(spark, str(tmp_path / "many")).collect()
 
 
 def test_gff_and_maf(spark, tmp_path):

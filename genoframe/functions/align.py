@@ -6,7 +6,6 @@ fewest edits as rows of their own, and their paths are joined by position. Withi
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -19,6 +18,8 @@ from genoframe.operators.groups import over_groups
 
 #: Words at which a pair is cut: first the long ones, then shorter ones within tiles that stay over TILE bases.
 SEEDS, TILE = (32, 20, 12), 256
+#: Most that going on to another diagonal costs, in bases, and how many runs of words before it a run looks back at.
+LEAP, BACK = 100, 64
 
 Path = list[tuple[str, int]]
 
@@ -109,18 +110,44 @@ def _once(text: str, size: int) -> dict[str, int]:
     return {w: i for w, i in seen.items() if i >= 0}
 
 
-def _in_register(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """The longest chain of (t, q), sorted by t, that grows on both."""
-    ends: list[int] = []
-    at_end: list[int] = []
+def _runs(pairs: list[tuple[int, int]], size: int) -> list[tuple[int, int, int]]:
+    """(t, q, n): places that follow each other on one diagonal, less than a word apart, as one run of n bases' starts."""
+    open_: dict[int, list[int]] = {}
+    out = []
+    for t, q in pairs:
+        run = open_.get(t - q)
+        if run and t < run[0] + run[2] + size:
+            run[2] = t - run[0] + 1
+        else:
+            run = open_[t - q] = [t, q, 1]
+            out.append(run)
+    return [tuple(r) for r in out]
+
+
+def _in_register(pairs: list[tuple[int, int]], size: int, t_n: int, q_n: int) -> list[tuple[int, int, int]]:
+    """The best chain of runs of (t, q), sorted by t, that go on on both sides, from the beginning to the end of sequences that long.
+
+    A run is worth its bases; going on to another diagonal, from the beginning's and to the end's too, costs the difference, up to LEAP. So a chance hit, which is short and off the diagonal
+    of what is around it, costs more than it is worth, and a large indel between long runs does not. A run looks back at BACK others.
+    """
+    runs = _runs(pairs, size)
+    worth: list[float] = []
     before: list[int] = []
-    for i, (_, q) in enumerate(pairs):
-        k = bisect_left(ends, q)
-        before.append(at_end[k - 1] if k else -1)
-        ends[k : k + 1], at_end[k : k + 1] = [q], [i]
-    out, i = [], at_end[-1] if at_end else -1
+    for j, (t, q, n) in enumerate(runs):
+        best, come = -float(min(LEAP, abs(t - q))), -1
+        for i in range(max(0, j - BACK), j):
+            u, p, m = runs[i]
+            if u + m <= t and p + m <= q:
+                got = worth[i] - min(LEAP, abs((t - q) - (u - p)))
+                if got > best:
+                    best, come = got, i
+        worth.append(best + n + size - 1)
+        before.append(come)
+    ended = [w - min(LEAP, abs((t_n - q_n) - (t - q))) for w, (t, q, _) in zip(worth, runs)]
+    i = max(range(len(runs)), key=ended.__getitem__, default=-1)
+    out, i = [], i if i >= 0 and ended[i] > 0 else -1
     while i >= 0:
-        out.append(pairs[i])
+        out.append(runs[i])
         i = before[i]
     return out[::-1]
 
@@ -134,7 +161,8 @@ def cuts(target: str, query: str, seeds: tuple[int, ...] = SEEDS, tile: int = TI
         return
     size, half = seeds[0], seeds[0] // 2
     once = _once(query, size)
-    chain = _in_register([(i, once[w]) for w, i in _once(target, size).items() if w in once]) if once else []
+    runs = _in_register([(i, once[w]) for w, i in _once(target, size).items() if w in once], size, len(target), len(query)) if once else []
+    chain = [(t + k, q + k) for t, q, n in runs for k in (*range(0, n - 1, half), n - 1)]
     t = q = 0
     for i, j in [*chain, (None, None)]:
         to_t, to_q = (len(target), len(query)) if i is None else (i + half, j + half)

@@ -63,11 +63,11 @@ def cut_pieces(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, rows.drop("t_seq", "q_seq").schema)
 
 
-def cut_at_anchors(pieces: DataFrame, chunks: DataFrame, size: int = CHUNK, k: int = seeds.K, w: int = seeds.W, most: int = seeds.MOST, least: int = 3) -> DataFrame:
-    """The pieces (PIECE) that large ones are cut into: at the starts and ends of anchors of their own strand that lie in order on both sides.
+def cut_at_anchors(pieces: DataFrame, chunks: DataFrame, size: int = CHUNK, k: int = seeds.K, w: int = seeds.W, most: int = seeds.MOST, least: int = 3, every: int = 1 << 18) -> DataFrame:
+    """The pieces (PIECE) that large ones are cut into: at the first and last words of anchors of their own strand that lie in order on both sides.
 
     Minimizers are found in the parts of the chunks that a piece covers, keyed by the piece, and joined within it. Anchors are taken by target; one that begins before
-    the last one's end on either side is left out.
+    the last one's end on either side is left out. Anchors go on for about `every` bases, so a piece that is one long anchor is cut too.
     """
     named = pieces.withColumn("_piece", F.concat_ws("|", *PIECE))
     around = k + w
@@ -83,12 +83,13 @@ def cut_at_anchors(pieces: DataFrame, chunks: DataFrame, size: int = CHUNK, k: i
     found = seeds.seeds(sketch("t").withColumn("_piece", c("seq_id")), sketch("q").withColumn("_piece", c("seq_id")), most, ("_piece",))
     strands = named.select(c("_piece").alias("_own"), c("strand").alias("_strand"))
     found = found.join(strands, (c("_piece") == c("_own")) & (c("strand") == c("_strand"))).drop("_own", "_strand")
-    found = seeds.anchors(found, k, least=least, keys=("_piece",))
+    found = seeds.anchors(found, k, least=least, keys=("_piece",), every=every)
     # On '-' the query is walked from its end: places are counted from there.
     along = named.join(found.select(c("_piece").alias("_own"), c("t_start").alias("at"), c("t_end").alias("at_end"), c("q_start").alias("qa"), c("q_end").alias("qb")), c("_piece") == c("_own"))
     t0, q0, q1 = c("t_start") - 1, c("q_start") - 1, c("q_end")
     along = along.select("_piece", (c("at") - t0).alias("a"), (c("at_end") - t0).alias("b"), F.when(c("strand") == "-", q1 - c("qb")).otherwise(c("qa") - q0).alias("x"), F.when(c("strand") == "-", q1 - c("qa")).otherwise(c("qb") - q0).alias("y"))
     ahead = Window.partitionBy("_piece").orderBy("a", "x", "b", "y").rowsBetween(Window.unboundedPreceding, -1)
+    along = along.withColumns({"b": c("b") - k, "y": c("y") - k})
     along = along.withColumns({"_b": F.max("b").over(ahead), "_y": F.max("y").over(ahead)}).where("_b is null or (a >= _b and x >= _y)")
     places = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.array(F.struct(c("a").alias("t"), c("x").alias("q")), F.struct(c("b").alias("t"), c("y").alias("q")))))))
     along = along.groupBy(c("_piece").alias("_own")).agg(places.alias("places"))
@@ -102,17 +103,18 @@ def cut_at_anchors(pieces: DataFrame, chunks: DataFrame, size: int = CHUNK, k: i
     return parts.select(*[new.get(n, c(n)).alias(n) for n in PIECE])
 
 
-def align_in_rounds(segments: DataFrame, chunks: DataFrame, most: int, rounds: int = 4, max_ratio: float = 0.0, costs: Costs = Costs(), piece: int = 50_000, large: int = 1_000_000, size: int = CHUNK) -> tuple[DataFrame, DataFrame]:
+def align_in_rounds(segments: DataFrame, chunks: DataFrame, most: int, rounds: int = 4, max_ratio: float = 0.0, costs: Costs = Costs(), piece: int = 50_000, large: int = 1_000_000, size: int = CHUNK, long: bool = False) -> tuple[DataFrame, DataFrame]:
     """(records, skips) of segments(segment_id, t, t_start, t_end, q, q_start, q_end, strand; 1-based, ends included) of chunks(seq_id, chunk, bases).
 
     Pieces of up to `piece` bases on both sides are aligned if that costs at most `most`; others are cut and their parts tried in the
     next round, those over `large` bases at anchors. What is left after the last round, or has no bases, is a skip with its reason; "gap" where one side alone has
     bases. max_ratio: segments, not pieces, whose sides differ by more are skips too (0: no limit). records: segment_id, t, q, strand, t_start, t_end, q_start, q_end (0-based, half-open, of the
-    sequences), score, cg, cs, nmatch, alnlen. Each round is a job whose result is written, so lineage does not grow.
+    sequences), score, cg, cs (with the equal bases themselves, if long), nmatch, alnlen. Each round is a job whose result is written, so lineage does not grow.
     """
     t_n, q_n = c("t_end") - c("t_start") + 1, c("q_end") - c("q_start") + 1
     least, longest = F.least(t_n, q_n), F.greatest(t_n, q_n)
     todo, records, skips = segments.select(*PIECE), [], []
+    tasks = int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     skip = lambda rows, reason: skips.append(rows.select(*PIECE, reason.alias("reason")))
     for turn in range(rounds + 1):
         bad: Column = F.when(least <= 0, F.when((longest > 0) & F.lit(turn > 0), "gap").otherwise("empty_span"))
@@ -123,13 +125,14 @@ def align_in_rounds(segments: DataFrame, chunks: DataFrame, most: int, rounds: i
         todo, parts = todo.where("reason is null").drop("reason"), []
         big = todo.where(longest > large)
         if turn < rounds and not big.isEmpty():
-            parts.append(cut_at_anchors(big, chunks, size))
+            parts.append(cut_at_anchors(big, chunks, size, every=large // 4))
             todo = todo.where(longest <= large)
-        rows = written(with_bases(todo, chunks, size))
+        # Pieces are small rows of much work: they are dealt into as many tasks as a shuffle has.
+        rows = written(with_bases(todo, chunks, size).repartition(tasks, "segment_id", "t_start", "q_start"))
         known = c("t_seq").isNotNull() & c("q_seq").isNotNull()
         skip(rows.where(~known), F.lit("no_sequence"))
         small = longest <= (piece if turn < rounds else large)
-        tried = written(affine_pairs(rows.where(known & small), "t_seq", "q_seq", costs, most))
+        tried = written(affine_pairs(rows.where(known & small), "t_seq", "q_seq", costs, most, long))
         done = tried.where("aln.reason is null")
         records.append(done.select("segment_id", "t", "q", "strand", (c("t_start") - 1).alias("t_start"), "t_end", (c("q_start") - 1).alias("q_start"), "q_end", "aln.score", "aln.cg", "aln.cs", "aln.nmatch", "aln.alnlen"))
         failed = tried.where("aln.reason is not null").drop("aln").unionByName(rows.where(known & ~small))

@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 from genoframe.functions import alignments as A
 from genoframe.functions.align import align_by_tiles
 from genoframe.functions.names import genome_of
-from genoframe.operators import chains, scene, sets, trees, variants
+from genoframe.functions.wavefront import Costs
+from genoframe.operators import chains, scene, seeds, sets, trees, variants
+from genoframe.operators.subdivide import align_in_rounds
 from genoframe.plans.divergence import _GENOME_AVERAGES, _matrix
 from genoframe.plans.registry import query
 from genoframe.plans.structure import _LAYOUT, _RUNS, _runs, ribbon_points
 from genoframe.plans.views import genome_sql, genomes, view, with_views
+from genoframe.sources.fasta import chunked
 
 
 @query(with_views("v_coords") + "r as (select 1) select rid, substr(sha256(concat_ws('|', t, q, strand)), 1, 12) as segment_id from v_coords")
@@ -37,15 +40,58 @@ p as (select id, target, regexp_replace(regexp_replace(target, '(.{37})', '\\1a'
 """
 
 
-@query(with_views("v_seq") + _PAIR + "select id, md5(target) as target, md5(query) as query, length(target) as t_len, length(query) as q_len from p where query <> ''")
-def aligned_segments(spark, sf_dir):
-    """Whole sequences and what both are by the alignment's difference string and its CIGAR."""
+def _pairs(spark, sf_dir):
+    """(id, target, query): each sequence and it with a base put in after every 37 and one base for each "ca"; as in _PAIR."""
     rows = view(spark, sf_dir, "v_seq").select("id", F.regexp_replace("raw", "[^acgt]", "").alias("target")).where("target <> ''")
-    rows = rows.withColumn("query", F.regexp_replace(F.regexp_replace("target", "(.{37})", "$1a"), "ca", "g")).where("query <> ''")
+    return rows.withColumn("query", F.regexp_replace(F.regexp_replace("target", "(.{37})", "$1a"), "ca", "g"))
+
+
+@query(with_views("v_seq") + _PAIR + "select id, md5(target) as target, md5(query) as query, length(target) as t_len, length(query) as q_len, true as few from p where query <> ''")
+def aligned_segments(spark, sf_dir):
+    """Whole sequences, what both are by the alignment's difference string and its CIGAR, and whether it has no more edits than the changes made."""
+    rows = _pairs(spark, sf_dir).where("query <> ''")
     steps = A.cg_tokens(F.col("cg"))
     bases = lambda *ops: A.total(F.transform(F.filter(steps, lambda x: x["op"].isin(*ops)), lambda x: x["n"]))
-    found = align_by_tiles(rows, "id", long=True)
-    return found.select("id", F.md5(A.target_of(F.col("cs"))).alias("target"), F.md5(A.query_of(F.col("cs"))).alias("query"), bases("M", "D").alias("t_len"), bases("M", "I").alias("q_len"))
+    put_in = F.floor(F.length("target") / 37)
+    made = rows.select(F.col("id").alias("_id"), (put_in + 2 * (F.length("target") + put_in - F.length("query"))).alias("made"))
+    found = align_by_tiles(rows, "id", long=True).join(made, F.col("id") == F.col("_id"))
+    return found.select("id", F.md5(A.target_of(F.col("cs"))).alias("target"), F.md5(A.query_of(F.col("cs"))).alias("query"), bases("M", "D").alias("t_len"), bases("M", "I").alias("q_len"), (F.col("edits") <= F.col("made")).alias("few"))
+
+
+@query(with_views("v_seq") + _PAIR + """,
+n as (select id, target, query, length(regexp_replace(target, '(.{37})', '\\1a', 'g')) as longer from p where query <> '')
+select cast(id as varchar) as segment_id, md5(target) as target, md5(query) as query, length(target) as t_len, length(query) as q_len, true as own_cost, true as cheap from n""")
+def segments_in_rounds(spark, sf_dir):
+    """Whole sequences aligned in rounds with affine gaps: what the pieces spell and cover, whether they cost what their paths do and no more than the changes made.
+
+    A base put in costs a gap of one base, one base in place of two a gap and a difference.
+    """
+    c, costs = F.col, Costs()
+    pairs = _pairs(spark, sf_dir).where("query <> ''").select(F.concat(F.lit(""), "id").alias("id"), "target", "query")
+    side = lambda x, column: F.struct(F.concat(F.lit(x), "id").alias("seq_id"), c(column).alias("seq"))
+    sides = pairs.select(F.explode(F.array(side("t", "target"), side("q", "query"))).alias("s")).select("s.*")
+    length = lambda x: F.length(x).cast("long")
+    one, longer = F.lit(1).cast("long"), length("target") + F.floor(length("target") / 37)
+    segments = pairs.select(
+        c("id").alias("segment_id"), F.concat(F.lit("t"), "id").alias("t"), one.alias("t_start"), length("target").alias("t_end"),
+        F.concat(F.lit("q"), "id").alias("q"), one.alias("q_start"), length("query").alias("q_end"), F.lit("+").alias("strand"),
+    )
+    records, _ = align_in_rounds(segments, chunked(sides), 4000, piece=600, long=True)
+    gaps = A.total(F.transform(F.filter(A.cg_tokens(c("cg")), lambda x: x["op"].isin("I", "D")), lambda x: F.least(costs.open1 + costs.extend1 * x["n"], costs.open2 + costs.extend2 * x["n"])))
+    paid = gaps + costs.mismatch * F.regexp_count("cs", F.lit(r"\*"))
+    parts = F.array_sort(F.collect_list(F.struct("t_start", "q_start", A.target_of(c("cs")).alias("t"), A.query_of(c("cs")).alias("q"))))
+    whole = records.groupBy("segment_id").agg(parts.alias("p"), F.sum("score").alias("score"), F.bool_and(c("score") == paid).alias("own_cost"), F.sum(c("t_end") - c("t_start")).alias("t_len"), F.sum(c("q_end") - c("q_start")).alias("q_len"))
+    made = pairs.select(c("id").alias("_id"), (costs.gap(1) * (longer - length("target")) + (costs.gap(1) + costs.mismatch) * (longer - length("query"))).alias("made"))
+    spelled = lambda x: F.md5(F.concat_ws("", F.transform("p", lambda r: r[x])))
+    return whole.join(made, c("segment_id") == c("_id")).select("segment_id", spelled("t").alias("target"), spelled("q").alias("query"), "t_len", "q_len", "own_cost", (c("score") <= c("made")).alias("cheap"))
+
+
+@query()
+def sequence_anchors(spark, sf_dir):
+    """Anchors of each sequence and its changed copy, by minimizers; no SQL, as minimizers are chosen by hashes of words."""
+    pairs = _pairs(spark, sf_dir).select(F.col("id").cast("string").alias("seq_id"), "target", "query")
+    minis = lambda x: seeds.minimizers(seeds.overlapping(pairs.select("seq_id", F.col(x).alias("seq")))).withColumn("pair", F.col("seq_id"))
+    return seeds.anchors(seeds.seeds(minis("target"), minis("query"), keys=("pair",)), keys=("pair",)).drop("t", "q")
 
 
 @query(with_views("v_paf") + _RUNS.rstrip() + """,

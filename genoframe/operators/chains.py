@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from genoframe.operators.groups import over_groups
+from genoframe.operators.intervals import in_stretches
 
 BLOCKS = "ref_name string, ref_start long, ref_end long, qry_name string, qry_start long, qry_end long, strand string, n_records long, ref_span long, qry_span long, matched long, aln_len long"
 
@@ -19,13 +20,13 @@ def chain_blocks(paf: DataFrame, max_gap: int = 1_000_000, slack: int = 1000, ga
     A record joins the block before it unless a gap on either axis is over max_gap, under -slack, or over
     gap_factor times what the block has aligned so far (0: no such limit). Records are taken by target and query
     start, then end and matches. What a block has aligned makes this a fold over the records in order; it keeps
-    nothing but the block at hand, so a chromosome pair may have any number of records.
+    nothing but the block at hand. No block passes a gap over max_gap on the target, so each stretch without one is a fold of its own.
     """
     order = ["t_start", "q_start", "t_end", "q_end", "nmatch", "alnlen"]
     keys = ["t_name", "q_name", "strand"]
 
     def fold(key, records):
-        t_name, q_name, strand = key
+        t_name, q_name, strand, _ = key
         named = lambda b: (t_name, b[0], b[1], q_name, b[2], b[3], strand, b[4], b[1] - b[0], b[3] - b[2], b[5], b[6])
         block = None
         for *_, ts, qs, te, qe, matched, aligned in records:
@@ -41,7 +42,8 @@ def chain_blocks(paf: DataFrame, max_gap: int = 1_000_000, slack: int = 1000, ga
                 block = [ts, te, qs, qe, 1, matched, aligned]
         yield named(block)
 
-    found = over_groups(paf.select(*keys, *order), keys, order, fold, BLOCKS)
+    rows = in_stretches(paf.select(*keys, *order), keys, "t_start", "t_end", max_gap)
+    found = over_groups(rows, [*keys, "stretch"], order, fold, BLOCKS)
     kept = found.where((F.col("ref_span") >= min_block) & ((F.lit(min_share) <= 0) | (F.col("ref_span") <= 0) | (F.col("aln_len") >= min_share * F.col("ref_span"))))
     return kept.withColumn("identity", F.coalesce(F.try_divide("matched", "aln_len"), F.lit(0.0)))
 

@@ -143,6 +143,15 @@ def islands(rows: DataFrame, keys: list[str], range_size: int | None = RANGE) ->
     return found.groupBy(*keys, "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n"))
 
 
+def in_stretches(rows: DataFrame, keys: list[str], start: str, end: str, beyond: int = 0) -> DataFrame:
+    """rows with `stretch`: within the keys, rows of different stretches lie over `beyond` bases apart on start and end.
+
+    What a fold carries from row to row, if it never passes such a gap, does not pass from stretch to stretch. So a key with any number of rows is as many groups.
+    """
+    spans = rows.select(*keys, F.struct(*rows.columns).alias("_row"), F.col(start).alias("start"), (F.col(end) + beyond).alias("end"))
+    return in_islands(spans, keys).select("_row.*", F.col("island").alias("stretch"))
+
+
 def covered_bases(rows: DataFrame, keys: list[str], range_size: int | None = RANGE) -> DataFrame:
     """keys, covered: bases in the union of the intervals. Each adds what it has beyond those before it."""
     found = _reached(rows.select(*keys, "start", "end"), keys, range_size)

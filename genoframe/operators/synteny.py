@@ -5,6 +5,7 @@ from __future__ import annotations
 from bisect import bisect_left, bisect_right, insort
 from collections import deque
 from functools import reduce
+from heapq import heappop, heappush
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +15,7 @@ from pyspark.sql.window import Window
 from genoframe.functions.align import align_pairs
 from genoframe.functions.alignments import reverse_complement
 from genoframe.operators.groups import over_groups
-from genoframe.operators.intervals import overlap_join, prefixed, without_contained
+from genoframe.operators.intervals import in_stretches, overlap_join, prefixed, without_contained
 from genoframe.scratch import written
 from genoframe.sources.fasta import CHUNK, chunked, slices_of_chunks
 
@@ -76,52 +77,99 @@ def transposed(anchors: DataFrame) -> DataFrame:
 ORDER = ["t_start", "q_start", "t_end", "q_end", "block", "rid"]
 
 
+class Sorted:
+    """Pairs in order, in blocks of bounded size, so that putting in and taking out stay cheap however many there are."""
+
+    SIZE = 512
+
+    def __init__(self):
+        self.blocks: list[list[tuple[int, int]]] = [[]]
+        self.firsts: list[tuple[int, int]] = [(-1 << 62, 0)]
+
+    def _at(self, x: tuple[int, int]) -> int:
+        return bisect_right(self.firsts, x) - 1
+
+    def add(self, x: tuple[int, int]) -> None:
+        k = self._at(x)
+        insort(self.blocks[k], x)
+        if len(self.blocks[k]) > 2 * self.SIZE:
+            self.blocks[k : k + 1] = [self.blocks[k][: self.SIZE], self.blocks[k][self.SIZE :]]
+            self.firsts.insert(k + 1, self.blocks[k + 1][0])
+
+    def remove(self, x: tuple[int, int]) -> None:
+        k = self._at(x)
+        del self.blocks[k][bisect_left(self.blocks[k], x)]
+        if not self.blocks[k] and k:
+            del self.blocks[k], self.firsts[k]
+
+    def about(self, low: tuple[int, int], high: tuple[int, int]) -> int:
+        """How many lie between, to a block or so."""
+        k, m = self._at(low), self._at(high)
+        return (m - k) * self.SIZE + bisect_left(self.blocks[m], high) - bisect_left(self.blocks[k], low)
+
+    def between(self, low: tuple[int, int], high: tuple[int, int]) -> list[int]:
+        """Second members of the pairs from low on, before high."""
+        k, m = self._at(low), self._at(high)
+        parts = [self.blocks[i] for i in range(k, m + 1)]
+        parts[-1] = parts[-1][: bisect_left(parts[-1], high)]
+        parts[0] = parts[0][bisect_left(parts[0], low) :] if parts[0] else []
+        return [n for part in parts for _, n in part]
+
+
 def trim_overlaps(rows: DataFrame) -> DataFrame:
     """coords(rid, t, q, strand, ...) where a record that begins inside another one on both axes, and ends after it, begins at its end instead.
 
     Records act in ORDER, with starts as they have become by then. A sweep along the target: before a record acts, all
     that begin before its end are read; it leaves once those still to act begin no earlier. So only records about one
-    place are held, found by their starts, and a chromosome pair may have any number of them.
+    place are held. A record finds those that begin inside it by their starts on the axis where there are fewer. None acts on one that it
+    does not overlap on the target, so each stretch of overlapping records is a sweep of its own.
     """
     keys = ["t", "q", "strand"]
     names = [c for c in rows.columns if c not in keys]
-    ts, te, qs, qe = (len(keys) + names.index(c) for c in ("t_start", "t_end", "q_start", "q_end"))
+    ts, te, qs, qe = (len(keys) + 1 + names.index(c) for c in ("t_start", "t_end", "q_start", "q_end"))
 
     def sweep(key, group):
         unread, count = chain(group, [None]), 0
         ahead = next(unread)
         held: dict[int, list] = {}
-        begins: list[tuple[int, int]] = []  # (start, number) of all that are held, sorted
+        on_t, on_q = Sorted(), Sorted()  # (start, number) of all that are held
         to_act: deque[tuple[int, int]] = deque()  # (number, start as it was read)
+        acted: list[tuple[int, int]] = []  # heap of (start, number) of those that only wait to leave; a start may be out of date
         while to_act or ahead:
-            number, first = to_act.popleft() if to_act else (count, ahead[ts])
+            number, _ = to_act.popleft() if to_act else (count, 0)
             end = held[number][te] if number in held else ahead[te]
             while ahead and (number == count or ahead[ts] < end):
                 held[count] = list(ahead)
-                insort(begins, (ahead[ts], count))
+                on_t.add((ahead[ts], count))
+                on_q.add((ahead[qs], count))
                 if number != count:
                     to_act.append((count, ahead[ts]))
                 ahead, count = next(unread), count + 1
             own = held[number]
-            inside = begins[bisect_right(begins, (own[ts], count)) : bisect_left(begins, (end, -1))]
-            for start, other in inside:
+            t_range, q_range = ((own[ts] + 1, -1), (end, -1)), ((own[qs] + 1, -1), (own[qe], -1))
+            inside = on_t.between(*t_range) if on_t.about(*t_range) <= on_q.about(*q_range) else on_q.between(*q_range)
+            for other in inside:
                 o = held[other]
-                if o[te] > end and own[qs] < o[qs] < own[qe] < o[qe]:
-                    begins.remove((start, other))
+                if own[ts] < o[ts] < end < o[te] and own[qs] < o[qs] < own[qe] < o[qe]:
+                    on_t.remove((o[ts], other))
+                    on_q.remove((o[qs], other))
                     o[ts], o[qs] = end, own[qe]
-                    insort(begins, (end, other))
+                    on_t.add((o[ts], other))
+                    on_q.add((o[qs], other))
+            heappush(acted, (own[ts], number))
             left = to_act[0][1] if to_act else ahead[ts] if ahead else None
-            done = len(begins) if left is None else bisect_right(begins, (left, count))
-            waiting = {n for n, _ in to_act} if left is not None and done else ()
-            stay = []
-            for place in begins[:done]:
-                if place[1] in waiting:
-                    stay.append(place)
-                else:
-                    yield tuple(held.pop(place[1]))
-            begins[:done] = stay
-
-    found = over_groups(rows.select(*keys, *names), keys, [c for c in ORDER if c in names], sweep, rows.select(*keys, *names).schema)
+            while acted and (left is None or acted[0][0] <= left):
+                start, other = heappop(acted)
+                o = held[other]
+                if o[ts] != start:
+                    heappush(acted, (o[ts], other))
+                    continue
+                on_t.remove((o[ts], other))
+                on_q.remove((o[qs], other))
+                yield tuple(x for i, x in enumerate(held.pop(other)) if i != len(keys))
+
+    dealt = in_stretches(rows.select(*keys, *names), keys, "t_start", "t_end").select(*keys, "stretch", *names)
+    found = over_groups(dealt, [*keys, "stretch"], [c for c in ORDER if c in names], sweep, rows.select(*keys, *names).schema)
     return found.select(*rows.columns)
 
 
@@ -141,14 +189,14 @@ def merge_small(rows: DataFrame, threshold: int) -> DataFrame:
     """coords of each (t, q, strand, block) where a record shorter than the threshold on either axis takes up the first later record that it touches on both.
 
     What it becomes stands in that record's place and goes on so until it is long enough. A sweep along the target:
-    records are read as far as the one at hand reaches, and no more of them are held.
+    records are read as far as the one at hand reaches, and no more of them are held. Stretches of records that touch are swept apart.
     """
     keys = ["t", "q", "strand", "block"]
     order = ["t_start", "q_start", "t_end", "q_end"]
 
     def sweep(key, group):
-        t, q, strand, block = key
-        spans = ({"t": (r[4], r[6]), "q": (r[5], r[7])} for r in group)
+        t, q, strand, block, _ = key
+        spans = ({"t": (r[5], r[7]), "q": (r[6], r[8])} for r in group)
         unread, waiting = chain(spans, [None]), deque()
         ahead = next(unread)
         while waiting or ahead:
@@ -169,7 +217,8 @@ def merge_small(rows: DataFrame, threshold: int) -> DataFrame:
             else:
                 yield t, *own["t"], q, *own["q"], strand, block, "fail" if short else "pass"
 
-    return over_groups(rows.select(*keys, *order), keys, order, sweep, MERGED)
+    dealt = in_stretches(rows.select(*keys, *order), keys, "t_start", "t_end")
+    return over_groups(dealt, [*keys, "stretch"], order, sweep, MERGED)
 
 
 def stitched(rows: DataFrame, bin_size: int, max_ratio: float = 3.0, keys: tuple[str, ...] = ("t", "q", "strand", "block")) -> DataFrame:

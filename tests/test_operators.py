@@ -300,7 +300,8 @@ def test_chromosomes_of_one_scale(spark):
     assert {r.rule for r in assembly.chromosomes(fai).collect()} == {"pure-scale"}
 
 
-def test_triage_against_a_plain_version(spark):
+def test_triage_against_a_plain_version(spark, monkeypatch):
+    monkeypatch.setattr(scene, "FOLD_ROWS", 10)
     rng = random.Random(14)
     blocks = []
     for k in range(150):

@@ -4,7 +4,7 @@ import pytest
 
 from genoframe.plans import registry
 from genoframe.plans.divergence import _matrix
-from genoframe.plans.structure import _blocks
+from genoframe.plans.structure import _skewed_blocks
 from genoframe.plans.views import view
 from genoframe.operators import trees
 from pyspark.sql import functions as F
@@ -76,8 +76,8 @@ def test_merged_intervals(spark):
 
 
 def test_triaged_blocks(spark):
-    rows = [r.asDict() for r in _blocks(spark, SF).withColumn("eb", F.when(F.col("id") % 5 == 0, F.col("sb") + 40).otherwise(F.col("eb"))).collect()]
-    cover, want, skewed = {}, {}, []
+    rows = [r.asDict() for r in _skewed_blocks(spark, SF).collect()]
+    cover, want, skewed, novelty = {}, {}, [], {}
     for r in rows:
         low, high = sorted((r["ea"] - r["sa"], r["eb"] - r["sb"]))
         r["ratio"] = high / low if low > 0 else float("inf")
@@ -92,11 +92,13 @@ def test_triaged_blocks(spark):
         a, b = range(r["sa"], r["ea"]), range(r["sb"], r["eb"])
         bare = min(1 - sum(p in up for p in a) / len(a) if a else 0, 1 - sum(p in down for p in b) / len(b) if b else 0)
         want[r["id"]] = "rescued" if bare >= 0.5 else "dropped"
+        novelty[r["id"]] = bare
         if bare >= 0.5:
             up.update(a)
             down.update(b)
     found = registry.queries()["triaged_blocks"](spark, SF).collect()
-    assert {r.id: r.verdict for r in found} == want and len(found) == len(rows) and len(set(want.values())) > 1
+    assert {r.id: r.verdict for r in found} == want and len(found) == len(rows) and set(want.values()) == {"clean", "rescued", "dropped"}
+    assert {r.id: r.novelty for r in found if r.novelty is not None} == pytest.approx(novelty)
 
 
 @pytest.mark.parametrize("method", ["upgma", "nj"])

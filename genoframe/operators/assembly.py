@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from genoframe.functions.names import letters, signature
+from genoframe.operators.groups import numbered_by_range
 
 
 def chromosome_of(header: Column) -> tuple[Column, Column]:
@@ -41,12 +42,11 @@ def name_chromosomes(headers: DataFrame, prefix: str) -> DataFrame:
 def name_scaffolds(scaffolds: DataFrame, prefix: str, most: int = 13) -> DataFrame:
     """(ord, header, new) of scaffolds(ord, header, length), longest first; names stop before one is over `most` characters.
 
-    The letters left for a number say how many get a name, so that many of the longest are sorted and numbered.
+    The letters left for a number say how many get a name. Scaffolds are numbered by ranges of their order.
     """
     named = max(0, 10 ** max(0, most - len(f"{prefix}_sca")) - 1)
-    rows = scaffolds.select("ord", "header", "length").orderBy(F.desc("length"), "ord").limit(min(named, (1 << 31) - 1))
-    number = F.row_number().over(Window.orderBy(F.desc("length"), "ord"))
-    return rows.select("ord", "header", F.concat(F.lit(f"{prefix}_sca"), number.cast("string")).alias("new"))
+    rows = numbered_by_range(scaffolds.select("ord", "header", "length"), [F.desc("length"), F.asc("ord")], "number").where(F.col("number") <= named)
+    return rows.select("ord", "header", F.concat(F.lit(f"{prefix}_sca"), F.col("number").cast("string")).alias("new"))
 
 
 def survives(headers: DataFrame, prefix: str, most: int = 13) -> DataFrame:

@@ -10,9 +10,13 @@ from itertools import chain, groupby
 from operator import itemgetter
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.window import Window
+
+from genoframe.scratch import written
 
 #: Rows handed on at a time.
 OUT_ROWS = 10_000
@@ -43,3 +47,16 @@ def over_groups(rows: DataFrame, keys: list[str], order: list[str], work: Callab
         yield table()
 
     return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
+
+
+def numbered_by_range(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """rows with `name`, their place from 1 in the order of all, which should leave no ties.
+
+    Rows are dealt by ranges of the order and written, as ranges are sampled anew each time; each range is numbered by itself from the rows
+    of those before it on. Only the ranges' counts come together.
+    """
+    ranged = written(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    ahead = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranged.groupBy(F.col("_range").alias("_r")).agg(F.count("*").alias("_n")).select("_r", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return ranged.withColumn(name, own).join(counts, F.col("_range") == F.col("_r")).withColumn(name, F.col(name) + F.col("_before")).drop("_range", "_r", "_before")

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from genoframe.functions import alignments as A
 from genoframe.functions.align import align_by_tiles
+from genoframe.functions.codons import STANDARD
 from genoframe.functions.names import genome_of
 from genoframe.functions.wavefront import Costs
-from genoframe.operators import chains, scene, seeds, sets, trees, variants
+from genoframe.operators import chains, kaks, scene, seeds, sets, trees, variants
 from genoframe.operators.subdivide import align_in_rounds
 from genoframe.plans.divergence import _GENOME_AVERAGES, _matrix
 from genoframe.plans.registry import query
@@ -166,3 +167,35 @@ p as (select rid as id, (zm."offset" + t_start) / 5000.0 as a1, (zm."offset" + t
 select id, printf('M%.4f,%.4f L%.4f,%.4f C%.4f,%.4f %.4f,%.4f %.4f,%.4f L%.4f,%.4f C%.4f,%.4f %.4f,%.4f %.4f,%.4f Z', a1, 0.0, a2, 0.0, a2, 100.0, b2, 100.0, b2, 200.0, b1, 200.0, b1, 100.0, a1, 100.0, a1, 0.0) as path from p""")
 def ribbon_paths(spark, sf_dir):
     return scene.ribbon_paths(ribbon_points(spark, sf_dir), 1000.0, 200.0, 5_000_000.0)
+
+
+_CODONS = f"""
+x as (select unnest(['T', 'C', 'A', 'G']) as x, unnest([0, 1, 2, 3]) as i),
+code as (select a.x || b.x || c.x as codon, substr('{STANDARD}', 1 + 16 * a.i + 4 * b.i + c.i, 1) as aa from x a, x b, x c),
+sense as (select * from code where aa <> '*'),
+places as (select unnest([1, 2, 3]) as p),
+sites as (select s.codon, sum(case when n.aa = s.aa then 1 else 0 end) / 3.0 as s from sense s, places, x join code n on n.codon = substr(s.codon, 1, p - 1) || x.x || substr(s.codon, p + 1) where substr(s.codon, p, 1) <> x.x group by 1),
+orders as (select a.p as p1, b.p as p2 from places a, places b where a.p <> b.p),
+w as (select a.codon as a, b.codon as b, substr(a.codon, 1, p1 - 1) || substr(b.codon, p1, 1) || substr(a.codon, p1 + 1) as c1, p2 from sense a, sense b, orders),
+v as (select a, b, c1, substr(c1, 1, p2 - 1) || substr(b, p2, 1) || substr(c1, p2 + 1) as c2 from w),
+steps as (select a, b, (case when a <> c1 and ca.aa = c1a.aa then 1 else 0 end) + (case when c1 <> c2 and c1a.aa = c2a.aa then 1 else 0 end) + (case when c2 <> b and c2a.aa = cb.aa then 1 else 0 end) as same,
+  (case when a <> c1 then 1 else 0 end) + (case when c1 <> c2 then 1 else 0 end) + (case when c2 <> b then 1 else 0 end) as n, c1a.aa = '*' or c2a.aa = '*' as stops
+  from v join code ca on ca.codon = a join code cb on cb.codon = b join code c1a on c1a.codon = c1 join code c2a on c2a.codon = c2),
+diffs as (select a, b, coalesce(avg(same) filter (where not stops), avg(same)) as syn, coalesce(avg(n - same) filter (where not stops), avg(n - same)) as other from steps group by 1, 2)
+"""
+
+
+@query(with_views("v_seq") + _CODONS.strip() + """,
+o as (select id, upper(regexp_replace(raw, '[^acgt]', '', 'g')) as seq from v_seq),
+q as (select id || '.' || cast(i // 900 as varchar) as id, substr(seq, i + 1, 900) as one from (select *, unnest(range(0, length(seq), 900)) as i from o)),
+r as (select id, one, regexp_replace(one, '([ACGT]{22})[AC]', '\\1T', 'g') as two from q where length(one) >= 3),
+k as (select id, substr(one, 3 * i + 1, 3) as a, substr(two, 3 * i + 1, 3) as b from (select *, unnest(range(0, length(one) // 3)) as i from r)),
+t as (select k.id, count(*) as codons, sum((u.s + v.s) / 2) as s_sites, sum(syn) as s_diffs, sum(other) as n_diffs from k join sites u on u.codon = a join sites v on v.codon = b join diffs using (a, b) group by 1)
+select r.id, coalesce(codons, 0) as codons, round(coalesce(s_diffs, 0), 6) as s_diffs, round(coalesce(n_diffs, 0), 6) as n_diffs,
+  round(case when n_diffs / (3 * codons - s_sites) < 0.75 then 0 - 0.75 * ln(1 - 4 * n_diffs / (3 * codons - s_sites) / 3) end, 6) as ka, round(case when s_sites > 0 and s_diffs / s_sites < 0.75 then 0 - 0.75 * ln(1 - 4 * s_diffs / s_sites / 3) end, 6) as ks from r left join t using (id)""")
+def ka_ks(spark, sf_dir):
+    """All of each sequence, in parts as long as genes, read as codons against itself with bases changed; from the sequences on."""
+    parts = view(spark, sf_dir, "v_seq").select("id", F.posexplode(F.regexp_extract_all(F.upper(F.regexp_replace("raw", "[^acgt]", "")), F.lit(".{1,900}"), F.lit(0))).alias("k", "one"))
+    rows = parts.select(F.concat_ws(".", "id", "k").alias("id"), "one").where("length(one) >= 3")
+    found = kaks.ka_ks(rows.withColumn("two", F.regexp_replace("one", "([ACGT]{22})[AC]", "$1T")), "id", "one", "two")
+    return found.select("id", "codons", *[F.round(c, 6).alias(c) for c in ("s_diffs", "n_diffs", "ka", "ks")])

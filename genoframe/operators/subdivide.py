@@ -41,8 +41,8 @@ def _parts(t_n: int, q_n: int, places: list[tuple[int, int]], strand: str) -> li
     return found if strand == "+" else [(a, b, q_n - y, q_n - x) for a, b, x, y in found]
 
 
-def cut_pieces(rows: DataFrame) -> DataFrame:
-    """The pieces (PIECE) that rows with bases are cut into: at exact words of both sides, else in the middle of both.
+def cut_pieces(rows: DataFrame, halve: bool) -> DataFrame:
+    """The pieces (PIECE) that rows with bases are cut into: at exact words of both sides. Others stay as they are, with `whole` true, or if `halve` are cut in the middle of both.
 
     A part with bases on one side alone, such as a large insertion, keeps an end before its start on the other.
     """
@@ -53,21 +53,23 @@ def cut_pieces(rows: DataFrame) -> DataFrame:
             for *own, t, q in zip(*(col.to_pylist() for col in batch.columns)):
                 piece = dict(zip(PIECE, own))
                 places = list(cuts(t.upper(), q.upper()))
-                if not places and min(len(t), len(q)) > 1:
+                whole = not places and not halve
+                if not places and halve and min(len(t), len(q)) > 1:
                     places = [(len(t) // 2, max(1, min(len(q) - 1, len(q) * (len(t) // 2) // len(t))))]
                 for a, b, x, y in _parts(len(t), len(q), places, piece["strand"]):
-                    out.append((piece["segment_id"], piece["t"], piece["t_start"] + a, piece["t_start"] + b - 1, piece["q"], piece["q_start"] + x, piece["q_start"] + y - 1, piece["strand"]))
-            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], batch.schema.field(k).type) for k in range(len(PIECE))], names=PIECE)
+                    out.append((piece["segment_id"], piece["t"], piece["t_start"] + a, piece["t_start"] + b - 1, piece["q"], piece["q_start"] + x, piece["q_start"] + y - 1, piece["strand"], whole))
+            kinds = [*(batch.schema.field(k).type for k in range(len(PIECE))), pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)], names=[*PIECE, "whole"])
 
     rows = rows.select(*PIECE, "t_seq", "q_seq")
-    return rows.mapInArrow(run, rows.drop("t_seq", "q_seq").schema)
+    return rows.mapInArrow(run, rows.drop("t_seq", "q_seq").withColumn("whole", F.lit(True)).schema)
 
 
 def cut_at_anchors(pieces: DataFrame, chunks: DataFrame, size: int = CHUNK, k: int = seeds.K, w: int = seeds.W, most: int = seeds.MOST, least: int = 3, every: int = 1 << 18) -> DataFrame:
     """The pieces (PIECE) that large ones are cut into: at the first and last words of anchors of their own strand that lie in order on both sides.
 
     Minimizers are found in the parts of the chunks that a piece covers, keyed by the piece, and joined within it. Anchors are taken by target; one that begins before
-    the last one's end on either side is left out. Anchors go on for about `every` bases, so a piece that is one long anchor is cut too.
+    the last one's end on either side is left out. A piece without anchors is halved. Anchors go on for about `every` bases, so a piece that is one long anchor is cut too.
     """
     named = pieces.withColumn("_piece", F.concat_ws("|", *PIECE))
     around = k + w
@@ -96,7 +98,9 @@ def cut_at_anchors(pieces: DataFrame, chunks: DataFrame, size: int = CHUNK, k: i
     t_n, q_n = c("t_end") - t0, q1 - q0
     zero, end = F.struct(F.lit(0).cast("long").alias("t"), F.lit(0).cast("long").alias("q")), F.struct(t_n.alias("t"), q_n.alias("q"))
     ends = F.array_distinct(F.concat(F.array(zero), F.coalesce("places", F.array().cast("array<struct<t:bigint,q:bigint>>")), F.array(end)))
+    middle = F.struct(F.floor(t_n / 2).alias("t"), F.floor(q_n / 2).alias("q"))
     parts = named.join(along, c("_piece") == c("_own"), "left").withColumn("_ends", ends)
+    parts = parts.withColumn("_ends", F.when(F.size("_ends") <= 2, F.array(zero, middle, end)).otherwise(c("_ends")))
     parts = parts.select(*PIECE, F.explode(F.transform(F.sequence(F.lit(1), F.size("_ends") - 1), lambda i: F.struct(F.element_at("_ends", i).alias("u"), F.element_at("_ends", i + 1).alias("v")))).alias("_p"))
     back = c("strand") == "-"
     new = {"t_start": t0 + c("_p.u.t") + 1, "t_end": t0 + c("_p.v.t"), "q_start": F.when(back, q1 - c("_p.v.q")).otherwise(q0 + c("_p.u.q")) + 1, "q_end": F.when(back, q1 - c("_p.u.q")).otherwise(q0 + c("_p.v.q"))}
@@ -106,14 +110,14 @@ def cut_at_anchors(pieces: DataFrame, chunks: DataFrame, size: int = CHUNK, k: i
 def align_in_rounds(segments: DataFrame, chunks: DataFrame, most: int, rounds: int = 4, max_ratio: float = 0.0, costs: Costs = Costs(), piece: int = 50_000, large: int = 1_000_000, size: int = CHUNK, long: bool = False) -> tuple[DataFrame, DataFrame]:
     """(records, skips) of segments(segment_id, t, t_start, t_end, q, q_start, q_end, strand; 1-based, ends included) of chunks(seq_id, chunk, bases).
 
-    Pieces of up to `piece` bases on both sides are aligned if that costs at most `most`; others are cut and their parts tried in the
-    next round, those over `large` bases at anchors. What is left after the last round, or has no bases, is a skip with its reason; "gap" where one side alone has
+    Pieces of up to `piece` bases on both sides, and larger ones without words to cut at, are aligned if that costs at most `most`; others are cut and their parts tried in the
+    next round, those over `large` bases at anchors. Only what costs too much and has no words to cut at is halved. What is left after the last round, or has no bases, is a skip with its reason; "gap" where one side alone has
     bases. max_ratio: segments, not pieces, whose sides differ by more are skips too (0: no limit). records: segment_id, t, q, strand, t_start, t_end, q_start, q_end (0-based, half-open, of the
     sequences), score, cg, cs (with the equal bases themselves, if long), nmatch, alnlen. Each round is a job whose result is written, so lineage does not grow.
     """
     t_n, q_n = c("t_end") - c("t_start") + 1, c("q_end") - c("q_start") + 1
     least, longest = F.least(t_n, q_n), F.greatest(t_n, q_n)
-    todo, records, skips = segments.select(*PIECE), [], []
+    todo, records, skips = segments.select(*PIECE, F.lit(False).alias("whole")), [], []
     tasks = int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     skip = lambda rows, reason: skips.append(rows.select(*PIECE, reason.alias("reason")))
     for turn in range(rounds + 1):
@@ -125,20 +129,24 @@ def align_in_rounds(segments: DataFrame, chunks: DataFrame, most: int, rounds: i
         todo, parts = todo.where("reason is null").drop("reason"), []
         big = todo.where(longest > large)
         if turn < rounds and not big.isEmpty():
-            parts.append(cut_at_anchors(big, chunks, size, every=large // 4))
+            parts.append(cut_at_anchors(big.drop("whole"), chunks, size, every=large // 4).withColumn("whole", F.lit(False)))
             todo = todo.where(longest <= large)
         # Pieces are small rows of much work: they are dealt into as many tasks as a shuffle has.
         rows = written(with_bases(todo, chunks, size).repartition(tasks, "segment_id", "t_start", "q_start"))
         known = c("t_seq").isNotNull() & c("q_seq").isNotNull()
         skip(rows.where(~known), F.lit("no_sequence"))
-        small = longest <= (piece if turn < rounds else large)
+        small = c("whole") | (longest <= (piece if turn < rounds else large))
         tried = written(affine_pairs(rows.where(known & small), "t_seq", "q_seq", costs, most, long))
         done = tried.where("aln.reason is null")
         records.append(done.select("segment_id", "t", "q", "strand", (c("t_start") - 1).alias("t_start"), "t_end", (c("q_start") - 1).alias("q_start"), "q_end", "aln.score", "aln.cg", "aln.cs", "aln.nmatch", "aln.alnlen"))
-        failed = tried.where("aln.reason is not null").drop("aln").unionByName(rows.where(known & ~small))
+        failed, large_ones = tried.where("aln.reason is not null").drop("aln"), rows.where(known & ~small)
         smaller = (t_n > 1) & (q_n > 1) if turn < rounds else F.lit(False)
         skip(failed.where(~smaller), F.lit("too costly"))
-        parts.append(cut_pieces(failed.where(smaller)))
+        parts.append(cut_pieces(failed.where(smaller), True))
+        if turn < rounds:
+            parts.append(cut_pieces(large_ones, False))
+        else:
+            skip(large_ones, F.lit("too costly"))
         todo = written(reduce(DataFrame.unionByName, parts))
         if todo.isEmpty():
             break

@@ -11,7 +11,7 @@ from genoframe.plans.registry import query
 from genoframe.plans.views import fai, snps, view, with_views
 from genoframe.scratch import new_path
 from genoframe.sources import fasta, sinks, tables
-from genoframe.sources.text import lines
+from genoframe.sources.text import counted, lines
 
 c = F.col
 
@@ -169,14 +169,15 @@ def hits_file(spark, sf_dir):
 @query(with_views("v_paf") + """
 p as (select q_name, q_start, t_name, t_start, cast(regexp_extract(cs, '^:([0-9]+)', 1) as bigint) as a, cast(regexp_extract(cs, '^:[0-9]+\\*..:([0-9]+)', 1) as bigint) as b, cast(regexp_extract(cs, ':([0-9]+)-tt', 1) as bigint) as c from v_paf),
 e as (select 'acg' as seq, q_name as name, q_start + a + 1 + b as s, 2 as more from p union all select 'tt', t_name, t_start + a + 1 + b + 1 + c, 1 from p),
-d as (select distinct name || ':' || s || '..' || (s + more) as seq_id, seq from e) select seq_id, max(seq) as seq from d group by 1 having count(*) = 1""")
+d as (select distinct name || ':' || s || '..' || (s + more) as seq_id, seq from e) select seq_id, seq from d""")
 def presence_file(spark, sf_dir):
-    """Names that stand for one sequence alone."""
+    """All records of the files, those whose name comes again too: a record is a name and the line after it."""
     path = new_path(spark, "fasta")
     events = V.presence_absence(view(spark, sf_dir, "v_paf", "q_name", "q_start", "t_name", "t_start", "cs"), 1)
     fasta.write_presence_absence(events.select("name", "start", "end", "seq").distinct(), path)
-    found = fasta.read_fasta(spark, path)
-    return found.groupBy("seq_id").agg(F.count("*").alias("n"), F.max("seq").alias("seq")).where("n = 1").select("seq_id", "seq")
+    named = c("line").startswith(">")
+    rows = counted(fasta.fasta_lines(spark, path), named, "record").groupBy("file", "record")
+    return rows.agg(F.max(F.when(named, F.substring("line", 2, 1 << 30))).alias("seq_id"), F.max(F.when(~named, c("line"))).alias("seq")).drop("file", "record")
 
 
 @query(with_views("v_seq") + """

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from bisect import bisect_left, bisect_right, insort
 from collections import deque
-from functools import reduce
 from heapq import heappop, heappush
 from itertools import chain
 
@@ -12,12 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from genoframe.functions.align import align_pairs
-from genoframe.functions.alignments import reverse_complement
+from genoframe.functions.wavefront import Costs
 from genoframe.operators.groups import over_groups
 from genoframe.operators.intervals import in_stretches, overlap_join, prefixed, without_contained
-from genoframe.scratch import written
-from genoframe.sources.fasta import CHUNK, chunked, slices_of_chunks
+from genoframe.operators.subdivide import align_in_rounds
+from genoframe.sources.fasta import chunked
 
 
 def _orientation(a: str, b: str) -> Column:
@@ -263,35 +261,9 @@ def halves(rows: DataFrame) -> DataFrame:
 
 
 def align_segments(segments: DataFrame, sequences: DataFrame, most_edits: int, rounds: int = 4, max_ratio: float = 0.0) -> tuple[DataFrame, DataFrame]:
-    """(records, skips) of segments(segment_id, t, t_start, t_end, q, q_start, q_end, strand; 1-based, ends included).
-
-    A piece that does not align within most_edits is halved on both axes, and the halves are tried in the next round; what
-    is left after the last round, cannot be halved, or is not usable is a skip with its reason. records: segment_id, t,
-    q, strand, t_start, t_end, q_start, q_end (0-based, half-open, of the sequences), cg, cs, nmatch, alnlen. Each round is
-    a job whose result is written, so lineage does not grow.
-    """
-    c = F.col
-    names = ["segment_id", "t", "t_start", "t_end", "q", "q_start", "q_end", "strand"]
-    todo, records, skips, chunks = segments.select(*names), [], [], chunked(sequences)
-    for turn in range(rounds + 1):
-        rows = todo
-        for side in "tq":
-            named = rows.withColumns({"seq_id": c(side), "start": c(f"{side}_start") - 1, "end": c(f"{side}_end")})
-            rows = slices_of_chunks(named, chunks, CHUNK).withColumnRenamed("seq", f"{side}_seq").drop("seq_id", "start", "end")
-        low, high = F.least(F.length("t_seq"), F.length("q_seq")), F.greatest(F.length("t_seq"), F.length("q_seq"))
-        reason = F.when(c("t_seq").isNull() | c("q_seq").isNull(), "no_sequence").when(low <= 0, "empty_span")
-        rows = rows.withColumn("reason", reason.when((F.lit(max_ratio) > 0) & (high > max_ratio * low), "length_ratio"))
-        rows = rows.withColumn("q_seq", F.when(c("strand") == "-", reverse_complement(c("q_seq"))).otherwise(c("q_seq")))
-        tried = written(align_pairs(rows, "t_seq", "q_seq", most_edits).select(*names, F.coalesce("reason", "aln.reason").alias("reason"), "aln"))
-        records.append(tried.where("reason is null").select("segment_id", "t", "q", "strand", (c("t_start") - 1).alias("t_start"), "t_end", (c("q_start") - 1).alias("q_start"), "q_end", "aln.cg", "aln.cs", "aln.nmatch", "aln.alnlen"))
-        failed = tried.where("reason = 'too many edits'")
-        smaller = (c("t_end") - c("t_start") >= 3) & (c("q_end") - c("q_start") >= 3) if turn < rounds else F.lit(False)
-        skips.append(tried.where((c("reason").isNotNull() & (c("reason") != "too many edits")) | (c("reason") == "too many edits") & ~smaller).select(*names, "reason"))
-        todo = halves(failed.where(smaller).select(*names)).select(*names)
-        if todo.isEmpty():
-            break
-    union = lambda parts: reduce(DataFrame.unionByName, parts)
-    return union(records), union(skips)
+    """align_in_rounds() by fewest edits, of sequences(seq_id, seq): a piece of more than most_edits is cut in register and tried in the next round."""
+    edits = Costs(mismatch=1, open1=0, extend1=1, open2=0, extend2=1)
+    return align_in_rounds(segments, chunked(sequences), most_edits, rounds, max_ratio, edits)
 
 
 def remaining(segments: DataFrame, done: DataFrame, skipped: DataFrame, id_col: str = "segment_id") -> DataFrame:

@@ -190,7 +190,7 @@ def test_segments_aligned_by_halving(spark):
     assert min(r.t_start for r in half) == 0 and max(r.t_end for r in half) >= 600
     reasons = {(r.segment_id, r.reason) for r in skips.collect()}
     assert reasons == {("none", "no_sequence"), ("long", "length_ratio")}
-    assert ("half", "too many edits") in {(r.segment_id, r.reason) for r in synteny.align_segments(segments, seqs, 60, 0)[1].collect()}
+    assert ("half", "too costly") in {(r.segment_id, r.reason) for r in synteny.align_segments(segments, seqs, 60, 0)[1].collect()}
 
 
 def test_chain_blocks(spark):
@@ -301,7 +301,7 @@ def test_chromosomes_of_one_scale(spark):
 
 
 def test_triage_against_a_plain_version(spark, monkeypatch):
-    monkeypatch.setattr(scene, "FOLD_ROWS", 10)
+    monkeypatch.setattr(scene, "FOLD_ROWS", 25)
     rng = random.Random(14)
     blocks = []
     for k in range(150):

@@ -195,3 +195,16 @@ def indexed_slices(spark, sf_dir):
     asked = seqs.select("id", "seq_id", F.explode(starts).alias("start"))
     asked = asked.select("seq_id", "start", (c("start") + 90 + c("id") % 50).alias("end"), F.when(F.floor(c("start") / 700) % 2 == 1, "-").otherwise("+").alias("strand"))
     return read_slices(spark, asked, path, "strand", 4096).select("seq_id", "start", c("seq").alias("slice"))
+
+
+@query("""
+with e as (select user_id, ts, case when ts - lag(ts) over (partition by user_id order by ts) <= interval 30 minutes then 0 else 1 end as new from events where ts is not null),
+s as (select user_id, ts, sum(new) over (partition by user_id order by ts rows unbounded preceding) as session from e)
+select user_id, epoch_us(min(ts)) as first, epoch_us(max(ts)) as last, count(*) as n from s group by user_id, session""")
+def event_sessions(spark, sf_dir):
+    """Sessions of users of the whole table, by the operator that also takes a stream."""
+    from genoframe.streaming.sessions import sessions
+
+    found = sessions(spark.read.parquet(f"{sf_dir}/events.parquet"), ["user_id"])
+    micros = lambda x: F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {x})")
+    return found.select("user_id", micros("first").alias("first"), micros("last").alias("last"), "n")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from genoframe.operators.quantiles import quantile
+
 
 def in_range(ks: DataFrame, most: float) -> DataFrame:
     """Rows with 0 < ks < most."""
@@ -12,13 +14,15 @@ def in_range(ks: DataFrame, most: float) -> DataFrame:
 
 
 def medians(ks: DataFrame, most: float) -> DataFrame:
-    """(id1, id2, n, median) of each pair. The exact median counts equal values together before they are sorted."""
-    return in_range(ks, most).groupBy("id1", "id2").agg(F.count("*").alias("n"), F.median("ks").alias("median"))
+    """(id1, id2, n, median) of each pair, however many values it has."""
+    kept = in_range(ks, most)
+    counts = kept.groupBy("id1", "id2").agg(F.count("*").alias("n"))
+    return counts.join(quantile(kept, ["id1", "id2"], "ks", 0.5, "median"), ["id1", "id2"])
 
 
 def axis_limit(ks: DataFrame, keys: list[str], share: float = 0.995, step: float = 0.05, most: float | None = None) -> DataFrame:
     """keys, limit: the interpolated quantile rounded up to a step, at most `most`."""
-    found = ks.groupBy(*keys).agg(F.percentile("ks", F.lit(share)).alias("q"))
+    found = quantile(ks, keys, "ks", share)
     limit = F.ceil(F.col("q") / step) * step
     return found.select(*keys, (F.least(limit, F.lit(most)) if most is not None else limit).alias("limit"))
 

@@ -80,7 +80,7 @@ def cut_at_anchors(pieces: DataFrame, chunks: DataFrame, size: int = CHUNK, k: i
         asked = asked.select("_piece", "_id", (F.greatest(c("_chunk") * size, c("_a"))).alias("own_a"), F.least((c("_chunk") + 1) * size, c("_b")).alias("own_b"), "_a", "_b")
         spans = asked.select("_piece", "own_a", "own_b", c("_id").alias("seq_id"), F.greatest(c("own_a") - around, c("_a")).alias("start"), F.least(c("own_b") + around, c("_b")).alias("end"))
         bases = slices_of_chunks(spans, chunks, size)
-        return seeds.minimizers(bases.select(c("_piece").alias("seq_id"), c("own_a").alias("start"), c("own_b").alias("end"), c("start").alias("first"), c("seq").alias("bases")), k, w)
+        return seeds.minimizers(bases.select(c("_piece").alias("seq_id"), c("own_a").alias("start"), c("own_b").alias("end"), c("start").alias("first"), c("seq").alias("bases")), k, w, most)
 
     found = seeds.seeds(sketch("t").withColumn("_piece", c("seq_id")), sketch("q").withColumn("_piece", c("seq_id")), most, ("_piece",))
     strands = named.select(c("_piece").alias("_own"), c("strand").alias("_strand"))

@@ -160,11 +160,15 @@ def covered_bases(rows: DataFrame, keys: list[str], range_size: int | None = RAN
 
 
 def uncovered_share(rows: DataFrame, cover: DataFrame, id_col: str, keys: list[str], bin_size: int) -> DataFrame:
-    """rows with `uncovered`: the share of each interval that no interval of cover reaches (0 for empty ones)."""
-    other = prefixed(cover.select(*keys, "start", "end"))
-    clipped = overlap_join(rows.select(id_col, *keys, "start", "end"), other, keys, bin_size, levels=2)
-    clipped = clipped.select(id_col, F.greatest("start", "r_start").alias("start"), F.least("end", "r_end").alias("end"))
-    covered = covered_bases(clipped, [id_col], None)
+    """rows with `uncovered`: the share of each interval that no interval of cover reaches (0 for empty ones).
+
+    The cover is brought to its islands first, so an interval meets what parts of it are covered, not all that covers them.
+    """
+    longest = cover.where("start < end").groupBy(*keys, "start").agg(F.max("end").alias("end"))
+    other = prefixed(islands(longest, keys).select(*keys, "start", "end"))
+    met = overlap_join(rows.select(id_col, *keys, "start", "end"), other, keys, bin_size, levels=2)
+    shared = F.greatest(F.least("end", "r_end") - F.greatest("start", "r_start"), F.lit(0))
+    covered = met.groupBy(id_col).agg(F.sum(shared).alias("covered"))
     span = F.col("end") - F.col("start")
     share = F.when(span <= 0, 0.0).otherwise(F.greatest(F.lit(0.0), 1 - F.coalesce("covered", F.lit(0)) / span))
     return rows.join(covered, id_col, "left").withColumn("uncovered", share).drop("covered")

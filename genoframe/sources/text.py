@@ -1,7 +1,7 @@
 """Delimited text with the order of its lines.
 
 Files are read in splits. What a line takes from the lines before it (a count, the last value of something) is worked out
-split by split and carried on from one to the next, so a file is never one task's.
+part by part of the splits and carried on from one to the next, so neither a file nor a split is one task's.
 """
 
 from __future__ import annotations
@@ -43,28 +43,37 @@ def field(k: int, kind: str = "string") -> Column:
     return F.try_element_at(F.col("f"), F.lit(k)).try_cast(kind)
 
 
-def _with_earlier(rows: DataFrame, of_split: Column, of_all: Column) -> DataFrame:
-    """rows with _earlier: of_all, over the splits before, of what of_split says of each of them."""
-    splits = rows.groupBy("file", "split").agg(of_split.alias("_of_split"))
-    ahead = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = splits.select(F.col("file").alias("_file"), F.col("split").alias("_split"), of_all.over(ahead).alias("_earlier"))
-    return rows.join(earlier, (F.col("file") == F.col("_file")) & (F.col("split") == F.col("_split"))).drop("_file", "_split")
+#: Lines of a part, of a split, that are worked on together.
+PART = 1 << 14
+
+
+def _part() -> Column:
+    """Number of a line's part of its split."""
+    return F.floor((F.col("line_no") - F.col("split") * (1 << 20)) / PART)
+
+
+def _with_earlier(rows: DataFrame, of_part: Column, of_all: Column) -> DataFrame:
+    """rows(with _lines) with _earlier: of_all, over the parts before, of what of_part says of each of them."""
+    parts = rows.groupBy("file", "split", "_lines").agg(of_part.alias("_of_part"))
+    ahead = Window.partitionBy("file").orderBy("split", "_lines").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = parts.select(F.col("file").alias("_file"), F.col("split").alias("_split"), F.col("_lines").alias("_p"), of_all.over(ahead).alias("_earlier"))
+    return rows.join(earlier, (F.col("file") == F.col("_file")) & (F.col("split") == F.col("_split")) & (F.col("_lines") == F.col("_p"))).drop("_file", "_split", "_p")
 
 
 def _to_here():
-    return Window.partitionBy("file", "split").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    return Window.partitionBy("file", "split", "_lines").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
 
 
 def carried(rows: DataFrame, value: Column, as_col: str) -> DataFrame:
     """lines() with the last value that is not null at or before each line of its file."""
-    rows = rows.withColumn("_value", value)
+    rows = rows.withColumns({"_value": value, "_lines": _part()})
     last = F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col("line_no")))
-    rows = _with_earlier(rows, last, F.last("_of_split", ignorenulls=True))
-    return rows.withColumn(as_col, F.coalesce(F.last("_value", ignorenulls=True).over(_to_here()), "_earlier")).drop("_value", "_earlier")
+    rows = _with_earlier(rows, last, F.last("_of_part", ignorenulls=True))
+    return rows.withColumn(as_col, F.coalesce(F.last("_value", ignorenulls=True).over(_to_here()), "_earlier")).drop("_value", "_earlier", "_lines")
 
 
 def counted(rows: DataFrame, where: Column, as_col: str) -> DataFrame:
     """lines() with the number of lines of its file, up to and with each, for which that is true."""
-    rows = rows.withColumn("_one", F.when(where, 1).otherwise(0).cast("long"))
-    rows = _with_earlier(rows, F.sum("_one"), F.sum("_of_split"))
-    return rows.withColumn(as_col, F.sum("_one").over(_to_here()) + F.coalesce("_earlier", F.lit(0))).drop("_one", "_earlier")
+    rows = rows.withColumns({"_one": F.when(where, 1).otherwise(0).cast("long"), "_lines": _part()})
+    rows = _with_earlier(rows, F.sum("_one"), F.sum("_of_part"))
+    return rows.withColumn(as_col, F.sum("_one").over(_to_here()) + F.coalesce("_earlier", F.lit(0))).drop("_one", "_earlier", "_lines")

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genoframe.operators import variants as V
+from genoframe.operators.quantiles import quantile
 from genoframe.plans.divergence import _CG, _GENOME_AVERAGES, _VARIANTS, distance_matrix, indels, variants
 from genoframe.plans.registry import query
 from genoframe.plans.views import fai, snps, view, with_views
-from genoframe.scratch import new_path
+from genoframe.scratch import new_path, written
 from genoframe.sources import fasta, sinks, tables
 from genoframe.sources.text import counted, lines
 
@@ -126,7 +127,8 @@ def rates_file(spark, sf_dir):
         (~c("id1").isin("Zm", "Sb"), [c("pair").alias("Sequence"), c("ks").alias("Ks"), F.lit("9.9").alias("Ka"), *pad(2)], True),
     )
     paths = [_table(spark, rows.where(own).select(*columns), header) for own, columns, header in layouts]
-    return tables.read_ks(spark, paths).groupBy("pair").agg(F.count("*").alias("n"), F.median("ks").alias("median"))
+    found = written(tables.read_ks(spark, paths).select("pair", "ks"))
+    return found.groupBy("pair").agg(F.count("*").alias("n")).join(quantile(found, ["pair"], "ks", 0.5, "median"), "pair", "left")
 
 
 @query(with_views("v_coords") + "r as (select 1) select t, t_start, q, q_start, strand, 'AC-GT' as t_text, 'ACTGT' as q_text from v_coords")

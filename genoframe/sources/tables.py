@@ -21,19 +21,21 @@ def paf_of(rows: DataFrame, min_len: int = 0, both_sides: bool = False) -> DataF
 
     min_len: least length on the target, or with both_sides on query and target.
     """
-    tags = F.transform(F.filter(F.slice("f", 13, 1 << 20), lambda x: x.contains(":")), lambda x: F.struct(F.regexp_extract(x, "^([^:]+:[^:]+):", 1).alias("k"), F.regexp_extract(x, "^[^:]+:[^:]+:(.*)$", 1).alias("v")))
-    # Of repeated tags the last counts.
-    last = F.filter(tags, lambda x: x["k"] != "")
-    keys = F.array_distinct(F.transform(last, lambda x: x["k"]))
-    tags = F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.filter(last, lambda x: x["k"] == k), -1)["v"]))
+    parts = F.filter(F.transform(F.slice("f", 13, 1 << 20), lambda x: F.split(x, ":", 3)), lambda p: (F.size(p) == 3) & (p[0] != "") & (p[1] != ""))
+    listed_tags = F.transform(parts, lambda p: F.struct(F.concat(p[0], F.lit(":"), p[1]).alias("k"), p[2].alias("v")))
     names = ("q_name", "q_len:bigint", "q_start:bigint", "q_end:bigint", "strand", "t_name", "t_len:bigint", "t_start:bigint", "t_end:bigint", "nmatch:bigint", "alnlen:bigint", "mapq:bigint")
     found = fields(rows).where(F.size("f") >= 12)
-    found = found.select("file", "line_no", *[field(k, (n.split(":") + ["string"])[1]).alias(n.split(":")[0]) for k, n in enumerate(names, 1)], tags.alias("tags"))
+    found = found.select("file", "line_no", *[field(k, (n.split(":") + ["string"])[1]).alias(n.split(":")[0]) for k, n in enumerate(names, 1)], listed_tags.alias("tags"))
     for n in names:
         if ":" in n:
             found = found.where(F.col(n.split(":")[0]).isNotNull())
     if min_len:
         found = found.where((F.col("t_end") - F.col("t_start") >= min_len) & (F.lit(not both_sides) | (F.col("q_end") - F.col("q_start") >= min_len)))
+    # Of repeated tags the last counts; lines without any are not searched for them.
+    keys = F.transform("tags", lambda x: x["k"])
+    once = F.array_distinct(keys)
+    last = F.map_from_arrays(once, F.transform(once, lambda k: F.element_at(F.filter("tags", lambda x: x["k"] == k), -1)["v"]))
+    found = found.withColumn("tags", F.when(F.size(once) == F.size("tags"), F.map_from_entries("tags")).otherwise(last))
     of = lambda k, kind="string": F.try_element_at(F.col("tags"), F.lit(k)).try_cast(kind)
     return found.withColumns({"de": F.regexp_extract(of("de:f"), r"^([^:]*?)(rl:i:.*)?$", 1).try_cast("double"), "cs": of("cs:Z"), "cg": of("cg:Z")})
 
@@ -165,11 +167,14 @@ def read_ks(spark: SparkSession, path: str | list[str]) -> DataFrame:
     header a table must have RATE_COLUMNS fields, of which Ks is the fourth. Any other layout is an error.
     """
     rows = fields(lines(spark, path))
-    heads = rows.groupBy(F.col("file").alias("_file")).agg(F.min_by("f", "line_no").alias("_head"))
+    # The first line's place comes first: an aggregate over fields would sort all lines of a task.
+    first = rows.groupBy(F.col("file").alias("_file")).agg(F.min("line_no").alias("_first"))
+    heads = rows.join(F.broadcast(first), (F.col("file") == F.col("_file")) & (F.col("line_no") == F.col("_first"))).select("_file", F.col("f").alias("_head"))
     named = F.array_position("_head", "Ks").cast("int")
     wrong = F.raise_error(F.concat(F.lit("neither a Ks column nor the known number of columns: "), F.col("_file"))).cast("int")
     heads = heads.select("_file", F.when(named > 0, F.col("_head")).alias("_head"), F.when(named > 0, named).when(F.size("_head") == RATE_COLUMNS, F.lit(4)).otherwise(wrong).alias("_at"))
-    own = rows.join(heads, F.col("file") == F.col("_file")).where(F.col("_head").isNull() | (F.col("f") != F.col("_head")))
+    # A row for each file goes to the lines, which stay where they are read: dealt by file, a file would be one task's.
+    own = rows.join(F.broadcast(heads), F.col("file") == F.col("_file")).where(F.col("_head").isNull() | (F.col("f") != F.col("_head")))
     return own.select("file", field(1).alias("pair"), F.try_element_at("f", F.col("_at")).try_cast("double").alias("ks"))
 
 

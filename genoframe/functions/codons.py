@@ -5,14 +5,19 @@ from __future__ import annotations
 from itertools import product
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Amino acids of the standard genetic code, codons in the order TTT, TTC, TTA, TTG, TCT, ...
 STANDARD = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
 CODE = dict(zip(map("".join, product("TCAG", repeat=3)), STANDARD))
 #: Most bases that are taken out before a codon; from three on the amino acid after it must fit too.
 MOST_SKIPPED, CHECKED_FROM = 4, 3
+#: Sequences worked on at a time.
+AT_ONCE = 64
 
 
 def amino_acid(codon: str) -> str:
@@ -60,15 +65,23 @@ def translate(cds: Column) -> Column:
 def repair_frames(rows: DataFrame, cds: str = "cds", protein: str = "protein") -> DataFrame:
     """rows with `repair`: struct of fixed, out (array of position and bases) and error, one of which is null."""
 
-    @F.pandas_udf("fixed string, out array<struct<at:int,bases:string>>, error string")
-    def run(sequences: pd.Series, proteins: pd.Series) -> pd.DataFrame:
-        found = []
-        for s, p in zip(sequences, proteins):
-            try:
-                fixed, out = repaired(s or "", (p or "").rstrip("*"))
-                found.append((fixed, [{"at": a, "bases": b} for a, b in out], None))
-            except ValueError as e:
-                found.append((None, None, str(e)))
-        return pd.DataFrame(found, columns=["fixed", "out", "error"])
-
-    return rows.withColumn("repair", run(F.col(cds), F.col(protein)))
+    kind = T._parse_datatype_string("fixed string, out array<struct<at:int,bases:string>>, error string")
+    schema = T.StructType([*rows.schema.fields, T.StructField("repair", kind)])
+    type_ = to_arrow_schema(schema).field("repair").type
+
+    def one(s, p):
+        try:
+            fixed, out = repaired(s or "", (p or "").rstrip("*"))
+            return {"fixed": fixed, "out": [{"at": a, "bases": b} for a, b in out], "error": None}
+        except ValueError as e:
+            return {"fixed": None, "out": None, "error": str(e)}
+
+    # A few rows at a time: what is found for a batch of long sequences is many times their size in Python.
+    def run(batches):
+        for batch in batches:
+            for k in range(0, len(batch), AT_ONCE):
+                part = batch.slice(k, AT_ONCE)
+                found = [one(s, p) for s, p in zip(part.column(cds).to_pylist(), part.column(protein).to_pylist())]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, type_)], names=[*part.schema.names, "repair"])
+
+    return rows.mapInArrow(run, schema)

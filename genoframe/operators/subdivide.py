@@ -115,6 +115,7 @@ def align_in_rounds(segments: DataFrame, chunks: DataFrame, most: int, rounds: i
     bases. max_ratio: segments, not pieces, whose sides differ by more are skips too (0: no limit). records: segment_id, t, q, strand, t_start, t_end, q_start, q_end (0-based, half-open, of the
     sequences), score, cg, cs (with the equal bases themselves, if long), nmatch, alnlen. Each round is a job whose result is written, so lineage does not grow.
     """
+    chunks = written(chunks)  # every round asks for bases of both sides
     t_n, q_n = c("t_end") - c("t_start") + 1, c("q_end") - c("q_start") + 1
     least, longest = F.least(t_n, q_n), F.greatest(t_n, q_n)
     todo, records, skips = segments.select(*PIECE, F.lit(False).alias("whole")), [], []

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from genoframe.functions.codons import CODE, amino_acid
-from genoframe.functions.wavefront import Costs, affine_path
+from genoframe.functions.wavefront import Costs, affine_paths
 from genoframe.scratch import written
 
 #: Of amino acids: what differs, and gaps.
@@ -60,9 +60,8 @@ def _codons(cds: str) -> list[str]:
 def aligned_codons(first: pd.Series, second: pd.Series) -> pd.Series:
     """Pairs of codons, counted, that the proteins' alignment of least cost puts together."""
     out = []
-    for x, y in zip(first, second):
-        a, b = _codons(x or ""), _codons(y or "")
-        _, path = affine_path("".join(map(amino_acid, a)), "".join(map(amino_acid, b)), PROTEIN)
+    pairs = [(_codons(x or ""), _codons(y or "")) for x, y in zip(first, second)]
+    for (a, b), (_, path) in zip(pairs, affine_paths([("".join(map(amino_acid, a)), "".join(map(amino_acid, b))) for a, b in pairs], PROTEIN)):
         found, i, j = Counter(), 0, 0
         for op, n in path:
             if op in "=X":

@@ -122,21 +122,31 @@ def chunked(sequences: DataFrame, size: int = CHUNK) -> DataFrame:
 def slices_of_chunks(segments: DataFrame, chunks: DataFrame, size: int, strand: str | None = None) -> DataFrame:
     """slices() of chunks(seq_id, chunk, bases), which may leave out chunks that no segment lies in.
 
-    Segments meet the chunks that they lie in by number, so no segment carries a sequence, and one in a single chunk is cut out at once.
+    Segments meet the chunks that they lie in by number, so no segment carries a sequence, and one in a single chunk is cut out at once, in the
+    one join; only those of several chunks are put together and joined back.
     """
     c = F.col
-    asked = segments.select(c("seq_id").alias("_id"), c("start").cast("long").alias("_a"), c("end").cast("long").alias("_b")).where("_b > _a and _a >= 0").distinct()
-    first = F.floor(c("_a") / size)
-    asked = asked.withColumn("_chunk", F.explode(F.sequence(first, F.floor((c("_b") - 1) / size))))
-    met = asked.join(chunks.select("seq_id", c("chunk").cast("long").alias("chunk"), "bases"), (c("_id") == c("seq_id")) & (c("_chunk") == c("chunk")))
-    at = F.greatest(c("_a") - c("chunk") * size, F.lit(0))
-    piece = F.substring("bases", at.cast("int") + 1, (F.least(c("_b") - c("chunk") * size, F.lit(size)) - at).cast("int"))
-    pieces = met.groupBy("_id", "_a", "_b").agg(F.array_sort(F.collect_list(F.struct("chunk", piece.alias("piece")))).alias("_p"))
-    seq = F.concat_ws("", F.transform("_p", lambda p: p["piece"]))
-    found = pieces.select("_id", "_a", "_b", F.when(seq != "", seq).alias("_seq"))
-    out = segments.join(found, (c("seq_id") == c("_id")) & (c("start").cast("long") == c("_a")) & (c("end").cast("long") == c("_b")), "left")
-    part = c("_seq") if strand is None else F.when(c(strand) == "-", reverse_complement(c("_seq"))).otherwise(c("_seq"))
-    return out.withColumn("seq", part).drop("_id", "_a", "_b", "_seq")
+    kept = segments.columns
+    chunks = chunks.select(c("seq_id").alias("_id"), c("chunk").cast("long").alias("_chunk"), "bases")
+    segments = segments.withColumns({"_a": c("start").cast("long"), "_b": c("end").cast("long")})
+    segments = segments.withColumns({"_first": F.floor(c("_a") / size), "_last": F.floor((c("_b") - 1) / size)})
+    single = F.coalesce((c("_b") > c("_a")) & (c("_a") >= 0) & (c("_first") == c("_last")), F.lit(False))
+    at = F.greatest(c("_a") - c("_chunk") * size, F.lit(0))
+    piece = F.substring("bases", at.cast("int") + 1, (F.least(c("_b") - c("_chunk") * size, F.lit(size)) - at).cast("int"))
+    # Most slices lie in one chunk, and come out of the join as they are.
+    own = segments.where(single).join(chunks, (c("seq_id") == c("_id")) & (c("_first") == c("_chunk")), "left").select(*kept, piece.alias("_seq"))
+
+    rest = segments.where(~single)
+    asked = rest.select(c("seq_id").alias("_of"), "_a", "_b", "_first", "_last").where("_b > _a and _a >= 0").distinct()
+    asked = asked.withColumn("_part", F.explode(F.sequence("_first", "_last")))
+    met = asked.join(chunks, (c("_of") == c("_id")) & (c("_part") == c("_chunk")))
+    pieces = met.groupBy("_of", "_a", "_b").agg(F.array_sort(F.collect_list(F.struct("_chunk", piece.alias("piece")))).alias("_p"))
+    found = pieces.select("_of", c("_a").alias("_from"), c("_b").alias("_to"), F.concat_ws("", F.transform("_p", lambda p: p["piece"])).alias("_seq"))
+    rest = rest.join(found, (c("seq_id") == c("_of")) & (c("_a") == c("_from")) & (c("_b") == c("_to")), "left").select(*kept, "_seq")
+
+    seq = F.when(c("_seq") != "", c("_seq"))
+    part = seq if strand is None else F.when(c(strand) == "-", reverse_complement(seq)).otherwise(seq)
+    return own.unionByName(rest).select(*kept, part.alias("seq"))
 
 
 def slices(segments: DataFrame, sequences: DataFrame, strand: str | None = None, size: int = CHUNK) -> DataFrame:

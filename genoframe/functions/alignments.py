@@ -108,21 +108,33 @@ def query_of(cs: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.regexp_replace(cs, r"-[^:*+=-]+", ""), r"\*(.)(.)", "$2"), "[=+]", "")
 
 
-def gap_compressed_divergence(cs: Column) -> Column:
-    """Mismatches and gap openings over these and the matches."""
-    tokens = cs_tokens(cs)
-    same = total(F.transform(F.filter(tokens, lambda x: x["op"].isin(":", "=")), _same))
-    other = F.size(F.filter(tokens, lambda x: ~x["op"].isin(":", "=")))
-    return F.try_divide(other, same + other)
+def _values_of(cs: Column, mark: str) -> Column:
+    """Bases in the operations of one mark: the text without the other operations and the mark itself."""
+    others = "".join(m for m in CS_MARKS if m != mark)
+    return F.length(F.replace(F.regexp_replace(cs, f"[{others}][^{CS_MARKS}]*|^[^{CS_MARKS}]+", ""), F.lit(mark), F.lit(""))).cast("long")
 
 
 def cs_counts(cs: Column) -> Column:
-    """Struct of matches, mismatches, inserted and deleted bases, and gap openings."""
-    tokens = cs_tokens(cs)
-    of = lambda op: F.filter(tokens, lambda x: x["op"] == op)
-    size = lambda op: total(F.transform(of(op), lambda x: F.length(x["val"]).cast("long")))
-    same = total(F.transform(F.filter(tokens, lambda x: x["op"].isin(":", "=")), _same))
-    return F.struct(same.alias("matches"), F.size(of("*")).cast("long").alias("mismatches"), size("+").alias("inserted"), size("-").alias("deleted"), (F.size(of("+")) + F.size(of("-"))).cast("long").alias("gaps"))
+    """Struct of matches, mismatches, inserted and deleted bases, and gap openings.
+
+    Counted on the text; tokens, which are worked out anew wherever they are named, would be found for each count again.
+    """
+    # Every value as one letter, so an operation is its mark and x.
+    shape = F.regexp_replace(cs, f"[^{CS_MARKS}]+", "x")
+    of = lambda mark: F.shiftright(F.length(shape) - F.length(F.replace(shape, F.lit(f"{mark}x"), F.lit(""))), 1).cast("long")
+    short = total(F.transform(F.regexp_extract_all(cs, F.lit(f":([^{CS_MARKS}]+)"), F.lit(1)), lambda x: x.try_cast("long")))
+    long = F.when(~F.contains(cs, F.lit("=")), F.lit(0).cast("long")).otherwise(_values_of(cs, "="))
+    return F.struct((short + long).alias("matches"), of("*").alias("mismatches"), _values_of(cs, "+").alias("inserted"), _values_of(cs, "-").alias("deleted"), (of("+") + of("-")).alias("gaps"))
+
+
+def divergence_of_counts(counts: Column) -> Column:
+    """Mismatches and gap openings over these and the matches, of cs_counts()."""
+    other = counts["mismatches"] + counts["gaps"]
+    return F.try_divide(other, counts["matches"] + other)
+
+
+def gap_compressed_divergence(cs: Column) -> Column:
+    return divergence_of_counts(cs_counts(cs))
 
 
 def _joined(runs: Column) -> Column:

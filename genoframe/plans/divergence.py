@@ -161,8 +161,8 @@ def k2p_filtered(spark, sf_dir):
 c as (select rid, cast(regexp_extract(cs, '^:([0-9]+)', 1) as bigint) + cast(regexp_extract(cs, '^:[0-9]+\\*..:([0-9]+)', 1) as bigint) + cast(regexp_extract(cs, ':([0-9]+)-tt', 1) as bigint) + 9 as same from v_paf)
 select rid, same as matches, cast(2 as bigint) as mismatches, cast(3 as bigint) as inserted, cast(2 as bigint) as deleted, cast(2 as bigint) as gaps, round(4 / (same + 4), 6) as de from c""")
 def gap_compressed_divergence(spark, sf_dir):
-    rows = view(spark, sf_dir, "v_paf", "rid", "cs").select("rid", A.cs_counts(F.col("cs")).alias("c"), F.round(A.gap_compressed_divergence(F.col("cs")), 6).alias("de"))
-    return rows.select("rid", "c.*", "de")
+    rows = view(spark, sf_dir, "v_paf", "rid", "cs").select("rid", A.cs_counts(F.col("cs")).alias("c"))
+    return rows.select("rid", "c.*", F.round(A.divergence_of_counts(F.col("c")), 6).alias("de"))
 
 
 @query(with_views("v_paf") + "r as (select 1) select rid, cg from v_paf")

@@ -22,8 +22,15 @@ from genoframe.scratch import written
 OUT_ROWS = 10_000
 
 
+def _values(column: pa.Array) -> list:
+    """The column as Python's own values; plain ones go by an array, as to_pylist() makes an object of Arrow's for each."""
+    kind = column.type
+    plain = pa.types.is_integer(kind) or pa.types.is_floating(kind) or pa.types.is_boolean(kind) or pa.types.is_string(kind)
+    return column.to_numpy(zero_copy_only=False).tolist() if plain and not column.null_count else column.to_pylist()
+
+
 def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
-    return chain.from_iterable(zip(*(c.to_pylist() for c in b.columns)) for b in batches)
+    return chain.from_iterable(zip(*map(_values, b.columns)) for b in batches)
 
 
 def over_groups(rows: DataFrame, keys: list[str], order: list[str], work: Callable[[tuple, Iterator[tuple]], Iterable[tuple]], schema: T.StructType | str) -> DataFrame:
@@ -37,7 +44,8 @@ def over_groups(rows: DataFrame, keys: list[str], order: list[str], work: Callab
 
     def run(batches):
         kind, out = to_arrow_schema(schema), []
-        table = lambda: pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(kind)], schema=kind)
+        columns = lambda: zip(*out) if out else [()] * len(kind)
+        table = lambda: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns(), kind)], schema=kind)
         for key, group in groupby(_rows(batches), itemgetter(*range(n)) if n > 1 else lambda r: (r[0],)):
             for row in work(key, group):
                 out.append(row)

@@ -18,6 +18,8 @@ from pyspark.sql.window import Window
 RANGE = 1 << 20
 #: A level's bins are so many times larger than those of the level below.
 WIDER = 32
+#: Bases from which pieces are summed up before stretches are told.
+LEAST_PIECE = 1024
 #: Bins of a level that the starts near an interval may spread over; beyond that it goes to the level above.
 FEW_BINS = 16
 
@@ -168,9 +170,15 @@ def in_stretches(rows: DataFrame, keys: list[str], start: str, end: str, beyond:
     """rows with `stretch`: within the keys, rows of different stretches lie over `beyond` bases apart on start and end.
 
     What a fold carries from row to row, if it never passes such a gap, does not pass from stretch to stretch. So a key with any number of rows is as many groups.
+    Starts of one piece of `beyond` bases are never so far apart, so the first start and last end of each piece tell the stretches; rows are not dealt for them.
     """
-    spans = rows.select(*keys, F.struct(*rows.columns).alias("_row"), F.col(start).alias("start"), (F.col(end) + beyond).alias("end"))
-    return in_islands(spans, keys).select("_row.*", F.col("island").alias("stretch"))
+    if beyond < LEAST_PIECE:
+        spans = rows.select(*keys, F.struct(*rows.columns).alias("_row"), F.col(start).alias("start"), (F.col(end) + beyond).alias("end"))
+        return in_islands(spans, keys).select("_row.*", F.col("island").alias("stretch"))
+    rows = rows.withColumn("_piece", F.floor(F.col(start) / beyond))
+    spans = rows.groupBy(*keys, "_piece").agg(F.min(start).alias("start"), (F.max(end) + beyond).alias("end"))
+    found = in_islands(spans, keys).select(*keys, "_piece", F.col("island").alias("stretch"))
+    return _joined(rows, found, [*keys, "_piece"]).drop("_piece")
 
 
 def covered_bases(rows: DataFrame, keys: list[str], range_size: int | None = RANGE) -> DataFrame:

@@ -11,6 +11,9 @@ from pyspark.sql.window import Window
 from genoframe.operators.groups import over_groups
 from genoframe.operators.intervals import in_stretches
 
+#: Runs are found in so many times the tasks of a shuffle.
+SPREAD = 4
+
 BLOCKS = "ref_name string, ref_start long, ref_end long, qry_name string, qry_start long, qry_end long, strand string, n_records long, ref_span long, qry_span long, matched long, aln_len long"
 
 
@@ -52,11 +55,12 @@ def collinear_runs(anchors: DataFrame, keys: list[str], slack: int = 100, min_le
     """Maximal runs of anchors (t_start, t_end, q_start, q_end, strand) by target order: keys, run, strand, spans, n.
 
     A run ends at a change of strand, or where the query moves the wrong way by more than slack; both look at the
-    anchor before alone.
+    anchor before alone. A task sorts its anchors and holds its runs, so keys are dealt over more tasks than a shuffle has.
     """
-    w = Window.partitionBy(*keys).orderBy("t_start", "t_end", "q_start", "q_end", "strand")
-    c = F.col
-    rows = anchors.withColumns({f"_{x}": F.lag(x).over(w) for x in ("strand", "q_start", "q_end")})
+    order = ["t_start", "t_end", "q_start", "q_end", "strand"]
+    w = Window.partitionBy(*keys).orderBy(*order)
+    c, tasks = F.col, SPREAD * int(anchors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = anchors.select(*keys, *order).repartition(tasks, *keys).withColumns({f"_{x}": F.lag(x).over(w) for x in ("strand", "q_start", "q_end")})
     goes_on = (c("strand") == c("_strand")) & F.when(c("strand") == "+", c("q_start") >= c("_q_start") - slack).otherwise(c("q_end") <= c("_q_end") + slack)
     rows = rows.withColumn("run", F.sum(F.when(goes_on, 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     found = rows.groupBy(*keys, "run").agg(F.first("strand").alias("strand"), F.min("t_start").alias("t_start"), F.max("t_end").alias("t_end"), F.min("q_start").alias("q_start"), F.max("q_end").alias("q_end"), F.count("*").alias("n_anchors"))

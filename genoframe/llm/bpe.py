@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 from array import array
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from genoframe.llm.shared import PART_ROWS
+
 #: How byte-level BPE splits a text before merging (fixed value).
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Bytes of the longest pre-token that is merged together with others.
@@ -236,7 +238,7 @@ class Encoder:
                 own = [self.vocab.special[piece]]
             self.known[piece] = np.array(own, np.int32).tobytes(), b"".join(map(self.vocab.token_bytes.__getitem__, own))
 
-    def coded(self, texts: list[str]):
+    def coded(self, texts: Iterable[str]):
         """Lists of (ids as 32-bit integers, decoded text) of the texts in turn; a list holds about HELD_CHARS of them at most."""
         held, chars = [], 0
         for text in texts:
@@ -272,7 +274,7 @@ def coded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
     def run(batches):
         encoder = Encoder(vocabulary(path))
         for batch in batches:
-            texts = [(t or b"").decode("utf-8", "replace") for t in batch.column(1).to_pylist()]
+            texts = ((t or b"").decode("utf-8", "replace") for k in range(0, batch.num_rows, PART_ROWS) for t in batch.column(1).slice(k, PART_ROWS).to_pylist())
             at = 0
             for found in encoder.coded(texts):
                 ends = np.cumsum([0, *(len(ids) // 4 for ids, _ in found)]).astype(np.int32)
@@ -280,6 +282,8 @@ def coded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(found)), lists, pa.array([t for _, t in found], pa.string())], names=["row", "ids", "decoded"])
                 at += len(found)
+            del batch
+        pa.default_memory_pool().release_unused()
 
     names = [id_col, *keep]
     rows = docs.select(F.struct(*[F.col(c) for c in names]).alias("row"), F.col(text_col).cast("binary").alias("text"))

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from genoframe.operators.components import connected_components
+from genoframe.llm.shared import parts
 from genoframe.llm.simhash import BLOCK, BKTree, shingle_hashes
 from genoframe.operators.groups import over_groups
 from genoframe.scratch import written
@@ -76,7 +77,7 @@ def sketches(rows: DataFrame, words: int) -> DataFrame:
     """(id, hash, high, low: digest of the words in order, fp, shingles: how many, bands) of rows(id, hash, text)."""
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             out = []
             for text in batch.column(2).to_pylist():
                 # Fingerprint and likeness are of the same set: a shingle counts once, however often it is repeated.
@@ -268,7 +269,7 @@ def near_copies(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str
         """(node, set): the shingles of the texts of those nodes."""
 
         def shingled(batches):
-            for batch in batches:
+            for batch in parts(batches):
                 found = [np.unique(shingle_hashes(t, words)).tobytes() for t in batch.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["node", "set"])
 
@@ -298,4 +299,6 @@ def first_of_each(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: s
     chosen = named.groupBy(F.coalesce("root", "node").alias("class")).agg(lead).select(F.col("lead.id").alias("_id"), F.col("lead.hash").alias("_hash"))
     kept = _rows(docs, id_col, text_col, F.struct("*").alias("doc")).join(chosen, _same_text(), "left_semi")
     order = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
-    return kept.groupBy("id", "hash").agg(F.min_by("doc", F.struct(*[F.col(f"doc.`{c}`") for c in order])).alias("doc")).select("doc.*")
+    # Where all columns have an order doc is its own, and its text is dealt once.
+    least_doc = F.min("doc") if len(order) == len(docs.columns) else F.min_by("doc", F.struct(*[F.col(f"doc.`{c}`") for c in order]))
+    return kept.groupBy("id", "hash").agg(least_doc.alias("doc")).select("doc.*")

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from genoframe.llm.shared import parts
+
 #: Indicators are hashed to so many features.
 FEATURES = 1 << 18
 #: Most labelled rows, about, that a model is fitted on, and most features of them all.
@@ -220,7 +222,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
 
     def features(batches):
         of = Indicators()
-        for batch in batches:
+        for batch in parts(batches):
             rows = [of.of(t).tobytes() for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.binary())], names=["id", "label", "features"])
 
@@ -243,12 +245,15 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", least: float |
 
     def run(batches):
         of = Indicators()
-        for batch in batches:
-            scores = np.array([model.score(of.of(t)) for t in batch.column(1).to_pylist()], np.float64)
+        for batch in parts(batches):
+            texts = batch.column(0).field(at) if at is not None else batch.column(1)
+            scores = np.array([model.score(of.of(t)) for t in texts.to_pylist()], np.float64)
             out = pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["doc", "score"])
             yield out if least is None else out.filter(pa.array(scores >= least))
 
-    rows = docs.select(F.struct("*").alias("doc"), F.col(text_col).alias("text"))
+    # A text that is a column of docs is sent once, as a part of doc.
+    at = docs.columns.index(text_col) if docs.columns.count(text_col) == 1 else None
+    rows = docs.select(F.struct("*").alias("doc"), *([F.col(text_col).alias("text")] if at is None else []))
     return rows.mapInArrow(run, StructType([rows.schema["doc"], StructField("score", DoubleType())]))
 
 

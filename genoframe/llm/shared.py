@@ -2,10 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+#: Rows of a batch that are worked on at a time.
+PART_ROWS = 256
+
+
+def parts(batches: Iterable[pa.RecordBatch], rows: int = PART_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of so many rows at most, so that no task makes lists, or hands on results, of a whole batch of texts.
+
+    In the end Arrow gives back what it keeps for other batches, as workers stay for other tasks.
+    """
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+        del batch
+    pa.default_memory_pool().release_unused()
+
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

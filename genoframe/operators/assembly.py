@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from string import ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
@@ -19,11 +20,11 @@ def chromosome_of(header: Column) -> tuple[Column, Column]:
     return number, F.nullif(F.upper(F.regexp_extract(header, pattern, 2)), F.lit(""))
 
 
-def name_chromosomes(headers: DataFrame, prefix: str) -> DataFrame:
+def name_chromosomes(headers: DataFrame, prefix: str, spelled: Callable[[Column], Column] = letters) -> DataFrame:
     """(ord, header, chrom, letter, new) of headers(ord, header) that name a chromosome.
 
     Within a number the first header of a letter keeps it. Where a number occurs more than once, those without a
-    letter, and repeats of a letter, get the next free ones in order: after Z come AA, AB and so on.
+    letter, and repeats of a letter, get the next free ones in order: after Z come AA, AB and so on. spelled: the names of numbers over 26.
     """
     number, letter = chromosome_of(F.col("header"))
     rows = headers.select(F.col("ord").cast("long"), "header", number.alias("chrom"), letter.alias("letter")).where("chrom is not null")
@@ -34,7 +35,7 @@ def name_chromosomes(headers: DataFrame, prefix: str) -> DataFrame:
     free = F.filter(F.array(*[F.lit(x) for x in ascii_uppercase]), lambda x: ~F.array_contains("_kept", x))
     rows = rows.withColumns({"_place": place, "_free": free})
     # Headers bring single letters only, so all longer names are free.
-    given = F.when(c("_place") <= F.size("_free"), F.get("_free", c("_place") - 1)).otherwise(letters(c("_place") - F.size("_free") + 26))
+    given = F.when(c("_place") <= F.size("_free"), F.get("_free", c("_place") - 1)).otherwise(spelled(c("_place") - F.size("_free") + 26))
     rows = rows.withColumn("letter", F.coalesce("_own", F.when(c("_n") > 1, given)))
     return rows.select("ord", "header", "chrom", "letter", F.concat(F.lit(f"{prefix}_chr"), "chrom", F.coalesce("letter", F.lit(""))).alias("new"))
 

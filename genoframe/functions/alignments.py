@@ -24,9 +24,14 @@ def _numbers(text: Column, pattern: str) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), lambda x: x.cast("long"))
 
 
+def bases_in(cg: Column, ops: str) -> Column:
+    """Bases in a CIGAR's runs of those operations."""
+    return total(_numbers(cg, rf"(\d+)[{ops}]"))
+
+
 def matched_bases(cg: Column) -> Column:
     """Bases in the M runs of a CIGAR."""
-    return total(_numbers(cg, r"(\d+)M"))
+    return bases_in(cg, "M")
 
 
 def cs_tokens(cs: Column) -> Column:
